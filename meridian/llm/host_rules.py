@@ -89,9 +89,9 @@ def measured(docs: DataFrame) -> DataFrame:
 #: What hosts are held against: the base rule, then more symbols than a tenth of the characters, then more
 #: than three repeated lines in ten.
 RULES = {
-    "base": F.col("base_failed"),
-    "symbols": F.col("n_symbols") * 10 > F.col("word_chars"),
-    "lines": F.col("n_dup_lines") * 10 > F.col("n_lines") * 3,
+    "base": "base_failed",
+    "symbols": "n_symbols * 10 > word_chars",
+    "lines": "n_dup_lines * 10 > n_lines * 3",
 }
 
 
@@ -104,7 +104,7 @@ def host_rates(measures: DataFrame) -> DataFrame:
     by_host = (
         measures.filter(F.col("source").isNotNull())
         .groupBy("source")
-        .agg(F.count(F.lit(1)).alias("docs"), *(F.sum(rule.cast("long")).alias(f"failed_{k}") for k, rule in RULES.items()))
+        .agg(F.count(F.lit(1)).alias("docs"), *(F.sum(F.expr(rule).cast("long")).alias(f"failed_{k}") for k, rule in RULES.items()))
     )
     sums = [F.sum(f"failed_{k}").alias(f"sum_{k}") for k in RULES] + [F.sum(F.col(f"failed_{k}") * F.col(f"failed_{k}") / F.col("docs")).alias(f"square_{k}") for k in RULES]
     whole = by_host.agg(F.count(F.lit(1)).alias("hosts"), F.sum("docs").alias("docs"), *sums).first()
@@ -144,9 +144,12 @@ SQL = r"""
 WITH flat AS (
   SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents
 ), base AS (
-  SELECT row_id, doc_id, source, list_filter(regexp_split_to_array(text, '[ 	-]+'), lambda x: x <> '') AS words,
-    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
-    length(regexp_replace(text, '[ 	-]', '', 'g')) AS word_chars,
+  SELECT row_id, doc_id, source, list_filter(regexp_split_to_array(text, '[ 	-
+]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
+    length(regexp_replace(text, '[ 	-
+]', '', 'g')) AS word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols
   FROM flat
 ), windows AS (

@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules, sharding
+from meridian.llm import host_rules, packing, segment_bpe, sharding, token_counts
 from meridian.llm.common import read_table
 
+
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file is, on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES = {}
 SQL = {}
 
@@ -26,7 +34,24 @@ def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op2_host_rules"] = host_rules.SQL
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard(read_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "slot_id")
+
+
+@query
+def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_bpe.digests(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
