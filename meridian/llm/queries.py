@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules, packing, segment_bpe, sharding, token_counts
+from meridian.llm import host_rules, packing, segment_bpe, sharding, simhash, token_counts
 from meridian.llm.common import read_table
 
 
@@ -55,3 +55,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_bpe.digests(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
