@@ -24,7 +24,7 @@ from meridian.llm.common import durable, slices
 CAPACITY = 1024
 END_ID = 2
 #: A length's pieces are ranked in this many parts.
-BUCKETS = 256
+BUCKETS = 64
 
 #: Texts of these characters alone get the same ids from both libraries; others, and those with the special
 #: token's text, go to the slower one.
@@ -184,8 +184,8 @@ def ranked(cut: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
     own = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
     starts = counts.select("length", "bucket", before.alias("before"))
-    # at most capacity * buckets rows, whatever the input
-    return cut.withColumn("own", own).join(F.broadcast(starts), ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("own") - 1)
+    # at most capacity * buckets rows, dealt by the window's own keys
+    return cut.withColumn("own", own).join(starts, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("own") - 1)
 
 
 def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
