@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules, packing, segment_bpe, sharding, simhash, token_counts
+from meridian.llm import host_rules, langid, packing, segment_bpe, sharding, simhash, token_counts, toxicity, weighted_sampling
 from meridian.llm.common import read_table
+from meridian.llm.sampling import fold
 
 
 def vocabulary(name: str) -> str:
@@ -60,3 +61,23 @@ def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op5_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
+    return langid.label(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(fold("doc_id", 5) != 0))
+    rows = toxicity.scored(docs, model)
+    return rows.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.against_next(read_table(spark, sf_dir, "documents"))
