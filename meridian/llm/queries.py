@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules, langid, packing, segment_bpe, sharding, simhash, token_counts, toxicity, weighted_sampling
+from meridian.llm import host_rules, langid, packing, segment_bpe, sharding, simhash, suffix_runs, token_counts, toxicity, weighted_sampling
 from meridian.llm.common import read_table
 from meridian.llm.sampling import fold
 
@@ -26,6 +26,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_runs.deduplicated(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = host_rules.judged(read_table(spark, sf_dir, "documents"))
