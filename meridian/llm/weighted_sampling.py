@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from meridian.llm.common import or_empty, shuffle_width, slices
 
 SAMPLES = 64
 #: (text, term) pairs that are worked on at once.
-BLOCK = 1 << 14
+BLOCK = 1 << 12
 
 
 def terms_of(text: str) -> dict[str, int]:
@@ -58,28 +59,37 @@ def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
     keys = np.frombuffer(b"".join([hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in names]), dtype="<u8")
     out = np.zeros((len(texts), samples), dtype=np.uint16)
     sizes = np.array([len(b) for b in bags], dtype=np.int64)
-    term = np.fromiter((at[w] for b in bags for w in b), dtype=np.int64, count=sizes.sum())
-    log_weight = np.log(np.fromiter((n for b in bags for n in b.values()), dtype=np.float32, count=sizes.sum()))
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    best = np.full((len(texts), samples), np.iinfo(np.int64).max)
+    n = int(sizes.sum())
+    term = np.fromiter(map(at.__getitem__, chain.from_iterable(bags)), dtype=np.int64, count=n)
+    log_weight = np.log(np.fromiter(chain.from_iterable([b.values() for b in bags]), dtype=np.float32, count=n))
+    ends = np.cumsum(sizes).tolist()
     tables = [np.empty((len(names), samples), dtype=np.float32) for _ in range(3)]
     for k in range(0, len(names), BLOCK):
         for table, part in zip(tables, draws(keys[k : k + BLOCK], samples), strict=True):
             table[k : k + BLOCK] = part
-    for k in range(0, len(term), BLOCK):
-        rows = term[k : k + BLOCK]
-        r, log_c, b = (x[rows] for x in tables)
-        log_a = log_c - r * (np.floor(log_weight[k : k + BLOCK, None] / r + b) - b + 1)
-        # floats as integers of the same order, with the place of the pair below
-        bits = np.ascontiguousarray(log_a, dtype=np.float32).view(np.int32)
-        order = (bits ^ (bits >> 31 & 0x7FFFFFFF)).astype(np.int64) << 32 | np.arange(k, k + len(rows))[:, None]
-        first = int(np.searchsorted(starts, k, side="right")) - 1
-        last = int(np.searchsorted(starts, k + len(rows), side="left"))
-        mine = np.flatnonzero(sizes[first:last]) + first
-        low = np.minimum.reduceat(order, np.maximum(starts[mine] - k, 0), axis=0)
-        best[mine] = np.minimum(best[mine], low)
+    won = np.zeros((len(texts), samples), dtype=np.int64)
+    done = begin = 0
+    while begin < len(texts):
+        after = begin + 1
+        while after < len(texts) and ends[after] - done <= BLOCK:
+            after += 1
+        rows, weight = term[done : ends[after - 1]], log_weight[done : ends[after - 1], None]
+        r, log_a, b = (x.take(rows, axis=0) for x in tables)
+        t = weight / r
+        t += b
+        np.floor(t, out=t)
+        t -= b
+        t += 1
+        t *= r
+        log_a -= t
+        by_sample = log_a.T.copy()  # the terms of a text side by side
+        for i in range(begin, after):
+            if sizes[i]:
+                first = ends[i] - int(sizes[i])
+                won[i] = by_sample[:, first - done : ends[i] - done].argmin(axis=1) + first
+        begin, done = after, ends[after - 1]
     full = np.flatnonzero(sizes)
-    won = best[full] & 0xFFFFFFFF
+    won = won[full]
     r, b = (x[term[won], np.arange(samples)] for x in (tables[0], tables[2]))
     t = np.floor(log_weight[won] / r + b).astype(np.int64)
     out[full] = (_mixed(keys[term[won]] ^ _mixed(t.view(np.uint64))) >> np.uint64(48)).astype(np.uint16)
