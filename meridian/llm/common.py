@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: What a word is for every operator here: a run of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -64,5 +65,16 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 <<
             yield batch.slice(first)
 
 
+def keyed(docs: DataFrame, carry: bool) -> DataFrame:
+    """(doc_id, text), or with carry (row, text) where row is a struct of all columns, so names clash with nothing."""
+    return docs.select(F.struct("*").alias("row") if carry else "doc_id", "text")
+
+
+def output(keyed_docs: DataFrame, columns: str) -> StructType:
+    """The schema of the key of keyed() and then of columns, a DDL string."""
+    key = keyed_docs.schema[0]
+    return StructType([StructField(key.name, key.dataType, True), *StructType.fromDDL(columns)])
+
+
 def or_empty(column) -> Column:
     return F.coalesce(column, F.lit(""))

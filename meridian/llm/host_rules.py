@@ -54,8 +54,8 @@ def _repeat_words(hashes: str) -> Column:
     return _let(by_hash, lambda p: _let(F.sort_array(repeated(p)), covered))
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed) of every row.
+def measured(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(doc_id, or row with carry, source, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed) of every row.
 
     Words are runs of anything but ASCII white space; a null text has none and fails.
     """
@@ -63,7 +63,7 @@ def measured(docs: DataFrame) -> DataFrame:
     count = lambda c: c.cast("long")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
     flat = docs.select(
-        "doc_id",
+        F.struct("*").alias("row") if carry else "doc_id",
         "source",
         words_of(text).alias("words"),
         lines.alias("lines"),
@@ -73,7 +73,7 @@ def measured(docs: DataFrame) -> DataFrame:
     hashed = flat.select("*", _window_hashes("words").alias("hashes"))
     some = F.size(F.array_distinct("hashes")) < F.size("hashes")
     out = hashed.select(
-        "doc_id",
+        "row" if carry else "doc_id",
         "source",
         count(F.size("words")).alias("n_words"),
         "word_chars",
@@ -125,31 +125,32 @@ def prior(hosts: int, docs: int, failed: int, square: float) -> tuple[float, flo
     return mean * strength, strength
 
 
-def judged(docs: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def bad_hosts(measures: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """(source, bad_host) of the hosts whose shrunken rate of any failure is over max_rate."""
+    bad = F.greatest(*(F.col(f"rate_{k}") for k in RULES)) > max_rate
+    return host_rates(measures).filter(bad).select("source", F.lit(True).alias("bad_host"))
+
+
+def judged(docs: DataFrame, max_rate: float = MAX_HOST_RATE, carry: bool = False) -> DataFrame:
     """measured(docs) with kept: the document passes the base rule and its host passes all rules.
 
     docs needs doc_id, text and source; a null source is no host, so only the base rule counts there. Repeated rows
     count and are judged each by itself; an empty table gives an empty result; other columns are not looked at.
-    Per document there is no shuffle; hosts are summed on the map side first, and the join back carries
-    counts, not texts, so that a host with a third of the rows is split by the engine like any skewed join.
+    Per document there is no shuffle; hosts are summed on the map side first, and only bad hosts are joined back, so a
+    host with a third of the rows is split by the engine like any skewed join. With carry each row keeps all its columns.
     """
-    measures = durable(measured(docs))
-    bad = F.greatest(*(F.col(f"rate_{k}") for k in RULES)) > max_rate
-    hosts = host_rates(measures).select("source", bad.alias("bad_host"))
-    kept = ~F.col("base_failed") & ~F.coalesce(F.col("bad_host"), F.lit(False))
-    return measures.join(hosts, "source", "left").withColumn("kept", kept)
+    measures = durable(measured(docs, carry))
+    kept = ~F.col("base_failed") & F.col("bad_host").isNull()
+    return measures.join(bad_hosts(measures, max_rate), "source", "left").withColumn("kept", kept)
 
 
 SQL = r"""
 WITH flat AS (
   SELECT row_number() OVER () AS row_id, doc_id, source, coalesce(text, '') AS text FROM documents
 ), base AS (
-  SELECT row_id, doc_id, source, list_filter(regexp_split_to_array(text, '[ 	-
-]+'), lambda x: x <> '') AS words,
-    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
-]')) AS lines,
-    length(regexp_replace(text, '[ 	-
-]', '', 'g')) AS word_chars,
+  SELECT row_id, doc_id, source, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols
   FROM flat
 ), windows AS (

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import slices
+from meridian.llm.common import keyed, output, slices
 from meridian.llm.sampling import sample_ids, sample_texts
 
 BUCKETS = 1 << 15
@@ -200,8 +200,8 @@ def spans_of(words: Words, path: np.ndarray, n_texts: int) -> tuple[np.ndarray,
     return words.text[cut], path[cut].astype(np.int64), np.diff(np.concatenate((cut, [len(path)]))), np.add.reduceat(words.size, cut)
 
 
-def label(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
-    """(doc_id, lang_pred, score, spans) of each row of docs(doc_id, text, ...); spans has (lang, words, letters) in text order.
+def label(docs: DataFrame, model: Model, switch: float = SWITCH, carry: bool = False) -> DataFrame:
+    """(doc_id, or row with carry, lang_pred, score, spans) of each row of docs(doc_id, text, ...); spans has (lang, words, letters) in text order.
 
     A null text, or one without a letter, is "und" with score 0 and no spans; so is every text if the model knows no language.
     Repeated rows are labelled each by itself, an empty table gives an empty result, other columns are not looked at.
@@ -226,12 +226,11 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
             pred = names[np.where(total > 0, best, len(m.langs))]
             score = np.where(total > 0, by[np.arange(len(texts)), best] / np.maximum(total, 1), 0.0)
             offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
-            kind = pa.struct([("lang", pa.string()), ("words", pa.int64()), ("letters", pa.int64())])
-            span = pa.StructArray.from_arrays([pa.array(names[lang], pa.string()), pa.array(n_words, pa.int64()), pa.array(letters, pa.int64())], fields=list(kind))
+            span = pa.StructArray.from_arrays([pa.array(names[lang], pa.string()), pa.array(n_words, pa.int64()), pa.array(letters, pa.int64())], ["lang", "words", "letters"])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), span)],
-                ["doc_id", "lang_pred", "score", "spans"],
+                [part.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(offsets), span)],
+                [part.schema.names[0], "lang_pred", "score", "spans"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, spans array<struct<lang: string, words: long, letters: long>>")
+    rows = keyed(docs, carry)
+    return rows.mapInArrow(run, output(rows, "lang_pred string, score double, spans array<struct<lang: string, words: long, letters: long>>"))

@@ -46,11 +46,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-@query
-def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packed(docs: DataFrame) -> DataFrame:
+    """Packing with the vocabulary and capacity of production."""
     import public_tokenizers
 
-    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read_table(spark, sf_dir, "documents"))
 
 
 @query
@@ -87,3 +92,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.against_next(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

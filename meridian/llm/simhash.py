@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import durable, shuffle_width, slices
+from meridian.llm.common import durable, keyed, output, shuffle_width, slices
 from meridian.llm.components import components
 
 MOST_BITS = 3
@@ -55,16 +55,16 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of each row, fp as a signed 64-bit number; a text without words, or null, has 0."""
+def fingerprints(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(doc_id, or row with carry, fp) of each row, fp as a signed 64-bit number; a text without words, or null, has 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             fps = np.array([fingerprint(x or "") for x in part.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], [part.schema.names[0], "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    rows = keyed(docs, carry)
+    return rows.mapInArrow(run, output(rows, "fp long"))
 
 
 def near(a: np.ndarray, b: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -173,6 +173,13 @@ def links(nodes: DataFrame) -> DataFrame:
     return keyed.repartition(width, "at", "key").sortWithinPartitions("at", "key").mapInArrow(run, "a long, b long")
 
 
+def named(fps: DataFrame) -> DataFrame:
+    """(fp, component_id) of each different fp of fps(doc_id, fp), stored."""
+    nodes = durable(fps.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")))
+    found = components(links(nodes.filter("node IS NOT NULL")))
+    return durable(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, fingerprint, component_id) of each row; component_id is the smallest doc_id that links reach.
 
@@ -181,8 +188,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty table gives an empty result, other columns are not looked at.
     """
     fps = durable(fingerprints(docs))
-    nodes = durable(fps.groupBy("fp").agg(F.min("doc_id").cast("long").alias("node")))
-    found = components(links(nodes.filter("node IS NOT NULL")))
-    named = durable(nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id")))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return fps.join(named, "fp").select("doc_id", "fp", hexed, "component_id")
+    return fps.join(named(fps), "fp").select("doc_id", "fp", hexed, "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of docs for each component, that of its smallest doc_id, with all columns.
+
+    Rows with the same doc_id are one document. Rows without a doc_id stay if no document with one is linked to their
+    fingerprint, one for each fingerprint.
+    """
+    rows = durable(fingerprints(docs, carry=True))
+    fps = rows.select("row.doc_id", "fp")
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("group")
+    own = fps.join(named(fps), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = own.groupBy(group).agg(F.min(F.struct("doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.fp").alias("kept_fp"))
+    here = F.col("row.doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
+    stay = rows.join(kept, here, "left_semi").withColumn("doc_id", F.col("row.doc_id"))
+    return stay.dropDuplicates(["doc_id", "fp"]).select("row.*")

@@ -29,7 +29,7 @@ MOST_FEATURES = 400
 #: Lengths of the beginnings.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Log-odds of a feature between the labels, in standard errors, that make it one.
-CLEAR = 4.0
+CLEAR = 3.3
 
 #: Identity terms by kind; a counterfactual swaps within a kind.
 IDENTITY_TERMS = {
@@ -61,6 +61,7 @@ def beginnings(words: set[str], lengths=BEGINNINGS) -> set[str]:
 class Model:
     bias: float = -20.0
     weights: dict[str, float] = field(default_factory=dict)
+    identity: frozenset[str] = frozenset()
 
     def __post_init__(self):
         self.begins = {f[:-1]: v for f, v in self.weights.items() if f[-1] == "-"}
@@ -71,6 +72,7 @@ class Model:
         """Probability that a text is toxic."""
         words = words_of(text)
         logit = self.bias + sum([self.words[w] for w in self.words.keys() & words])
+        words -= self.identity  # a term counts as itself only, so that a swap changes nothing else
         for k in self.lengths:
             logit += sum([self.begins[w] for w in self.begins.keys() & {w[:k] for w in words} if len(w) == k])
         return float(1 / (1 + np.exp(-logit)))
@@ -123,7 +125,7 @@ def fit_weights(rows: list[tuple[list[str], int]], said: dict[str, int], terms:
         w -= np.clip(move, -3, 3)
         if np.abs(move).max() < 1e-4:
             break
-    return Model(float(w[-1]), {n: float(v) for n, v in zip(names, w, strict=False)})
+    return Model(float(w[-1]), {n: float(v) for n, v in zip(names, w, strict=False)}, frozenset(w for kind in terms.values() for w in kind))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLE, terms: dict[str, list[str]] | None = None, swap: float = 10.0, ridge: float = 1e-4) -> Model:
@@ -135,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLE, terms: dict
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             texts = [x or "" for x in part.column("text").to_pylist()]
-            found = [sorted((words := words_of(x)) | beginnings(words)) for x in texts]
+            found = [sorted((words := words_of(x)) | beginnings(words - identity)) for x in texts]
             mentions = [[w for s in _STOP.split(x) for w in words_of(s) & identity] for x in texts]
             kind = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays([part.column("label").cast(pa.int32()), pa.array(found, kind), pa.array(mentions, kind)], ["label", "features", "mentions"])
