@@ -282,15 +282,16 @@ def verdicts(texts: list[bytes], doc_ids: np.ndarray) -> np.ndarray:
 
 
 def _splitters(docs: DataFrame, n: int, each: int = 64) -> list[tuple[int, int]]:
-    """n - 1 cuts between suffixes, from at most n * each documents; they only balance the ranges.
+    """n - 1 cuts between suffixes, from about n * each documents; they only balance the ranges.
 
     A document gives the bytes from one place that its own hash picks.
     """
     raw = F.encode(F.col("text"), "UTF-8")
     size = F.octet_length("text")
-    at = (F.pmod(F.xxhash64("doc_id"), size - DEPTH) + 1).cast("int")
-    picked = docs.filter(size > DEPTH).select(F.xxhash64("doc_id", F.lit(1)).alias("h"), F.substring(raw, at, F.lit(DEPTH)).alias("s"))
-    found = picked.orderBy("h", "s").limit(n * each).collect()
+    at = (F.pmod(F.xxhash64("doc_id", F.lit(1)), size - DEPTH) + 1).cast("int")
+    step = max(1, docs.count() // (n * each))
+    picked = docs.filter((size > DEPTH) & (F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0))
+    found = picked.select(F.substring(raw, at, F.lit(DEPTH)).alias("s")).limit(2 * n * each).collect()
     keys = sorted(int.from_bytes(r["s"], "big") for r in found if len(r["s"]) == DEPTH)
     cuts = sorted({keys[i * len(keys) // n] for i in range(1, n)}) if keys else []
     return [(k >> 64, k & (1 << 64) - 1) for k in cuts]
@@ -463,7 +464,7 @@ def judged(dealt: DataFrame, n_parts: int) -> DataFrame:
     return keyed.repartition(shuffle_width(dealt.sparkSession), "to").sortWithinPartitions("part", "run").select("part", "run", "rows").mapInArrow(run, "run string, verdict binary")
 
 
-def cut(stored: DataFrame, found: DataFrame, rest_schema) -> DataFrame:
+def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False) -> DataFrame:
     """(row, kept, n_bytes, n_removed, n_spans, spans) of each document: row has its columns but text, kept what is left."""
     from pyspark.sql.types import StructField, StructType
 
@@ -495,23 +496,23 @@ def cut(stored: DataFrame, found: DataFrame, rest_schema) -> DataFrame:
             row = pa.StructArray.from_arrays([rest.column(c).combine_chunks() if isinstance(rest.column(c), pa.ChunkedArray) else rest.column(c) for c in rest.column_names], fields=list(rest.schema))
             kind = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
             whole = pa.RecordBatch.from_arrays(
-                [row, pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (own.sizes, n_removed, n_spans)), pa.array(spans, kind)],
+                [row, pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (own.sizes, n_removed, n_spans)), pa.array(spans, kind)],
                 ["row", "kept", "n_bytes", "n_removed", "n_spans", "spans"],
             )
             for k in range(0, whole.num_rows, 512):
                 yield whole.slice(k, 512)
 
     columns = StructType([StructField(f.name, f.dataType, True) for f in rest_schema])
-    kind = f"row {columns.simpleString()}, kept binary, n_bytes long, n_removed long, n_spans long, spans array<struct<first: long, after: long>>"
+    kind = f"row {columns.simpleString()}, kept {"string" if as_text else "binary"}, n_bytes long, n_removed long, n_spans long, spans array<struct<first: long, after: long>>"
     return _by(all_rows, "run", "kind").mapInArrow(run, kind)
 
 
-def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
+def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = False) -> DataFrame:
     """(row, kept, n_bytes, n_removed, n_spans, spans) of each row of docs(doc_id long, text, ...).
 
     row is a struct of all other columns, so their names clash with nothing. kept are the bytes that no LENGTH-byte string
     covers that also starts in a document with a smaller doc_id; spans are the maximal runs removed. Strings never cross
-    documents and are judged on the input. A null text is empty. Rows with the same doc_id don't act on each other; a null
+    documents and are judged on the input. With as_text kept is text, without characters of which a cut left half. A null text is empty. Rows with the same doc_id don't act on each other; a null
     doc_id is smaller than none and none is smaller than it. An empty table gives an empty result.
     """
     width = shuffle_width(docs.sparkSession)
@@ -519,4 +520,4 @@ def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
     stored = durable(runs(docs, splitters, run_bytes))
     dealt = pieces(stored, live_suffixes(stored), splitters, 4 * width)
     rest = [f for f in docs.schema if f.name != "text"]
-    return cut(stored, judged(dealt, 4 * width), rest)
+    return cut(stored, judged(dealt, 4 * width), rest, as_text)
