@@ -48,7 +48,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
         raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
         head = a.dtype.str.encode()
         out.write(len(head).to_bytes(1, "big") + head + len(a).to_bytes(8, "big") + raw)
-    return zstandard.ZstdCompressor(level=1).compress(out.getvalue())
+    return zstandard.ZstdCompressor(level=5).compress(out.getvalue())
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -335,7 +335,7 @@ def runs(docs: DataFrame, splitters: list[tuple[int, int]], run_bytes: int = RUN
         sizes = pa.compute.binary_length(table.column("text")).to_numpy().astype(np.int64)
         text = table.column("text").combine_chunks() if isinstance(table.column("text"), pa.ChunkedArray) else table.column("text")
         raw = b"".join(x.as_buffer().to_pybytes() for x in text)
-        docs, packed = _pack(ids, sizes), zstandard.ZstdCompressor(level=3).compress(raw)
+        docs, packed = _pack(ids, sizes), zstandard.ZstdCompressor(level=6).compress(raw)
         sorted_run = _suffixes(docs, packed)
         cuts = sorted_run.ranges(splitters)
         parts = [{"range": i, "part": front_coded(sorted_run.high[a:b], sorted_run.low[a:b])} for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
@@ -516,8 +516,8 @@ def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = Fa
     doc_id is smaller than none and none is smaller than it. An empty table gives an empty result.
     """
     width = shuffle_width(docs.sparkSession)
-    splitters = _splitters(docs.select("doc_id", "text"), 4 * width)
+    splitters = _splitters(docs.select("doc_id", "text"), 2 * width)
     stored = durable(runs(docs, splitters, run_bytes))
-    dealt = pieces(stored, live_suffixes(stored), splitters, 4 * width)
+    dealt = pieces(stored, live_suffixes(stored), splitters, 2 * width)
     rest = [f for f in docs.schema if f.name != "text"]
-    return cut(stored, judged(dealt, 4 * width), rest, as_text)
+    return cut(stored, judged(dealt, 2 * width), rest, as_text)
