@@ -7,21 +7,43 @@ the columns of docs as they came.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import host_rules, langid, queries, simhash, suffix_runs
-from meridian.llm.common import durable, read_table
+from meridian.llm.common import collecting, durable, read_table, remove_tables
 
 #: A document goes if no language has this share of its letters.
 LEAST_LANGUAGE_SHARE = 0.5
 
 
+_stored: list[str] = []
+
+
+def stage(fn):
+    """A stage that first removes what earlier stages stored on the way to their results.
+
+    By then the result is written and read again. What docs still reads from, as it wasn't, stays.
+    """
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove_tables(spark, _stored, docs)
+        with collecting(_stored):
+            return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that fail the base rules, and those of hosts whose shrunken failure rate is too high."""
     return host_rules.judged(docs, carry=True).filter("kept").select("row.*")
 
 
+@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those that no language has most of; lang becomes what was found.
 
@@ -32,11 +54,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*(F.col("lang_pred" if c == "lang" else f"row.`{c}`").alias(c) for c in docs.columns))
 
 
+@stage
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates, that of the smallest doc_id."""
     return simhash.one_of_each(docs)
 
 
+@stage
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that a document with a smaller doc_id has too; a document of which nothing is left goes.
 
@@ -47,6 +71,7 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return cut.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
+@stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of at most 1024 tokens."""
     return queries.packed(docs)
@@ -67,6 +92,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir))
+    for _, step in STAGES:
+        docs = durable(step(spark, docs, sf_dir))
     return docs

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
+import gc
 import shutil
 import tempfile
 import uuid
@@ -36,14 +40,40 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Paths of stored tables, by the list that a stage collects them in.
+_collecting: list[list[str]] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: short lineage that outlives any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/meridian/{uuid.uuid4().hex}"
+    for paths in _collecting:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def collecting(paths: list[str]):
+    """Adds to paths what durable() stores meanwhile."""
+    _collecting.append(paths)
+    try:
+        yield
+    finally:
+        _collecting.remove(paths)
+
+
+def remove_tables(spark: SparkSession, paths: list[str], still_read: DataFrame) -> None:
+    """Removes stored tables, and their paths from the list, but for those that still_read reads from."""
+    files = still_read.inputFiles()
+    for path in list(paths):
+        if not any(path.rpartition("/")[2] in f for f in files):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+            paths.remove(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -76,5 +106,32 @@ def output(keyed_docs: DataFrame, columns: str) -> StructType:
     return StructType([StructField(key.name, key.dataType, True), *StructType.fromDDL(columns)])
 
 
+#: Rows of an Arrow batch at most; texts can be long, and both the JVM and Python hold whole batches.
+BATCH_ROWS = 1000
+
+
+def batched(run):
+    """A function over Arrow batches of at most BATCH_ROWS rows that gives memory back to the system when it ends.
+
+    Spark keeps Python workers for later tasks, and an idle one would otherwise hold its largest batch's memory. The
+    number of rows is a setting of the session; a smaller one stays.
+    """
+    conf, key = SparkSession.active().conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def or_empty(column) -> Column:
     return F.coalesce(column, F.lit(""))

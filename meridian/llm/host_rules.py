@@ -141,7 +141,8 @@ def judged(docs: DataFrame, max_rate: float = MAX_HOST_RATE, carry: bool = False
     """
     measures = durable(measured(docs, carry))
     kept = ~F.col("base_failed") & F.col("bad_host").isNull()
-    return measures.join(bad_hosts(measures, max_rate), "source", "left").withColumn("kept", kept)
+    # stored, so that the engine knows its size and moves no text if it is small
+    return measures.join(durable(bad_hosts(measures, max_rate)), "source", "left").withColumn("kept", kept)
 
 
 SQL = r"""

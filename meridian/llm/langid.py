@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import keyed, output, slices
+from meridian.llm.common import batched, keyed, output, slices
 from meridian.llm.sampling import sample_ids, sample_texts
 
 BUCKETS = 1 << 15
+#: Bytes of text that are worked on at once, about; arrays over its letters take a hundred times as much.
+SLICE_BYTES = 1 << 20
 #: Labelled documents to learn from, at most.
 MOST_SAMPLE = 4000
 #: What a switch of language costs, in natural-log units of word scores.
@@ -91,10 +93,14 @@ def words_of(texts: list[str]) -> Words:
     scripts = np.where(points < 1 << 16, table[np.minimum(points, (1 << 16) - 1)], 0)
     for i in np.flatnonzero(points >= 1 << 16):
         scripts[i] = 1 if unicodedata.category(chr(points[i]))[0] == "L" else 0
-    letters = np.where(scripts > 0, points, 0x20).astype(np.uint32)
-    mixed = letters[:-2] * np.uint32(0x9E3779B1) ^ letters[1:-1] * np.uint32(0x85EBCA77) ^ letters[2:] * np.uint32(0xC2B2AE3D)
-    hashes = np.zeros(len(points), dtype=np.int64)
-    hashes[1:-1] = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x27D4EB2F) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+    letters = np.where(scripts > 0, points, np.uint32(0x20))
+    mixed = letters[:-2] * np.uint32(0x9E3779B1)
+    mixed ^= letters[1:-1] * np.uint32(0x85EBCA77)
+    mixed ^= letters[2:] * np.uint32(0xC2B2AE3D)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0x27D4EB2F)
+    hashes = np.zeros(len(points), dtype=np.uint16)
+    hashes[1:-1] = mixed >> np.uint32(32 - BUCKETS.bit_length() + 1)
     letter = scripts > 0
     edge = np.flatnonzero(np.diff(letter.astype(np.int8)))
     first, after = edge[::2] + 1, edge[1::2] + 1  # the ends are spaces, so edges come in pairs
@@ -131,7 +137,7 @@ def fit(docs: DataFrame, most: int = MOST_SAMPLE) -> Model:
     ids = sample_ids(docs.select("doc_id", F.col("lang").alias("label")), most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             langs = part.column("label").to_pylist()
             words = words_of([x or "" for x in part.column("text").to_pylist()])
             at = np.repeat(words.text, words.size)
@@ -145,7 +151,7 @@ def fit(docs: DataFrame, most: int = MOST_SAMPLE) -> Model:
                 there = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there, pa.int32()), pa.array(n[there], pa.int64())], ["lang", "feature", "n"])
 
-    counted = sample_texts(docs, ids, most).mapInArrow(run, "lang string, feature int, n long")
+    counted = sample_texts(docs, ids, most).mapInArrow(batched(run), "lang string, feature int, n long")
     rows = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS and SCRIPTS for each language
     langs = sorted(set(rows["lang"]))
     n = np.zeros((len(langs), BUCKETS + len(SCRIPTS)))
@@ -211,7 +217,7 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH, carry: bool = F
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE_BYTES):
             texts = [x or "" for x in part.column("text").to_pylist()]
             words = words_of(texts)
             known = len(m.langs) > 0
@@ -233,4 +239,4 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH, carry: bool = F
             )
 
     rows = keyed(docs, carry)
-    return rows.mapInArrow(run, output(rows, "lang_pred string, score double, spans array<struct<lang: string, words: long, letters: long>>"))
+    return rows.mapInArrow(batched(run), output(rows, "lang_pred string, score double, spans array<struct<lang: string, words: long, letters: long>>"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import durable, slices
+from meridian.llm.common import batched, durable, slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -82,7 +82,7 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def _two(left: np.ndarray, gap: int) -> tuple[int, int] | None:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from meridian.llm.common import slices
+from meridian.llm.common import batched, slices
 
 #: Pre-tokens that a task remembers; it starts anew beyond that, which bounds memory and changes no result.
 REMEMBERED = 200_000
@@ -213,7 +213,7 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, ids array<int>")
 
 
 def decoded(ids: DataFrame, vocabulary: str) -> DataFrame:
@@ -226,7 +226,7 @@ def decoded(ids: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text, pa.string())], ["doc_id", "text"])
 
     kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return ids.select("doc_id", "ids").mapInArrow(batched(run), f"doc_id {kind}, text string")
 
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -248,4 +248,4 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import durable, keyed, output, shuffle_width, slices
+from meridian.llm.common import batched, durable, keyed, output, shuffle_width, slices
 from meridian.llm.components import components
 
 MOST_BITS = 3
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, carry: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], [part.schema.names[0], "fp"])
 
     rows = keyed(docs, carry)
-    return rows.mapInArrow(run, output(rows, "fp long"))
+    return rows.mapInArrow(batched(run), output(rows, "fp long"))
 
 
 def near(a: np.ndarray, b: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -170,7 +170,7 @@ def links(nodes: DataFrame) -> DataFrame:
         ab = np.array(edges, dtype=np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
 
-    return keyed.repartition(width, "at", "key").sortWithinPartitions("at", "key").mapInArrow(run, "a long, b long")
+    return keyed.repartition(width, "at", "key").sortWithinPartitions("at", "key").mapInArrow(batched(run), "a long, b long")
 
 
 def named(fps: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import durable, or_empty, shuffle_width
+from meridian.llm.common import batched, durable, or_empty, shuffle_width
 
 LENGTH = 50
 DEPTH = 16
@@ -350,7 +350,7 @@ def runs(docs: DataFrame, splitters: list[tuple[int, int]], run_bytes: int = RUN
         )
 
     kind = "run string, docs binary, text binary, rest binary, parts array<struct<range: int, part: binary>>"
-    return docs.withColumn("text", or_empty(F.col("text"))).mapInArrow(run, kind)
+    return docs.withColumn("text", or_empty(F.col("text"))).mapInArrow(batched(run), kind)
 
 
 def _by(df: DataFrame, *keys: str) -> DataFrame:
@@ -382,7 +382,7 @@ def live_suffixes(stored: DataFrame) -> DataFrame:
             found = [(r["run"], zstandard.compress(np.packbits(m).tobytes())) for r, m in zip(rows, marks, strict=True) if m.any()]
             yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.string()), pa.array([number] * len(found), pa.int32()), pa.array([m for _, m in found], pa.binary())], ["run", "range", "live"])
 
-    return _by(parts, "range", "run").mapInArrow(run, "run string, range int, live binary")
+    return _by(parts, "range", "run").mapInArrow(batched(run), "run string, range int, live binary")
 
 
 def pieces(stored: DataFrame, live: DataFrame, splitters: list[tuple[int, int]], n_parts: int) -> DataFrame:
@@ -427,7 +427,7 @@ def pieces(stored: DataFrame, live: DataFrame, splitters: list[tuple[int, int]],
     def row(part: int | None, name: str, data: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([data], pa.binary())], ["part", "run", "rows"])
 
-    return _by(texts.unionByName(marks), "run", "range").mapInArrow(run, "part int, run string, rows binary")
+    return _by(texts.unionByName(marks), "run", "range").mapInArrow(batched(run), "part int, run string, rows binary")
 
 
 def judged(dealt: DataFrame, n_parts: int) -> DataFrame:
@@ -461,7 +461,7 @@ def judged(dealt: DataFrame, n_parts: int) -> DataFrame:
     # verdicts within runs have no part of their own to go to, so they spread by run
     spread = F.coalesce("part", F.pmod(F.hash("run"), F.lit(n_parts))).alias("to")
     keyed = dealt.select(spread, "part", "run", "rows")
-    return keyed.repartition(shuffle_width(dealt.sparkSession), "to").sortWithinPartitions("part", "run").select("part", "run", "rows").mapInArrow(run, "run string, verdict binary")
+    return keyed.repartition(shuffle_width(dealt.sparkSession), "to").sortWithinPartitions("part", "run").select("part", "run", "rows").mapInArrow(batched(run), "run string, verdict binary")
 
 
 def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False) -> DataFrame:
@@ -504,7 +504,7 @@ def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False)
 
     columns = StructType([StructField(f.name, f.dataType, True) for f in rest_schema])
     kind = f"row {columns.simpleString()}, kept {"string" if as_text else "binary"}, n_bytes long, n_removed long, n_spans long, spans array<struct<first: long, after: long>>"
-    return _by(all_rows, "run", "kind").mapInArrow(run, kind)
+    return _by(all_rows, "run", "kind").mapInArrow(batched(run), kind)
 
 
 def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = False) -> DataFrame:

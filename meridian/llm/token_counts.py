@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from meridian.llm.common import slices
+from meridian.llm.common import batched, slices
 
 #: Pre-tokens that a task remembers; it starts anew beyond that, which bounds memory and changes no count.
 REMEMBERED = 400_000
@@ -72,4 +72,4 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, tokens, pa.compute.greater(tokens, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

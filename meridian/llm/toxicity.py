@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import durable, slices
+from meridian.llm.common import batched, durable, slices
 from meridian.llm.sampling import sample_ids, sample_texts
 
 #: Labelled documents to learn from, at most.
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLE, terms: dict
             kind = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays([part.column("label").cast(pa.int32()), pa.array(found, kind), pa.array(mentions, kind)], ["label", "features", "mentions"])
 
-    read = durable(sample_texts(docs, ids, most).mapInArrow(run, "label int, features array<string>, mentions array<string>"))
+    read = durable(sample_texts(docs, ids, most).mapInArrow(batched(run), "label int, features array<string>, mentions array<string>"))
     whole = read.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("p"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = whole["p"] + 0.5, whole["n"] - whole["p"] + 0.5
     counts = read.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n"))
@@ -168,4 +168,4 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, score double, predicted int")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import or_empty, shuffle_width, slices
+from meridian.llm.common import batched, or_empty, shuffle_width, slices
 
 SAMPLES = 64
 #: (text, term) pairs that are worked on at once.
@@ -148,7 +148,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([x.astype(">u2").tobytes().hex() for x in found], pa.string())], ["doc_id", "fingerprint"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string")
+    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, fingerprint string")
 
 
 def against_next(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -186,4 +186,4 @@ def against_next(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
             held = held[-1:]
 
     kind = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return rows.select("part", "guest", "doc_id", "text").mapInArrow(run, kind)
+    return rows.select("part", "guest", "doc_id", "text").mapInArrow(batched(run), kind)
