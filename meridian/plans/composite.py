@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -294,8 +295,6 @@ def win09_first_on_page(spark, sf):
 @query()
 def hsh_item_hashes(spark, sf):
     """Export items of events: JSON and a hash over what can change in it."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def hashed(s: pd.Series) -> pd.Series:
         return s.map(lambda x: hashing.item_hash([x]))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,12 +92,8 @@ def latest_incident(rows: DataFrame) -> DataFrame:
 
 
 def row_hash(rows: DataFrame, columns: list[str] = INCIDENT_COLUMNS) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
-        import json
-
         return s.map(lambda x: hashing.digest(json.loads(x)))
 
     return run(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
