@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import os
 import tempfile
@@ -148,6 +149,19 @@ def _body(batch: list[str], generated_at: str) -> bytes:
     return f'{{"version":1,"generatedAt":{json.dumps(generated_at)},"items":[{",".join(batch)}]}}'.encode()
 
 
+def signed(body: bytes, secret: str, prefix: str, timestamp_ms: int) -> tuple[dict[str, str], bytes]:
+    """Headers and the compressed body of a request. The signature is over the body as it was before compression."""
+    text = hashing.signing_text(prefix, timestamp_ms, body)
+    headers = {
+        "content-type": "application/json",
+        "content-encoding": "gzip",
+        "x-timestamp": str(timestamp_ms),
+        "x-content-sha256": text.rpartition("\n")[2],
+        "x-signature": hashing.sign(secret, text),
+    }
+    return headers, gzip.compress(body, mtime=0)
+
+
 def read_state(path: str) -> dict:
     try:
         with open(path, encoding="utf-8") as f:

@@ -301,3 +301,31 @@ def test_status(spark):
 
 def test_same_content_same_id():
     assert hashing.item_hash(["a", None, ["x"]]) == hashing.item_hash(["a", None, ["x"]]) != hashing.item_hash(["b", None, ["x"]])
+
+
+def test_messages_and_queues(spark):
+    from meridian.operators import messages as Q
+
+    df = table(spark, "stories", story("a", description=None), story("b", status="scraped"), story("c", status="scraped"))
+    rows = df.join(table(spark, "story_texts", {"story_id": "a", "text": "word " * 4000}).select("story_id", "text"), "story_id", "left").withColumn("outlet_tags", Q.outlet_tags(F.create_map(F.lit("k"), F.array(F.lit(" x "), F.lit("x"))), ["k", "none"]))
+    got = {r.story_id: r for r in Q.with_input_hash(rows.withColumn("m", Q.story_message()), "m").collect()}
+    assert got["a"].m.startswith("Outlet: bbc\nHeadline: H\nLabels: x\n\nword") and got["a"].m.endswith("word") and len(got["a"].m) < 12_100 and got["b"].m.endswith("Labels: x")
+    assert got["a"].input_hash != got["b"].input_hash == got["c"].input_hash
+    read = table(spark, "extractions", {"story_id": "b", "config_hash": "old"}, {"story_id": "a", "config_hash": "now", "is_physical_event": True, "place_name": "P"})
+    assert [r.story_id for r in Q.unread(df, read, "old", "scraped", 9).collect()] == ["c"]
+    assert [r.story_id for r in Q.read_under_other_settings(df, read, "now", F.lit(T0)).collect()] == ["b"]
+    found = table(spark, "resolutions", {"story_id": "a", "config_hash": "r", "extract_hash": "old"})
+    assert [r.story_id for r in Q.unresolved(read, found, "now", "r", 9).collect()] == ["a"]
+    pair = spark.createDataFrame([((("x", "H1"), ("y", "H2")))], "a struct<outlet:string,headline:string>, b struct<outlet:string,headline:string>")
+    more = ["published", "hint", "place", "event_date"]
+    for s in "ab":
+        pair = pair.withColumn(s, F.struct(f"{s}.outlet", f"{s}.headline", *(F.lit(None).cast("string").alias(c) for c in more)))
+    assert pair.select(Q.pair_message("a", "b")).first()[0] == "Story 1\nOutlet: x\nHeadline: H1\n\nStory 2\nOutlet: y\nHeadline: H2"
+    assert pair.select(Q.pin_claim(F.lit("disaster"), F.lit("P"), F.lit("city"), F.lit(" a  b "))).first()[0] == "A disaster event happened at P, shown as a city. Quote: a b"
+
+
+def test_signed_requests():
+    import gzip
+
+    headers, body = X.signed(b"{}", "s", "v1", 5)
+    assert gzip.decompress(body) == b"{}" and headers["x-signature"] == hashing.sign("s", hashing.signing_text("v1", 5, b"{}"))
