@@ -36,9 +36,9 @@ DEPTH = 16
 #: Window starts that share an anchor lie within so many positions.
 SPAN = LENGTH - DEPTH + 1
 #: Bytes of text in a run, about.
-RUN_BYTES = 16 << 20
+RUN_BYTES = 12 << 20
 _POSITION_BITS = 28
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -262,12 +262,13 @@ def verdicts(texts: list[bytes], doc_ids: np.ndarray) -> np.ndarray:
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
     data = np.frombuffer(b"".join([*number, b"\0" * 8]), dtype=np.uint8)
     windows = sizes - LENGTH + 1
-    owner = np.repeat(np.arange(len(sizes)), windows)
-    shift = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
+    shift = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.uint8)
     one, two = _window_hashes(data, starts[owner] + shift)
     order = np.lexsort((two, one))
     new = np.ones(len(order), dtype=bool)
     new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+    del one, two
     ids = least[owner]
     smallest = np.empty(len(order), dtype=np.int64)
     if len(order):
@@ -482,7 +483,8 @@ def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False)
                     at = first[masks >> np.uint64(bit) & np.uint64(1) > 0].astype(np.int64) + bit
                     np.add.at(delta, at, 1)
                     np.subtract.at(delta, at + LENGTH, 1)
-            gone = np.cumsum(delta[: own.n]) > 0
+            gone = np.cumsum(delta[: own.n], dtype=np.int32) > 0
+            del delta
             with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rows[0]["rest"])) as source:
                 rest = source.read_all().combine_chunks()
             kept, n_removed, n_spans, spans = [], [], [], []
@@ -518,6 +520,6 @@ def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = Fa
     width = shuffle_width(docs.sparkSession)
     splitters = _splitters(docs.select("doc_id", "text"), 2 * width)
     stored = durable(runs(docs, splitters, run_bytes))
-    dealt = pieces(stored, live_suffixes(stored), splitters, 2 * width)
+    dealt = pieces(stored, live_suffixes(stored), splitters, 4 * width)
     rest = [f for f in docs.schema if f.name != "text"]
-    return cut(stored, judged(dealt, 2 * width), rest, as_text)
+    return cut(stored, judged(dealt, 4 * width), rest, as_text)
