@@ -20,20 +20,27 @@ def day_only(c) -> Column:
     return F.coalesce(F.try_to_timestamp(slash, F.lit("yyyy-M-d")), F.try_to_timestamp(F.initcap(named), F.lit("d MMMM yyyy")))
 
 
+#: Zone names of mail dates.
+ZONES = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+_MAIL = r"^(?:[A-Za-z]{3,9},?\s+)?(\d{1,2} [A-Za-z]{3} \d{4}) (\d{2}:\d{2})(:\d{2})?(?:\s+(\S+))?$"
+
+
+def mail_date(c) -> Column:
+    """A date as in mail headers. Weekdays can't be parsed and nothing depends on them; no zone is UTC, an unknown one null."""
+    part = lambda n: F.regexp_extract(col(c), _MAIL, n)
+    zone = part(4)
+    offset = F.when(zone.rlike(r"^[+-]\d{4}$"), zone).otherwise(F.element_at(F.create_map(*(F.lit(x) for pair in {"": "+0000", **ZONES}.items() for x in pair)), zone))
+    whole = F.concat(part(1), F.lit(" "), part(2), F.when(part(3) == "", ":00").otherwise(part(3)), F.lit(" "), offset)
+    return F.try_to_timestamp(F.when(part(1) != "", whole), F.lit("d MMM yyyy HH:mm:ss xx"))
+
+
 def utc(c) -> Column:
-    """ISO 8601, RFC 822, seconds or milliseconds since 1970, or a day; a time without a zone is read as UTC."""
+    """ISO 8601, a mail date, seconds or milliseconds since 1970, or a day; a time without a zone is read as UTC."""
     text = blank_to_null(col(c).cast("string"))
     iso = F.try_to_timestamp(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text))
     number = F.when(text.rlike(r"^-?\d+(\.\d+)?$") & ~text.rlike(r"^\d{8}$"), text.cast("double"))
     epoch = F.timestamp_seconds(F.when(F.abs(number) > 1e11, number / 1000).otherwise(number))
-    # weekday names can't be parsed, and nothing depends on them
-    mail = F.regexp_replace(F.regexp_replace(text, r"^[A-Za-z]{3,9},?\s+", ""), r"\s+(?:GMT|UTC|UT|Z)$", " +0000")
-    numeric = F.when(mail.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4} "), mail)
-    rfc = [F.try_to_timestamp(numeric, F.lit(p)) for p in ("d MMM yyyy HH:mm:ss xx", "d MMM yyyy HH:mm xx", "d MMM yyyy HH:mm:ss")]
-    zone = {"EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
-    for name, offset in zone.items():
-        rfc.append(F.try_to_timestamp(F.when(mail.endswith(f" {name}"), F.regexp_replace(mail, f" {name}$", f" {offset}")), F.lit("d MMM yyyy HH:mm:ss xx")))
-    return F.date_trunc("second", F.coalesce(iso, *rfc, epoch, day_only(text)))
+    return F.date_trunc("second", F.coalesce(iso, mail_date(text), epoch, day_only(text)))
 
 
 def iso(c) -> Column:
