@@ -194,7 +194,14 @@ def _stories(spark, sf):
     )
 
 
-@query()
+@query("""
+WITH s AS (SELECT CAST(event_id AS VARCHAR) AS id, user_id % 25 AS country, floor(epoch(ts)) AS at, event_id % 50 = 0 AS live, 'person ' || CAST(floor(value) AS BIGINT) || ' ' || event_id % 40 AS entity,
+  [event_type, 'bucket' || CAST(floor(value / 2) AS BIGINT), 'user' || user_id] AS t, CASE WHEN event_id % 2 = 0 THEN user_id % 140 - 70 + value / 50 END AS lat, CASE WHEN event_id % 2 = 0 THEN user_id * 7 % 360 - 180 + value / 40 END AS lon FROM events),
+p AS (SELECT a.id AS story_id, b.id AS founder_id, 2 * 6371.0088 * asin(sqrt(least(1, pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lon) - radians(a.lon)) / 2), 2)))) AS km,
+  CASE WHEN a.entity = b.entity THEN a.entity END AS shared, len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) AS overlap
+  FROM s a JOIN s b ON a.country = b.country AND a.id <> b.id AND NOT a.live AND NOT b.live AND abs(a.at - b.at) <= 48 * 3600)
+SELECT story_id, founder_id, round(km, 3) AS km, shared, round(overlap, 4) AS overlap FROM p WHERE km <= 50 OR shared IS NOT NULL OR overlap >= 0.34
+""")
 def alg03_candidate_pairs(spark, sf):
     s = _stories(spark, sf)
     return K.candidate_pairs(s, s).select("story_id", "founder_id", F.round("km", 3).alias("km"), "shared", F.round("overlap", 4).alias("overlap"))

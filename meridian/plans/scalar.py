@@ -89,7 +89,14 @@ def str16_evidence(spark, sf):
     return d.select("doc_id", F.when(failure == "planned", failure).alias("failure"))
 
 
-@query()
+@query("""
+WITH a AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents), b AS (SELECT doc_id, t, string_split(t, ' ')[101] AS place, lower(trim(coalesce(string_split(t, ' ')[101], ''))) AS n FROM a),
+c AS (SELECT *, length(t) - 200 AS room, CASE WHEN n <> '' THEN instr(lower(t), n) ELSE 0 END AS hit FROM b), d AS (SELECT *, CASE WHEN hit > 0 THEN least(greatest(hit - 1 + length(n) // 2 - 100, 0), room) ELSE 0 END AS st FROM c),
+e AS (SELECT *, substr(t, st + 1, 200) AS w FROM d), f AS (SELECT *, CASE WHEN st > 0 AND n <> '' AND contains(w, ' ') AND contains(lower(substr(w, instr(w, ' ') + 1)), n) THEN substr(w, instr(w, ' ') + 1) ELSE w END AS o FROM e),
+g AS (SELECT *, regexp_extract(o, '^(.*) [^ ]*$', 1) AS tail FROM f),
+h AS (SELECT doc_id, place, CASE WHEN length(t) <= 200 THEN nullif(t, '') WHEN st < room AND contains(o, ' ') AND (n = '' OR contains(lower(tail), n)) THEN trim(tail) ELSE trim(o) END AS evidence FROM g)
+SELECT doc_id, place, evidence, CAST(length(evidence) AS INT) AS n FROM h
+""")
 def str17_trim_evidence(spark, sf):
     d = table(spark, sf, "documents")
     word = F.get(F.split(T.normalise("text"), " "), F.lit(100))
