@@ -91,8 +91,10 @@ def words_of(texts: list[str]) -> Words:
     points = np.frombuffer(" ".join(["", *lowered, ""]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     table = script_table()
     scripts = np.where(points < 1 << 16, table[np.minimum(points, (1 << 16) - 1)], 0)
-    for i in np.flatnonzero(points >= 1 << 16):
-        scripts[i] = 1 if unicodedata.category(chr(points[i]))[0] == "L" else 0
+    beyond = np.flatnonzero(points >= 1 << 16)
+    if len(beyond):
+        kinds, which = np.unique(points[beyond], return_inverse=True)
+        scripts[beyond] = np.array([unicodedata.category(chr(c))[0] == "L" for c in kinds.tolist()], dtype=np.uint8)[which]
     letters = np.where(scripts > 0, points, np.uint32(0x20))
     mixed = letters[:-2] * np.uint32(0x9E3779B1)
     mixed ^= letters[1:-1] * np.uint32(0x85EBCA77)

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,26 +118,26 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     keyed = docs.select(key.alias("key"), "doc_id", or_empty(F.col("text")).alias("text"))
     marks = [i / parts for i in range(1, parts)]
-    cuts = keyed.agg(F.percentile_approx("key", marks, 10 * parts)).first()[0] if marks else None
-    cuts = sorted(set(cuts or []))  # fewer numbers than parts
-    # a key's range is the number of cuts that are not above it, by halving
-    part = F.lit(0) if not cuts else _halved(F.col("key"), cuts, 0, len(cuts))
-    dealt = keyed.withColumn("part", part)
-    firsts = sorted((r["part"], r["first"]) for r in dealt.groupBy("part").agg(F.min("key").alias("first")).collect())  # one row for each range
-    if not firsts:
-        return dealt.select("part", F.lit(0).alias("guest"), "key", "doc_id", "text")
-    visits = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}
-    visit = F.element_at(F.create_map(*(F.lit(x) for pair in visits.items() for x in pair)), F.col("key"))
-    places = F.array_compact(F.array(F.struct(F.col("part"), F.lit(0).alias("guest")), F.when(visit.isNotNull(), F.struct(visit.alias("part"), F.lit(1).alias("guest")))))
-    rows = dealt.select(F.explode(places).alias("place"), "key", "doc_id", "text").select("place.part", "place.guest", "key", "doc_id", "text")
-    return rows.repartition(shuffle_width(docs.sparkSession), "part").sortWithinPartitions("part", "guest", "key", "text")
+    found = keyed.agg(F.percentile_approx("key", marks, 10 * parts)).first()[0] if marks else None
+    cuts = np.array(sorted(set(found or [])), dtype=np.int64)  # fewer numbers than parts
+
+    @F.pandas_udf("int")
+    def part_of(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, keys.to_numpy(), side="right").astype(np.int32))
 
+    firsts = sorted((r["part"], r["first"]) for r in keyed.select(part_of("key").alias("part"), "key").groupBy("part").agg(F.min("key").alias("first")).collect())
+    first_keys = np.array([first for _, first in firsts], dtype=np.int64)  # one for each range, in order
+    visited = np.array([firsts[i - 1][0] for i in range(len(firsts))], dtype=np.int32)
 
-def _halved(value, cuts: list[int], low: int, high: int):
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(value >= F.lit(cuts[mid]), _halved(value, cuts, mid + 1, high)).otherwise(_halved(value, cuts, low, mid))
+    @F.pandas_udf("array<struct<part:int,guest:int>>")
+    def places_of(keys: pd.Series) -> pd.Series:
+        own = np.searchsorted(cuts, keys.to_numpy(), side="right")
+        at = np.minimum(np.searchsorted(first_keys, keys.to_numpy()), len(first_keys) - 1)
+        guest = first_keys[at] == keys.to_numpy() if len(first_keys) else np.zeros(len(keys), dtype=bool)
+        return pd.Series([[{"part": p, "guest": 0}] + ([{"part": visited[i], "guest": 1}] if g else []) for p, i, g in zip(own.tolist(), at.tolist(), guest.tolist(), strict=True)])
+
+    rows = keyed.select(F.explode(places_of("key")).alias("place"), "key", "doc_id", "text").select("place.part", "place.guest", "key", "doc_id", "text")
+    return rows.repartition(shuffle_width(docs.sparkSession), "part").sortWithinPartitions("part", "guest", "key", "text")
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
