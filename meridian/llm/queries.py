@@ -32,6 +32,9 @@ def op1_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+SQL["op1_suffix_runs"] = suffix_runs.SQL
+
+
 @query
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = host_rules.judged(read_table(spark, sf_dir, "documents"))

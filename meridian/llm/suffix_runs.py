@@ -523,3 +523,19 @@ def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = Fa
     dealt = pieces(stored, live_suffixes(stored), splitters, 4 * width)
     rest = [f for f in docs.schema if f.name != "text"]
     return cut(stored, judged(dealt, 4 * width), rest, as_text)
+
+
+#: The rows of the query by brute force: all windows, as hex, grouped.
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM d WHERE length(h) >= 100)),
+m AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+r AS (SELECT w.doc_id, w.p FROM w JOIN m USING (s) WHERE m.first_id < w.doc_id),
+i AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS fresh FROM r)),
+g AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, span),
+k AS (SELECT g.doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY g.doc_id ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY g.doc_id ORDER BY a), 0))) AS before FROM g JOIN d ON d.doc_id = g.doc_id),
+c AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_b, string_agg(before, '' ORDER BY a) AS front FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN last_b IS NULL THEN h ELSE front || substr(h, 2 * last_b + 1) END)) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id
+"""
