@@ -44,6 +44,19 @@ def _cells(lat: str, lon: str, around: bool) -> Column:
     return F.explode(F.array_distinct(F.flatten(cells)))
 
 
+def rare_tokens(stories: DataFrame, every: DataFrame) -> DataFrame:
+    """(story_id, rare): the tokens of a headline that two which overlap by OVERLAP must share one of.
+
+    Of n tokens, in one order for all from rare to frequent, these are the first n - ceil(OVERLAP * n) + 1 (prefix
+    filtering). So words that half of the headlines have are hardly ever joined on.
+    """
+    each = lambda df: df.select("story_id", F.explode("tokens").alias("w"))
+    freq = each(every).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    sets = each(stories).join(freq, "w").groupBy("story_id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("t"))
+    first = F.size("t") - F.ceil(F.size("t") * OVERLAP).cast("int") + 1
+    return sets.select("story_id", F.transform(F.slice("t", F.lit(1), first), lambda x: x["w"]).alias("rare"))
+
+
 def candidate_pairs(stories: DataFrame, founders: DataFrame) -> DataFrame:
     """(story_id, founder_id, km, shared, overlap) of pairs that may be one event.
 
@@ -62,7 +75,10 @@ def candidate_pairs(stories: DataFrame, founders: DataFrame) -> DataFrame:
         b = right.select(F.col("story_id").alias("founder_id"), "country", _days("published", 0).alias("d"), "published", value(False).alias("v")).drop("published")
         return a.distinct().join(b.distinct(), ["country", "d", "v"]).select("story_id", "founder_id")
 
-    pairs = branch(lambda around: _cells("latitude", "longitude", around)).unionByName(branch(lambda _: F.explode("keys"))).unionByName(branch(lambda _: F.explode("tokens"))).distinct()
+    tokens = [rare_tokens(side, left.unionByName(right, allowMissingColumns=True)) for side in (left, right)]
+    left = left.join(tokens[0], "story_id", "left")
+    right = right.join(tokens[1], "story_id", "left")
+    pairs = branch(lambda around: _cells("latitude", "longitude", around)).unionByName(branch(lambda _: F.explode("keys"))).unionByName(branch(lambda _: F.explode("rare"))).distinct()
     cols = ["published", "latitude", "longitude", "keys", "tokens", "outlet", "primary_alias"]
     own = left.select("story_id", *(F.col(c).alias(f"s_{c}") for c in cols))
     other = right.select(F.col("story_id").alias("founder_id"), *(F.col(c).alias(f"f_{c}") for c in cols))
