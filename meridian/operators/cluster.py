@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import geo, hashing, times
 from meridian.functions import text as T
+from meridian.operators.tables import stored
 
 WINDOW_HOURS = 48
 RADIUS_KM = 50.0
@@ -95,32 +95,33 @@ def place(stories: DataFrame, pairs: DataFrame) -> DataFrame:
 
     pairs(story_id, founder_id, same) holds the candidate pairs with what the judge said of each, asked once a pair. A story joins
     the first founder, in order of (founder's time, id), of which `same` holds; else it founds a cluster. It is compared to founders only, so
-    events never chain. Whether a story founds depends on all earlier stories that it is the same as, which is a walk in order; it
-    goes by country, over ids of stories with an earlier same story alone. All other stories found without it.
+    events never chain. A story with a founder among its earlier same ones joins, whichever founder is the first; one whose
+    earlier same ones all joined others founds. So what is left to settle shrinks in rounds that follow the longest
+    chain of such stories, each round an aggregate over the pairs still open; no country or event meets in one task.
     """
     order = F.struct(F.coalesce(F.unix_micros("published"), F.lit(-(1 << 62))).alias("at"), F.col("story_id").alias("id"))
     ranked = stories.select("story_id", order.alias("o"))
     same = pairs.filter("same").select("story_id", "founder_id").distinct()
     earlier = same.join(ranked.withColumnRenamed("o", "so"), "story_id").join(ranked.select(F.col("story_id").alias("founder_id"), F.col("o").alias("fo")), "founder_id")
-    earlier = earlier.filter(F.col("fo") < F.col("so")).select("story_id", "founder_id", "fo")
-
-    def settle(key, df: pd.DataFrame) -> pd.DataFrame:
-        """Within one country: stories with an earlier same story, in order."""
-        founders: set[str] = set(df.founder_id) - set(df.story_id)
-        out = []
-        df = df.sort_values(["s_at", "story_id", "f_at", "founder_id"])
-        for story, mine in df.groupby(["s_at", "story_id"], sort=True):
-            first = next((f for f in mine.founder_id if f in founders), None)
-            if first is None:
-                founders.add(story[1])
-            out.append((story[1], first))
-        return pd.DataFrame(out, columns=["story_id", "joined"])
-
-    country = stories.select("story_id", F.coalesce("country", F.lit("")).alias("country"))
-    linked = earlier.join(country, "story_id").join(ranked.select("story_id", F.col("o.at").alias("s_at")), "story_id").select("country", "story_id", "s_at", "founder_id", F.col("fo.at").alias("f_at"))
-    joined = linked.groupBy("country").applyInPandas(settle, "story_id string, joined string").filter("joined IS NOT NULL")
+    earlier = stored(earlier.filter(F.col("fo") < F.col("so")).select("story_id", "founder_id", "fo"))
+
+    open_pairs = earlier.select("story_id", "founder_id")
+    joined = stories.select("story_id").limit(0)
+    waiting = earlier.select("story_id").distinct()
+    first_round = True
+    while first_round or not waiting.isEmpty():
+        # a founder is no story that waits and none that joined
+        seen = open_pairs.join(waiting.select(F.col("story_id").alias("founder_id"), F.lit("waits").alias("w")), "founder_id", "left")
+        seen = seen.join(joined.select(F.col("story_id").alias("founder_id"), F.lit("joined").alias("j")), "founder_id", "left")
+        told = stored(seen.groupBy("story_id").agg(F.bool_or(F.col("w").isNull() & F.col("j").isNull()).alias("joins"), F.bool_and(F.col("j").isNotNull()).alias("founds")))
+        joined = stored(joined.unionByName(told.filter("joins").select("story_id")))
+        waiting = stored(told.filter("NOT joins AND NOT founds").select("story_id"))
+        open_pairs = stored(open_pairs.join(waiting, "story_id", "left_semi"))
+        first_round = False
+    founders = earlier.join(joined.select(F.col("story_id").alias("founder_id")), "founder_id", "left_anti")
+    chosen = founders.join(joined, "story_id", "left_semi").groupBy("story_id").agg(F.min_by("founder_id", "fo").alias("joined"))
     named = stories.select(F.col("story_id").alias("joined"), hashing.cluster_id("outlet", "primary_alias").alias("joined_cluster"))
-    all_rows = stories.join(joined, "story_id", "left").join(named, "joined", "left")
+    all_rows = stories.join(chosen, "story_id", "left").join(named, "joined", "left")
     own = hashing.cluster_id("outlet", "primary_alias")
     return all_rows.select(
         "story_id",
