@@ -210,14 +210,16 @@ _TOKENS = """SELECT doc_id, lang, list_distinct(list_filter(regexp_extract_all(l
 
 
 @query(f"""
-WITH d AS ({_TOKENS}), x AS (SELECT doc_id, lang, unnest(t) AS w, len(t) AS n FROM d)
+WITH d AS ({_TOKENS}), g AS (SELECT min(doc_id) AS doc_id, lang, list_sort(t) AS t FROM d GROUP BY lang, list_sort(t)), x AS (SELECT doc_id, lang, unnest(t) AS w, len(t) AS n FROM g)
 SELECT a, b, round(s / (na + nb - s), 6) AS overlap FROM (
   SELECT l.doc_id AS a, r.doc_id AS b, any_value(l.n) AS na, any_value(r.n) AS nb, count(*) AS s
   FROM x l JOIN x r ON l.lang = r.lang AND l.w = r.w AND l.doc_id < r.doc_id GROUP BY l.doc_id, r.doc_id) WHERE s / (na + nb - s) >= 0.34
 """)
 def jn16_similarity_pairs(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", T.headline_tokens(F.get(F.split("text", "\n"), F.lit(0))).alias("t"))
-    return overlapping(d, "doc_id", "lang", "t", 0.34)
+    """Pairs of different headlines (first lines) of a language; documents with the same words stand behind the first of them."""
+    first_line = F.substring_index("text", "\n", 1)
+    d = table(spark, sf, "documents").select("doc_id", "lang", F.array_sort(T.headline_tokens(first_line)).alias("t"))
+    return overlapping(d.groupBy("lang", "t").agg(F.min("doc_id").alias("doc_id")), "doc_id", "lang", "t", 0.34)
 
 
 def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: float) -> DataFrame:
@@ -226,7 +228,7 @@ def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: floa
     Prefix filtering: in an order from rare to frequent, sets that overlap so much share a token among the first
     n - ceil(least * n) + 1 of each, so only those are joined on, and frequent tokens hardly ever.
     """
-    each = rows.select(key, within, F.explode(tokens).alias("w"), F.size(tokens).alias("n"))
+    each = rows.select(key, within, F.explode(F.transform(tokens, lambda w: F.xxhash64(w))).alias("w"))  # numbers are joined and intersected faster
     freq = each.groupBy(within, "w").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(freq, [within, "w"]).groupBy(key, within).agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("t"))
     first = F.size("t") - F.ceil(F.size("t") * least).cast("int") + 1
@@ -235,8 +237,10 @@ def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: floa
     sizes = F.size("tb").between(F.ceil(F.size("ta") * least), F.floor(F.size("ta") / least))
     pairs = prefix.join(other, [within, "w"]).filter((F.col("a") < F.col("b")) & sizes)
     # a pair that shares several tokens of both prefixes is compared at the first of them only
-    seen = F.array_intersect(F.slice("ta", F.lit(1), F.size("ta") - F.ceil(F.size("ta") * least).cast("int") + 1), F.slice("tb", F.lit(1), F.size("tb") - F.ceil(F.size("tb") * least).cast("int") + 1))
-    return pairs.filter(F.get(seen, F.lit(0)) == F.col("w")).withColumn("overlap", T.jaccard("ta", "tb")).filter(F.col("overlap") >= least).select("a", "b", F.round("overlap", 6).alias("overlap"))
+    before = lambda t: F.slice(t, F.lit(1), F.greatest(F.array_position(t, F.col("w")).cast("int") - 1, F.lit(0)))
+    first_shared = ~F.arrays_overlap(before("ta"), before("tb"))
+    compared = pairs.filter(first_shared).withColumn("overlap", T.jaccard("ta", "tb")).filter(F.col("overlap") >= least)
+    return compared.select("a", "b", F.round("overlap", 6).alias("overlap"))
 
 
 @query("""
