@@ -145,7 +145,7 @@ def assign_stories(rows: DataFrame, known: DataFrame) -> DataFrame:
     entries = store.select("outlet", F.lit(-1).cast("long").alias("row_id"), F.lit(None).cast("long").alias("seq"), F.array("alias").alias("aliases"), "story_id", F.unix_micros("first_seen_at").alias("at"))
     entries = entries.unionByName(hard.select("outlet", "row_id", "seq", "aliases", F.lit(None).cast("string").alias("story_id"), F.lit(None).cast("long").alias("at")))
 
-    def fold(key, group: pd.DataFrame) -> pd.DataFrame:
+    def fold(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         owner: dict[str, tuple[int, int, str]] = {}
         out = []
         for row in group.sort_values(["place", "row_id"]).itertuples(index=False):

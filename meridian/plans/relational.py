@@ -387,7 +387,7 @@ def agg15_pair_bound(spark, sf):
 
 @query("""
 WITH m AS (SELECT event_id, user_id, ts, CAST(event_type = 'error' AS INT) AS f, sum(CAST(event_type <> 'error' AS INT)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events)
-SELECT event_id, sum(f) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS in_a_row FROM m
+SELECT event_id, CAST(sum(f) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS BIGINT) AS in_a_row FROM m
 """)
 def agg16_failure_runs(spark, sf):
     e = table(spark, sf, "events").withColumn("at", F.struct("ts", "event_id"))
@@ -411,7 +411,7 @@ SELECT l_orderkey, l_linenumber, rn FROM (SELECT *, row_number() OVER (PARTITION
 """)
 def win03_reports_cap(spark, sf):
     w = Window.partitionBy("l_suppkey").orderBy(F.col("l_shipdate").asc_nulls_last(), "l_orderkey", "l_linenumber")
-    return table(spark, sf, "lineitem").withColumn("rn", F.row_number().over(w)).filter("rn <= 8").filter("l_returnflag <> 'N'").select("l_orderkey", "l_linenumber", "rn")
+    return table(spark, sf, "lineitem").withColumn("rn", F.row_number().over(w)).filter("rn <= 8").filter("l_returnflag <> 'N'").select("l_orderkey", "l_linenumber", F.col("rn").cast("long").alias("rn"))
 
 
 @query("SELECT user_id, first(event_type ORDER BY ts, event_id) AS section FROM events GROUP BY user_id")
