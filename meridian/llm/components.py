@@ -13,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Rounds of contraction: each node hooks on to its smallest neighbour, hooks are followed once more, and edges are
     renamed by them; what is left is a smaller graph whose nodes are still smallest-so-far. Hooks only go to smaller
-    nodes, so they never form a ring. A round is aggregates, which combine on the map side, and joins between
-    stored tables, which the engine splits where one node has many edges. Only counts reach the driver.
+    nodes, so they never form a ring. A round is aggregates, which combine on the map side, and joins of
+    stored tables, which the engine splits where one node has many edges. Nothing reaches the driver but whether edges are left.
     """
     pairs = lambda df: df.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left = durable(pairs(edges))
@@ -28,9 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
             found = hooks.select("node", F.col("to").alias("component"))
         else:
             step = hooks.select(F.col("node").alias("mid"), "to")
-            found = durable(found.join(step, F.col("component") == F.col("mid"), "left").select("node", F.coalesce("to", "component").alias("component")))
+            found = found.join(step, F.col("component") == F.col("mid"), "left").select("node", F.coalesce("to", "component").alias("component"))
         first = left.join(hooks.select(F.col("node").alias("a"), F.col("to").alias("a2")), "a")
-        second = durable(first.select("a2", "b")).join(hooks.select(F.col("node").alias("b"), F.col("to").alias("b2")), "b")
+        second = first.select("a2", "b").join(hooks.select(F.col("node").alias("b"), F.col("to").alias("b2")), "b")
         left = durable(pairs(second.select(F.col("a2").alias("a"), F.col("b2").alias("b"))))
     if found is None:
         found = left.select(F.col("a").alias("node"), F.col("b").alias("component"))
