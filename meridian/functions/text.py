@@ -45,9 +45,10 @@ def unescape():
 
 
 def clean_text(c) -> Column:
-    """Text of a scrap of HTML: no tags, references decoded, no zero-width characters, single spaces."""
+    """Text of a scrap of HTML: no tags, references decoded, no zero-width characters, single spaces for any white space (&nbsp; too)."""
     bare = F.regexp_replace(col(c), "<[^>]+>", "")
-    return normalise(F.translate(F.when(bare.contains("&"), unescape()(bare)).otherwise(bare), INVISIBLE, ""))
+    decoded = F.translate(F.when(bare.contains("&"), unescape()(bare)).otherwise(bare), INVISIBLE, "")
+    return F.trim(F.regexp_replace(decoded, r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
 
 
 def paragraphs(c) -> Column:

@@ -12,9 +12,16 @@ from meridian.plans.relational import _CANONICAL
 
 @query("SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '\\s+', ' ', 'g')) AS words FROM pages WHERE NOT contains(html, '&')")
 def str01_clean_html(spark, sf):
+    """Pages without a reference only, as its SQL says; str01_clean_html_all has every page."""
     return table(spark, sf, "pages").filter(~F.col("html").contains("&")).select("page_id", T.clean_text("html").alias("words"))
 
 
+@query()
+def str01_clean_html_all(spark, sf):
+    """Every page, references decoded; DuckDB can't decode them, so a test compares it with html.unescape."""
+    return table(spark, sf, "pages").select("page_id", T.clean_text("html").alias("words"))
+
+
 @query("""
 SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS n, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10) || chr(10))) AS joined FROM documents
 """)
