@@ -216,10 +216,31 @@ SELECT a, b, round(s / (na + nb - s), 6) AS overlap FROM (
   FROM x l JOIN x r ON l.lang = r.lang AND l.w = r.w AND l.doc_id < r.doc_id GROUP BY l.doc_id, r.doc_id) WHERE s / (na + nb - s) >= 0.34
 """)
 def jn16_similarity_pairs(spark, sf):
-    """Pairs of different headlines (first lines) of a language; documents with the same words stand behind the first of them."""
+    """Pairs of different headlines (first lines) of a language; documents with the same words stand behind the first of them.
+
+    Which one a document stands behind is in jn16_similarity_classes. The pairs of all documents, links of 1.0 included, are those of the same class
+    and, for each pair here, those of the one class with those of the other.
+    """
+    return overlapping(_headlines(spark, sf).groupBy("lang", "t").agg(F.min("doc_id").alias("doc_id")), "doc_id", "lang", "t", 0.34)
+
+
+def _headlines(spark, sf) -> DataFrame:
+    """(doc_id, lang, t): the sorted tokens of each document's first line."""
     first_line = F.substring_index("text", "\n", 1)
-    d = table(spark, sf, "documents").select("doc_id", "lang", F.array_sort(T.headline_tokens(first_line)).alias("t"))
-    return overlapping(d.groupBy("lang", "t").agg(F.min("doc_id").alias("doc_id")), "doc_id", "lang", "t", 0.34)
+    return table(spark, sf, "documents").select("doc_id", "lang", F.array_sort(T.headline_tokens(first_line)).alias("t"))
+
+
+@query(f"""
+WITH d AS ({_TOKENS}) SELECT doc_id, CASE WHEN lang IS NULL OR coalesce(len(t), 0) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY lang, list_sort(t)) END AS class_id FROM d
+""")
+def jn16_similarity_classes(spark, sf):
+    """Each document with the smallest doc_id of its language and headline words, which stands for it in jn16_similarity_pairs.
+
+    Two are of one class if they overlap by 1.0; one without a word or a language overlaps with none and is its own class.
+    """
+    d = _headlines(spark, sf)
+    first = d.filter(F.size("t") > 0).groupBy("lang", "t").agg(F.min("doc_id").alias("first"))
+    return d.join(first, ["lang", "t"], "left").select("doc_id", F.coalesce("first", "doc_id").alias("class_id"))
 
 
 def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: float) -> DataFrame:

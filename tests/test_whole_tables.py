@@ -2,7 +2,9 @@
 
 import html
 import re
+from itertools import combinations
 
+from meridian.functions import text as T
 from meridian.plans import catalog
 
 from .conftest import SF
@@ -27,3 +29,40 @@ def test_every_page_is_cleaned(spark, tmp_path):
         want = {r.page_id: None if r.html is None else clean_by_hand(r.html) for r in pages}
         got = catalog.QUERIES["str01_clean_html_all"](spark, folder).collect()
         assert len(got) == len(pages) and {r.page_id: r.words for r in got} == want
+
+
+def headline_words(text):
+    line = (text or "").split("\n")[0].lower()
+    return frozenset(w for w in re.findall("[a-z0-9]+", line) if len(w) > 2 and w not in T.STOP_WORDS)
+
+
+def test_classes_and_pairs_give_every_link(spark, tmp_path):
+    """Pairs of representatives, spread over their classes, are the pairs of all documents, compared one by one."""
+    odd = [
+        (3, "en", "storm hits the coast\nbody"),
+        (7, "en", "Coast: hits storm!"),
+        (1, "en", "storm coast city"),
+        (9, "en", "storm coast city"),
+        (5, "de", "storm hits coast"),
+        (8, "en", "the of"),
+        (2, "en", "in"),
+        (4, "en", None),
+        (6, None, "storm hits coast"),
+        (10, None, "storm hits coast"),
+    ]
+    sf = written(tmp_path, "documents", spark.createDataFrame(odd, "doc_id long, lang string, text string"))
+    for folder in (sf, SF):
+        docs = {r.doc_id: (r.lang, headline_words(r.text)) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+        want = {}
+        for (a, (lang, t)), (b, (other, u)) in combinations(sorted(docs.items()), 2):
+            if lang is not None and lang == other and t & u and len(t & u) / len(t | u) >= 0.34:
+                want[a, b] = round(len(t & u) / len(t | u), 6)
+        rows = catalog.QUERIES["jn16_similarity_classes"](spark, folder).collect()
+        assert sorted(r.doc_id for r in rows) == sorted(docs)
+        members = {}
+        for r in rows:
+            members.setdefault(r.class_id, []).append(r.doc_id)
+        got = {p: 1.0 for m in members.values() for p in combinations(sorted(m), 2)}
+        for r in catalog.QUERIES["jn16_similarity_pairs"](spark, folder).collect():
+            got |= {(min(a, b), max(a, b)): r.overlap for a in members[r.a] for b in members[r.b]}
+        assert got == want and 1.0 in want.values()
