@@ -141,6 +141,11 @@ def jaccard(a, b) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
 
 
+def at_least(words, least: float) -> Column:
+    """How many words a set must share with another to overlap by `least`; a hair is taken off, as 150 * 0.34 is a little over 51 in doubles."""
+    return F.ceil(F.size(col(words)) * least - 1e-9).cast("int")
+
+
 def entity_keys(c) -> Column:
     """Names as compared: trimmed, lower case, each once."""
     return F.array_distinct(F.filter(F.transform(F.coalesce(col(c), F.array().cast("array<string>")), lambda x: F.lower(F.trim(x))), lambda x: x.isNotNull() & (x != "")))

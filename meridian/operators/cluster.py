@@ -53,7 +53,7 @@ def rare_tokens(stories: DataFrame, every: DataFrame) -> DataFrame:
     each = lambda df: df.select("story_id", F.explode("tokens").alias("w"))
     freq = each(every).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
     sets = each(stories).join(freq, "w").groupBy("story_id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("t"))
-    first = F.size("t") - F.ceil(F.size("t") * OVERLAP).cast("int") + 1
+    first = F.size("t") - T.at_least("t", OVERLAP) + 1
     return sets.select("story_id", F.transform(F.slice("t", F.lit(1), first), lambda x: x["w"]).alias("rare"))
 
 

@@ -252,10 +252,10 @@ def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: floa
     each = rows.select(key, within, F.explode(F.transform(tokens, lambda w: F.xxhash64(w))).alias("w"))  # numbers are joined and intersected faster
     freq = each.groupBy(within, "w").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(freq, [within, "w"]).groupBy(key, within).agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("t"))
-    first = F.size("t") - F.ceil(F.size("t") * least).cast("int") + 1
+    first = F.size("t") - T.at_least("t", least) + 1
     prefix = ranked.select(F.col(key).alias("a"), within, F.col("t").alias("ta"), F.explode(F.slice("t", F.lit(1), first)).alias("w"))
     other = prefix.select(F.col("a").alias("b"), within, F.col("ta").alias("tb"), "w")
-    sizes = F.size("tb").between(F.ceil(F.size("ta") * least), F.floor(F.size("ta") / least))
+    sizes = (F.size("tb") >= T.at_least("ta", least)) & (F.size("ta") >= T.at_least("tb", least))
     pairs = prefix.join(other, [within, "w"]).filter((F.col("a") < F.col("b")) & sizes)
     # a pair that shares several tokens of both prefixes is compared at the first of them only
     before = lambda t: F.slice(t, F.lit(1), F.greatest(F.array_position(t, F.col("w")).cast("int") - 1, F.lit(0)))

@@ -5,7 +5,9 @@ import re
 from itertools import combinations
 
 from meridian.functions import text as T
+from meridian.operators import cluster
 from meridian.plans import catalog
+from meridian.plans.relational import overlapping
 
 from .conftest import SF
 
@@ -66,3 +68,20 @@ def test_classes_and_pairs_give_every_link(spark, tmp_path):
         for r in catalog.QUERIES["jn16_similarity_pairs"](spark, folder).collect():
             got |= {(min(a, b), max(a, b)): r.overlap for a in members[r.a] for b in members[r.b]}
         assert got == want and 1.0 in want.values()
+
+
+def test_overlap_of_exactly_the_least(spark):
+    """Sizes at which n * 0.34 and n / 0.34 are rounded the wrong way; the smaller set is in the larger one."""
+    sizes = [(17, 50), (34, 100), (51, 150), (68, 200), (85, 250)]
+    rows = []
+    for i, (n, m) in enumerate(sizes):
+        for first, second, key in ((n, m, 4 * i), (m, n, 4 * i + 2)):
+            rows += [(key + j, str(key), [f"w{key}x{k}" for k in range(size)]) for j, size in enumerate((first, second))]
+    got = overlapping(spark.createDataFrame(rows, "id int, lang string, t array<string>"), "id", "lang", "t", 0.34).collect()
+    assert sorted((r.a, r.b, r.overlap) for r in got) == [(k, k + 1, 0.34) for k in range(0, 4 * len(sizes), 2)]
+
+
+def test_rare_tokens_of_a_long_headline(spark):
+    """51 of 150 words are enough for an overlap of 0.34, so one of the 100 rarest is shared."""
+    df = spark.createDataFrame([("a", [f"w{k}" for k in range(150)])], "story_id string, tokens array<string>")
+    assert len(cluster.rare_tokens(df, df).first().rare) == 100
