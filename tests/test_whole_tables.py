@@ -85,3 +85,16 @@ def test_rare_tokens_of_a_long_headline(spark):
     """51 of 150 words are enough for an overlap of 0.34, so one of the 100 rarest is shared."""
     df = spark.createDataFrame([("a", [f"w{k}" for k in range(150)])], "story_id string, tokens array<string>")
     assert len(cluster.rare_tokens(df, df).first().rare) == 100
+
+
+def test_whole_quotes_only(spark, tmp_path):
+    quote = "alpha beta gamma delta " * 5 + "the end of it"
+    docs = [(1, f"x {quote} y"), (2, f"x {quote[:80]} y"), (3, quote.replace(" ", "\n ")), (4, quote[5:]), (5, "one two"), (6, None)]
+    items = [(1, quote), (2, "one  two"), (3, None)]
+    sf = written(tmp_path, "documents", spark.createDataFrame(docs, "doc_id long, text string"))
+    written(tmp_path, "benchmark", spark.createDataFrame(items, "item_id long, text string"))
+    for folder in (sf, SF):
+        texts, quotes = ([(r[0], " ".join(r[1].split())) for r in spark.read.parquet(f"{folder}/{t}.parquet").select(k, "text").collect() if r[1]] for t, k in (("documents", "doc_id"), ("benchmark", "item_id")))
+        want = sorted((d, i) for d, t in texts for i, q in quotes if q in t)
+        got = sorted((r.doc_id, r.item_id) for r in catalog.QUERIES["str15_verbatim_quote"](spark, folder).collect())
+        assert got == want and want
