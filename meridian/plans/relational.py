@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import geo
 from meridian.functions import text as T
+from meridian.operators import gazetteer as G
 from meridian.operators import health as H
 from meridian.operators import merge as M
 from meridian.plans.registry import query, table
@@ -281,6 +282,43 @@ def jn17_containment(spark, sf):
     return s.join(n, "k").select("s_suppkey", "n_nationkey", inside.alias("inside"))
 
 
+@query("""
+WITH s AS (SELECT s_suppkey, s_nationkey, (s_suppkey * 37 % 180 - 90) * 1.0 AS lat, (s_suppkey * 91 % 360 - 180) * 1.0 AS lon FROM supplier),
+n AS (SELECT n_nationkey, n_regionkey, (n_nationkey * 7 % 120 - 60) * 1.0 AS clat, (n_nationkey * 29 % 360 - 180) * 1.0 AS clon FROM nation),
+j AS (SELECT *, 2 * 6371.0088 * asin(sqrt(least(1, pow(sin(radians(clat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(clat)) * pow(sin(radians(clon - lon) / 2), 2)))) AS km FROM s CROSS JOIN n)
+SELECT s_suppkey, n_nationkey, CASE WHEN n_regionkey = 0 THEN TRUE WHEN n_regionkey = 1 THEN s_nationkey = n_nationkey ELSE km <= 5000 END AS inside,
+  CASE n_regionkey WHEN 0 THEN TRUE WHEN 1 THEN s_nationkey = n_nationkey WHEN 2 THEN s_nationkey = n_nationkey AND s_suppkey % 3 = n_nationkey % 3 WHEN 3 THEN km <= 150 ELSE km <= 30 END AS held
+FROM j
+""")
+def jn17_containment_all(spark, sf):
+    """Every supplier against every nation's centre: inside as in jn17_containment, held as gazetteer.inside says.
+
+    A nation is a country, a first or second division, a region or a city by its region. Nations are 25 rows, so they are broadcast.
+    """
+    degrees = lambda k, m, n, o: (F.col(k) * m % n - o).cast("double")
+    text = lambda c: c.cast("string")
+    place = F.struct(
+        degrees("s_suppkey", 37, 180, 90).alias("latitude"),
+        degrees("s_suppkey", 91, 360, 180).alias("longitude"),
+        text(F.col("s_nationkey")).alias("admin1"),
+        text(F.col("s_suppkey") % 3).alias("admin2"),
+    )
+    by_region = lambda *values: F.get(F.array(*map(F.lit, values)), F.col("n_regionkey").cast("int"))
+    container = F.struct(
+        degrees("n_nationkey", 7, 120, 60).alias("latitude"),
+        degrees("n_nationkey", 29, 360, 180).alias("longitude"),
+        text(F.col("n_nationkey")).alias("admin1"),
+        text(F.col("n_nationkey") % 3).alias("admin2"),
+        by_region("PCLI", "ADM1", "ADM2", "RGN", "PPL").alias("feature_code"),
+        by_region("country", "region", "region", "region", "city").alias("precision"),
+    )
+    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey", place.alias("place"))
+    n = table(spark, sf, "nation").select("n_nationkey", "n_regionkey", container.alias("container"))
+    near = G.distance(F.col("place"), F.col("container")) <= 5000
+    inside = F.when(F.col("n_regionkey") == 0, True).when(F.col("n_regionkey") == 1, F.col("s_nationkey") == F.col("n_nationkey")).otherwise(near)
+    return s.crossJoin(F.broadcast(n)).select("s_suppkey", "n_nationkey", inside.alias("inside"), G.inside(F.col("place"), F.col("container")).alias("held"))
+
+
 @query("""
 SELECT o_orderkey, array_to_string(list_sort(list(l_partkey)), ',') AS sections FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
 """)

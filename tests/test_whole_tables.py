@@ -98,3 +98,12 @@ def test_whole_quotes_only(spark, tmp_path):
         want = sorted((d, i) for d, t in texts for i, q in quotes if q in t)
         got = sorted((r.doc_id, r.item_id) for r in catalog.QUERIES["str15_verbatim_quote"](spark, folder).collect())
         assert got == want and want
+
+
+def test_every_supplier_meets_every_nation(spark):
+    rows = catalog.QUERIES["jn17_containment_all"](spark, SF).collect()
+    read = lambda t, k: {r[k] for r in spark.read.parquet(f"{SF}/{t}.parquet").collect()}
+    assert sorted((r.s_suppkey, r.n_nationkey) for r in rows) == sorted((s, n) for s in read("supplier", "s_suppkey") for n in read("nation", "n_nationkey"))
+    old = {(r.s_suppkey, r.n_nationkey): r.inside for r in catalog.QUERIES["jn17_containment"](spark, SF).collect()}
+    new = {(r.s_suppkey, r.n_nationkey): r.inside for r in rows}
+    assert old.items() <= new.items() and len(old) < len(new)
