@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import geo, hashing, jsons, times
 from meridian.functions import text as T
-from meridian.plans.registry import query, table
+from meridian.plans.registry import SQL, query, table
 from meridian.plans.relational import _CANONICAL
 
 
@@ -58,6 +58,12 @@ def str07_split_authors(spark, sf):
     return table(spark, sf, "conversations").filter("role = 'user'").select("conv_id", "turn", F.array_join(T.split_authors("text"), "|").alias("names"))
 
 
+@query(SQL["str07_split_authors"].replace(" WHERE role = 'user'", ""))
+def str07_split_authors_all(spark, sf):
+    """The turns of every role."""
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.array_join(T.split_authors("text"), "|").alias("names"))
+
+
 @query("SELECT doc_id, CASE WHEN n_chars % 2 = 0 AND n_chars > 0 THEN n_chars ELSE len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) END AS words FROM documents WHERE trim(regexp_replace(text, '\\s+', ' ', 'g')) <> ''")
 def str11_word_count(spark, sf):
     d = table(spark, sf, "documents").filter(T.normalise("text") != "")

@@ -8,6 +8,7 @@ from meridian.functions import text as T
 from meridian.operators import cluster
 from meridian.plans import catalog
 from meridian.plans.relational import overlapping
+from meridian.sources.feeds import THIRD_PARTY
 
 from .conftest import SF
 
@@ -107,3 +108,31 @@ def test_every_supplier_meets_every_nation(spark):
     old = {(r.s_suppkey, r.n_nationkey): r.inside for r in catalog.QUERIES["jn17_containment"](spark, SF).collect()}
     new = {(r.s_suppkey, r.n_nationkey): r.inside for r in rows}
     assert old.items() <= new.items() and len(old) < len(new)
+
+
+def test_turns_of_every_role_are_split(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").collect()
+    want = {}
+    for r in turns:
+        names = [x.strip(" ") for x in re.split(r",\s+and\s+|,|\s+and\s+", r.text, flags=re.ASCII)] if r.text is not None else None
+        want[r.conv_id, r.turn] = None if names is None else "|".join(dict.fromkeys(x for x in names if x and x.lower() != "and"))
+    got = catalog.QUERIES["str07_split_authors_all"](spark, SF).collect()
+    assert len(got) == len(turns) and {(r.conv_id, r.turn): r.names for r in got} == want
+
+
+def test_every_document_is_judged_by_the_rules_of_its_feed(spark, tmp_path):
+    slugs = [*sorted(THIRD_PARTY), "another"]
+    texts = ["Fighting goes on, Reuters says\nbody", "line\noriginally published by us", "write to Taiwan Today", "nothing", None]
+    sources = ["AFP", "the conversation", "staff", "https://x.org/partner-content/a", None]
+    kinds = [(t, s) for t in texts for s in sources]
+    rows = [(i + len(slugs) * k, *kinds[k]) for i in range(len(slugs)) for k in range(len(kinds))]
+    sf = written(tmp_path, "documents", spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for folder in (sf, SF):
+        want = {}
+        for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+            slug = slugs[r.doc_id % len(slugs)]
+            words = f"{(r.text or '').split(chr(10))[0]} {r.text}" if r.text is not None else ""
+            of = {"credit": r.source, "category": r.source, "link": r.source or "", "text": words}
+            want[r.doc_id] = slug, any(of[k] is not None and re.search(rule, of[k]) is not None for k, rule in THIRD_PARTY.get(slug, {}).items())
+        got = {r.doc_id: (r.slug, r.third_party) for r in catalog.QUERIES["flt10_third_party_all"](spark, folder).collect()}
+        assert got == want and len({x[1] for x in want.values()}) == 2
