@@ -113,6 +113,14 @@ def str16_evidence(spark, sf):
     return d.select("doc_id", F.when(failure == "planned", failure).alias("failure"))
 
 
+@query()
+def str16_evidence_all(spark, sf):
+    """Every outcome of the three rules, with the first word of the text as the place; a test compares it with the rules by hand."""
+    d = table(spark, sf, "documents").filter(T.normalise("text") != "")
+    place = F.get(F.split(T.normalise("text"), " "), F.lit(0))
+    return d.select("doc_id", place.alias("place"), T.evidence_failure("text", place).alias("failure"))
+
+
 @query("""
 WITH a AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents), b AS (SELECT doc_id, t, string_split(t, ' ')[101] AS place, lower(trim(coalesce(string_split(t, ' ')[101], ''))) AS n FROM a),
 c AS (SELECT *, length(t) - 200 AS room, CASE WHEN n <> '' THEN instr(lower(t), n) ELSE 0 END AS hit FROM b), d AS (SELECT *, CASE WHEN hit > 0 THEN least(greatest(hit - 1 + length(n) // 2 - 100, 0), room) ELSE 0 END AS st FROM c),

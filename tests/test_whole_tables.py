@@ -136,3 +136,36 @@ def test_every_document_is_judged_by_the_rules_of_its_feed(spark, tmp_path):
             want[r.doc_id] = slug, any(of[k] is not None and re.search(rule, of[k]) is not None for k, rule in THIRD_PARTY.get(slug, {}).items())
         got = {r.doc_id: (r.slug, r.third_party) for r in catalog.QUERIES["flt10_third_party_all"](spark, folder).collect()}
         assert got == want and len({x[1] for x in want.values()}) == 2
+
+
+def evidence_by_hand(text):
+    q = re.sub(r"\s+", " ", text, flags=re.ASCII).strip(" ")
+    place = q.split(" ")[0]
+    if re.search(T.ATTRIBUTION + r"\s*,?\s*(?:in|at|from|near|outside)\s+" + re.escape(place), q, re.ASCII):
+        return place, "spoken_to_a_reporter"
+    if re.search(T.PLANNED, q, re.ASCII):
+        return place, "planned"
+    if re.search(T.DATELINE, q, re.ASCII) and place.lower() not in re.sub(T.DATELINE, "", q, flags=re.ASCII).lower():
+        return place, "dateline"
+    return place, None
+
+
+def test_every_outcome_of_the_evidence_rules(spark, tmp_path):
+    texts = [
+        "KYIV (Reuters) -- Shells fell on a town",
+        "KYIV (Reuters) -- Shells fell on Kyiv",
+        "Kyiv officials told reporters in Kyiv that it rained",
+        "Kyiv\nofficials  told Reuters, near\nKyiv",
+        "A.b+ spoke to AFP at A.b+ today",
+        "A.b+ spoke to AFP at Axbb today",
+        "Paris plans to hold talks",
+        "Paris was hit",
+        " ",
+        None,
+    ]
+    sf = written(tmp_path, "documents", spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for folder in (sf, SF):
+        want = {r.doc_id: evidence_by_hand(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect() if r.text and r.text.strip()}
+        got = {r.doc_id: (r.place, r.failure) for r in catalog.QUERIES["str16_evidence_all"](spark, folder).collect()}
+        assert got == want
+        assert folder == SF or {x[1] for x in want.values()} == {None, "planned", "dateline", "spoken_to_a_reporter"}
