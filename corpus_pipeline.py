@@ -47,9 +47,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those that no language has most of; lang becomes what was found.
 
-    The model learns from the documents that have a lang.
+    The model learns from the documents that have a lang. If none has one, nothing can be found: only documents without
+    a letter go, and lang stays as it was.
     """
-    found = langid.label(docs, langid.fit(docs), carry=True)
+    model = langid.fit(docs)
+    if not model.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = langid.label(docs, model, carry=True)
     kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE))
     return kept.select(*(F.col("lang_pred" if c == "lang" else f"row.`{c}`").alias(c) for c in docs.columns))
 

@@ -4,6 +4,7 @@ import html
 import re
 from itertools import combinations
 
+import corpus_pipeline
 from meridian.functions import text as T
 from meridian.operators import cluster
 from meridian.plans import catalog
@@ -169,3 +170,10 @@ def test_every_outcome_of_the_evidence_rules(spark, tmp_path):
         got = {r.doc_id: (r.place, r.failure) for r in catalog.QUERIES["str16_evidence_all"](spark, folder).collect()}
         assert got == want
         assert folder == SF or {x[1] for x in want.values()} == {None, "planned", "dateline", "spoken_to_a_reporter"}
+
+
+def test_documents_stay_if_none_has_a_language(spark):
+    rows = [(1, "plain words", None), (2, "Слова", None), (3, "12 34 !", None), (4, "", None), (5, None, None), (6, "\U00020000", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.language_id(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(tuple(r) for r in out.collect()) == [rows[0], rows[1], rows[5]]
