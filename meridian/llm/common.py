@@ -106,19 +106,21 @@ def output(keyed_docs: DataFrame, columns: str) -> StructType:
     return StructType([StructField(key.name, key.dataType, True), *StructType.fromDDL(columns)])
 
 
-#: Rows of an Arrow batch at most; texts can be long, and both the JVM and Python hold whole batches.
+#: Rows and bytes of an Arrow batch at most; texts can be long, and both the JVM and Python hold whole batches.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 def batched(run):
-    """A function over Arrow batches of at most BATCH_ROWS rows that gives memory back to the system when it ends.
+    """A function over Arrow batches of at most BATCH_ROWS rows and about BATCH_BYTES that gives memory back to the system when it ends.
 
-    Spark keeps Python workers for later tasks, and an idle one would otherwise hold its largest batch's memory. The
-    number of rows is a setting of the session; a smaller one stays.
+    Spark keeps Python workers for later tasks, and an idle one would otherwise hold its largest batch's memory. Both
+    bounds are settings of the session, which are lowered where they are larger; Spark has none for a single query.
     """
-    conf, key = SparkSession.active().conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, BATCH_ROWS)
+    conf = SparkSession.active().conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not 0 < int(conf.get(key, "0").rstrip("bB")) <= most:
+            conf.set(key, most)
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,9 @@ window's bytes alone, so equal windows have equal suffixes there, and about one
    shares with the last suffix that went out. If two heads share different lengths the order follows without looking at
    the strings; if the same, only bytes after that prefix can differ. Suffixes in two runs or more are alive.
 3. Strings. Each run takes the windows around its live anchors. Of equal pieces in a run only those of the smallest
-   doc_id go on; pieces with the same suffix meet, and their windows are compared by two 64-bit hashes.
+   doc_id go on; pieces with the same suffix meet, and their windows are sorted by a hash and compared byte by byte. The
+   windows around a suffix of few different bytes (blanks, rules of dashes), which can stand in very many contexts, meet by
+   half of their other bytes as well, so no such suffix fills one task.
 4. Verdicts return to their run, whose documents lose every byte of a window that was found in a smaller doc_id.
 
 A common passage is one suffix in each run, however many documents have it.
@@ -39,6 +41,10 @@ SPAN = LENGTH - DEPTH + 1
 RUN_BYTES = 12 << 20
 _POSITION_BITS = 28
 _BLOCK = 1 << 18
+#: Pieces of a run that are held as strings at once, about.
+_PIECES = 1 << 15
+#: A suffix of so many different bytes at most is dealt with the bytes beside it.
+_FEW_BYTES = 3
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -241,15 +247,38 @@ def alive(parts: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(bytes(m), dtype=np.uint8) for m in marks]
 
 
-def _window_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of the LENGTH bytes from each place."""
-    one = np.full(len(at), 0x243F6A8885A308D3, dtype=np.uint64)
-    two = np.full(len(at), 0x13198A2E03707344, dtype=np.uint64)
-    for shift in (*range(0, LENGTH - 7, 8), LENGTH - 8):
-        word = _words(data, at, shift)
-        one = _stir(one * np.uint64(0x9E3779B97F4A7C15) ^ word)
-        two = _stir((two ^ word) * np.uint64(0xD6E8FEB86659FD93))
-    return one, two
+_SHIFTS = (*range(0, LENGTH - 7, 8), LENGTH - 8)
+
+
+def _window_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the LENGTH bytes from each place."""
+    out = np.full(len(at), 0x243F6A8885A308D3, dtype=np.uint64)
+    for shift in _SHIFTS:
+        out = _stir(out * np.uint64(0x9E3779B97F4A7C15) ^ _words(data, at, shift))
+    return out
+
+
+def window_groups(data: np.ndarray, at: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new) of the LENGTH-byte windows from each place: equal ones side by side, and where another begins.
+
+    They are sorted by a hash, and neighbours with the same hash are compared byte by byte; if two different windows ever
+    have one hash, all are sorted by their bytes instead.
+    """
+    hashes = _window_hashes(data, at) if hashes is None else hashes
+    order = np.argsort(hashes, kind="stable")
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    same = np.flatnonzero(~new)
+    for k in range(0, len(same), _BLOCK):
+        here, before = at[order[same[k : k + _BLOCK]]], at[order[same[k : k + _BLOCK] - 1]]
+        if any((_words(data, here, shift) != _words(data, before, shift)).any() for shift in _SHIFTS):
+            order = np.lexsort([_words(data, at, shift) for shift in _SHIFTS])
+            new[1:] = False
+            for shift in _SHIFTS:
+                word = _words(data, at[order], shift)
+                new[1:] |= word[1:] != word[:-1]
+            break
+    return order, new
 
 
 def verdicts(texts: list[bytes], doc_ids: np.ndarray) -> np.ndarray:
@@ -261,14 +290,11 @@ def verdicts(texts: list[bytes], doc_ids: np.ndarray) -> np.ndarray:
     sizes = np.array([len(t) for t in number], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
     data = np.frombuffer(b"".join([*number, b"\0" * 8]), dtype=np.uint8)
+    del number
     windows = sizes - LENGTH + 1
     owner = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
     shift = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.uint8)
-    one, two = _window_hashes(data, starts[owner] + shift)
-    order = np.lexsort((two, one))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
-    del one, two
+    order, new = window_groups(data, starts[owner] + shift)
     ids = least[owner]
     smallest = np.empty(len(order), dtype=np.int64)
     if len(order):
@@ -300,12 +326,13 @@ def _splitters(docs: DataFrame, n: int, each: int = 64) -> list[tuple[int, int]]
 
 def _run_of(docs: bytes, text: bytes) -> Run:
     doc_ids, sizes = _unpack(docs)
-    raw = zstandard.ZstdDecompressor().decompress(text)
-    return Run(doc_ids, sizes, np.frombuffer(raw + b"\0" * 8, dtype=np.uint8))
+    data = np.zeros(int(sizes.sum()) + 8, dtype=np.uint8)
+    with zstandard.ZstdDecompressor().stream_reader(text) as source:
+        source.readinto(memoryview(data)[: len(data) - 8])
+    return Run(doc_ids, sizes, data)
 
 
-def _suffixes(docs: bytes, text: bytes) -> Run:
-    run = _run_of(docs, text)
+def _suffixes(run: Run) -> Run:
     run.find_anchors()
     run.sort()
     return run
@@ -323,25 +350,34 @@ def runs(docs: DataFrame, splitters: list[tuple[int, int]], run_bytes: int = RUN
             first = 0
             for i, k in enumerate(pa.compute.binary_length(batch.column("text")).to_pylist()):
                 if size and size + k > run_bytes:
-                    yield stored(f"{task}-{n}", [*held, batch.slice(first, i - first)])
-                    held, size, first, n = [], 0, i, n + 1
+                    full, held = [*held, batch.slice(first, i - first)], []
+                    yield stored(f"{task}-{n}", full)
+                    size, first, n = 0, i, n + 1
                 size += k
             held.append(batch.slice(first))
         if any(b.num_rows for b in held):
             yield stored(f"{task}-{n}", held)
 
     def stored(name: str, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(batches).combine_chunks()
+        table = pa.Table.from_batches(batches)
+        batches.clear()
         ids = table.column("doc_id").cast(pa.int64()).fill_null(_NO_ID).to_numpy()
         sizes = pa.compute.binary_length(table.column("text")).to_numpy().astype(np.int64)
-        text = table.column("text").combine_chunks() if isinstance(table.column("text"), pa.ChunkedArray) else table.column("text")
-        raw = b"".join(x.as_buffer().to_pybytes() for x in text)
-        docs, packed = _pack(ids, sizes), zstandard.ZstdCompressor(level=6).compress(raw)
-        sorted_run = _suffixes(docs, packed)
+        data = np.zeros(int(sizes.sum()) + 8, dtype=np.uint8)
+        at = 0
+        for chunk in table.column("text").chunks:
+            offsets = np.frombuffer(chunk.buffers()[1], dtype=np.int64 if pa.types.is_large_string(chunk.type) else np.int32)
+            a, b = int(offsets[chunk.offset]), int(offsets[chunk.offset + len(chunk)])
+            if b > a:
+                data[at : at + b - a] = np.frombuffer(chunk.buffers()[2], dtype=np.uint8)[a:b]
+            at += b - a
+        other = table.select(rest)
+        del table
+        docs, packed = _pack(ids, sizes), zstandard.ZstdCompressor(level=6).compress(memoryview(data)[: len(data) - 8])
+        sorted_run = _suffixes(Run(ids, sizes, data))
         cuts = sorted_run.ranges(splitters)
         parts = [{"range": i, "part": front_coded(sorted_run.high[a:b], sorted_run.low[a:b])} for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
         sink = io.BytesIO()
-        other = table.select(rest)
         with pa.ipc.new_stream(sink, other.schema) as out:
             out.write_table(other)
         kind = pa.list_(pa.struct([("range", pa.int32()), ("part", pa.binary())]))
@@ -386,6 +422,44 @@ def live_suffixes(stored: DataFrame) -> DataFrame:
     return _by(parts, "range", "run").mapInArrow(batched(run), "run string, range int, live binary")
 
 
+def own_pieces(run: Run, keep: np.ndarray, n_parts: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Verdicts within a run, as (first, mask), and the pieces that go on, as (first, last, part), for the suffixes to keep.
+
+    Equal pieces have equal suffixes, so they are found among a few suffixes at a time. Of each piece the smallest doc_id's goes on.
+    """
+    order = run.order[keep[run.group]]
+    cuts = np.flatnonzero(np.diff(run.group[keep[run.group]], prepend=-1))
+    later: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint64))]
+    dealt: list[tuple[np.ndarray, ...]] = [(np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int32))]
+    raw, begin = memoryview(run.data), 0
+    while begin < len(order):
+        after = cuts[np.searchsorted(cuts, begin + _PIECES)] if begin + _PIECES <= (cuts[-1] if len(cuts) else 0) else len(order)
+        at, begin = order[begin:after], int(after)
+        first, last, anchor, ids = run.first[at], run.last[at], run.anchor[at], run.doc_ids[run.doc[at]]
+        number: dict[bytes, int] = {}
+        kind = np.array([number.setdefault(bytes(raw[a:b]), len(number)) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)], dtype=np.int64)
+        least = np.full(len(number), np.iinfo(np.int64).max)
+        np.minimum.at(least, kind, ids)
+        gone = ids > least[kind]
+        whole = (np.uint64(1) << (last - first + 1).astype(np.uint64)) - np.uint64(1)
+        later.append((first[gone].astype(np.uint32), whole[gone]))
+        first, last, anchor = first[~gone], last[~gone], anchor[~gone]
+        letters = np.sort(run.data[anchor[:, None] + np.arange(DEPTH)], axis=1)
+        few = (np.diff(letters, axis=1) != 0).sum(axis=1) < _FEW_BYTES
+        half = (SPAN - 1) // 2
+        left, right = few & (first < anchor - half), few & (last >= anchor - half)
+        key = lambda which, back, size: [zlib.crc32(raw[a - back : a - back + size]) % n_parts for a in anchor[which].tolist()]
+        # windows that begin over `half` bytes before the suffix have half + 1 bytes there in common, the others as many after it
+        for which, low, high, back, size in (
+            (~few, first, last, 0, DEPTH),
+            (left, first, np.minimum(last, anchor - half - 1), half + 1, half + 1 + DEPTH),
+            (right, np.maximum(first, anchor - half), last, 0, DEPTH + SPAN - 1 - half),
+        ):
+            dealt.append((low[which].astype(np.uint32), high[which].astype(np.uint32), np.array(key(which, back, size), dtype=np.int32)))
+    first, last, part = (np.concatenate(x) for x in zip(*dealt, strict=True))
+    return tuple(np.concatenate(x) for x in zip(*later, strict=True)), first, last, part
+
+
 def pieces(stored: DataFrame, live: DataFrame, splitters: list[tuple[int, int]], n_parts: int) -> DataFrame:
     """(part, run, rows): the strings around live anchors, dealt by suffix, and, with a null part, verdicts within a run."""
     texts = stored.select("run", F.lit(-1).alias("range"), "docs", "text", F.lit(None).cast("binary").alias("live"))
@@ -393,39 +467,26 @@ def pieces(stored: DataFrame, live: DataFrame, splitters: list[tuple[int, int]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows in _groups(batches, "run"):
-            found = _suffixes(rows[0]["docs"], rows[0]["text"])
+            found = _suffixes(_run_of(rows[0]["docs"], rows[0]["text"]))
             cuts = found.ranges(splitters)
             keep = found.shared_here()
             for row in rows[1:]:
                 a, b = cuts[row["range"]], cuts[row["range"] + 1]
                 bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["live"]), dtype=np.uint8)
                 keep[a:b] |= np.unpackbits(bits, count=int(b - a)).astype(bool)
-            at = found.order[keep[found.group]]
-            yield from sent(name, found, np.sort(at))
-
-    def sent(name: str, run: Run, at: np.ndarray) -> Iterator[pa.RecordBatch]:
-        first, last, ids = run.first[at], run.last[at], run.doc_ids[run.doc[at]]
-        raw = run.data.tobytes()
-        texts = [raw[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)]
-        number: dict[bytes, int] = {}
-        kind = np.array([number.setdefault(t, len(number)) for t in texts], dtype=np.int64)
-        least = np.full(len(number), np.iinfo(np.int64).max)
-        np.minimum.at(least, kind, ids)
-        later = np.flatnonzero(ids > least[kind])
-        whole = (np.uint64(1) << (last - first + 1).astype(np.uint64)) - np.uint64(1)
-        yield row(None, name, _pack(first[later].astype(np.uint32), whole[later]))
-        rest = np.flatnonzero(ids == least[kind])
-        suffix = run.anchor[at][rest].tolist()
-        part = np.array([zlib.crc32(raw[a : a + DEPTH]) % n_parts for a in suffix], dtype=np.int64)
-        order = np.argsort(part, kind="stable")
-        for mine in np.split(rest[order], np.flatnonzero(np.diff(part[order])) + 1):
-            if len(mine):
-                own = [texts[i] for i in mine]
-                number_of = int(zlib.crc32(raw[run.anchor[at][mine[0]] : run.anchor[at][mine[0]] + DEPTH]) % n_parts)
-                joined = np.frombuffer(b"".join(own), dtype=np.uint8)
-                yield row(number_of, name, _pack(np.array([len(t) for t in own], dtype=np.uint8), ids[mine], first[mine].astype(np.uint32), joined))
-
-    def row(part: int | None, name: str, data: bytes) -> pa.RecordBatch:
+            rows.clear()
+            found.high = found.low = None
+            later, first, last, part = own_pieces(found, keep, n_parts)
+            yield row_of(None, name, _pack(*later))
+            order = np.lexsort((first, part))
+            begins = np.flatnonzero(np.diff(part[order], prepend=-1))
+            for mine in np.split(order, begins[1:]) if len(order) else ():
+                a, size = first[mine].astype(np.int64), (last[mine] - first[mine] + LENGTH).astype(np.int64)
+                inside = np.repeat(a - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+                ids = found.doc_ids[np.searchsorted(found.ends, a, side="right")]
+                yield row_of(int(part[mine[0]]), name, _pack(size.astype(np.uint8), ids, first[mine], found.data[inside]))
+
+    def row_of(part: int | None, name: str, data: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([data], pa.binary())], ["part", "run", "rows"])
 
     return _by(texts.unionByName(marks), "run", "range").mapInArrow(batched(run), "part int, run string, rows binary")
@@ -476,33 +537,38 @@ def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _groups(batches, "run"):
             own = _run_of(rows[0]["docs"], rows[0]["text"])
-            delta = np.zeros(own.n + 1, dtype=np.int32)
+            gone = np.zeros(own.n, dtype=bool)
             for r in rows[1:]:
                 first, masks = _unpack(r["verdict"])
                 for bit in range(SPAN):
-                    at = first[masks >> np.uint64(bit) & np.uint64(1) > 0].astype(np.int64) + bit
-                    np.add.at(delta, at, 1)
-                    np.subtract.at(delta, at + LENGTH, 1)
-            gone = np.cumsum(delta[: own.n], dtype=np.int32) > 0
-            del delta
+                    gone[first[masks >> np.uint64(bit) & np.uint64(1) > 0].astype(np.int64) + bit] = True
+            reach = 1
+            while reach < LENGTH:  # a window's start reaches LENGTH bytes, twice as far with each step
+                step = min(reach, LENGTH - reach)
+                gone[step:] |= gone[:-step]
+                reach += step
             with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rows[0]["rest"])) as source:
                 rest = source.read_all().combine_chunks()
-            kept, n_removed, n_spans, spans = [], [], [], []
-            for end, size in zip(own.ends.tolist(), own.sizes.tolist(), strict=True):
-                mine, raw = gone[end - size : end], own.data[end - size : end]
-                edges = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0))
-                kept.append(raw[~mine].tobytes() if len(edges) else raw.tobytes())
-                n_removed.append(int(mine.sum()))
-                n_spans.append(len(edges) // 2)
-                spans.append([{"first": int(a), "after": int(b)} for a, b in edges.reshape(-1, 2)])
-            row = pa.StructArray.from_arrays([rest.column(c).combine_chunks() if isinstance(rest.column(c), pa.ChunkedArray) else rest.column(c) for c in rest.column_names], fields=list(rest.schema))
-            kind = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
-            whole = pa.RecordBatch.from_arrays(
-                [row, pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (own.sizes, n_removed, n_spans)), pa.array(spans, kind)],
-                ["row", "kept", "n_bytes", "n_removed", "n_spans", "spans"],
-            )
-            for k in range(0, whole.num_rows, 512):
-                yield whole.slice(k, 512)
+            rows.clear()
+            for k in range(0, len(own.sizes), 512):
+                yield block(own, gone, rest.slice(k, 512), k)
+
+    def block(own: Run, gone: np.ndarray, rest: pa.Table, begin: int) -> pa.RecordBatch:
+        kept, n_removed, n_spans, spans = [], [], [], []
+        sizes = own.sizes[begin : begin + 512]
+        for end, size in zip(own.ends[begin : begin + 512].tolist(), sizes.tolist(), strict=True):
+            mine, raw = gone[end - size : end], own.data[end - size : end]
+            edges = np.flatnonzero(np.diff(mine.astype(np.int8), prepend=0, append=0))
+            kept.append(raw[~mine].tobytes() if len(edges) else raw.tobytes())
+            n_removed.append(int(mine.sum()))
+            n_spans.append(len(edges) // 2)
+            spans.append([{"first": int(a), "after": int(b)} for a, b in edges.reshape(-1, 2)])
+        row = pa.StructArray.from_arrays([rest.column(c).combine_chunks() if isinstance(rest.column(c), pa.ChunkedArray) else rest.column(c) for c in rest.column_names], fields=list(rest.schema))
+        kind = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
+        return pa.RecordBatch.from_arrays(
+            [row, pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, n_removed, n_spans)), pa.array(spans, kind)],
+            ["row", "kept", "n_bytes", "n_removed", "n_spans", "spans"],
+        )
 
     columns = StructType([StructField(f.name, f.dataType, True) for f in rest_schema])
     kind = f"row {columns.simpleString()}, kept {"string" if as_text else "binary"}, n_bytes long, n_removed long, n_spans long, spans array<struct<first: long, after: long>>"

@@ -95,3 +95,30 @@ def test_anchors_cover_every_window():
     windows = [p for e, t in zip(run.ends, texts) for p in range(e - len(t), e - 49)]
     assert [p for a, b in zip(run.first, run.last) for p in range(a, b + 1)] == windows
     assert all(b <= i and i + 16 <= a + 50 for i, a, b in zip(run.anchor, run.first, run.last))
+
+
+def test_windows_with_one_hash_are_told_apart():
+    rng = random.Random(4)
+    data = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(50)) * 3 + bytes(rng.choice(b"abc") for _ in range(300)) + b"\0" * 8, dtype=np.uint8)
+    at = np.arange(len(data) - 8 - 50)
+    raw = data.tobytes()
+    for hashes in (None, np.zeros(len(at), dtype=np.uint64), (at % 2).astype(np.uint64)):
+        order, new = sr.window_groups(data, at, hashes)
+        texts = [raw[at[i] : at[i] + 50] for i in order]
+        assert [bool(n) for n in new[1:]] == [a != b for a, b in zip(texts, texts[1:])]
+        assert new.sum() == len(set(texts)) < len(texts)
+
+
+def test_a_suffix_of_blanks_in_many_contexts_is_dealt_widely(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(24))
+    docs = [(i, word() + " " * 40 + word() + "-" * 30 + word()) for i in range(300)]
+    docs += [(1000 + i, docs[rng.randrange(300)][1][rng.randrange(10) :] + word()) for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert found(sr.deduplicated(df, run_bytes=5000)) == by_hand(docs)
+    raw = [t.encode() for _, t in docs]
+    run = sr.Run(np.array([i for i, _ in docs]), np.array([len(t) for t in raw]), np.frombuffer(b"".join(raw) + b"\0" * 8, dtype=np.uint8))
+    run.find_anchors()
+    run.sort()
+    _, first, _, part = sr.own_pieces(run, np.ones(len(run.high), dtype=bool), 64)
+    assert np.bincount(part, minlength=64).max() < 0.1 * len(first)
