@@ -119,7 +119,8 @@ def batched(run):
     """
     conf = SparkSession.active().conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        if not 0 < int(conf.get(key, "0").rstrip("bB")) <= most:
+        now = conf.get(key).lower().rstrip("b")
+        if not 0 < int(now.rstrip("kmg")) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1], 1) <= most:
             conf.set(key, most)
 
     @functools.wraps(run)
