@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -10,9 +12,16 @@ from pyspark.sql import DataFrame
 def stored(df: DataFrame) -> DataFrame:
     """df as a checkpoint in the folder that the session names in spark.checkpoint.dir; lineage ends there.
 
-    Where none is named, as in tests on one machine, it is a temporary folder.
+    Where none is named and all runs in one process, as in tests, it is a temporary folder that goes when Python ends. On
+    a cluster a folder has to be named, as each executor would write to its own disk.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="meridian-"))
+        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not place:
+            if context.master.partition("[")[0] != "local":
+                raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+            place = tempfile.mkdtemp(prefix="meridian-")
+            atexit.register(shutil.rmtree, place, True)
+        context.setCheckpointDir(place)
     return df.checkpoint()
