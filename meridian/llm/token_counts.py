@@ -1,25 +1,35 @@
 """Token counts from pre-token frequencies.
 
 No piece of the vocabulary has a space after another character, nor a line feed, so merges never cross the start of a
-run of spaces or of a line: the pieces of a text are those of its pre-tokens, one after the other. Each task counts
-the pieces of a distinct pre-token once, keeps that count, and joins it to the pre-token frequencies of every
-document. The ids of a text never exist, nothing is shuffled, and the join runs where the text is read, because its
-one side (pre-tokens of the task's documents) has no use anywhere else.
+run of spaces or of a line: the pieces of a text are those of its pre-tokens, one after the other.
+
+1. Frequencies. A task reads its texts in chunks and stores, for each, its different pre-tokens and, packed, how often
+   each document has which of them. The text is not needed again.
+2. Pieces. All different pre-tokens of all chunks are made distinct, map side first, and the pieces of each are counted
+   once, wherever and however often it stands.
+3. Sums. Counts are joined to the chunks' pre-tokens and return to their chunk, where each document's frequencies are
+   multiplied by them and added up. The ids of a text never exist.
+
+A pre-token is one row in each chunk however often it stands there, so a very common one is no hot key.
 """
 
 from __future__ import annotations
 
+import io
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from meridian.llm.common import batched, slices
+from meridian.llm.common import BATCH_ROWS, batched, durable, slices
 
-#: Pre-tokens that a task remembers; it starts anew beyond that, which bounds memory and changes no count.
-REMEMBERED = 400_000
+#: Bytes of text in a chunk, about; a longer text is a chunk by itself.
+CHUNK_BYTES = 4 << 20
 SPACE = "▁"
 
 
@@ -49,27 +59,87 @@ def pre_tokens(text: str) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
+def frequencies(docs: DataFrame) -> DataFrame:
+    """(chunk, tokens, sizes, ids, freq) for chunks of rows: their different pre-tokens, and packed, by document, which and how often.
+
+    sizes are the texts' bytes, ids the doc_id column as an Arrow stream, freq the lengths, places and counts of all documents.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, n = TaskContext.get().partitionId(), 0
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for part in slices(batches, "text", CHUNK_BYTES):
+            own = part.column("text").nbytes
+            if held and size + own > CHUNK_BYTES:
+                yield chunk(f"{task}-{n}", held)
+                held, size, n = [], 0, n + 1
+            held.append(part)
+            size += own
+        if held:
+            yield chunk(f"{task}-{n}", held)
+
+    def chunk(name: str, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        number: dict[str, int] = {}
+        lengths, places, counts = [], [], []
+        for part in parts:
+            for text in part.column("text").to_pylist():
+                freq = Counter(pre_tokens(text or ""))
+                lengths.append(len(freq))
+                places.append(np.fromiter((number.setdefault(k, len(number)) for k in freq), dtype=np.int32, count=len(freq)))
+                counts.append(np.fromiter(freq.values(), dtype=np.int32, count=len(freq)))
+        table = pa.Table.from_batches(parts)
+        sink = io.BytesIO()
+        with pa.ipc.new_stream(sink, table.select(["doc_id"]).schema) as out:
+            out.write_table(table.select(["doc_id"]))
+        sizes = pa.compute.fill_null(pa.compute.binary_length(table.column("text")), 0).to_numpy().astype(np.int64)
+        packed = [zstandard.compress(x.tobytes()) for x in (sizes, np.array(lengths, dtype=np.int64), np.concatenate(places), np.concatenate(counts))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([name]), pa.array([list(number)], pa.list_(pa.string())), pa.array([zstandard.compress(sink.getvalue())], pa.binary()), pa.array([packed], pa.list_(pa.binary()))],
+            ["chunk", "tokens", "ids", "freq"],
+        )
+
+    return docs.select("doc_id", "text").mapInArrow(batched(run), "chunk string, tokens array<string>, ids binary, freq array<binary>")
+
+
+def piece_counts(tokens: DataFrame, model: str) -> DataFrame:
+    """(token, pieces) of each different token of tokens(token); pieces are counted once for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = piece_counter(model)
+        for part in slices(batches, "token"):
+            yield pa.RecordBatch.from_arrays([part.column("token"), pa.array(count(part.column("token").to_pylist()), pa.int32())], ["token", "pieces"])
+
+    return tokens.select("token").distinct().mapInArrow(batched(run), "token string, pieces int")
+
+
 def token_counts(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of each row, for the vocabulary at path model, the same on every machine.
 
     A null text counts as empty: no bytes, no tokens. Repeated rows count each by itself, an empty table gives an
     empty result, other columns are not looked at. A text is counted whole, however long.
     """
+    chunks = durable(frequencies(docs))
+    tokens = chunks.select("chunk", F.posexplode("tokens").alias("place", "token"))
+    found = tokens.join(piece_counts(tokens, model), "token")
+    # a chunk has no more of them than its text has words
+    by_chunk = found.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("place", "pieces"))).alias("found")).select("chunk", F.col("found.pieces").alias("pieces"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, known = piece_counter(model), {}
-        for part in slices(batches, "text"):
-            sums = []
-            per_doc = [Counter(pre_tokens(x or "")) for x in part.column("text").to_pylist()]
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list(set().union(*per_doc) - known.keys())
-            known.update(zip(new, count(new), strict=True))
-            for freq in per_doc:
-                sums.append(sum(n * known[k] for k, n in freq.items()))
-            size = pa.compute.fill_null(pa.compute.binary_length(part.column("text")), 0).cast(pa.int64())
-            tokens = pa.array(sums, pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, tokens, pa.compute.greater(tokens, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pieces = np.asarray(batch.column("pieces")[i].as_py() or [], dtype=np.int64)
+                sizes, lengths, places, counts = (zstandard.decompress(x) for x in batch.column("freq")[i].as_py())
+                ends = np.cumsum(np.frombuffer(lengths, dtype=np.int64))
+                total = np.concatenate(([0], np.cumsum(pieces[np.frombuffer(places, dtype=np.int32)] * np.frombuffer(counts, dtype=np.int32))))
+                sums = pa.array(total[ends] - total[np.concatenate(([0], ends[:-1]))], pa.int64())
+                with pa.ipc.open_stream(zstandard.decompress(batch.column("ids")[i].as_py())) as source:
+                    ids = source.read_all().column("doc_id").combine_chunks()
+                whole = pa.RecordBatch.from_arrays([ids, pa.array(np.frombuffer(sizes, dtype=np.int64)), sums, pa.compute.greater(sums, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+                for k in range(0, whole.num_rows, BATCH_ROWS):
+                    yield whole.slice(k, BATCH_ROWS)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return chunks.select("chunk", "ids", "freq").join(by_chunk, "chunk", "left").select("ids", "freq", "pieces").mapInArrow(batched(run), f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
