@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,8 @@ from meridian.llm.common import batched, or_empty, shuffle_width, slices
 SAMPLES = 64
 #: (text, term) pairs that are worked on at once.
 BLOCK = 1 << 12
+#: A text with more different terms than this is worked on by itself, a block of terms at a time.
+MOST_TERMS = 1 << 15
 
 
 def terms_of(text: str) -> dict[str, int]:
@@ -52,13 +54,72 @@ def draws(keys: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return r, np.log(c), uniform(two, 20)
 
 
+def _keys(names: list[str]) -> np.ndarray:
+    return np.frombuffer(b"".join([hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in names]), dtype="<u8")
+
+
+def _log_a(r: np.ndarray, log_c: np.ndarray, b: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
+    """ln(a) of each term (row) and sample."""
+    t = log_weight[:, None] / r
+    t += b
+    np.floor(t, out=t)
+    t -= b
+    t += 1
+    t *= r
+    return log_c - t
+
+
+def _samples(keys: np.ndarray, r: np.ndarray, b: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
+    """16 bits for each winning term with its t."""
+    t = np.floor(log_weight / r + b).astype(np.int64)
+    return (_mixed(keys ^ _mixed(t.view(np.uint64))) >> np.uint64(48)).astype(np.uint16)
+
+
+def long_signature(bag: dict[str, int], samples: int = SAMPLES) -> np.ndarray:
+    """The samples of one bag of terms, its draws made and dropped a block at a time."""
+    least = np.full(samples, np.inf, dtype=np.float32)
+    out = np.zeros(samples, dtype=np.uint16)
+    terms = iter(bag.items())
+    while part := list(islice(terms, BLOCK)):
+        keys = _keys([w for w, _ in part])
+        weight = np.log(np.array([n for _, n in part], dtype=np.float32))
+        r, log_c, b = draws(keys, samples)
+        log_a = _log_a(r, log_c, b, weight)
+        at = log_a.argmin(axis=0)
+        every = np.arange(samples)
+        better = log_a[at, every] < least
+        least = np.where(better, log_a[at, every], least)
+        out = np.where(better, _samples(keys[at], r[at, every], b[at, every], weight[at]), out)
+    return out
+
+
 def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
     """One row of 16-bit samples for each text; zeros for a text without words."""
-    bags = [terms_of(x) for x in texts]
-    names = list(set().union(*bags)) if bags else []
-    at = dict(zip(names, range(len(names)), strict=True))
-    keys = np.frombuffer(b"".join([hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in names]), dtype="<u8")
     out = np.zeros((len(texts), samples), dtype=np.uint16)
+    held: list[dict[str, int]] = []
+    rows: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        bag = terms_of(text)
+        if len(bag) > MOST_TERMS:
+            out[i] = long_signature(bag, samples)
+        elif bag:
+            if size + len(bag) > MOST_TERMS:
+                out[rows] = _short_signatures(held, samples)
+                held, rows, size = [], [], 0
+            held.append(bag)
+            rows.append(i)
+            size += len(bag)
+    if held:
+        out[rows] = _short_signatures(held, samples)
+    return out
+
+
+def _short_signatures(bags: list[dict[str, int]], samples: int) -> np.ndarray:
+    """Samples of bags that are not empty; the draws of a term are made once for all of them."""
+    names = list(set().union(*bags))
+    at = dict(zip(names, range(len(names)), strict=True))
+    keys = _keys(names)
     sizes = np.array([len(b) for b in bags], dtype=np.int64)
     n = int(sizes.sum())
     term = np.fromiter(map(at.__getitem__, chain.from_iterable(bags)), dtype=np.int64, count=n)
@@ -68,33 +129,21 @@ def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
     for k in range(0, len(names), BLOCK):
         for table, part in zip(tables, draws(keys[k : k + BLOCK], samples), strict=True):
             table[k : k + BLOCK] = part
-    won = np.zeros((len(texts), samples), dtype=np.int64)
+    won = np.zeros((len(bags), samples), dtype=np.int64)
     done = begin = 0
-    while begin < len(texts):
+    while begin < len(bags):
         after = begin + 1
-        while after < len(texts) and ends[after] - done <= BLOCK:
+        while after < len(bags) and ends[after] - done <= BLOCK:
             after += 1
-        rows, weight = term[done : ends[after - 1]], log_weight[done : ends[after - 1], None]
-        r, log_a, b = (x.take(rows, axis=0) for x in tables)
-        t = weight / r
-        t += b
-        np.floor(t, out=t)
-        t -= b
-        t += 1
-        t *= r
-        log_a -= t
+        rows = term[done : ends[after - 1]]
+        log_a = _log_a(*(x.take(rows, axis=0) for x in tables), log_weight[done : ends[after - 1]])
         by_sample = log_a.T.copy()  # the terms of a text side by side
         for i in range(begin, after):
-            if sizes[i]:
-                first = ends[i] - int(sizes[i])
-                won[i] = by_sample[:, first - done : ends[i] - done].argmin(axis=1) + first
+            first = ends[i] - int(sizes[i])
+            won[i] = by_sample[:, first - done : ends[i] - done].argmin(axis=1) + first
         begin, done = after, ends[after - 1]
-    full = np.flatnonzero(sizes)
-    won = won[full]
     r, b = (x[term[won], np.arange(samples)] for x in (tables[0], tables[2]))
-    t = np.floor(log_weight[won] / r + b).astype(np.int64)
-    out[full] = (_mixed(keys[term[won]] ^ _mixed(t.view(np.uint64))) >> np.uint64(48)).astype(np.uint16)
-    return out
+    return _samples(keys[term[won]], r, b, log_weight[won])
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -1,5 +1,8 @@
 import hashlib
+import pathlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -32,6 +35,9 @@ def test_blocks_make_no_difference(monkeypatch):
     whole = ws.signatures(texts)
     monkeypatch.setattr(ws, "BLOCK", 97)
     assert (ws.signatures(texts) == whole).all()
+    monkeypatch.setattr(ws, "MOST_TERMS", 40)  # most texts go by themselves
+    assert (ws.signatures(texts) == whole).all()
+    monkeypatch.setattr(ws, "MOST_TERMS", 400)
     assert (np.concatenate([ws.signatures([t]) for t in texts]) == whole).all()
     assert not whole[0].any() and (whole[0] == whole[-2]).all()
 
@@ -64,3 +70,20 @@ def test_the_table(spark):
     check(rows, list(enumerate(sample_texts())))
     assert sum(r.near_edited for r in rows) / len(rows) > 0.55
     assert sum(r.near_next for r in rows) / len(rows) < 0.2
+
+
+def test_a_text_of_a_million_words_needs_little_memory():
+    code = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from meridian.llm import weighted_sampling as ws
+peak = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("VmHWM")).split()[1]) >> 10
+text = " ".join(f"w{i}" for i in range(1_000_000))
+before = peak()
+found = ws.signatures(["a b c", text, "a b c"])
+assert (found[0] == found[2]).all() and found[1].any()
+print(peak() - before)
+"""
+    root = str(pathlib.Path(__file__).parents[2])
+    out = subprocess.run([sys.executable, "-c", code, root], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 500
