@@ -25,7 +25,7 @@ from meridian.llm.sampling import sample_ids, sample_texts
 
 BUCKETS = 1 << 15
 #: Bytes of text that are worked on at once, about; arrays over its letters take a hundred times as much.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Labelled documents to learn from, at most.
 MOST_SAMPLE = 4000
 #: What a switch of language costs, in natural-log units of word scores.
@@ -173,25 +173,27 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, switch: float = SWITCH) -> n
     order = np.argsort(-sizes, kind="stable")
     first, sizes = starts[:-1][order], sizes[order]
     live = np.searchsorted(-sizes, -np.arange(1, (sizes[0] if len(sizes) else 0) + 1), side="right")
-    came = np.zeros(scores.shape, dtype=np.uint8)
-    path = np.zeros(len(scores), dtype=np.uint8)
+    if scores.shape[1] > np.iinfo(np.uint16).max:
+        raise ValueError("more languages than 16 bits can number")
+    came = np.zeros(scores.shape, dtype=np.uint16)
+    path = np.zeros(len(scores), dtype=np.uint16)
     if not len(live):
         return path
-    langs = np.arange(scores.shape[1], dtype=np.uint8)
+    langs = np.arange(scores.shape[1], dtype=np.uint16)
     value = scores[first[: live[0]]].astype(np.float64)
     ended = np.zeros((len(first), scores.shape[1]))
     for t in range(1, len(live)):
         n = live[t]
         ended[n : len(value)] = value[n:]
         value = value[:n]
-        best = value.argmax(axis=1).astype(np.uint8)
+        best = value.argmax(axis=1).astype(np.uint16)
         top = value[np.arange(n), best][:, None] - switch
         moved = top > value
         rows = first[:n] + t
         came[rows] = np.where(moved, best[:, None], langs)
         value = np.where(moved, top, value) + scores[rows]
     ended[: len(value)] = value
-    now = ended.argmax(axis=1).astype(np.uint8)
+    now = ended.argmax(axis=1).astype(np.uint16)
     for t in range(len(live) - 1, -1, -1):
         n = live[t]
         rows = first[:n] + t
@@ -224,7 +226,7 @@ def label(docs: DataFrame, model: Model, switch: float = SWITCH, carry: bool = F
             words = words_of(texts)
             known = len(m.langs) > 0
             starts = np.searchsorted(words.text, np.arange(len(texts) + 1))
-            path = viterbi(m.scores(words), starts, switch) if known else np.zeros(0, dtype=np.uint8)
+            path = viterbi(m.scores(words), starts, switch) if known else np.zeros(0, dtype=np.uint16)
             text, lang, n_words, letters = spans_of(words, path, len(texts))
             by = np.zeros((len(texts), max(1, len(m.langs))))
             np.add.at(by, (text, lang), letters)
