@@ -31,7 +31,7 @@ _FIRST = np.cumsum((0, *SEGMENTS[:-1])).astype(np.uint64)
 _MASKS = np.array([((1 << w) - 1) << int(s) for w, s in zip(SEGMENTS, _FIRST, strict=True)], dtype=np.uint64)
 _BUDGET = [length * MOST_BITS // _M for length in range(_M + 1)]
 #: Larger buckets are divided by the bits that are not in their key.
-DIVIDE = 4096
+DIVIDE = 64
 
 
 def fingerprint(text: str) -> int:
@@ -95,44 +95,67 @@ def _grow(fps: np.ndarray, ids: np.ndarray, first: int, edges: list) -> None:
             rest = rest[~linked]
 
 
-def _divide(fps: np.ndarray, ids: np.ndarray, first: int, free: list[int], edges: list) -> None:
-    """The same for a large bucket: three differences leave one of four parts of the free bits equal."""
-    if len(ids) <= DIVIDE or len(free) < 16:
-        return _grow(fps, ids, first, edges)
-    for k in range(MOST_BITS + 1):
-        part = free[k :: MOST_BITS + 1]
-        mask = np.uint64(sum(1 << b for b in part))
-        key = fps & mask
-        order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
-        for at in np.split(order, cuts):
-            if len(at) > 1:
-                whole = len(at) == len(ids)
-                _divide(fps[at], ids[at], first, [] if whole else [b for b in free if b not in part], edges)
-    return None
-
-
-def _links(tables: np.ndarray, keys: np.ndarray, fps: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
-    """Edges within rows sorted by (table, key), all rows of a bucket being there."""
-    edges: list[tuple[int, int]] = []
-    cut = np.flatnonzero((np.diff(tables) != 0) | (np.diff(keys) != 0)) + 1
-    starts = np.concatenate(([0], cut))
+def _compared(group: np.ndarray, fps: np.ndarray, ids: np.ndarray, first: int, free: list[int], edges: list) -> None:
+    """Edges within rows sorted by group, all of one table.
+
+    In small groups every two are compared, all groups at once. A large one is divided by the free bits: three differences
+    leave one of four parts of them equal, and a group within a part is compared in the same way.
+    """
+    if len(ids) < 2:
+        return
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1))
     sizes = np.diff(np.concatenate((starts, [len(ids)])))
-    small = np.repeat(sizes <= 64, sizes)
     end = np.repeat(starts + sizes, sizes)
-    here = np.flatnonzero(small)
-    for step in range(1, 64):
+    here = np.flatnonzero(np.repeat(sizes <= DIVIDE, sizes))
+    for step in range(1, DIVIDE):
         here = here[here + step < end[here]]
         if not len(here):
             break
-        ok = near(fps[here], fps[here + step], tables[here])
+        ok = near(fps[here], fps[here + step], np.int64(first))
         a, b = ids[here[ok]], ids[here[ok] + step]
-        edges += zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist(), strict=True)
-    for a, n in zip(starts[sizes > 64], sizes[sizes > 64], strict=True):
-        t = int(tables[a])
+        edges.append(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1))
+    large = np.repeat(sizes > DIVIDE, sizes)
+    if not large.any():
+        return
+    if len(free) <= MOST_BITS:
+        for a, n in zip(starts[sizes > DIVIDE], sizes[sizes > DIVIDE], strict=True):
+            found: list[tuple[int, int]] = []
+            _grow(fps[a : a + n], ids[a : a + n], first, found)
+            edges.append(np.array(found, dtype=np.int64).reshape(-1, 2))
+        return
+    group, fps, ids = group[large], fps[large], ids[large]
+    for k in range(MOST_BITS + 1):
+        part = free[k :: MOST_BITS + 1]
+        key = fps & np.uint64(sum(1 << b for b in part))
+        order = np.lexsort((key, group))
+        inner = np.cumsum(np.concatenate(([True], (np.diff(group[order]) != 0) | (np.diff(key[order]) != 0)))) - 1
+        _compared(inner, fps[order], ids[order], first, [b for b in free if b not in part], edges)
+
+
+def _forest(edges: np.ndarray) -> np.ndarray:
+    """As many of the edges (a, b) as it takes to connect what they connect."""
+    root: dict[int, int] = {}
+    keep = []
+    for i, (a, b) in enumerate(edges.tolist()):
+        while (up := root.get(a, a)) != a:
+            root[a] = a = root.get(up, up)
+        while (up := root.get(b, b)) != b:
+            root[b] = b = root.get(up, up)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            keep.append(i)
+    return edges[keep]
+
+
+def _links(tables: np.ndarray, keys: np.ndarray, fps: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Edges that connect what is linked within rows sorted by (table, key), all rows of a bucket being there."""
+    edges = [np.zeros((0, 2), dtype=np.int64)]
+    group = np.cumsum(np.concatenate(([True], (np.diff(tables) != 0) | (np.diff(keys) != 0)))) - 1
+    for t in np.unique(tables).tolist():
+        mine = tables == t
         fixed = int(_MASKS[t] | _MASKS[(t + 1) % _M])
-        _divide(fps[a : a + n], ids[a : a + n], t, [b for b in range(64) if not fixed >> b & 1], edges)
-    return edges
+        _compared(group[mine], fps[mine], ids[mine], t, [b for b in range(64) if not fixed >> b & 1], edges)
+    return _forest(np.concatenate(edges))
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -152,23 +175,27 @@ def links(nodes: DataFrame) -> DataFrame:
     width = shuffle_width(nodes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held: list[list[np.ndarray]] = []
         for batch in batches:
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("at", "key", "fp", "node")]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+            if not len(now[0]):
+                continue
+            if held and any(held[-1][k][-1] != now[k][0] for k in (0, 1)):
+                yield out(held)
+                held = []
             change = np.flatnonzero((np.diff(now[0]) != 0) | (np.diff(now[1]) != 0))
             last = int(change[-1]) + 1 if len(change) else 0  # the last bucket may go on in the next batch
-            held = [x[last:] for x in now]
             if last:
-                yield out([x[:last] for x in now])
-        if held is not None and len(held[0]):
+                yield out([*held, [x[:last] for x in now]])
+                held = []
+            held.append([x[last:] for x in now])
+        if held:
             yield out(held)
 
-    def out(rows: list[np.ndarray]) -> pa.RecordBatch:
+    def out(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        rows = [np.concatenate(x) for x in zip(*parts, strict=True)]
         edges = _links(rows[0].astype(np.int64), rows[1], rows[2].view(np.uint64), rows[3])
-        ab = np.array(edges, dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(edges[:, k])) for k in (0, 1)], ["a", "b"])
 
     return keyed.repartition(width, "at", "key").sortWithinPartitions("at", "key").mapInArrow(batched(run), "a long, b long")
 

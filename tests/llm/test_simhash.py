@@ -81,9 +81,8 @@ def test_links_connect_what_is_near(spark, monkeypatch):
     monkeypatch.setattr(simhash, "DIVIDE", 8)
     for t in range(7):
         key = a & (simhash._MASKS[t] | simhash._MASKS[(t + 1) % 7])
-        for k in np.unique(key):
-            at = np.flatnonzero(key == k)
-            simhash._divide(a[at], np.array(ids)[at], t, [b for b in range(64) if not int(simhash._MASKS[t] | simhash._MASKS[(t + 1) % 7]) >> b & 1], edges)
+        order = np.argsort(key, kind="stable")
+        edges += simhash._links(np.full(len(a), t), key[order].view(np.int64), a[order], np.array(ids)[order]).tolist()
     parent = {i: i for i in ids}
 
     def root(i):
@@ -97,6 +96,44 @@ def test_links_connect_what_is_near(spark, monkeypatch):
     assert {i: root(i) for i in ids} == want
 
 
+def test_a_large_bucket_is_divided():
+    """20,000 prints with one key, in chains of near ones: few edges, and those that are needed."""
+    rng = np.random.default_rng(6)
+    fixed = np.uint64((1 << 19) - 1)
+    base = rng.integers(0, 1 << 62, 10_000, dtype=np.uint64) & ~fixed
+    fps = np.unique(np.concatenate([base, base ^ np.uint64(1 << 40 | 1 << 50)]))
+    ids = np.arange(len(fps))
+    edges = simhash._links(np.zeros(len(fps), dtype=np.int64), np.zeros(len(fps), dtype=np.int64), fps, ids)
+    at = {int(f): i for i, f in enumerate(fps.tolist())}
+    want = {tuple(sorted((i, at[int(f) ^ (1 << 40 | 1 << 50)]))) for f, i in at.items()}
+    assert len(want) == 10_000 and want <= {tuple(sorted(e)) for e in edges.tolist()} and len(edges) < len(fps)
+
+
+def rounds_of(monkeypatch):
+    """Counts the tables that components() stores, two at least in each round."""
+    stored = []
+
+    def durable(df, keep=components.durable):
+        stored.append(1)
+        return keep(df)
+
+    monkeypatch.setattr(components, "durable", durable)
+    return stored
+
+
+def test_a_chain_takes_a_logarithm_of_rounds(spark, monkeypatch):
+    stored = rounds_of(monkeypatch)
+    path = spark.range(2000).selectExpr("id AS a", "id + 1 AS b")
+    rows = components.components(path).collect()
+    assert len(rows) == 2001 and {r.component for r in rows} == {0}
+    assert len(stored) <= 15 + 3  # 12 doublings of one round, its hooks, and the edges before and after
+    names = random.Random(8).sample(range(10**6), 500)
+    stored.clear()
+    rows = components.components(spark.createDataFrame(list(zip(names, names[1:])), "a long, b long")).collect()
+    assert len(rows) == 500 and {r.component for r in rows} == {min(names)}
+    assert len(stored) <= 40
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(4)
     names = rng.sample(range(1000), 200)
