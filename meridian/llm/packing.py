@@ -1,11 +1,12 @@
 """Best-fit packing with exact complements.
 
 Documents become token pieces of at most `capacity` tokens. What decides how pieces go together is only how many
-there are of each length, so the plan is made from that histogram (at most `capacity` numbers): for each length, the
-gap it leaves is looked up among single lengths, sums of two and sums of three, and combinations that fill it
-exactly are used up as far as there are pieces; the rest goes by best fit. The plan says, for the r-th
-piece of a length, which sequence it takes and where; ranks within a length are worked out in buckets, so no
-length, however common, meets in one task.
+there are of each length, so the plan is made from that histogram (at most `capacity` numbers). Single lengths, and sums
+of two and of three of them, are indexed by their sum; for each length the gap that it leaves is looked up there, and
+combinations that fill it exactly are used up as far as there are pieces of all their lengths. The rest goes by best
+fit. Exact fills that take the last short pieces leave gaps that nothing fits into, so it is also worked out how many of
+the combinations to keep. The plan says, for the r-th piece of a length, which sequence it takes and where; ranks within a
+length are worked out in buckets of a bounded size, so no length, however common, meets in one task.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from meridian.llm.common import batched, durable, slices
 
 CAPACITY = 1024
 END_ID = 2
-#: A length's pieces are ranked in this many parts.
-BUCKETS = 64
+#: A length's pieces are ranked in parts of so many rows, about.
+BUCKET_ROWS = 1 << 14
+#: In so many steps it is looked for how many of the exact combinations to keep.
+STOPS = 16
 
 #: Texts of these characters alone get the same ids from both libraries; others, and those with the special
 #: token's text, go to the slower one.
@@ -34,7 +37,8 @@ _PLAIN = re.compile(r"[^\x00-ɏ]|<\|endoftext\|>")
 def encoder(vocabulary: str, ranks: str, pattern: str):
     """text -> ids as the tokenizers library gives them for the file at path vocabulary.
 
-    ranks is the path of the same vocabulary for tiktoken, which is faster.
+    ranks is the path of the same vocabulary for tiktoken, which is faster, but gives up where a run of white space is longer
+    than its stack; such a text goes to the library itself.
     """
     import base64
 
@@ -49,9 +53,12 @@ def encoder(vocabulary: str, ranks: str, pattern: str):
     slow.no_padding()
 
     def encode(text: str) -> np.ndarray:
-        if _PLAIN.search(text):
-            return np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return fast.encode_to_numpy(text).astype("<u4", copy=False)
+        if not _PLAIN.search(text):
+            try:
+                return fast.encode_to_numpy(text).astype("<u4", copy=False)
+            except ValueError:  # its stack of backtracking is full
+                pass
+        return np.asarray(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     return encode
 
@@ -85,63 +92,76 @@ def pieces(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity:
     return docs.select("doc_id", "text").mapInArrow(batched(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def _two(left: np.ndarray, gap: int) -> tuple[int, int] | None:
-    """Two lengths that there are and that fill gap, the longest first."""
-    if gap < 2:
+class Sums:
+    """The lengths that there are, and their pairs and triples, by sum."""
+
+    def __init__(self, lengths: list[int], capacity: int):
+        have = np.array(sorted(set(lengths)), dtype=np.int64)
+        long, short = (have[i] for i in np.tril_indices(len(have)))
+        inside = np.flatnonzero(long + short < capacity)
+        inside = inside[np.argsort((long + short)[inside], kind="stable")]
+        long, short = long[inside], short[inside]
+        cuts = np.searchsorted(long + short, np.arange(capacity + 1))
+        self.pairs = [(long[x:y], short[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+        paired = np.array([len(x) > 0 for x, _ in self.pairs])
+        #: by sum: lengths, the longest first, that a pair can be added to
+        self.triples = [[int(n) for n in have[::-1] if n < gap and paired[gap - n]] for gap in range(capacity)]
+
+    def pair(self, left: np.ndarray, gap: int) -> tuple[int, ...] | None:
+        """Of the pairs with this sum, the one that can be used most often."""
+        long, short = self.pairs[gap]
+        if not len(long):
+            return None
+        times = np.minimum(left[long], left[short])
+        times[long == short] //= 2
+        k = int(times.argmax())
+        return (int(long[k]), int(short[k])) if times[k] > 0 else None
+
+    def triple(self, left: np.ndarray, gap: int) -> tuple[int, ...] | None:
+        for n in self.triples[gap]:
+            if left[n] > 0:
+                left[n] -= 1
+                two = self.pair(left, gap - n)
+                left[n] += 1
+                if two:
+                    return (n, *two)
         return None
-    a = np.arange(gap - 1, (gap - 1) // 2, -1)
-    have = (left[a] > 0) & (left[gap - a] > np.where(2 * a == gap, 1, 0))
-    at = int(have.argmax())
-    return (int(a[at]), gap - int(a[at])) if have[at] else None
-
-
-def _filling(left: np.ndarray, gap: int, most: int) -> tuple[int, ...] | None:
-    """One, two or three lengths, `most` at most, that there are and whose sum is gap."""
-    if left[gap] > 0:
-        return (gap,)
-    if most > 1 and (two := _two(left, gap)):
-        return two
-    for a in range(gap - 2, 0, -1) if most > 2 else ():
-        if left[a] > 0:
-            left[a] -= 1
-            two = _two(left, gap - a)
-            left[a] += 1
-            if two:
-                return (a, *two)
-    return None
 
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in one sequence, number of such sequences), for counts of pieces by length.
-
-    Gaps are filled with up to three, two or one lengths, whichever leaves the fewest sequences in the end.
-    """
-    return min((_plan(counts, capacity, most) for most in (3, 2, 1)), key=lambda plans: sum(times for _, times in plans))
+    def single(self, left: np.ndarray, gap: int) -> tuple[int, ...] | None:
+        return (gap,) if left[gap] > 0 else None
 
 
-def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
-    """It takes time and space by the capacity, not by the number of pieces: every step uses up a length or a gap.
-    """
+def exact(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths that fill a sequence exactly, how often), as far as there are pieces: singles first, then pairs, then triples."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for n, k in counts.items():
         left[n] += k
     done = [((capacity,), int(left[capacity]))] if left[capacity] else []
     left[capacity] = 0
-    for first in range(capacity - 1, 0, -1):
-        while left[first] > 0:
-            left[first] -= 1
-            more = _filling(left, capacity - first, most)
-            left[first] += 1
-            if not more:
-                break
-            used = (first, *more)
-            times = min(int(left[n]) // used.count(n) for n in set(used))
-            for n in used:
-                left[n] -= times
-            done.append((used, times))
+    sums = Sums([n for n in counts if n < capacity], capacity)
+    for filling in (sums.single, sums.pair, sums.triple):
+        for first in range(capacity - 1, 0, -1):
+            while left[first] > 0:
+                left[first] -= 1
+                more = filling(left, capacity - first)
+                left[first] += 1
+                if not more:
+                    break
+                used = (first, *more)
+                times = min(int(left[n]) // used.count(n) for n in set(used))
+                if not times:
+                    break
+                for n in used:
+                    left[n] -= times
+                done.append((used, times))
+    return done
+
+
+def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths in one sequence, how often): the longest first, each into the fullest sequence that has room for it."""
     gaps: dict[int, list[tuple[tuple[int, ...], int]]] = {}
-    for n in range(capacity - 1, 0, -1):
-        todo = int(left[n])
+    for n in sorted(counts, reverse=True):
+        todo = counts[n]
         for gap in range(n, capacity):
             while todo and gaps.get(gap):
                 used, times = gaps[gap].pop()
@@ -160,7 +180,26 @@ def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[
             for k, m in ((each, todo // each), (todo % each, 1)):
                 if k and m:
                     gaps.setdefault(capacity - k * n, []).append(((n,) * k, m))
-    return done + [x for found in gaps.values() for x in found]
+    return [x for found in gaps.values() for x in found]
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths in one sequence, number of such sequences), for counts of pieces by length.
+
+    All combinations of one and two lengths are kept, and as many of the longer ones, in the order they were found, as
+    leave the fewest sequences in the end; the most of them if that is the same. Time and space go by the capacity, not by
+    the number of pieces, as every combination uses up a length.
+    """
+    filled = exact(counts, capacity)
+    sure = sum(len(used) <= 2 for used, _ in filled)
+    plans = []
+    for keep in sorted({sure + (len(filled) - sure) * k // STOPS for k in range(STOPS + 1)}, reverse=True):
+        left = dict(counts)
+        for used, times in filled[:keep]:
+            for n in used:
+                left[n] -= times
+        plans.append(filled[:keep] + best_fit({n: k for n, k in left.items() if k}, capacity))
+    return min(plans, key=lambda found: sum(times for _, times in found))
 
 
 def places(plans: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
@@ -177,27 +216,34 @@ def places(plans: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int
     return out
 
 
-def ranked(cut: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """cut with rank, a number from 0 among the pieces of the same length, each once."""
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
-    counts = cut.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
+def ranked(cut: DataFrame, buckets: DataFrame) -> DataFrame:
+    """cut with rank, a number from 0 among the pieces of the same length, each once; buckets(length, buckets) is short.
+
+    A bucket has a bounded number of rows, whatever the input, and numbers its own; the buckets' starts are a running sum.
+    """
+    dealt = cut.join(F.broadcast(buckets), "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "buckets"))
+    counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
     own = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
     starts = counts.select("length", "bucket", before.alias("before"))
-    # at most capacity * buckets rows, dealt by the window's own keys
-    return cut.withColumn("own", own).join(starts, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("own") - 1)
+    # dealt by the window's own keys
+    return dealt.withColumn("own", own).join(starts, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("own") - 1)
 
 
-def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def packed(cut: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Pieces (doc_id, piece, length, ...) with sequence_id and offset; sequences are gapless from offset 0.
 
     An empty table gives an empty result. cut has to be a stored table, as it is read twice.
     """
+    spark = cut.sparkSession
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most capacity rows
-    found = cut.sparkSession.createDataFrame(places(plan(counts, capacity)), "at_length int, first long, after long, base long, offset long")
-    # a plan has a few places for each length, whatever the input
+    buckets = spark.createDataFrame([(n, 1 + k // bucket_rows) for n, k in counts.items()], "length long, buckets long")
+    rows = places(plan(counts, capacity))
+    # every combination uses up a length or a gap, so a plan has a few places for each length, whatever the input
+    assert len(counts) <= capacity and len(rows) <= 64 * capacity
+    found = spark.createDataFrame(rows, "at_length int, first long, after long, base long, offset long")
     here = (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("after"))
-    return ranked(cut).join(F.broadcast(found), here).withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("first"))
+    return ranked(cut, buckets).join(F.broadcast(found), here).withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("first"))
 
 
 def pack(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
