@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,6 +25,8 @@ REMEMBERED = 200_000
 #: Pre-tokens of more symbols are merged one at a time.
 WIDEST = 128
 _NONE = np.iinfo(np.int64).max
+#: Texts of these characters alone are split here, which is faster; all others by the library.
+_PLAIN = re.compile(r"[\x00-\u024f]*")
 
 
 def byte_letters() -> list[str]:
@@ -39,6 +41,7 @@ class WordBpe:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             found = json.load(f)
@@ -47,9 +50,11 @@ class WordBpe:
         self.special = {x["content"]: x["id"] for x in found["added_tokens"]}
         split = found["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split)
+        self.library = Tokenizer.from_file(path)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         letters = byte_letters()
+        self.byte_of = {x: b for b, x in enumerate(letters)}
         self.inner = np.array([vocab[x] for x in letters], dtype=np.int64)
         self.last = np.array([vocab[x + end] for x in letters], dtype=np.int64)
         merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
@@ -174,13 +179,17 @@ class WordBpe:
         for part in self.specials.split(text) if "<|" in text else (text,):
             if part in self.special:
                 out.append(self.special[part])
-            elif part:
-                if not part.isascii():
-                    # each letter by itself: the last sigma of a word is no special case
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            elif _PLAIN.fullmatch(part):
                 out += self.words.findall(part.lower())
+            elif part:
+                out += self.library_split(part)
         return out
 
+    def library_split(self, text: str) -> list[str]:
+        """Pre-tokens by the library's own normalizer and splitter, which go by their own editions of Unicode."""
+        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes([self.byte_of[x] for x in letters]).decode() for letters, _ in found]
+
     def decode(self, ids) -> str:
         return " ".join([self.tokens[i] for i in ids])
 

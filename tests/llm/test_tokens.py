@@ -1,6 +1,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -74,6 +75,22 @@ def test_bpe_on_the_table(spark, words_file):
     assert got == {i: hashlib.sha256(" ".join(map(str, lib.encode(t, add_special_tokens=False).ids)).encode()).hexdigest() for i, t in enumerate(sample_texts())}
 
 
+def test_every_code_point_splits_as_in_the_library(words_file):
+    path, lib = words_file
+    bpe = segment_bpe.WordBpe(path)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rng = random.Random(3)
+    texts = [f"a{chr(c)}b" for c in points if c < 0x20000 or c % 97 == 0]
+    texts += [f"e{chr(c)}" for c in range(0x300, 0x370)] + ["".join(chr(rng.choice(points)) for _ in range(8)) for _ in range(3000)]
+    for k in range(0, len(texts), 20_000):
+        part = texts[k : k + 20_000]
+        found = [bpe.split(x) for x in part]
+        words = sorted({w for x in found for w in x})
+        ids = dict(zip(words, bpe.merge(words)))
+        want = lib.encode_batch(part, add_special_tokens=False)
+        assert [x for x, f, w in zip(part, found, want) if [i for t in f for i in ids[t]] != w.ids] == []
+
+
 def test_both_trees_merge_alike(words_file):
     bpe = segment_bpe.WordBpe(words_file[0])
     rng = random.Random(2)
@@ -123,6 +140,18 @@ def test_packing_the_table_is_near_the_bound(spark):
     assert n <= 1.03 * sum(r.length for r in rows) / 1024 + 1
 
 
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", " \n"])
+def test_a_million_blanks_are_packed(spark, blank):
+    args = [public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN]
+    text = "x" + blank * (1_000_000 // len(blank)) + "y"
+    encode = packing.encoder(*args)
+    assert encode(text).tolist() == reference_ids(text)[:-1]
+    if blank == " ":
+        rows = packing.pack(spark.createDataFrame([(1, text), (2, "a")], "doc_id long, text string"), *args).collect()
+        assert sum(r.length for r in rows if r.doc_id == 1) == len(reference_ids(text))
+        gapless(rows)
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_plans_use_every_piece_once(seed):
     rng = random.Random(seed)
@@ -141,3 +170,53 @@ def test_plans_use_every_piece_once(seed):
 
 def test_exact_complements_come_first():
     assert sorted(packing.plan({60: 3, 4: 2, 20: 3, 24: 1}, 64)) == sorted([((60, 4), 2), ((24, 20, 20), 1), ((60,), 1), ((20,), 1)])
+
+
+def fewest(lengths, capacity):
+    """The fewest sequences for these pieces, by trying all ways."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def put(i, gaps):
+        if len(gaps) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(gaps)
+            return
+        for g in sorted(set(gaps)):
+            if g >= lengths[i]:
+                rest = list(gaps)
+                rest.remove(g)
+                put(i + 1, [*rest, g - lengths[i]])
+        put(i + 1, [*gaps, capacity - lengths[i]])
+
+    put(0, [])
+    return best[0]
+
+
+def test_small_plans_are_near_the_fewest():
+    rng, over = random.Random(11), []
+    for _ in range(150):
+        lengths = [rng.randrange(1, 21) for _ in range(rng.randrange(1, 11))]
+        n = sum(t for _, t in packing.plan(Counter(lengths), 20))
+        over.append(n - fewest(lengths, 20))
+    assert set(over) <= {0, 1} and sum(over) <= 6
+
+
+def test_full_sequences_are_found_through_pairs_and_triples():
+    rng = random.Random(12)
+    for parts in (2, 3, 4):
+        lengths = []
+        for _ in range(400):
+            cuts = sorted(rng.sample(range(1, 256), parts - 1))
+            lengths += [b - a for a, b in zip([0, *cuts], [*cuts, 256])]
+        filled = packing.exact(Counter(lengths), 256)
+        assert sum(t for used, t in filled if len(used) == min(parts, 3)) > 50
+        assert sum(t for _, t in packing.plan(Counter(lengths), 256)) <= 402
+
+
+@pytest.mark.parametrize("rows", [1, 50])
+def test_ranks_in_buckets_of_any_size(spark, rows):
+    lengths = [64] * 700 + [40] * 30 + [24] * 31 + [1] * 9
+    cut = spark.createDataFrame([(i // 2, i % 2, n, i) for i, n in enumerate(lengths)], "doc_id long, piece int, length long, ids_crc32 long").repartition(3)
+    found = packing.packed(cut, 64, rows).collect()
+    assert len(found) == len(lengths) and gapless(found) == 700 + 30 + 1
