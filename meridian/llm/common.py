@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import ctypes
 import functools
 import gc
@@ -29,39 +30,52 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    The session names it in spark.checkpoint.dir. Only where that is unset (tests on one machine)
-    does this make a folder of its own, which goes when Python ends.
+    The session names it in spark.checkpoint.dir. Only where that is unset and all runs in one process (tests) does this
+    make a folder of its own, which goes when Python ends; on a cluster each executor would write to its own disk.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='meridian-')}"
         atexit.register(shutil.rmtree, found.removeprefix("file://"), True)
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
-#: Paths of stored tables, by the list that a stage collects them in.
-_collecting: list[list[str]] = []
+#: The lists, of this thread's callers, that get the paths of stored tables.
+_collecting: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("collecting", default=())
+
+
+def _place(spark: SparkSession, path: str):
+    """The path for Hadoop, and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back: short lineage that outlives any executor."""
+    """df written to the shared folder and read back: short lineage that outlives any executor.
+
+    The table goes when the driver ends, if nothing removes it before.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/meridian/{uuid.uuid4().hex}"
-    for paths in _collecting:
+    for paths in _collecting.get():
         paths.append(path)
     df.write.parquet(path)
+    place, files = _place(spark, path)
+    files.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager
 def collecting(paths: list[str]):
-    """Adds to paths what durable() stores meanwhile."""
-    _collecting.append(paths)
+    """Adds to paths what durable() stores meanwhile in this thread."""
+    token = _collecting.set((*_collecting.get(), paths))
     try:
         yield
     finally:
-        _collecting.remove(paths)
+        _collecting.reset(token)
 
 
 def remove_tables(spark: SparkSession, paths: list[str], still_read: DataFrame) -> None:
@@ -69,8 +83,8 @@ def remove_tables(spark: SparkSession, paths: list[str], still_read: DataFrame)
     files = still_read.inputFiles()
     for path in list(paths):
         if not any(path.rpartition("/")[2] in f for f in files):
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+            place, at = _place(spark, path)
+            at.delete(place, True)
             paths.remove(path)
 
 

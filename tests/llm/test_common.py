@@ -1,6 +1,7 @@
 import os
 
 import pyarrow as pa
+import pytest
 
 from meridian.llm import common, sampling
 
@@ -40,3 +41,28 @@ def test_smaller_batches_stay(spark):
     common.batched(lambda x: x)
     assert spark.conf.get(key) == str(common.BATCH_ROWS)
     spark.conf.set(key, old)
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    for given, want in (("64m", str(common.BATCH_BYTES)), ("1m", "1m"), ("2000b", "2000b")):
+        spark.conf.set(key, given)
+        common.batched(lambda x: x)
+        assert spark.conf.get(key) == want
+    spark.conf.set(key, old)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="share"):
+        common.shared_dir(Session())

@@ -27,6 +27,12 @@ def test_viterbi_finds_the_best_path():
         assert abs(value(part, path[a:b].tolist()) - best) < 1e-9
 
 
+def test_more_languages_than_a_byte_can_number():
+    scores = np.zeros((6, 300))
+    scores[:3, 280] = scores[3:, 299] = 50.0
+    assert langid.viterbi(scores, np.array([0, 6]), 2.0).tolist() == [280] * 3 + [299] * 3
+
+
 def test_languages_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{BIGGER}/documents.parquet")
     rows = queries.op5_language_spans(spark, BIGGER).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
