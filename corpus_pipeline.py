@@ -7,6 +7,7 @@ the columns of docs as they came.
 
 from __future__ import annotations
 
+import contextvars
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,19 +20,24 @@ from meridian.llm.common import collecting, durable, read_table, remove_tables
 LEAST_LANGUAGE_SHARE = 0.5
 
 
-_stored: list[str] = []
+#: Paths of what the stages before have stored, for each thread its own.
+_stored: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("stored", default=())
 
 
 def stage(fn):
-    """A stage that first removes what earlier stages stored on the way to their results.
+    """A stage that first removes what earlier stages of this thread stored on the way to their results.
 
-    By then the result is written and read again. What docs still reads from, as it wasn't, stays.
+    By then the result is written and read again. What docs still reads from, as it wasn't, stays. Another thread's run has
+    a list of its own.
     """
 
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        remove_tables(spark, _stored, docs)
-        with collecting(_stored):
+        if not _stored.get():
+            _stored.set(([],))
+        (paths,) = _stored.get()
+        remove_tables(spark, paths, docs)
+        with collecting(paths):
             return fn(spark, docs, sf_dir)
 
     return run_stage
@@ -39,7 +45,11 @@ def stage(fn):
 
 @stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules, and those of hosts whose shrunken failure rate is too high."""
+    """Drops documents that fail the base rules, and those of hosts whose shrunken failure rate is too high.
+
+    A null text has no words and goes; a null source is no host. Repeated rows are judged each by itself, an empty table
+    stays empty, and other columns go along.
+    """
     return host_rules.judged(docs, carry=True).filter("kept").select("row.*")
 
 
@@ -48,7 +58,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter and those that no language has most of; lang becomes what was found.
 
     The model learns from the documents that have a lang. If none has one, nothing can be found: only documents without
-    a letter go, and lang stays as it was.
+    a letter go, and lang stays as it was. A null text has no letter. Repeated rows are labelled each by itself, an empty
+    table stays empty, and other columns go along.
     """
     model = langid.fit(docs)
     if not model.langs:
@@ -60,7 +71,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, that of the smallest doc_id."""
+    """Keeps one document of each group of near-duplicates, that of the smallest doc_id.
+
+    A null text counts as empty, and texts without words are copies of each other. Repeated rows are one document, a row
+    without doc_id stays only if no other text like it has one, and an empty table stays empty.
+    """
     return simhash.one_of_each(docs)
 
 
@@ -68,7 +83,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that a document with a smaller doc_id has too; a document of which nothing is left goes.
 
-    n_chars follows the text.
+    n_chars follows the text; a null text becomes an empty one. Repeated rows don't act on each other, a null doc_id neither
+    cuts nor is cut, an empty table stays empty, and other columns go along.
     """
     cut = suffix_runs.deduplicated(docs, as_text=True).filter((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_removed") == 0))
     new = {"text": F.col("kept"), "n_chars": F.when(F.col("row.n_chars").isNotNull(), F.length("kept")).cast("long")}
@@ -77,7 +93,11 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 @stage
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of at most 1024 tokens."""
+    """Token pieces in sequences of at most 1024 tokens.
+
+    A null text counts as empty and is one piece, its end id. Repeated rows are pieces each by itself, an empty table gives
+    an empty result, and other columns are left behind.
+    """
     return queries.packed(docs)
 
 
@@ -94,7 +114,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
+    """All stages over the documents of sf_dir; runs in several threads don't touch each other's tables."""
     docs = read_table(spark, sf_dir, "documents")
     for _, step in STAGES:
         docs = durable(step(spark, docs, sf_dir))
