@@ -51,6 +51,18 @@ def clean_text(c) -> Column:
     return F.trim(F.regexp_replace(decoded, r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
 
 
+def clean_texts(c) -> Column:
+    """clean_text of each string of an array; Python only sees arrays with an ampersand."""
+
+    @F.pandas_udf("array<string>")
+    def unescaped(s: pd.Series) -> pd.Series:
+        return s.map(lambda xs: None if xs is None else [None if x is None else html.unescape(x) for x in xs])
+
+    bare = F.transform(col(c), lambda x: F.regexp_replace(x, "<[^>]+>", ""))
+    decoded = F.when(F.exists(bare, lambda x: F.coalesce(x.contains("&"), F.lit(False))), unescaped(bare)).otherwise(bare)
+    return F.transform(decoded, lambda x: F.trim(F.regexp_replace(F.translate(x, INVISIBLE, ""), r"[\s\x1c-\x1f\x85\p{Z}]+", " ")))
+
+
 def paragraphs(c) -> Column:
     """Paragraphs of an array that hold something, joined by an empty line."""
     return F.array_join(F.filter(F.transform(col(c), lambda x: F.trim(x)), lambda x: x != ""), "\n\n")

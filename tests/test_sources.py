@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from meridian.sources import feeds, files, pages
+from meridian.sources import blocks, feeds, files, pages
 
 RSS2 = """<?xml version="1.0"?><rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:media="http://search.yahoo.com/mrss/" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>Chan</title>
 <item><title>One</title><link>https://x.org/world/one</link><guid isPermaLink="false">g1</guid><pubDate>Thu, 05 Nov 2026 09:00:00 GMT</pubDate><description><![CDATA[<p>A &amp; B</p>]]></description>
@@ -45,6 +45,9 @@ def test_third_party_rules(spark):
         ("taiwantoday", [], [], None, "news", None, True),
         ("vanguard", [], [], None, "x", "said (NAN)", True),
         ("unlisted", ["Reuters"], [], None, "", None, False),
+        ("kyivpost", ["The Associated Press"], [], None, "", None, False),
+        ("courthousenews", ["The Associated Press"], [], None, "", None, True),
+        (None, None, None, None, None, None, False),
     ]
     df = spark.createDataFrame([r[:6] for r in rows], kind)
     assert [r.x for r in df.select(feeds.third_party("slug").alias("x")).collect()] == [r[6] for r in rows]
@@ -91,12 +94,85 @@ def test_block_text(spark):
         {"type": "links"},
         block("text", para("After", attributes=["italic"])),
     ]
-    assert pages.block_text(pages.block_entries(contents)) == "First.\n\nHead\n\nItem\n\nLast.\n\nCorrection"
-    assert pages.block_text(pages.block_entries([block("text", para("Only"), suitableForAbridgement=False)])) == "Only"
-    assert pages.block_text(pages.block_entries([block("text", para("Go", "urlLink"))])) is None
-    html = f'<html><script id="__NEXT_DATA__" type="application/json">{json.dumps({"props": {"contents": contents}})}</script></html>'
-    df = spark.createDataFrame([(1, html), (2, "<html/>")], "i int, h string")
-    assert [r.x for r in df.select("i", pages.block_pages("h").alias("x")).orderBy("i").collect()] == ["First.\n\nHead\n\nItem\n\nLast.\n\nCorrection", None]
+    only = [block("text", para("Only"), suitableForAbridgement=False)]
+    links = [block("text", para("Go", "urlLink"))]
+    got = texts(spark, contents, only, links, [])
+    assert got == ["First.\n\nHead\n\nItem\n\nLast.\n\nCorrection", "Only", None, None]
+    df = spark.createDataFrame([(2, "<html/>"), (3, None), (4, next_data("broken")), (5, next_data({"props": {"pageProps": {"page": {"x": 5}}}}))], "i int, h string")
+    assert [(r.text, r.authors) for r in blocks.block_pages(df, "h").collect()] == [(None, None)] * 4
+
+
+def next_data(value):
+    return f'<html><script id="__NEXT_DATA__" type="application/json">{value if isinstance(value, str) else json.dumps(value)}</script></html>'
+
+
+def texts(spark, *contents):
+    rows = [(i, next_data({"props": {"pageProps": {"page": {"@\"news\",": {"contents": c}}}}})) for i, c in enumerate(contents)]
+    return [r.text for r in blocks.block_pages(spark.createDataFrame(rows, "i int, h string"), "h").orderBy("i").collect()]
+
+
+def test_blocks_that_are_odd(spark):
+    italic = {"type": "fragment", "model": {"text": "leaning", "attributes": ["italic"]}}
+    link = {"type": "urlLink", "model": {"text": "a link", "blocks": [{"type": "fragment", "model": {"text": "a link"}}]}}
+    mixed = {"type": "paragraph", "model": {"text": "leaning a link", "blocks": [italic, link]}}
+    leaning = {"type": "paragraph", "model": {"text": "leaning a link", "blocks": [italic, block("urlLink", italic, text="x")]}}
+    first, stop = block("text", para("First.")), {"type": "links"}
+    got = texts(
+        spark,
+        ["junk", 5, None, block("text", "junk", 7, para("Said &amp; <b>done</b>"), {"type": "paragraph", "model": {"text": "Odd", "blocks": ["x", 1, {"model": 3}]}})],
+        [first, stop, block("text", mixed)],  # an upright link makes it an ordinary paragraph, which the body reaches
+        [first, stop, block("text", leaning)],
+        [first, block("text", block("text", para("within")))],  # a text block inside one is none of its paragraphs
+        [first, block("text", {"type": "orderedList", "model": {"blocks": ["junk", block("listItem", para("one"), para("two"))]}})],
+        [first, {"type": "crosshead", "model": {"blocks": [block("text", para("Last head"))]}}],
+    )
+    assert got == ["Said & done\n\nOdd", "First.\n\nleaning a link", "First.", "First.", "First.\n\none\n\ntwo", "First."]
+
+
+def test_fields_of_block_pages(spark):
+    person = lambda **k: block("contributor", *(block(kind, block("text", para(text))) for kind, text in k.items()))
+    contents = [block("byline", person(name="Ann Lee and Bo Ek", role="Editor"), "junk", person(role="nobody"), person(name="Cy", location="Oslo")), block("text", para("One two three."))]
+    props = {
+        "type": "article",
+        "metadata": {"firstPublished": 1762333200123, "lastPublished": 1762333300000, "contributors": "  ", "seoHeadline": "A &amp; B", "wordCount": 9, "pillar": [{"title": "News"}, {}, 3], "indexImage": {"originalSrc": "o.jpg", "blocks": [{"type": "x"}, {"type": "rawImage", "model": {"copyrightHolder": "C"}}]}, "videoMetadata": {"id": "p1", "versions": ["x", {"duration": 61}]}},
+        "analytics": {"contentId": "urn:1", "language": "en"},
+        "page": {"k": {"contents": contents, "topics": [{"title": "T", "id": "7", "isEvent": True}, {"title": ""}, "x"], "section": [{"title": "World", "url": "/w"}]}},
+    }
+    ld = '<script data-x type="application/ld+json">{"author": [{"name": " Di  Ek "}, "x", {"name": ""}]}</script><script type="application/ld+json">{broken</script>'
+    bare = {**props, "metadata": {}, "page": {"k": {"contents": contents[1:]}}}
+    rows = [(0, next_data({"props": {"pageProps": props}}) + ld), (1, next_data({"props": {"pageProps": bare}}) + ld)]
+    one, two = blocks.block_pages(spark.createDataFrame(rows, "i int, h string"), "h").orderBy("i").collect()
+    assert [tuple(a) for a in one.authors] == [("Ann Lee and Bo Ek", "Editor", None), ("Cy", None, "Oslo")] and one.author == "Ann Lee and Bo Ek"
+    assert (one.published, one.updated, one.page_last_updated) == ("2025-11-05T09:00:00.123Z", "2025-11-05T09:01:40.000Z", None)
+    assert (one.word_count, one.stated_word_count, one.seo_headline, one.content_id, one.page_type, one.language, one.producer) == (3, 9, "A & B", "urn:1", "article", "en", None)
+    assert [tuple(t) for t in one.topics] == [("T", "7", None, True)] and [tuple(x) for x in one.page_section] == [("World", "/w")] and one.pillar == ["News"]
+    assert (one.image_original, one.image_copyright, one.video_pid, one.video_duration_seconds) == ("o.jpg", "C", "p1", 61)
+    assert [tuple(a) for a in two.authors] == [("Di Ek", None, None)] and (two.author, two.text, two.published, two.topics) == ("Di Ek", "One two three.", None, [])
+
+
+def test_content_pages(spark):
+    fusion = lambda result: f"<script>x=1;Fusion.globalContent = {json.dumps({'result': result})};Fusion.y={{}};</script>"
+    ld = lambda value: f'<script type="application/ld+json">{json.dumps(value)}</script>'
+    marked = '<div data-testid="paragraph-0">One <b>b</b> &amp; c</div><p data-testid="paragraph-1"><span data-testid="paragraph-9">in</span></p><div data-testid="x">no</div>'
+    taxonomy = {"tags": [{"is_topic": True, "short_bio": "War"}, {"is_topic": False, "short_bio": "No"}, "x"], "n2": [{"code": "A", "name": "Aa"}, {}], "other_sections": [{"name": "World"}], "keywords": ["k", 5]}
+    elements = [{"type": "text", "content": " First <i>one</i>"}, {"content": {"basic": "Second"}}, {"type": "image", "content": "no"}, {"type": "header", "text": "Third"}, "junk", {"type": "paragraph", "content": ""}]
+    rows = [
+        fusion({"content_elements": elements, "taxonomy": taxonomy, "additional_properties": {"article_properties": {"place": "KYIV"}}}) + ld({"articleBody": "not this"}),
+        fusion({"body": "l1\n\nl2\u2028l3", "taxonomy": {}, "additional_properties": {"article_properties": {"place": "Sept 14 (Wire)"}}}),
+        fusion({"content_elements": []}) + ld([{"x": 1}, {"articleBody": "a\nb"}]),
+        ld({"@type": "LiveBlogPosting", "liveBlogUpdate": [{"headline": "H1", "articleBody": "B1"}, "x", {"headline": "H2"}]}) + marked,
+        "<script>Fusion.globalContent={broken</script>" + marked,
+        "<html/>",
+        None,
+    ]
+    got = blocks.content_pages(spark.createDataFrame(list(enumerate(rows)), "i int, h string"), "h", "Wire").orderBy("i").collect()
+    assert [r.text for r in got] == ["First one\n\nSecond\n\nThird", "l1\n\nl2\n\nl3", "a\n\nb", "H1\n\nB1\n\nH2", "One b & c\n\nin", None, None]
+    one = got[0]
+    assert (one.topics, [tuple(x) for x in one.subjects], one.sections, one.keywords, one.place) == (["War"], [("A", "Aa")], ["World"], ["k"], "KYIV")
+    assert (got[1].topics, got[1].place, got[2].topics) == ([], None, None)
+    article = {"kicker": {"names": ["World", 3]}, "primary_tag": {"short_bio": "", "text": "T"}, "ad_topics": ["a", "b", "a"]}
+    df = spark.createDataFrame([(json.dumps(article),), ("5",)], "j string").select(blocks.listing_labels(F.try_parse_json("j")).alias("x"))
+    assert [tuple(r.x) for r in df.collect()] == [(["World"], "T", ["a", "b"]), ([], None, [])]
 
 
 PAGE = """<html><head><meta property="og:title" content="Title"><meta property="article:tag" content="x"><script type="application/ld+json">{"headline": "LD", "articleBody": "one\\ntwo", "author": {"name": "Ann"}, "datePublished": "2026-11-05"}</script></head>
