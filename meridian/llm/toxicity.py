@@ -1,18 +1,21 @@
 """A toxicity classifier that neutral mentions of groups don't set off.
 
 A logistic model over the words of a document, the beginnings of its words, and identity terms. Words and
-beginnings are features if their rates differ clearly between the labels in a bounded sample. For each labelled sentence
-with an identity term, the loss adds the square of what swapping the term for another of its kind would change in the
-logit, so the terms end with nearly the same weight whatever company they keep in the sample.
+beginnings are features if their rates differ clearly between the labels in a bounded sample. Each labelled sentence with an
+identity term is also written with every other term of its kind in its place; the loss adds the square of what each
+such swap changes in the sentence's logit, so the terms end with nearly the same weight whatever company they keep in the
+sample.
 
-All that reaches the driver is bounded by the sample's parameters; every text is scored whole.
+All that reaches the driver is bounded by the size of the sample; every text is scored whole.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +27,6 @@ from meridian.llm.sampling import sample_ids, sample_texts
 
 #: Labelled documents to learn from, at most.
 MOST_SAMPLE = 6000
-#: Words and beginnings that the model has weights for, at most, besides identity terms.
-MOST_FEATURES = 400
 #: Lengths of the beginnings.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Log-odds of a feature between the labels, in standard errors, that make it one.
@@ -78,54 +79,90 @@ class Model:
         return float(1 / (1 + np.exp(-logit)))
 
 
-def swap_penalty(names: list[str], said: dict[str, int], terms: dict[str, list[str]]) -> np.ndarray:
-    """The matrix A for which w A w is the mean squared change of the logit over all swaps in labelled sentences.
+def features_of(text: str, identity: set[str]) -> set[str]:
+    """The words of a text and the beginnings of all but identity terms, which count as themselves only."""
+    words = words_of(text)
+    return words | beginnings(words - identity)
 
-    said: the number of labelled sentences with each term. The model is linear, so a swap changes the logit by the
-    difference of the two terms' weights, whatever else the sentence says.
-    """
-    at = {w: i for i, w in enumerate(names)}
-    out = np.zeros((len(names), len(names)))
-    for kind in terms.values():
-        for own in kind:
-            for other in kind:
-                if other != own and said.get(own):
-                    share = said[own] / (len(kind) - 1)
-                    i, j = at[own], at[other]
-                    out[i, i] += share
-                    out[j, j] += share
-                    out[i, j] -= share
-                    out[j, i] -= share
-    return out / max(1, sum(said.values()))
-
-
-def fit_weights(rows: list[tuple[list[str], int]], said: dict[str, int], terms: dict[str, list[str]], swap: float, ridge: float, steps: int = 30) -> Model:
-    """A model from (features of a document, 1 if toxic else 0): least mean log loss plus ridge * |w|^2 plus swap * swap_penalty.
-
-    Newton's method in driver memory; rows and features are bounded.
+
+def swapped(sentence: str, own: str, other: str) -> str:
+    """The sentence, lower-cased, with another term wherever it has one."""
+    return re.sub(rf"(?<![^\W_]){re.escape(own)}(?![^\W_])", other, sentence.lower())
+
+
+def swaps_of(text: str, terms: dict[str, list[str]]) -> Counter[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """(features lost, features won) of all swaps in the sentences of a text; the swaps of one mention share a weight of 1."""
+    identity = {w for kind in terms.values() for w in kind}
+    out: Counter = Counter()
+    for sentence in _STOP.split(text):
+        for own in words_of(sentence) & identity:
+            here = features_of(sentence, identity)
+            others = [w for kind in terms.values() if own in kind for w in kind if w != own]
+            for other in others:
+                there = features_of(swapped(sentence, own, other), identity)
+                out[tuple(sorted(here - there)), tuple(sorted(there - here))] += 1 / len(others)
+    return out
+
+
+def _solved(curve, slope: np.ndarray, diagonal: np.ndarray, steps: int = 200) -> np.ndarray:
+    """x with curve(x) = slope, nearly, by conjugate gradients."""
+    x, rest = np.zeros_like(slope), slope.copy()
+    scaled = rest / diagonal
+    way, size = scaled.copy(), rest @ scaled
+    for _ in range(steps):
+        if rest @ rest <= 1e-8 * (slope @ slope):
+            break
+        bent = curve(way)
+        step = size / (way @ bent)
+        x += step * way
+        rest -= step * bent
+        scaled = rest / diagonal
+        size, old = rest @ scaled, size
+        way = scaled + size / old * way
+    return x
+
+
+def fit_weights(rows: list[tuple[list[int], int]], names: list[str], swaps: list[tuple[list[int], list[int], float]], identity: set[str], swap: float, ridge: float, steps: int = 60) -> Model:
+    """A model from (features of a document, by place in names, 1 if toxic else 0), and (features lost, features won, weight) of swaps.
+
+    It has the least mean log loss plus ridge * |w|^2 plus swap times the mean squared change of the logit over all swaps.
+    Newton's method with sparse products in driver memory, which the sample bounds.
     """
     if not rows:
         return Model()
-    names = sorted({w for words, _ in rows for w in words} | {w for kind in terms.values() for w in kind})
-    at = {w: i for i, w in enumerate(names)}
-    x = np.zeros((len(rows), len(names) + 1))
-    x[:, -1] = 1
-    for k, (words, _) in enumerate(rows):
-        x[k, [at[w] for w in words]] = 1
+    n, f = len(rows), len(names)
+    row = np.repeat(np.arange(n), [len(x) for x, _ in rows])
+    col = np.fromiter(chain.from_iterable(x for x, _ in rows), dtype=np.int64, count=len(row))
     y = np.array([v for _, v in rows], dtype=float)
-    penalty = np.zeros((len(names) + 1, len(names) + 1))
-    penalty[:-1, :-1] = 2 * swap * swap_penalty(names, said, terms) + 2 * ridge * np.eye(len(names))
-    penalty[-1, -1] = 1e-6
-    w = np.zeros(len(names) + 1)
+    at = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b, _ in swaps]).astype(np.int64)
+    term = np.fromiter(chain.from_iterable(a + b for a, b, _ in swaps), dtype=np.int64, count=len(at))
+    sign = np.fromiter(chain.from_iterable([-1.0] * len(a) + [1.0] * len(b) for a, b, _ in swaps), dtype=float, count=len(at))
+    share = np.array([x for _, _, x in swaps], dtype=float)
+    share *= swap / max(1e-9, share.sum())
+    hold = np.append(np.full(f, ridge), 5e-7)
+
+    logits = lambda v: np.bincount(row, v[col], n) + v[-1]
+    back = lambda r: np.append(np.bincount(col, r[row], f), r.sum()) / n
+    changes = lambda v: np.bincount(at, sign * v[term], len(swaps))
+    held = lambda v: 2 * hold * v + 2 * np.append(np.bincount(term, sign * (share * changes(v))[at], f), 0)
+
+    def loss(v: np.ndarray) -> float:
+        z = logits(v)
+        return float(np.mean(np.logaddexp(0, z) - y * z) + hold @ (v * v) + share @ changes(v) ** 2)
+
+    w = np.zeros(f + 1)
+    fixed = 2 * hold + 2 * np.append(np.bincount(term, share[at], f), 0)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-(x @ w)))
-        slope = x.T @ (p - y) / len(y) + penalty @ w
-        curve = (x.T * (p * (1 - p) / len(y))) @ x + penalty
-        move = np.linalg.solve(curve, slope)
-        w -= np.clip(move, -3, 3)
-        if np.abs(move).max() < 1e-4:
+        p = 1 / (1 + np.exp(-logits(w)))
+        slope, bend = back(p - y) + held(w), p * (1 - p)
+        if np.abs(slope).max() < 1e-8:
             break
-    return Model(float(w[-1]), {n: float(v) for n, v in zip(names, w, strict=False)}, frozenset(w for kind in terms.values() for w in kind))
+        move = _solved(lambda v: back(bend * logits(v)) + held(v), slope, back(bend) + fixed)  # noqa: B023
+        now, step = loss(w), 1.0
+        while step > 1e-6 and loss(w - step * move) > now - 1e-4 * step * (slope @ move):
+            step /= 2
+        w -= step * move
+    return Model(float(w[-1]), {x: float(v) for x, v in zip(names, w, strict=False)}, frozenset(identity))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLE, terms: dict[str, list[str]] | None = None, swap: float = 10.0, ridge: float = 1e-4) -> Model:
@@ -133,27 +170,36 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_SAMPLE, terms: dict
     terms = IDENTITY_TERMS if terms is None else terms
     identity = {w for kind in terms.values() for w in kind}
     ids = sample_ids(labels.select("doc_id", F.col("toxic").alias("label")), most)
+    words = pa.list_(pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("lost", words), ("won", words), ("share", pa.float64())]))
         for part in slices(batches, "text"):
             texts = [x or "" for x in part.column("text").to_pylist()]
-            found = [sorted((words := words_of(x)) | beginnings(words - identity)) for x in texts]
-            mentions = [[w for s in _STOP.split(x) for w in words_of(s) & identity] for x in texts]
-            kind = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([part.column("label").cast(pa.int32()), pa.array(found, kind), pa.array(mentions, kind)], ["label", "features", "mentions"])
+            found = [sorted(features_of(x, identity)) for x in texts]
+            swaps = [[{"lost": list(a), "won": list(b), "share": n} for (a, b), n in swaps_of(x, terms).items()] for x in texts]
+            yield pa.RecordBatch.from_arrays([part.column("label").cast(pa.int32()), pa.array(found, words), pa.array(swaps, kind)], ["label", "features", "swaps"])
 
-    read = durable(sample_texts(docs, ids, most).mapInArrow(batched(run), "label int, features array<string>, mentions array<string>"))
+    shape = "label int, features array<string>, swaps array<struct<lost: array<string>, won: array<string>, share: double>>"
+    read = durable(sample_texts(docs, ids, most).mapInArrow(batched(run), shape))
     whole = read.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("p"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = whole["p"] + 0.5, whole["n"] - whole["p"] + 0.5
     counts = read.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n"))
     p, n = F.col("p") + 0.5, F.col("n") - F.col("p") + 0.5
     clear = F.abs(F.log(p / F.lit(toxic)) - F.log(n / F.lit(clean))) / F.sqrt(1 / p + 1 / n)
-    chosen = counts.withColumn("clear", clear).filter((F.col("clear") >= CLEAR) & (F.col("n") >= 5)).orderBy(F.desc("clear"), "feature").limit(MOST_FEATURES)
-    own = {r["feature"] for r in chosen.collect()} | identity
-    kept = F.filter("features", lambda w: w.isin(sorted(own)))
-    rows = read.select("label", kept.alias("features")).collect()  # at most `most` rows of at most MOST_FEATURES and the terms
-    said = read.select(F.explode("mentions").alias("term")).groupBy("term").count().collect()
-    return fit_weights([(r["features"], r["label"]) for r in rows], {r["term"]: r["count"] for r in said}, terms, swap, ridge)
+    chosen = counts.filter((clear >= CLEAR) & (F.col("n") >= 5)).select("feature").collect()  # the sample's words at most
+    swaps = read.select(F.explode("swaps").alias("s")).groupBy("s.lost", "s.won").agg(F.sum("s.share").alias("share")).collect()  # pairs of terms
+    names = sorted({r["feature"] for r in chosen} | identity)
+    place = {x: i for i, x in enumerate(names)}
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[place[x] for x in xs if x in place] for xs in batch.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.int32()))], ["label", "features"])
+
+    rows = read.select("label", "features").mapInArrow(batched(numbered), "label int, features array<int>").collect()  # at most `most`
+    moved = [([place[x] for x in r["lost"] if x in place], [place[x] for x in r["won"] if x in place], r["share"]) for r in sorted(swaps, key=lambda r: (r["lost"], r["won"]))]
+    return fit_weights([(r["features"], r["label"]) for r in rows], names, moved, identity, swap, ridge)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,5 +1,8 @@
 import itertools
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -107,6 +110,68 @@ def test_swaps_even_out_identity_terms(spark):
     assert held.score("what a vile and rotten thing") > 0.5
 
 
+def by_hand(docs, labels):
+    """score of each document: sentences swapped one by one, a dense matrix, Newton's method with all of it."""
+    terms, texts = toxicity.IDENTITY_TERMS, dict(docs)
+    identity = {w for kind in terms.values() for w in kind}
+    words = lambda t: set(re.findall(r"[^\W_]+", t.lower()))
+    marks = lambda t: words(t) | {w[:k] + "-" for w in words(t) - identity for k in (4, 5, 6, 7, 8) if len(w) >= k}
+    learn = [(marks(texts[i]), y, texts[i]) for i, y in labels if zlib.crc32(str(i).encode()) % 5]
+    n, toxic = len(learn), sum(y for _, y, _ in learn)
+    names = set(identity)
+    for x in set().union(*(m for m, _, _ in learn)):
+        p, k = sum(y for m, y, _ in learn if x in m), sum(x in m for m, _, _ in learn)
+        z = abs(math.log((p + 0.5) / (toxic + 0.5)) - math.log((k - p + 0.5) / (n - toxic + 0.5))) / math.sqrt(1 / (p + 0.5) + 1 / (k - p + 0.5))
+        if z >= toxicity.CLEAR and k >= 5:
+            names.add(x)
+    names = sorted(names)
+    vector = lambda t: np.array([x in marks(t) for x in names] + [True], dtype=float)
+    x, y = np.array([vector(t) for _, _, t in learn]), np.array([v for _, v, _ in learn])
+    moved, weights = [], []
+    for _, _, t in learn:
+        for sentence in re.split(r"[.!?\n]+", t):
+            for own in words(sentence) & identity:
+                kind = next(k for k in terms.values() if own in k)
+                for other in kind:
+                    if other != own:
+                        again = " ".join(other if w == own else w for w in re.findall(r"[^\W_]+", sentence.lower()))
+                        moved.append(vector(again) - vector(sentence))
+                        weights.append(1 / (len(kind) - 1))
+    moved, weights = np.array(moved), np.array(weights) / sum(weights)
+    hold = 2 * np.diag([1e-4] * len(names) + [5e-7]) + 2 * 10.0 * (moved.T * weights) @ moved
+    w = np.zeros(len(names) + 1)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= 0.7 * np.linalg.solve((x.T * (p * (1 - p) / n)) @ x + hold, x.T @ (p - y) / n + hold @ w)
+    return {i: 1 / (1 + np.exp(-vector(t) @ w)) for i, t in docs}
+
+
+def test_the_query_on_tables_with_identity_terms(spark, tmp_path):
+    docs, labels = biased()
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = {r.doc_id: r for r in queries.op7_toxicity(spark, str(tmp_path)).collect()}
+    want = by_hand(docs, labels)
+    assert len(rows) == len(docs) and all(abs(rows[i].score - want[i]) < 1e-3 for i in want)
+    mentions = [i for i, t in docs if rows[i].held_out and "muslims" in t and not any(x in t for x in ("vile", "rotten", "filthy"))]
+    clean = {i for i, y in labels if not y}
+    assert len(mentions) > 5 and sum(rows[i].predicted for i in mentions if i in clean) == 0
+
+
+def test_swaps_are_made_in_sentences():
+    terms = {"faith": ["christian", "muslim", "sikh"], "person": ["man", "woman"]}
+    found = toxicity.swaps_of("A Muslim man. The christian and the muslim! Muslims, a muslim_man", terms)
+    assert found == {
+        (("muslim",), ("christian",)): 0.5 + 0.5,
+        (("muslim",), ("sikh",)): 0.5 + 0.5 + 0.5,
+        (("muslim",), ()): 0.5,  # the other term is there already
+        (("christian",), ("sikh",)): 0.5,
+        (("christian",), ()): 0.5,
+        (("man",), ("woman",)): 1 + 1,
+    }
+    assert toxicity.swapped("Muslims and a Muslim-led, muslim_x", "muslim", "sikh") == "muslims and a sikh-led, sikh_x"
+
+
 def test_toxicity_of_odd_rows(spark):
     docs, labels = biased(200)
     model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*labels, (None, 1), (7, None), (10**6, 1)], "doc_id long, toxic int"))
