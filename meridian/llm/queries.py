@@ -67,6 +67,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "slot_id")
 
 
+SQL["op9_sharding"] = sharding.SQL
+
+
 @query
 def op10_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_bpe.digests(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))

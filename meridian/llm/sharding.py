@@ -20,12 +20,16 @@ MAP_SCHEMA = "version int, slot_id int, shard int, bytes long, rows long"
 
 
 def slotted(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, slot_id) of every row; a null text has size 1, and a null doc_id has a slot too."""
+    """(doc_id, size, text_crc32, slot_id) of every row; a null text has size 1, and a null doc_id has a slot too.
+
+    The slot comes from the MD5 of doc_id as text, which any engine can work out.
+    """
+    number = F.conv(F.substring(F.md5(or_empty(F.col("doc_id").cast("string"))), 1, 8), 16, 10).cast("long")
     return docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(or_empty(F.col("text"))).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(n_slots)).cast("int").alias("slot_id"),
+        F.pmod(number, F.lit(n_slots)).cast("int").alias("slot_id"),
     )
 
 
@@ -74,7 +78,7 @@ def slot_map(rows: DataFrame, n_shards: int) -> DataFrame:
 def rebalance(old: DataFrame, sizes: DataFrame, n_shards: int) -> DataFrame:
     """The next version of map old for the present slot sizes and n_shards.
 
-    A shard over the mean gives up its smallest slots as far as they fit into what it has too much; the slots
+    A shard over the mean gives up its smallest slots while half of each at least fits into what it has too much; the slots
     of a shard that is no more go too, and a new slot needs a place. All other slots stay where they are.
     """
     now = sizes.join(old.select("slot_id", "shard", F.col("version").alias("old_version")), "slot_id", "left")
@@ -83,7 +87,7 @@ def rebalance(old: DataFrame, sizes: DataFrame, n_shards: int) -> DataFrame:
     by_shard = Window.partitionBy("shard")
     run = F.sum("bytes").over(by_shard.orderBy("bytes", "slot_id"))
     over = F.sum("bytes").over(by_shard) - F.lit(mean)
-    kept = now.withColumn("gives", (F.col("shard") >= n_shards) | (run <= over)).select(
+    kept = now.withColumn("gives", (F.col("shard") >= n_shards) | (run - F.col("bytes") / 2 <= over)).select(
         "slot_id", "bytes", "rows", F.when(~F.col("gives"), F.col("shard")).alias("kept_shard")
     )
     return deal(kept, n_shards, last + 1)
@@ -123,3 +127,36 @@ def shard(docs: DataFrame, n_shards: int = 8, n_slots: int = N_SLOTS) -> DataFra
     """
     rows = durable(slotted(docs, n_slots))
     return placed(rows, durable(slot_map(rows, n_shards)))
+
+
+#: The rows of the query: CRC-32 by a table of 256 steps, byte by byte; slots by MD5; the largest slots dealt first, one at a time.
+SQL = """
+WITH RECURSIVE steps AS (
+  SELECT n, n AS c, 0 AS k FROM range(256) t(n)
+  UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY n) AS t FROM steps WHERE k = 8
+), flat AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents
+), rows AS (
+  SELECT doc_id, CAST(n + 1 AS BIGINT) AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * n, 2), lambda p: CAST('0x' || substr(h, p, 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) AS text_crc32,
+    CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % 4096 AS INTEGER) AS slot_id
+  FROM flat, crc
+), slots AS (
+  SELECT slot_id, sum(size) AS bytes, count(*) AS n, row_number() OVER (ORDER BY sum(size) DESC, slot_id DESC) AS k FROM rows GROUP BY slot_id
+), dealt AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST(-1 AS INTEGER) AS slot_id, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS shard, [0, 0, 0, 0, 0, 0, 0, 0]::HUGEINT[] AS load
+  UNION ALL
+  SELECT s.k, s.slot_id, s.n, list_position(d.load, list_min(d.load)) - 1,
+    list_transform(d.load, lambda v, i: CASE WHEN i = list_position(d.load, list_min(d.load)) THEN v + s.bytes ELSE v END)
+  FROM dealt d JOIN slots s ON s.k = d.k + 1
+), starts AS (
+  SELECT slot_id, shard, sum(n) OVER (PARTITION BY shard ORDER BY slot_id) - n AS start FROM dealt WHERE k > 0
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  CAST(start + row_number() OVER (PARTITION BY slot_id ORDER BY doc_id, text_crc32, size) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, slot_id
+FROM rows JOIN starts USING (slot_id)
+"""

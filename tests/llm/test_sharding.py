@@ -1,5 +1,6 @@
 import zlib
 
+import duckdb
 from pyspark.sql import functions as F
 
 from meridian.llm import queries, sharding
@@ -58,3 +59,13 @@ def test_a_rebalance_moves_little(spark, tmp_path):
     assert sum(old[r.slot_id] != r.shard for r in fewer) <= sum(s == 7 for s in old.values())
     moved = sharding.placed(rows, sharding.load_map(spark, path)).collect()
     assert len({(r.shard, r.slot) for r in moved}) == 4000
+
+
+def test_the_sql_agrees(spark):
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    want = duckdb.sql(sharding.SQL)
+    names = want.columns
+    got = queries.op9_sharding(spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(str, (tuple(r) for r in got.select(*names).collect()))) == sorted(map(str, want.fetchall()))
+    duckdb.sql("DROP VIEW documents")
