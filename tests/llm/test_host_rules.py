@@ -2,7 +2,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules
+from meridian.llm import host_rules, queries
 
 from .fixtures import ODD, no_docs, odd_docs
 
@@ -57,6 +57,19 @@ def test_the_sql_agrees(spark):
         assert sorted(map(tuple, got[COLUMNS].values.tolist())) == sorted(map(tuple, want[COLUMNS].values.tolist()))
 
 
+def test_the_query_on_a_table_with_bad_hosts(spark, tmp_path):
+    """Hosts rejected with documents that pass by themselves, small ones that the prior saves, and the SQL on the same rows."""
+    docs = hosts(spark).unionByName(odd_docs(spark, extra=False).select(F.col("doc_id") + 10_000, "text", "source").toDF("doc_id", "text", "source").filter("doc_id <> 10011"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op2_host_rules(spark, str(tmp_path)).select(*COLUMNS).toPandas()
+    documents = docs.toPandas()  # noqa: F841
+    want = duckdb.sql(queries.SQL["op2_host_rules"]).df()
+    assert sorted(map(tuple, got[COLUMNS].values.tolist())) == sorted(map(tuple, want[COLUMNS].values.tolist()))
+    by_host = got[~got.base_failed & ~got.kept]
+    assert len(by_host) == 4 + 1  # what was good of the two bad hosts
+    assert got[got.doc_id.isin([r.doc_id for r in docs.filter("source = 'two' AND length(text) > 20").collect()])].kept.all()
+
+
 def test_prior():
     alpha, strength = host_rules.prior(10, 1000, 100, 10 * 10 * 10 / 100)
     assert alpha / strength == pytest.approx(0.1) and strength > 1e5  # all hosts alike: the prior decides
