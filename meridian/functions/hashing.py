@@ -72,6 +72,15 @@ def sign(secret: str, text: str) -> str:
     return hmac.new(secret.encode(), text.encode(), hashlib.sha256).hexdigest()
 
 
+def signature(secret: str, text) -> Column:
+    """sign() of a column: HMAC-SHA256 from two rounds of SHA-256 over padded keys."""
+    key = secret.encode()
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    pad = lambda byte: F.lit(bytes(b ^ byte for b in key))
+    inner = F.unhex(F.sha2(F.concat(pad(0x36), F.encode(col(text), "UTF-8")), 256))
+    return F.sha2(F.concat(pad(0x5C), inner), 256)
+
+
 def verified(secret: str, text: str, signature: str, sent_s: float, now_s: float, skew_s: float = 300) -> bool:
     """Is the signature right and its time close enough?"""
     return abs(now_s - sent_s) <= skew_s and hmac.compare_digest(sign(secret, text), signature)

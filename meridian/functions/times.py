@@ -83,3 +83,15 @@ def start_point(cursor, now, days: int = 7) -> Column:
     """The cursor, but never further back than the window."""
     floor = col(now) - F.make_dt_interval(days=F.lit(days))
     return F.greatest(F.coalesce(col(cursor), floor), floor)
+
+
+def retry_delay(attempt, jitter, base: float = 1.0, cap: float = 60.0, retry_after=None) -> Column:
+    """Seconds to wait before another try: twice as long each time up to a cap, times 0.5 to 1.5 by a jitter from 0 to 1.
+
+    What the other side asked for, as a number of seconds, comes before that, up to the same cap.
+    """
+    own = F.least(F.lit(base) * F.pow(F.lit(2.0), F.greatest(col(attempt) - 1, F.lit(0))), F.lit(cap)) * (F.lit(0.5) + col(jitter))
+    if retry_after is None:
+        return own
+    asked = F.nullif(F.trim(col(retry_after)), F.lit("")).try_cast("double")
+    return F.coalesce(F.greatest(F.least(asked, F.lit(cap)), F.lit(0.0)), own)

@@ -157,7 +157,56 @@ def pending(stories: DataFrame, extractions: DataFrame, resolutions: DataFrame,
     read = extractions.filter((F.col("config_hash") == hashes["extract"]) & F.col("accepted")).drop("config_hash")
     found = resolutions.filter(F.col("config_hash") == hashes["resolve"]).select("story_id", "latitude", "longitude", "place_precision", "pinnable")
     placed = members.filter(F.col("config_hash") == hashes["cluster"])
-    return stories.join(read, "story_id").join(found, "story_id", "left").join(placed, "story_id", "left_anti").orderBy(F.col("published").asc_nulls_first(), "story_id").limit(n)
+    dated = stories.filter(F.col("published").isNotNull())
+    return dated.join(read, "story_id").join(found, "story_id", "left").join(placed, "story_id", "left_anti").orderBy("published", "story_id").limit(n)
+
+
+def _read_and_found(stories: DataFrame, extractions: DataFrame, resolutions: DataFrame, hashes: dict[str, str]) -> DataFrame:
+    """Stories with their reading and, if there is one, their place under these settings."""
+    read = extractions.filter(F.col("config_hash") == hashes["extract"])
+    found = resolutions.filter(F.col("config_hash") == hashes["resolve"]).select("story_id", "latitude", "longitude", "place_precision", "pinnable")
+    new = [c for c in read.columns if c == "story_id" or c not in stories.columns]
+    return stories.join(read.select(*new).drop("config_hash"), "story_id").join(found, "story_id", "left")
+
+
+def open_founders(clusters: DataFrame, stories: DataFrame, extractions: DataFrame, resolutions: DataFrame, hashes: dict[str, str]) -> DataFrame:
+    """Founders of open clusters, with cluster_id, founder_country and founder_published, and what is known of them as stories."""
+    own = clusters.filter((F.col("config_hash") == hashes["cluster"]) & F.col("open"))
+    named = own.select("cluster_id", F.col("founder_story").alias("story_id"), F.col("country").alias("founder_country"), "founder_published")
+    return named.join(_read_and_found(stories, extractions, resolutions, hashes), "story_id")
+
+
+def near_founders(subjects: DataFrame, founders: DataFrame, hours: int = WINDOW_HOURS) -> DataFrame:
+    """(story_id, cluster_id) of subjects(story_id, country, published) and founders of the same country, or both of none, so close in time.
+
+    Time is cut into windows of that length; a founder is in its own and a subject looks into three.
+    """
+    window = lambda c: F.floor(F.unix_timestamp(c) / (hours * 3600))
+    a = subjects.select("story_id", "country", "published", F.explode(F.sequence(window("published") - 1, window("published") + 1)).alias("w"))
+    b = founders.select("cluster_id", "founder_country", "founder_published", window("founder_published").alias("fw"))
+    met = a.join(b, F.col("country").eqNullSafe(F.col("founder_country")) & (F.col("w") == F.col("fw")))
+    return met.filter(times.within_hours("published", "founder_published", hours)).select("story_id", "cluster_id")
+
+
+def members_of(members: DataFrame, stories: DataFrame, extractions: DataFrame, resolutions: DataFrame, hashes: dict[str, str]) -> DataFrame:
+    """cluster_id and what is known of each member as a story."""
+    own = members.filter(F.col("config_hash") == hashes["cluster"]).select("story_id", "cluster_id")
+    return own.join(_read_and_found(stories, extractions, resolutions, hashes), "story_id")
+
+
+def decide_again(clusters: DataFrame, members: DataFrame, stories: DataFrame, extractions: DataFrame, resolutions: DataFrame, hashes: dict[str, str]) -> DataFrame:
+    """clusters with is_pin and not_pin_reason as their members now have it: one that lands far away takes a pin away."""
+    own = clusters.filter(F.col("config_hash") == hashes["cluster"])
+    known = _read_and_found(stories, extractions, resolutions, hashes).withColumnRenamed("story_id", "founder_story")
+    known = known.withColumn("is_live", F.array_contains(F.coalesce("format_flags", F.array().cast("array<string>")), "live"))
+    facts_of = ["is_live", "is_physical_event", "category", "pinnable", "latitude", "longitude"]
+    founders = own.select("cluster_id", "founder_story").join(known.select("founder_story", *facts_of), "founder_story")
+    told = pin_decisions(founders, members_of(members, stories, extractions, resolutions, hashes))
+    new = told.select("cluster_id", F.lit(hashes["cluster"]).alias("config_hash"), F.col("is_pin").alias("_pin"), F.col("not_pin_reason").alias("_reason"))
+    j = clusters.join(new, ["cluster_id", "config_hash"], "left")
+    decided = F.col("_pin").isNotNull()
+    fresh = {"is_pin": F.when(decided, F.col("_pin")).otherwise(F.col("is_pin")), "not_pin_reason": F.when(decided, F.col("_reason")).otherwise(F.col("not_pin_reason"))}
+    return j.select(*(fresh[c].alias(c) if c in fresh else c for c in clusters.columns))
 
 
 def unresolved(extractions: DataFrame, resolutions: DataFrame, hashes: dict[str, str]) -> int:

@@ -114,7 +114,10 @@ def status(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def outcomes_by_day(verifications: DataFrame) -> DataFrame:
+def outcomes_by_day(verifications: DataFrame, since: Column | None = None) -> DataFrame:
+    """(day, outcomes): how many verdicts of each kind were last written on a day, from the day of `since` on."""
+    if since is not None:
+        verifications = verifications.filter(F.to_date("updated_at") >= F.to_date(since))
     n = verifications.groupBy(F.to_date("updated_at").alias("day"), "outcome").agg(F.count(F.lit(1)).alias("n"))
     return n.groupBy("day").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("outcome", "n")))).alias("outcomes")).orderBy("day")
 
@@ -123,6 +126,11 @@ def spend_of_day(calls: DataFrame, day: Column) -> DataFrame:
     return calls.agg(F.coalesce(F.sum(F.when(F.to_date("created_at") == day, F.col("cost_usd"))), F.lit(0.0)).alias("spent"))
 
 
+def counters(rows: DataFrame, keys: list[str], failed: Column, cost: str) -> DataFrame:
+    """keys, done, failed and cost: the totals of a run by outlet, stage or outcome."""
+    return rows.groupBy(*keys).agg(F.count_if(~failed).alias("done"), F.count_if(failed).alias("failed"), F.coalesce(F.sum(cost), F.lit(0.0)).alias("cost"))
+
+
 def served_models(calls: DataFrame, asked: str) -> DataFrame:
     """Models that answered but were not asked."""
     return calls.select("model").distinct().filter(F.col("model") != asked)

@@ -88,6 +88,30 @@ def merge_stories(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return joined.select(*(simple(c) if c in SIMPLE else special.get(c, None if c in special else keep_old(c)).alias(c) for c in current.columns))
 
 
+def store_readings(stories: DataFrame, extractions: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(stories, extractions) with new readings: each replaces that of the same story and settings as a whole.
+
+    Their stories give up their leases and are extracted now; a row of a feed stays one.
+    """
+    read = incoming.select("story_id").distinct().withColumn("_read", F.lit(True))
+    j = stories.join(read, "story_id", "left")
+    done = F.col("_read").isNotNull()
+    fresh = {
+        "status": F.when(done & ~F.col("status").eqNullSafe("feed"), F.lit("extracted")).otherwise(F.col("status")),
+        "lease_owner": F.when(~done, F.col("lease_owner")),
+        "lease_until": F.when(~done, F.col("lease_until")),
+    }
+    after = j.select(*(fresh[c].alias(c) if c in fresh else c for c in stories.columns))
+    return after, last_wins(extractions, incoming, ["story_id", "config_hash"], [F.col("created_at").desc()])
+
+
+def end_runs(runs: DataFrame, ended: DataFrame) -> DataFrame:
+    """runs(run_id, started_at, finished_at, ...) with what ended(run_id, finished_at, ...) says; one that never began is no run."""
+    new = ended.select("run_id", *(F.col(c).alias(f"_{c}") for c in ended.columns if c != "run_id"))
+    j = runs.join(new, "run_id", "left")
+    return j.select(*(F.coalesce(F.col(f"_{c}"), F.col(c)).alias(c) if f"_{c}" in j.columns else c for c in runs.columns))
+
+
 def accumulate_verifications(current: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """New verdicts replace old ones; costs add up, the first created_at stays, attempts go on only for the same input."""
     new = incoming.select(*keys, *(F.col(c).alias(f"new_{c}") for c in incoming.columns if c not in keys))

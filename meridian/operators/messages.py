@@ -54,6 +54,15 @@ def unread(stories: DataFrame, extractions: DataFrame, config_hash: str, status:
     return newest_first(stories.filter(F.col("status") == status).join(done, "story_id", "left_anti"), n)
 
 
+def unread_feed(stories: DataFrame, extractions: DataFrame, config_hash: str, since: Column, now: Column, n: int) -> DataFrame:
+    """The newest rows of feeds with a headline, seen since a time and free to take, that were not read under these settings."""
+    from meridian.operators.merge import claimable, newest_first
+
+    fresh = claimable(stories, "feed", now).filter((F.col("first_seen_at") >= since) & F.col("headline").isNotNull())
+    done = extractions.filter(F.col("config_hash") == config_hash).select("story_id")
+    return newest_first(fresh.join(done, "story_id", "left_anti"), n)
+
+
 def read_under_other_settings(stories: DataFrame, extractions: DataFrame, config_hash: str, since: Column) -> DataFrame:
     """Recent stories that were read, but under other settings only: a sign that settings changed by mistake."""
     recent = stories.filter(F.col("first_seen_at") >= since)
@@ -64,7 +73,7 @@ def read_under_other_settings(stories: DataFrame, extractions: DataFrame, config
 
 def unresolved(extractions: DataFrame, resolutions: DataFrame, extract_hash: str, resolve_hash: str, n: int) -> DataFrame:
     """The newest happenings with a place that were not looked up for this reading under these settings."""
-    happened = extractions.filter((F.col("config_hash") == extract_hash) & F.col("is_physical_event") & F.col("failure_reason").isNull() & F.col("place_name").isNotNull())
+    happened = extractions.filter((F.col("config_hash") == extract_hash) & F.col("accepted") & F.col("is_physical_event") & (F.coalesce("place_name", F.lit("")) != ""))
     done = resolutions.filter((F.col("config_hash") == resolve_hash) & (F.col("extract_hash") == extract_hash)).select("story_id")
     return happened.join(done, "story_id", "left_anti").orderBy(F.desc("created_at"), "story_id").limit(n)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 SCHEMA_VERSION = 5
 
+#: The tables of a store and their columns.
 TABLES = {
     "stories": "story_id string, outlet string, primary_alias string, url string, source_url string, headline string, description string,"
     " published timestamp, published_raw string, updated timestamp, updated_raw string, authors array<string>, word_count int, thumbnail string,"
@@ -90,3 +91,12 @@ def check_version(found: int | None) -> int:
     if found > SCHEMA_VERSION:
         raise ValueError(f"the store has schema {found}, this code knows {SCHEMA_VERSION}")
     return found
+
+
+def migrated(df, name: str, found: int | None):
+    """A table of a store with an older schema in this one's columns: new ones are null, kinds are cast, others stay behind."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    check_version(found)
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(TABLES[name])))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import itertools
 import json
+import zipfile
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +20,32 @@ from meridian.functions import times
 CODES_NOT_NAMES = ["post", "iata", "icao", "faac", "abbr", "wkdt", "unlc"]
 
 
+def zip_lines(spark: SparkSession, path: str, member: str) -> DataFrame:
+    """value: the lines of one file in each zip archive at path, unpacked as a stream in the task that has read the archive.
+
+    An archive can't be split, so it is one task's work, and 2 GB at most; its lines are dealt out anew after it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive, archive.open(member) as raw:
+                    lines = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n")
+                    while part := list(itertools.islice(lines, 10_000)):
+                        yield pa.RecordBatch.from_arrays([pa.array([x.removesuffix("\n") for x in part], pa.string())], ["value"])
+
+    found = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "value string")
+    return found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _fields(spark: SparkSession, path: str, least: int) -> DataFrame:
-    """f: the fields of each line; no comments, no short lines. Quotes mean nothing in these files, and \\r may end a line."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", "\\r$", "").alias("value"))
+    """f: the fields of each line; no comments, no short lines. Quotes mean nothing in these files, and \\r may end a line.
+
+    A path with a hash sign names a file in a zip archive: dump.zip#places.txt.
+    """
+    archive, _, member = path.partition("#")
+    raw = zip_lines(spark, archive, member) if member else spark.read.text(path)
+    lines = raw.select(F.regexp_replace("value", "\\r$", "").alias("value"))
     return lines.filter("value <> '' AND NOT startswith(value, '#')").select(F.split("value", "\\t").alias("f")).filter(F.size("f") >= least)
 
 
@@ -155,3 +183,12 @@ def incident_tables(rows: DataFrame, fetched_at: str, schema_version: int = 1, i
         ),
         "runs": j.select(F.concat_ws(":", "digest", F.lit("ukraine"), version.cast("string")).alias("idempotency_key"), fetched.alias("fetched_at"), version.alias("schema_version"), F.lit((interpretation or {}).get("model", "structured-parser")).alias("model")),
     }
+
+
+#: What names a row of each incident table.
+INCIDENT_KEYS = {"incidents": "id", "claims": "id", "receipts": "id", "runs": "idempotency_key"}
+
+
+def merge_incidents(current: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with new rows in place of those of the same key."""
+    return {name: current[name].join(new[name].select(key), key, "left_anti").select(*current[name].columns).unionByName(new[name]) for name, key in INCIDENT_KEYS.items()}
