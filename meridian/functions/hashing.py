@@ -52,6 +52,12 @@ def item_hash(material: list) -> str:
     return digest(material, 32)
 
 
+def text_item_hash(text) -> Column:
+    """item_hash() of a list with one string, for a column of strings without control characters."""
+    quoted = F.replace(F.replace(col(text), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    return F.substring(F.sha2(F.concat(F.lit('["'), quoted, F.lit('"]')), 256), 1, 32)
+
+
 class ConfigHashes:
     """Hashes of the stages' settings, each over its own and those of the stages that it builds on."""
 

@@ -16,8 +16,12 @@ def string_list(c) -> Column:
 
 
 def first_of(variant, *paths: str) -> Column:
-    """The first path of a variant that holds text; empty text and empty arrays count as missing."""
-    value = lambda p: F.nullif(F.nullif(F.trim(F.try_variant_get(col(variant), p, "string")), F.lit("")), F.lit("[]"))
+    """The first path of a variant that holds text or a number; empty text, objects and arrays count as missing."""
+
+    def value(path: str) -> Column:
+        at = F.try_variant_get(col(variant), path, "variant")
+        return F.when(~F.schema_of_variant(at).rlike("^(OBJECT|ARRAY)"), F.nullif(F.trim(F.try_variant_get(at, "$", "string")), F.lit("")))
+
     return F.coalesce(*(value(p) for p in paths))
 
 

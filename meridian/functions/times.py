@@ -94,4 +94,4 @@ def retry_delay(attempt, jitter, base: float = 1.0, cap: float = 60.0, retry_aft
     if retry_after is None:
         return own
     asked = F.nullif(F.trim(col(retry_after)), F.lit("")).try_cast("double")
-    return F.coalesce(F.greatest(F.least(asked, F.lit(cap)), F.lit(0.0)), own)
+    return F.when(asked.isNull(), own).otherwise(F.greatest(F.least(asked, F.lit(cap)), F.lit(0.0)))

@@ -6,22 +6,28 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the folder that the session names in spark.checkpoint.dir; lineage ends there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir, which the driver and all executors share.
 
     Where none is named and all runs in one process, as in tests, it is a temporary folder that goes when Python ends. On
     a cluster a folder has to be named, as each executor would write to its own disk.
     """
+    place = spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        place = f"file://{tempfile.mkdtemp(prefix='meridian-')}"
+        atexit.register(shutil.rmtree, place.removeprefix("file://"), True)
+        spark.conf.set("spark.checkpoint.dir", place)
+    return place
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a checkpoint in the shared folder; lineage ends there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not place:
-            if context.master.partition("[")[0] != "local":
-                raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-            place = tempfile.mkdtemp(prefix="meridian-")
-            atexit.register(shutil.rmtree, place, True)
-        context.setCheckpointDir(place)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

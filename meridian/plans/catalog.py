@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meridian.plans import composite, relational, scalar  # noqa: F401  they fill the registry
+from meridian.plans import composite, inputs, relational, scalar, stories  # noqa: F401  they fill the registry
 from meridian.plans.registry import QUERIES, SQL  # noqa: F401
 
 FLAGSHIP = "snp_snapshot"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -207,8 +206,18 @@ def alg03_candidate_pairs(spark, sf):
     return K.candidate_pairs(s, s).select("story_id", "founder_id", F.round("km", 3).alias("km"), "shared", F.round("overlap", 4).alias("overlap"))
 
 
-@query()
+@query("""
+WITH RECURSIVE s AS MATERIALIZED (SELECT CAST(event_id AS VARCHAR) AS id, user_id, user_id % 25 AS country, floor(epoch(ts)) AS at, event_id % 50 = 0 AS live, 'person ' || CAST(floor(value) AS BIGINT) || ' ' || event_id % 40 AS entity, [event_type, 'bucket' || CAST(floor(value / 2) AS BIGINT), 'user' || user_id] AS t,
+  CASE WHEN event_id % 2 = 0 THEN user_id % 140 - 70 + value / 50 END AS lat, CASE WHEN event_id % 2 = 0 THEN user_id * 7 % 360 - 180 + value / 40 END AS lon, row_number() OVER (ORDER BY epoch_us(ts), CAST(event_id AS VARCHAR)) AS k FROM events),
+p AS MATERIALIZED (SELECT a.k, b.k AS f, 2 * 6371.0088 * asin(sqrt(least(1, pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lon) - radians(a.lon)) / 2), 2)))) AS km, a.entity = b.entity AS shared,
+  len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) AS overlap FROM s a JOIN s b ON a.country = b.country AND b.k < a.k AND NOT a.live AND NOT b.live AND abs(a.at - b.at) <= 48 * 3600),
+c AS MATERIALIZED (SELECT s.k, s.id, f FROM s LEFT JOIN (SELECT k, list(f) AS f FROM p WHERE (km <= 50 OR shared OR overlap >= 0.34) AND (shared OR (km <= 20 AND overlap >= 0.2)) GROUP BY k) USING (k)),
+walk AS (SELECT CAST(0 AS BIGINT) AS k, (SELECT bitstring('0', CAST(count(*) + 1 AS INT)) FROM s) AS founders, CAST(NULL AS BIGINT) AS joined
+ UNION ALL SELECT c.k, CASE WHEN coalesce(len(list_filter(c.f, lambda x: get_bit(w.founders, CAST(x AS INT)) = 1)), 0) = 0 THEN set_bit(w.founders, CAST(c.k AS INT), 1) ELSE w.founders END, list_min(list_filter(c.f, lambda x: get_bit(w.founders, CAST(x AS INT)) = 1)) FROM walk w JOIN c ON c.k = w.k + 1)
+SELECT s.id AS story_id, 'nf_' || substr(sha256(coalesce(f.user_id, s.user_id) || chr(10) || coalesce(f.id, s.id)), 1, 12) AS cluster_id, CASE WHEN f.id IS NULL THEN 'founder' ELSE 'same' END AS verdict, f.id AS compared_to FROM walk w JOIN s ON s.k = w.k LEFT JOIN s f ON f.k = w.joined
+""")
 def alg03_online_cluster(spark, sf):
+    """Every event placed in turn; the SQL walks them one by one and keeps the founders so far."""
     s = _stories(spark, sf)
     same = (F.coalesce(F.col("km"), F.lit(999.0)) <= 20) & (F.col("overlap") >= 0.2) | F.col("shared").isNotNull()
     return K.place(s, K.candidate_pairs(s, s).withColumn("same", same))
@@ -299,12 +308,11 @@ def win09_first_on_page(spark, sf):
     return e.withColumn("rn", rank).filter("rn = 1").select("user_id", "event_id")
 
 
-@query()
+@query("""
+WITH j AS (SELECT event_id, '{"event_type":"' || event_type || '","value":' || value || ',"props":"' || replace(props, '"', '\\"') || '"}' AS j FROM events)
+SELECT event_id, substr(sha256('["' || replace(replace(j, '\\', '\\\\'), '"', '\\"') || '"]'), 1, 32) AS item_hash FROM j
+""")
 def hsh_item_hashes(spark, sf):
-    """Export items of events: JSON and a hash over what can change in it."""
-    @F.pandas_udf("string")
-    def hashed(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: hashing.item_hash([x]))
-
+    """Export items of events: a hash over the canonical JSON of what can change in them."""
     e = table(spark, sf, "events")
-    return e.select("event_id", hashed(F.to_json(F.struct("event_type", "value", "props"))).alias("item_hash"))
+    return e.select("event_id", hashing.text_item_hash(F.to_json(F.struct("event_type", "value", "props"))).alias("item_hash"))

@@ -54,7 +54,8 @@ SELECT concat('c', user_id) AS cluster_id, CASE WHEN user_id % 9 = 0 THEN 'k0' E
   user_id % 2 = 0 AS is_pin, CASE WHEN user_id % 2 <> 0 THEN 'old reason' END AS not_pin_reason, user_id % 4 <> 0 AS open, date_trunc('second', max(ts)) AS created_at
 FROM events GROUP BY user_id""",
     "cluster_members": f"""
-SELECT concat('s', event_id) AS story_id, CASE WHEN user_id % 9 = 0 THEN 'k0' ELSE 'k1' END AS config_hash, concat('c', user_id) AS cluster_id, 'same' AS verdict, CAST(NULL AS STRING) AS compared_to, {_AT} AS joined_at
+SELECT concat('s', event_id) AS story_id, CASE WHEN (CASE WHEN event_id % 10 = 4 THEN user_id + 1 ELSE user_id END) % 9 = 0 THEN 'k0' ELSE 'k1' END AS config_hash,
+  concat('c', CASE WHEN event_id % 10 = 4 THEN user_id + 1 ELSE user_id END) AS cluster_id, 'same' AS verdict, CAST(NULL AS STRING) AS compared_to, {_AT} AS joined_at
 FROM events WHERE event_id % 2 = 0""",
     "story_sections": f"""
 SELECT concat('s', event_id) AS story_id, event_type AS section, {_AT} AS first_seen_at, {_AT} + INTERVAL 1 DAY AS last_seen_at FROM events

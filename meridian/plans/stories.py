@@ -159,7 +159,7 @@ def flt21_needs_check(spark, sf):
 
 
 @query(over_store("""
-SELECT n AS row_id, s.story_id IS NULL OR (r.updated IS NOT NULL AND r.updated IS DISTINCT FROM s.updated) OR (s.text_fetched_at IS NULL AND s.text_hash IS NULL) AS wanted
+SELECT r.n AS row_id, s.story_id IS NULL OR (r.updated IS NOT NULL AND r.updated IS DISTINCT FROM s.updated) OR (s.text_fetched_at IS NULL AND s.text_hash IS NULL) AS wanted
 FROM (SELECT n, CASE WHEN n % 4 <> 0 THEN story_id END AS known_id, CASE WHEN n % 3 = 0 THEN updated + INTERVAL 1 HOUR ELSE updated END AS updated FROM stories) r LEFT JOIN stories s ON s.story_id = r.known_id
 """, "stories"))
 def flt20_needs_page(spark, sf):
@@ -196,7 +196,7 @@ SELECT story_id, headline AS title, strftime(published, '%Y-%m-%dT%H:%M:%SZ') AS
   CASE WHEN told THEN array_to_string(list_filter(other_places, lambda x: trim(x) <> ''), '|') END AS other_places,
   CASE WHEN coalesce(text, '') <> '' AND first_seen_at >= TIMESTAMP '2024-01-29 00:00:00' - INTERVAL 24 HOUR AND first_seen_at > TIMESTAMP '2024-01-28 06:00:00' THEN text END AS text,
   array_to_string(list_sort(list(section)), '|') AS sections
-FROM physical LEFT JOIN story_sections USING (story_id) GROUP BY ALL
+FROM physical LEFT JOIN (SELECT story_id, section FROM story_sections) USING (story_id) GROUP BY ALL
 """, "stories", "story_texts", "extractions", "story_sections", more=_EVENT))
 def flt15_items(spark, sf):
     """Export items, read back from their JSON: the event is masked, text goes along if it is new, empty fields are left out."""
@@ -527,8 +527,8 @@ def val03_store_checks(spark, sf):
 
 
 @query("""
-WITH x AS (SELECT user_id AS name, event_id AS at, CASE WHEN event_type = 'view' THEN NULL ELSE event_type <> 'error' END AS ok FROM events), k AS (SELECT *, lag(ok) OVER (PARTITION BY name ORDER BY at) AS before FROM x WHERE ok IS NOT NULL)
-SELECT at, name, CASE WHEN NOT ok AND coalesce(before, TRUE) THEN 'new' WHEN ok AND NOT coalesce(before, TRUE) THEN 'recovered' ELSE 'still' END AS change FROM k WHERE NOT ok OR NOT coalesce(before, TRUE)
+WITH x AS (SELECT user_id AS name, event_id AS "at", CASE WHEN event_type = 'view' THEN NULL ELSE event_type <> 'error' END AS ok FROM events), k AS (SELECT *, lag(ok) OVER (PARTITION BY name ORDER BY "at") AS before FROM x WHERE ok IS NOT NULL)
+SELECT "at", name, CASE WHEN NOT ok AND coalesce(before, TRUE) THEN 'new' WHEN ok AND NOT coalesce(before, TRUE) THEN 'recovered' ELSE 'still' END AS change FROM k WHERE NOT ok OR NOT coalesce(before, TRUE)
 """)
 def stm08_alerts(spark, sf):
     e = table(spark, sf, "events")
