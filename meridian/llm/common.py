@@ -8,13 +8,16 @@ import contextvars
 import ctypes
 import functools
 import gc
+import io
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -152,3 +155,45 @@ def batched(run):
 
 def or_empty(column) -> Column:
     return F.coalesce(column, F.lit(""))
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length or another in one compressed string, their bytes dealt into planes."""
+    out = io.BytesIO()
+    for a in arrays:
+        raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+        head = a.dtype.str.encode()
+        out.write(len(head).to_bytes(1, "big") + head + len(a).to_bytes(8, "big") + raw)
+    return zstandard.ZstdCompressor(level=5).compress(out.getvalue())
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    while at < len(raw):
+        n = raw[at]
+        kind, at = np.dtype(raw[at + 1 : at + 1 + n].decode()), at + 1 + n
+        n, at = int.from_bytes(raw[at : at + 8], "big"), at + 8
+        size = n * kind.itemsize
+        out.append(np.frombuffer(raw, np.uint8, size, at).reshape(kind.itemsize, n).T.copy().view(kind).reshape(n) if n else np.zeros(0, kind))
+        at += size
+    return out
+
+
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by the first of the keys and sorted by all of them in each task."""
+    return df.repartition(shuffle_width(df.sparkSession), keys[0]).sortWithinPartitions(*keys)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
+    """Rows with the same key, one after the other."""
+    now, rows = None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+            if rows and row[key] != now:
+                yield now, rows
+                rows = []
+            now = row[key]
+            rows.append(row)
+    if rows:
+        yield now, rows

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import batched, durable, or_empty, shuffle_width
+from meridian.llm.common import batched, by_key, durable, grouped, or_empty, pack, shuffle_width, unpack
 
 LENGTH = 50
 DEPTH = 16
@@ -47,28 +47,6 @@ _PIECES = 1 << 15
 _FEW_BYTES = 3
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of one length or another in one compressed string, their bytes dealt into planes."""
-    out = io.BytesIO()
-    for a in arrays:
-        raw = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-        head = a.dtype.str.encode()
-        out.write(len(head).to_bytes(1, "big") + head + len(a).to_bytes(8, "big") + raw)
-    return zstandard.ZstdCompressor(level=5).compress(out.getvalue())
-
-
-def _unpack(data: bytes) -> list[np.ndarray]:
-    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
-    while at < len(raw):
-        n = raw[at]
-        kind, at = np.dtype(raw[at + 1 : at + 1 + n].decode()), at + 1 + n
-        n, at = int.from_bytes(raw[at : at + 8], "big"), at + 8
-        size = n * kind.itemsize
-        out.append(np.frombuffer(raw, np.uint8, size, at).reshape(kind.itemsize, n).T.copy().view(kind).reshape(n) if n else np.zeros(0, kind))
-        at += size
-    return out
-
-
 def _words(data: np.ndarray, at: slice | np.ndarray, shift: int = 0, order: str = "<u8") -> np.ndarray:
     """The eight bytes from each place as a number."""
     view = np.ndarray((len(data) - 7,), dtype=order, buffer=data, strides=(1,))
@@ -160,12 +138,12 @@ def front_coded(high: np.ndarray, low: np.ndarray) -> bytes:
     same = np.zeros(len(high), dtype=np.uint8)
     if len(high) > 1:
         same[1:] = (letters[1:] != letters[:-1]).argmax(axis=1)
-    return _pack(same, letters[np.arange(DEPTH) >= same[:, None]])
+    return pack(same, letters[np.arange(DEPTH) >= same[:, None]])
 
 
 def decoded(data: bytes) -> tuple[list[int], list[int]]:
     """The suffixes of a front-coded part as numbers, and the lengths that each shares with the one before."""
-    same, rest = _unpack(data)
+    same, rest = unpack(data)
     n = len(same)
     own = np.arange(DEPTH) >= same[:, None]
     letters = np.zeros((n, DEPTH), dtype=np.uint8)
@@ -325,7 +303,7 @@ def _splitters(docs: DataFrame, n: int, each: int = 64) -> list[tuple[int, int]]
 
 
 def _run_of(docs: bytes, text: bytes) -> Run:
-    doc_ids, sizes = _unpack(docs)
+    doc_ids, sizes = unpack(docs)
     data = np.zeros(int(sizes.sum()) + 8, dtype=np.uint8)
     with zstandard.ZstdDecompressor().stream_reader(text) as source:
         source.readinto(memoryview(data)[: len(data) - 8])
@@ -373,7 +351,7 @@ def runs(docs: DataFrame, splitters: list[tuple[int, int]], run_bytes: int = RUN
             at += b - a
         other = table.select(rest)
         del table
-        docs, packed = _pack(ids, sizes), zstandard.ZstdCompressor(level=6).compress(memoryview(data)[: len(data) - 8])
+        docs, packed = pack(ids, sizes), zstandard.ZstdCompressor(level=6).compress(memoryview(data)[: len(data) - 8])
         sorted_run = _suffixes(Run(ids, sizes, data))
         cuts = sorted_run.ranges(splitters)
         parts = [{"range": i, "part": front_coded(sorted_run.high[a:b], sorted_run.low[a:b])} for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
@@ -390,36 +368,17 @@ def runs(docs: DataFrame, splitters: list[tuple[int, int]], run_bytes: int = RUN
     return docs.withColumn("text", or_empty(F.col("text"))).mapInArrow(batched(run), kind)
 
 
-def _by(df: DataFrame, *keys: str) -> DataFrame:
-    return df.repartition(shuffle_width(df.sparkSession), keys[0]).sortWithinPartitions(*keys)
-
-
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[dict]]]:
-    """Rows with the same key, one after the other."""
-    now, rows = None, []
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-            if rows and row[key] != now:
-                yield now, rows
-                rows = []
-            now = row[key]
-            rows.append(row)
-    if rows:
-        yield now, rows
-
-
 def live_suffixes(stored: DataFrame) -> DataFrame:
     """(run, range, live): for each run and range, one bit for each suffix that another run has too."""
     parts = stored.select("run", F.explode("parts").alias("p")).select("p.range", "run", "p.part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, rows in _groups(batches, "range"):
+        for number, rows in grouped(batches, "range"):
             marks = alive([r["part"] for r in rows])
             found = [(r["run"], zstandard.compress(np.packbits(m).tobytes())) for r, m in zip(rows, marks, strict=True) if m.any()]
             yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in found], pa.string()), pa.array([number] * len(found), pa.int32()), pa.array([m for _, m in found], pa.binary())], ["run", "range", "live"])
 
-    return _by(parts, "range", "run").mapInArrow(batched(run), "run string, range int, live binary")
+    return by_key(parts, "range", "run").mapInArrow(batched(run), "run string, range int, live binary")
 
 
 def own_pieces(run: Run, keep: np.ndarray, n_parts: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -466,7 +425,7 @@ def pieces(stored: DataFrame, live: DataFrame, splitters: list[tuple[int, int]],
     marks = live.select("run", "range", F.lit(None).cast("binary").alias("docs"), F.lit(None).cast("binary").alias("text"), "live")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, rows in _groups(batches, "run"):
+        for name, rows in grouped(batches, "run"):
             found = _suffixes(_run_of(rows[0]["docs"], rows[0]["text"]))
             cuts = found.ranges(splitters)
             keep = found.shared_here()
@@ -477,33 +436,33 @@ def pieces(stored: DataFrame, live: DataFrame, splitters: list[tuple[int, int]],
             rows.clear()
             found.high = found.low = None
             later, first, last, part = own_pieces(found, keep, n_parts)
-            yield row_of(None, name, _pack(*later))
+            yield row_of(None, name, pack(*later))
             order = np.lexsort((first, part))
             begins = np.flatnonzero(np.diff(part[order], prepend=-1))
             for mine in np.split(order, begins[1:]) if len(order) else ():
                 a, size = first[mine].astype(np.int64), (last[mine] - first[mine] + LENGTH).astype(np.int64)
                 inside = np.repeat(a - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
                 ids = found.doc_ids[np.searchsorted(found.ends, a, side="right")]
-                yield row_of(int(part[mine[0]]), name, _pack(size.astype(np.uint8), ids, first[mine], found.data[inside]))
+                yield row_of(int(part[mine[0]]), name, pack(size.astype(np.uint8), ids, first[mine], found.data[inside]))
 
     def row_of(part: int | None, name: str, data: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([data], pa.binary())], ["part", "run", "rows"])
 
-    return _by(texts.unionByName(marks), "run", "range").mapInArrow(batched(run), "part int, run string, rows binary")
+    return by_key(texts.unionByName(marks), "run", "range").mapInArrow(batched(run), "part int, run string, rows binary")
 
 
 def judged(dealt: DataFrame, n_parts: int) -> DataFrame:
     """(run, verdict): window starts and masks, for pieces that met with those of other runs, and as they were within a run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, rows in _groups(batches, "part"):
+        for part, rows in grouped(batches, "part"):
             if part is None:
                 for r in rows:
                     yield out([(r["run"], r["rows"])])
                 continue
             texts, ids, places = [], [], []
             for r in rows:
-                sizes, own, first, joined = _unpack(r["rows"])
+                sizes, own, first, joined = unpack(r["rows"])
                 raw, ends = joined.tobytes(), np.cumsum(sizes.astype(np.int64))
                 texts += [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
                 ids.append(own)
@@ -514,7 +473,7 @@ def judged(dealt: DataFrame, n_parts: int) -> DataFrame:
                 mine = masks[at : at + len(first)]
                 at += len(first)
                 if mine.any():
-                    found.append((r["run"], _pack(first[mine > 0], mine[mine > 0])))
+                    found.append((r["run"], pack(first[mine > 0], mine[mine > 0])))
             yield out(found)
 
     def out(found: list[tuple[str, bytes]]) -> pa.RecordBatch:
@@ -535,11 +494,11 @@ def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False)
     all_rows = texts.unionByName(found.select("run", F.lit(1).alias("kind"), none("docs"), none("text"), none("rest"), "verdict"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _groups(batches, "run"):
+        for _, rows in grouped(batches, "run"):
             own = _run_of(rows[0]["docs"], rows[0]["text"])
             gone = np.zeros(own.n, dtype=bool)
             for r in rows[1:]:
-                first, masks = _unpack(r["verdict"])
+                first, masks = unpack(r["verdict"])
                 for bit in range(SPAN):
                     gone[first[masks >> np.uint64(bit) & np.uint64(1) > 0].astype(np.int64) + bit] = True
             reach = 1
@@ -572,7 +531,7 @@ def cut(stored: DataFrame, found: DataFrame, rest_schema, as_text: bool = False)
 
     columns = StructType([StructField(f.name, f.dataType, True) for f in rest_schema])
     kind = f"row {columns.simpleString()}, kept {"string" if as_text else "binary"}, n_bytes long, n_removed long, n_spans long, spans array<struct<first: long, after: long>>"
-    return _by(all_rows, "run", "kind").mapInArrow(batched(run), kind)
+    return by_key(all_rows, "run", "kind").mapInArrow(batched(run), kind)
 
 
 def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = False) -> DataFrame:
