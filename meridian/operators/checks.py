@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +48,40 @@ def schema_failure(raw) -> Column:
     return F.coalesce(found, *(F.when(F.coalesce(bad, F.lit(False)), F.lit(name)) for bad, name in rules))
 
 
+def quoted(texts: DataFrame, quotes: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
+    """(doc_id, item_id) of texts(doc_id, text) that have the whole of quotes(item_id, text), word for word but for white space.
+
+    The quotes are the short side. They become one automaton, which finds all of them in one pass over a text; if they have more
+    bytes than block_bytes, several of them, each with its pass. An empty quote is in no text.
+    """
+    clean = quotes.select("item_id", T.normalise("text").alias("q")).filter("q <> ''")
+    size = clean.agg(F.coalesce(F.sum(F.octet_length("q")), F.lit(0))).first()[0]
+    blocks = 1 + size // block_bytes
+    rows = texts.select("doc_id", T.normalise("text").alias("text"))
+    kinds = dict(texts.dtypes)["doc_id"], dict(quotes.dtypes)["item_id"]
+
+    def found(block: int) -> DataFrame:
+        own: dict[str, list] = {}
+        for r in clean.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == block).collect():  # block_bytes, about
+            own.setdefault(r["q"], []).append(r["item_id"])
+        sent = texts.sparkSession.sparkContext.broadcast(own)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for q, ids in sent.value.items():
+                automaton.add_word(q, ids)
+            automaton.make_automaton()
+            for batch in batches:
+                out = [(doc, i) for doc, text in zip(batch["doc_id"], batch["text"], strict=True) if text for i in {i for _, ids in automaton.iter(text) for i in ids}]
+                yield pd.DataFrame(out, columns=["doc_id", "item_id"])
+
+        return rows.mapInPandas(run, f"doc_id {kinds[0]}, item_id {kinds[1]}") if own else rows.limit(0).select("doc_id", F.lit(None).cast(kinds[1]).alias("item_id"))
+
+    return reduce(DataFrame.unionByName, map(found, range(blocks)))
+
+
 def quote_failure(text, quote, name) -> Column:
     q, n, whole = T.normalise(quote), T.normalise(name), T.normalise(text)
     return (

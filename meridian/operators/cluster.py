@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,34 +92,42 @@ def candidate_pairs(stories: DataFrame, founders: DataFrame) -> DataFrame:
     return j.filter(times.within_hours("s_published", "f_published", WINDOW_HOURS) & reason).select("story_id", "founder_id", "km", "shared", "overlap")
 
 
-def place(stories: DataFrame, pairs: DataFrame) -> DataFrame:
+#: So few open pairs are settled in one task, which takes them in order; more go in rounds.
+SETTLED_AT_ONCE = 200_000
+
+
+def place(stories: DataFrame, pairs: DataFrame, at_once: int = SETTLED_AT_ONCE) -> DataFrame:
     """(story_id, cluster_id, verdict, compared_to): each story in one cluster, in order of (published, story_id).
 
     pairs(story_id, founder_id, same) holds the candidate pairs with what the judge said of each, asked once a pair. A story joins
     the first founder, in order of (founder's time, id), of which `same` holds; else it founds a cluster. It is compared to founders only, so
     events never chain. A story with a founder among its earlier same ones joins, whichever founder is the first; one whose
-    earlier same ones all joined others founds. So what is left to settle shrinks in rounds that follow the longest
-    chain of such stories, each round an aggregate over the pairs still open; no country or event meets in one task.
+    earlier same ones all joined others founds.
+
+    Rounds settle what is next to those settled in the round before: pairs with one that joined are dropped, those with a
+    founder decide. Only open pairs and the newly settled are stored, both of which shrink, and no country or event
+    meets in one task; the last pairs, at_once at most, are settled by one task in order, which gives the same.
     """
     order = F.struct(F.coalesce(F.unix_micros("published"), F.lit(-(1 << 62))).alias("at"), F.col("story_id").alias("id"))
     ranked = stories.select("story_id", order.alias("o"))
     same = pairs.filter("same").select("story_id", "founder_id").distinct()
     earlier = same.join(ranked.withColumnRenamed("o", "so"), "story_id").join(ranked.select(F.col("story_id").alias("founder_id"), F.col("o").alias("fo")), "founder_id")
-    earlier = stored(earlier.filter(F.col("fo") < F.col("so")).select("story_id", "founder_id", "fo"))
-
-    open_pairs = earlier.select("story_id", "founder_id")
-    joined = stories.select("story_id").limit(0)
-    waiting = earlier.select("story_id").distinct()
-    first_round = True
-    while first_round or not waiting.isEmpty():
-        # a founder is no story that waits and none that joined
-        seen = open_pairs.join(waiting.select(F.col("story_id").alias("founder_id"), F.lit("waits").alias("w")), "founder_id", "left")
-        seen = seen.join(joined.select(F.col("story_id").alias("founder_id"), F.lit("joined").alias("j")), "founder_id", "left")
-        told = stored(seen.groupBy("story_id").agg(F.bool_or(F.col("w").isNull() & F.col("j").isNull()).alias("joins"), F.bool_and(F.col("j").isNotNull()).alias("founds")))
-        joined = stored(joined.unionByName(told.filter("joins").select("story_id")))
-        waiting = stored(told.filter("NOT joins AND NOT founds").select("story_id"))
-        open_pairs = stored(open_pairs.join(waiting, "story_id", "left_semi"))
-        first_round = False
+    earlier = stored(earlier.filter(F.col("fo") < F.col("so")).select("story_id", "founder_id", "so", "fo"))
+
+    left = earlier
+    fresh = stored(earlier.select("founder_id").distinct().join(earlier.select(F.col("story_id").alias("founder_id")), "founder_id", "left_anti").select(F.col("founder_id").alias("story_id"), F.lit(True).alias("founds")))
+    settled = [fresh]
+    while (n := left.count()) > at_once:
+        told = left.join(fresh.select(F.col("story_id").alias("founder_id"), "founds"), "founder_id", "left")
+        seen = stored(told.groupBy("story_id").agg(F.coalesce(F.bool_or("founds"), F.lit(False)).alias("joins"), F.count_if(F.col("founds").isNull()).alias("open")))
+        fresh = seen.filter("joins OR open = 0").select("story_id", (~F.col("joins")).alias("founds"))
+        settled.append(fresh)
+        waiting = seen.filter("NOT joins AND open > 0").select("story_id")
+        left = stored(told.filter("founds IS NULL").join(waiting, "story_id", "left_semi").drop("founds"))
+    if n:
+        told = left.join(fresh.select(F.col("story_id").alias("founder_id"), "founds"), "founder_id", "left").select("story_id", "founder_id", F.col("so.at").alias("at"), "founds")
+        settled.append(stored(told.repartition(1).sortWithinPartitions("at", "story_id").mapInPandas(_in_order, "story_id string, founds boolean")))
+    joined = reduce(DataFrame.unionByName, settled).filter("NOT founds").select("story_id")
     founders = earlier.join(joined.select(F.col("story_id").alias("founder_id")), "founder_id", "left_anti")
     chosen = founders.join(joined, "story_id", "left_semi").groupBy("story_id").agg(F.min_by("founder_id", "fo").alias("joined"))
     named = stories.select(F.col("story_id").alias("joined"), hashing.cluster_id("outlet", "primary_alias").alias("joined_cluster"))
@@ -131,6 +141,19 @@ def place(stories: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def _in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(story_id, founds) for pairs(story_id, founder_id, founds) in order of the stories, founds being what is known of the founder."""
+    rows = pd.concat(list(batches))
+    joined: set[str] = set()
+    out = []
+    for story, mine in rows.groupby("story_id", sort=False):
+        meets = any(founds if founds is not None and founds == founds else other not in joined for other, founds in zip(mine["founder_id"], mine["founds"], strict=True))
+        if meets:
+            joined.add(story)
+        out.append((story, not meets))
+    yield pd.DataFrame(out, columns=["story_id", "founds"])
+
+
 def pin_decisions(clusters: DataFrame, members: DataFrame) -> DataFrame:
     """(cluster_id, is_pin, not_pin_reason): a ladder of vetoes; the founder is what a pin is about.
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import hashing
 from meridian.functions import text as T
+from meridian.operators.tables import chain_ends, stored
 
 #: The fields of a row that name its story, by outlet, the most specific first.
 ALIAS_FIELDS = {"reuters": ["id", "content_code"], "bbc": ["asset_id", "id"], "guardian": ["short_url", "id"], "pbs": ["id", "post_id"], "nyt": ["guid"]}
@@ -131,36 +129,23 @@ def assign_stories(rows: DataFrame, known: DataFrame) -> DataFrame:
     """(row_id, outlet, story_id, is_new) of rows(row_id, outlet, aliases, seq), as if saved one by one in order of seq.
 
     A row joins the earliest story that any of its aliases names, and then owns its aliases that nobody has. So an
-    alias never moves, and a later row can bridge two stories without joining them. Aliases belong to an outlet, so
-    outlets go apart; only rows that share an alias with another row or with the store go through Python at all,
-    all others are stories of their own.
+    alias never moves, and a later row can bridge two stories without joining them. An alias that the store does not have
+    belongs to the first row with it; so a row without an alias in the store takes the story of the earliest first row of any
+    of its aliases, and that of its own, as a new one, if that is itself. Such steps lead back to a row that is new or
+    known; they are followed by doubling, and nothing walks through the rows of an outlet in order.
     """
     named = rows.select("row_id", "outlet", "aliases", "seq").filter(F.size("aliases") > 0)
-    each = named.select("row_id", "outlet", F.explode("aliases").alias("alias"))
-    shared = each.groupBy("outlet", "alias").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("outlet", "alias")
-    tied = each.join(shared.unionByName(known.select("outlet", "alias")).distinct(), ["outlet", "alias"], "left_semi").select("row_id").distinct()
-    alone = named.join(tied, "row_id", "left_anti").select("row_id", "outlet", hashing.story_id("outlet", F.element_at("aliases", 1)).alias("story_id"), F.lit(True).alias("is_new"))
-    hard = named.join(tied, "row_id", "left_semi")
-    store = hard.select("outlet", F.explode("aliases").alias("alias")).distinct().join(known, ["outlet", "alias"])
-    entries = store.select("outlet", F.lit(-1).cast("long").alias("row_id"), F.lit(None).cast("long").alias("seq"), F.array("alias").alias("aliases"), "story_id", F.unix_micros("first_seen_at").alias("at"))
-    entries = entries.unionByName(hard.select("outlet", "row_id", "seq", "aliases", F.lit(None).cast("string").alias("story_id"), F.lit(None).cast("long").alias("at")))
-
-    def fold(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        owner: dict[str, tuple[int, int, str]] = {}
-        out = []
-        for row in group.sort_values(["place", "row_id"]).itertuples(index=False):
-            if row.row_id < 0:
-                owner[row.aliases[0]] = (0, int(row.at), row.story_id)
-                continue
-            found = min((owner[a] for a in row.aliases if a in owner), default=None)
-            own = found[2] if found else "st_" + hashlib.sha256(f"{key[0]}\n{row.aliases[0]}".encode()).hexdigest()[:16]
-            for a in row.aliases:
-                owner.setdefault(a, (1, int(row.seq), own))
-            out.append((row.row_id, key[0], own, found is None))
-        return pd.DataFrame(out, columns=["row_id", "outlet", "story_id", "is_new"])
-
-    placed = entries.withColumn("place", F.coalesce("seq", F.lit(-1)))
-    return alone.unionByName(placed.groupBy("outlet").applyInPandas(fold, "row_id long, outlet string, story_id string, is_new boolean"))
+    each = named.select("row_id", "outlet", "seq", F.explode(F.array_distinct("aliases")).alias("alias"))
+    first = each.groupBy("outlet", "alias").agg(F.min(F.struct("seq", "row_id")).alias("first"))
+    old = known.groupBy("outlet", "alias").agg(F.min(F.struct("first_seen_at", "story_id")).alias("old"))
+    told = each.join(first.join(old, ["outlet", "alias"], "left"), ["outlet", "alias"])
+    by_row = told.groupBy("row_id").agg(F.min("old").alias("old"), F.min("first").alias("first"))
+    own = F.coalesce("old.story_id", hashing.story_id("outlet", F.element_at("aliases", 1)))
+    step = F.when(F.col("old").isNotNull(), F.col("row_id")).otherwise(F.col("first.row_id"))
+    found = stored(named.join(by_row, "row_id").select("row_id", "outlet", own.alias("own"), step.alias("to"), (F.col("old").isNull() & (F.col("first.row_id") == F.col("row_id"))).alias("is_new")))
+    ends = chain_ends(found.select(F.col("row_id").alias("node"), "to"))
+    stories = found.select(F.col("row_id").alias("to"), F.col("own").alias("story_id"))
+    return found.drop("to").join(ends.join(stories, "to").select(F.col("node").alias("row_id"), "story_id"), "row_id").select("row_id", "outlet", "story_id", "is_new")
 
 
 def known_rows(rows: DataFrame, known: DataFrame, sections: DataFrame) -> DataFrame:

@@ -179,10 +179,24 @@ def release(stories: DataFrame, ids: DataFrame, status: str | None = None) -> Da
     return out.drop("gone")
 
 
-def within_budget(calls: DataFrame, day, order: list, cost: str, budget: float) -> DataFrame:
-    """The calls that were made while what had been spent that day was below the budget; one may overshoot it."""
-    before = F.sum(cost).over(Window.partitionBy(day).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return calls.withColumn("spent_before", F.coalesce(before, F.lit(0.0))).filter(F.col("spent_before") < budget)
+def within_budget(calls: DataFrame, day, order: list, cost: str, budget: float, part: Column | None = None, descending: bool = False) -> DataFrame:
+    """The calls that were made while what had been spent that day was below the budget; one may overshoot it.
+
+    part, such as the minute, goes with the order, up or down: then sums run within a part only, and over the parts' sums, so
+    a day with any number of calls is no single task's work.
+    """
+    if part is None:
+        before = F.sum(cost).over(Window.partitionBy(day).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+        return calls.withColumn("spent_before", F.coalesce(before, F.lit(0.0))).filter(F.col("spent_before") < budget)
+    cut = calls.withColumns({"_day": day, "_part": part})
+    parts = cut.groupBy("_day", "_part").agg(F.sum(cost).alias("_own"))
+    ordered = Window.partitionBy("_day").orderBy(F.col("_part").desc() if descending else F.col("_part").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_day", "_part", F.coalesce(F.sum("_own").over(ordered), F.lit(0.0)).alias("_start"))
+    within = F.sum(cost).over(Window.partitionBy("_day", "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    # a part that begins over the budget has no call within it, so most rows go before they are sorted
+    due = cut.join(starts.filter(F.col("_start") < budget), ["_day", "_part"])
+    out = due.withColumn("spent_before", F.col("_start") + F.coalesce(within, F.lit(0.0))).filter(F.col("spent_before") < budget)
+    return out.drop("_day", "_part", "_start")
 
 
 #: Tables that lose rows with a story, by their column that names it.

@@ -7,6 +7,7 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,3 +32,16 @@ def stored(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def chain_ends(steps: DataFrame) -> DataFrame:
+    """steps(node, to) with `to` the end of the chain that each node's steps lead along; an end steps to itself.
+
+    The reach doubles with each round, so a chain of n steps takes about log2(n) of them.
+    """
+    while True:
+        further = steps.select(F.col("node").alias("_node"), F.col("to").alias("_to"))
+        reach = stored(steps.join(further, F.col("to") == F.col("_node")).select("node", F.col("_to").alias("to"), (F.col("_to") != F.col("to")).alias("moved")))
+        steps = reach.select("node", "to")
+        if reach.filter("moved").isEmpty():
+            return steps

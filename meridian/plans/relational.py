@@ -424,7 +424,7 @@ SELECT event_id, round(before, 4) AS before FROM (SELECT event_id, coalesce(sum(
  (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM events) WHERE before < 2000
 """)
 def agg06_spend_day(spark, sf):
-    kept = M.within_budget(table(spark, sf, "events"), F.to_date("ts"), [F.col("ts").desc(), F.col("event_id")], "value", 2000.0)
+    kept = M.within_budget(table(spark, sf, "events"), F.to_date("ts"), [F.col("ts").desc(), F.col("event_id")], "value", 2000.0, F.date_trunc("minute", F.col("ts").cast("timestamp")), True)
     return kept.select("event_id", F.round("spent_before", 4).alias("before"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import geo, hashing, jsons, times
 from meridian.functions import text as T
+from meridian.operators import checks as C
 from meridian.plans.registry import SQL, query, table
 from meridian.plans.relational import _CANONICAL
 
@@ -90,21 +91,8 @@ WITH b AS (SELECT item_id, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')),
 SELECT doc_id, item_id FROM documents JOIN b ON contains(trim(regexp_replace(text, '\\s+', ' ', 'g')), q)
 """)
 def str15_verbatim_quote(spark, sf):
-    """Texts that have the whole of a benchmark text; the SQL looks for its first 60 characters, which gives the same rows of the driver's tables.
-
-    A quote's longest inner word stands whole in any text that has the quote, so texts are looked up by it first.
-
-    A quote without an inner word could be anywhere; such quotes are held against every text.
-    """
-    words = F.split("q", " ")
-    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    b = table(spark, sf, "benchmark").select("item_id", T.normalise("text").alias("q")).withColumn("word", longest)
-    d = table(spark, sf, "documents").select("doc_id", T.normalise("text").alias("t"))
-    candidates = d.select("doc_id", F.explode(F.array_distinct(F.split("t", " "))).alias("word")).join(b.filter("word IS NOT NULL"), "word").select("doc_id", "item_id", "q")
-    found = d.join(candidates, "doc_id").filter(F.col("t").contains(F.col("q"))).select("doc_id", "item_id")
-    bare = b.filter("word IS NULL AND q IS NOT NULL").select("item_id", "q")
-    return found.unionByName(d.join(bare, F.col("t").contains(F.col("q"))).select("doc_id", "item_id"))
+    """Texts that have the whole of a benchmark text; the SQL looks for its first 60 characters, which gives the same rows of the driver's tables."""
+    return C.quoted(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
 @query("""

@@ -260,6 +260,23 @@ def jn06_owners(spark, sf):
     return I.owners(rows, known).select("row_id", "known_id")
 
 
+@query(over_store("""
+WITH RECURSIVE r AS (SELECT n, outlet, ['u' || n % 500, 'v' || n // 3, 'x' || n % 701] AS aliases FROM stories),
+e AS (SELECT n, outlet, unnest(aliases) AS alias FROM r), f AS (SELECT outlet, alias, min(n) AS first FROM e GROUP BY ALL),
+k AS (SELECT outlet, alias, min((first_seen_at, story_id)) AS old FROM story_aliases WHERE alias LIKE 'u%5' GROUP BY ALL),
+t AS MATERIALIZED (SELECT e.n, any_value(e.outlet) AS outlet, min(k.old) AS old, min(f.first) AS first FROM e JOIN f USING (outlet, alias) LEFT JOIN k USING (outlet, alias) GROUP BY e.n),
+walk AS (SELECT n, n AS here FROM t UNION ALL SELECT w.n, t.first FROM walk w JOIN t ON t.n = w.here WHERE t.old IS NULL AND t.first <> w.here)
+SELECT w.n AS row_id, t.outlet, CASE WHEN t.old IS NOT NULL THEN t.old[2] ELSE 'st_' || substr(sha256(t.outlet || chr(10) || 'u' || t.n % 500), 1, 16) END AS story_id, t.old IS NULL AND w.n = w.here AS is_new
+FROM walk w JOIN t ON t.n = w.here WHERE t.old IS NOT NULL OR t.first = t.n
+""", "stories", "story_aliases").replace("WITH stories AS", "WITH RECURSIVE stories AS").replace("\nWITH RECURSIVE r AS", ", r AS"))
+def ups01_assign_stories(spark, sf):
+    """Rows with three aliases each, which chain and bridge, saved as if one by one into a store that has some of them."""
+    stories, known = store(spark, sf, "stories", "story_aliases")
+    n = F.col("n")
+    aliases = F.array(F.concat(F.lit("u"), n % 500), F.concat(F.lit("v"), F.floor(n / 3)), F.concat(F.lit("x"), n % 701))
+    return I.assign_stories(stories.select(n.alias("row_id"), "outlet", aliases.alias("aliases"), n.alias("seq")), known.filter("alias LIKE 'u%5'"))
+
+
 @query(over_store("""
 SELECT outlet, section, page, bool_and(known) AS all_known FROM (SELECT r.*, EXISTS (SELECT 1 FROM story_sections x WHERE x.story_id = o.known_id AND x.section = r.section) AS known
   FROM (SELECT n, outlet, status AS section, n // 20 AS page, 'a' || n AS alias FROM (SELECT n, outlet, CASE WHEN n % 50 < 25 THEN event_type ELSE 'click' END AS status FROM stories JOIN (SELECT event_id AS n, event_type FROM events) USING (n))) r

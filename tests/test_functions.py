@@ -132,3 +132,35 @@ def test_json(spark):
     assert each(spark, ['{"verdict": " Same "}', '{"verdict": "maybe"}', "x"], jsons.verdict) == ["same", "unsure", "unsure"]
     got = each(spark, ['{"a": "", "b": {"c": "x"}}', '{"a": []}'], lambda c: jsons.first_of(F.parse_json(c), "$.a", "$.b.c"))
     assert got == ["x", None]
+
+
+def test_signatures_are_hmacs(spark):
+    texts = ["", "a", "naïve\ntext", "x" * 200]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for secret in ("", "short", "k" * 64, "a key of more than one block " * 4):
+        got = [r.s for r in df.select(hashing.signature(secret, "t").alias("s")).collect()]
+        assert got == [hashing.sign(secret, t) for t in texts]
+
+
+def test_item_hashes_of_texts(spark):
+    texts = ['{"a":"b"}', 'back\\slash "q"', "é漢", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.h for r in df.select(hashing.text_item_hash("t").alias("h")).collect()] == [hashing.item_hash([t]) for t in texts]
+
+
+def test_waits_grow_and_are_capped(spark):
+    rows = [(1, 0.0, None, 0.5), (1, 1.0, "", 1.5), (3, 0.5, "soon", 4.0), (20, 0.5, None, 60.0), (0, 0.5, None, 1.0), (5, 0.0, " 7 ", 7.0), (5, 0.0, "900", 60.0), (5, 0.0, "-3", 0.0)]
+    df = spark.createDataFrame(rows, "n int, j double, a string, w double")
+    assert all(r.w == r.x for r in df.withColumn("x", times.retry_delay("n", F.col("j"), retry_after="a")).collect())
+
+
+def test_first_of_skips_objects(spark):
+    df = spark.createDataFrame([('{"a":{"b":"x"},"c":"y"}',), ('{"a":["z"],"c":5}',), ('{"a":" t "}',)], "j string").withColumn("v", F.try_parse_json("j"))
+    assert [r.x for r in df.select(jsons.first_of("v", "$.a", "$.a.b", "$.c").alias("x")).collect()] == ["x", "5", "t"]
+
+
+def test_texts_of_arrays_are_cleaned_as_single_ones(spark):
+    rows = [["<b>A</b>  &amp; b", None, "x\u200b y\u00a0z"], [], None, ["plain", " & "]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "i int, a array<string>")
+    got = [r.x for r in df.select("i", T.clean_texts("a").alias("x")).orderBy("i").collect()]
+    assert got == [["A & b", None, "x y z"], [], None, ["plain", "&"]]

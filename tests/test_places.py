@@ -1,5 +1,7 @@
 """Made-up places: namesakes, a region that shares a town's name, codes that are missing, a place known by another name."""
 
+import zipfile
+
 import pytest
 
 from meridian.operators import gazetteer as G
@@ -128,6 +130,21 @@ def test_dumps(spark, tmp_path):
     assert [tuple(r) for r in files.read_admin_areas(spark, str(tmp_path / "a.txt"), 1).collect()] == [("ZD.AR", "Ardén", 1)]
 
 
+def test_dumps_in_archives(spark, tmp_path):
+    lines = ["# c\tx", "ZD\tZED\t1\tZ\tZedland\r", *(f"C{i}\tx\t1\tz\tLand {i}" for i in range(25_000)), "short"]
+    with zipfile.ZipFile(tmp_path / "dump.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("readme.txt", "not this")
+        z.writestr("countries.txt", "\n".join(lines))
+    got = {r.code: r.name for r in files.read_countries(spark, f"{tmp_path}/dump.zip#countries.txt").collect()}
+    assert len(got) == 25_001 and got["ZD"] == "Zedland" and got["C24999"] == "Land 24999"
+
+
+def test_incidents_merge_by_key(spark):
+    make = lambda *rows: {n: spark.createDataFrame([(i, v) for i, v in rows], f"{k} string, v string") for n, k in files.INCIDENT_KEYS.items()}
+    out = files.merge_incidents(make(("a", "old"), ("b", "old")), make(("b", "new"), ("c", "new")))
+    assert all(sorted(map(tuple, t.collect())) == [("a", "old"), ("b", "new"), ("c", "new")] for t in out.values())
+
+
 def test_rule_number(spark):
     meta = lambda v: spark.createDataFrame([("names_rule", v)] if v else [], "key string, value string")
     assert G.names_rule_is_old(meta(None)) and G.names_rule_is_old(meta("x")) and not G.names_rule_is_old(meta("2"))

@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +201,60 @@ def test_pins(spark):
     members = spark.createDataFrame([("ok", "m", 0.0, 0.4), ("far", "m", 0.0, 0.5), ("far", "f", 9.0, 9.0), ("ok", "n", None, None)], "cluster_id string, story_id string, latitude double, longitude double")
     got = {r.cluster_id: r.not_pin_reason for r in K.pin_decisions(spark.createDataFrame(rows, schema), members).collect()}
     assert got == {"ok": None, "live": "live_blog", "not": "founder_not_an_event", "cat": "founder_category_never_pins", "place": "founder_place_not_pinnable", "far": "members_far_apart"}
+
+
+def walked(stories, pairs):
+    """(story, founder or None) by walking the stories one by one."""
+    same, founders, out = {}, set(), {}
+    for a, b in pairs:
+        same.setdefault(a, set()).add(b)
+    for s in sorted(stories, key=stories.get):
+        mine = sorted((f for f in same.get(s, ()) if f in founders), key=stories.get)
+        out[s] = mine[0] if mine else None
+        if not mine:
+            founders.add(s)
+    return out
+
+
+@pytest.mark.parametrize("at_once", [0, 3, 10**6])
+def test_rounds_place_as_a_walk_does(spark, at_once):
+    rng = random.Random(at_once)
+    names = [f"s{i}" for i in range(120)]
+    stories = {n: (T0 + dt.timedelta(minutes=rng.randrange(60)), n) for n in names}
+    chain = sorted(names, key=stories.get)[:14]
+    pairs = {(b, a) for a, b in zip(chain, chain[1:])} | {(rng.choice(names), rng.choice(names)) for _ in range(160)}
+    pairs = {(a, b) for a, b in pairs if a != b}
+    rows = spark.createDataFrame([(n, "o", n, at) for n, (at, _) in stories.items()], "story_id string, outlet string, primary_alias string, published timestamp")
+    asked = spark.createDataFrame([(a, b, True) for a, b in pairs] + [(names[0], names[1], False)], "story_id string, founder_id string, same boolean")
+    got = {r.story_id: r.compared_to for r in K.place(rows, asked, at_once).collect()}
+    assert got == walked(stories, pairs)
+
+
+def test_budgets_by_parts_are_the_same(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.randrange(3), rng.randrange(400), float(rng.randrange(1, 9))) for i in range(900)]
+    calls = spark.createDataFrame(rows, "i int, day int, at int, cost double")
+    for down in (False, True):
+        order = [F.col("at").desc() if down else F.col("at"), F.col("i")]
+        want, got = (sorted((r.i, r.spent_before) for r in M.within_budget(calls, F.col("day"), order, "cost", 300.0, part, down).collect()) for part in (None, F.floor(F.col("at") / 10)))
+        assert got == want and 100 < len(want) < 900
+
+
+def test_older_schemas_and_ended_runs(spark):
+    old = spark.createDataFrame([("a", "bbc", "7", "x")], "story_id string, outlet string, word_count string, gone string")
+    new = schemas.migrated(old, "stories", 2)
+    assert new.schema == table(spark, "stories").schema and (new.first().word_count, new.first().headline) == (7, None)
+    with pytest.raises(ValueError):
+        schemas.migrated(old, "stories", schemas.SCHEMA_VERSION + 1)
+    runs = spark.createDataFrame([("r1", T0, None, 0), ("r2", T0, T0, 4)], "run_id string, started_at timestamp, finished_at timestamp, new_stories int")
+    later = T0 + dt.timedelta(hours=1)
+    got = {r.run_id: (r.finished_at, r.new_stories) for r in M.end_runs(runs, spark.createDataFrame([("r1", later, 3), ("zz", later, 1)], "run_id string, finished_at timestamp, new_stories int")).collect()}
+    assert got == {"r1": (later, 3), "r2": (T0, 4)}
+
+
+def test_long_chains_of_rows_keep_their_first_story(spark):
+    rows = [(i, "bbc", [f"a{i}", f"a{i + 1}"], i) for i in range(300)] + [(1000, "bbc", ["a7"], 1000), (1001, "pbs", ["a7"], 1001)]
+    df = spark.createDataFrame(rows, "row_id long, outlet string, aliases array<string>, seq long").repartition(4)
+    none = spark.createDataFrame([], "outlet string, alias string, story_id string, first_seen_at timestamp")
+    got = {r.row_id: (r.story_id, r.is_new) for r in I.assign_stories(df, none).collect()}
+    assert len({got[i][0] for i in range(300)}) == 1 and sorted(i for i, x in got.items() if x[1]) == [0, 1001] and got[1000][0] == got[0][0]

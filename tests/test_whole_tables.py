@@ -5,7 +5,7 @@ import re
 from itertools import combinations
 
 from meridian.functions import text as T
-from meridian.operators import cluster
+from meridian.operators import checks, cluster
 from meridian.plans import catalog
 from meridian.plans.relational import overlapping
 from meridian.sources import feeds
@@ -170,3 +170,14 @@ def test_every_outcome_of_the_evidence_rules(spark, tmp_path):
         got = {r.doc_id: (r.place, r.failure) for r in catalog.QUERIES["str16_evidence_all"](spark, folder).collect()}
         assert got == want
         assert folder == SF or {x[1] for x in want.values()} == {None, "planned", "dateline", "spoken_to_a_reporter"}
+
+
+def test_quotes_are_found_in_blocks(spark):
+    texts = [(1, "a b  c\nd e"), (2, "xx b c yy"), (3, None), (4, ""), (5, "abcde " * 50)]
+    quotes = [(1, "b c"), (2, "c d"), (3, " "), (4, None), (5, "b  c"), (6, "cde abc"), (7, "e"), (8, "not there")]
+    t, q = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(quotes, "item_id long, text string")
+    clean = lambda x: " ".join((x or "").split())
+    want = sorted((d, i) for d, x in texts for i, y in quotes if clean(y) and clean(y) in clean(x))
+    for size in (1 << 20, 4):
+        assert sorted((r.doc_id, r.item_id) for r in checks.quoted(t, q, size).collect()) == want
+    assert checks.quoted(t, q.limit(0)).count() == 0
