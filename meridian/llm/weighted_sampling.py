@@ -26,6 +26,8 @@ SAMPLES = 64
 BLOCK = 1 << 12
 #: A text with more different terms than this is worked on by itself, a block of terms at a time.
 MOST_TERMS = 1 << 15
+#: Terms of the texts whose draws are made together, at most.
+GROUP_TERMS = 1 << 17
 
 
 def terms_of(text: str) -> dict[str, int]:
@@ -104,7 +106,7 @@ def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
         if len(bag) > MOST_TERMS:
             out[i] = long_signature(bag, samples)
         elif bag:
-            if size + len(bag) > MOST_TERMS:
+            if size + len(bag) > GROUP_TERMS:
                 out[rows] = _short_signatures(held, samples)
                 held, rows, size = [], [], 0
             held.append(bag)

@@ -38,6 +38,8 @@ def test_blocks_make_no_difference(monkeypatch):
     monkeypatch.setattr(ws, "MOST_TERMS", 40)  # most texts go by themselves
     assert (ws.signatures(texts) == whole).all()
     monkeypatch.setattr(ws, "MOST_TERMS", 400)
+    monkeypatch.setattr(ws, "GROUP_TERMS", 900)
+    assert (ws.signatures(texts) == whole).all()
     assert (np.concatenate([ws.signatures([t]) for t in texts]) == whole).all()
     assert not whole[0].any() and (whole[0] == whole[-2]).all()
 
