@@ -25,7 +25,7 @@ from meridian.llm.common import batched, durable, slices
 CAPACITY = 1024
 END_ID = 2
 #: A length's pieces are ranked in parts of so many rows, about.
-BUCKET_ROWS = 1 << 14
+BUCKET_ROWS = 1 << 10
 #: In so many steps it is looked for how many of the exact combinations to keep.
 STOPS = 16
 
