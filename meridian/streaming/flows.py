@@ -43,30 +43,38 @@ def silent(events: DataFrame, key: str, at: str, now, hours: int) -> DataFrame:
 def leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], key: str, fields: list[str], keep_hours: int = 48) -> DataFrame:
     """(key, story_id, founder_id) of a stream of stories: each joins the first founder of its key that it is the same as, or founds.
 
-    State is the founders of a key within keep_hours of its newest story, as (id, time, fields); older ones can't be joined any more.
-    Within a trigger stories go in order of (published, story_id).
+    The first is by (published, story_id), as in cluster.place, so stories that come in order give what that gives. State is the
+    founders of a key within twice keep_hours of its newest story; older ones can't be joined any more. Within a
+    trigger stories go in order of (published, story_id); one that comes late is compared to the founders there are by then and
+    may join a later one, as what was said of others is not taken back. A story without a time founds its own
+    cluster and is never joined.
     """
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        founders = [tuple(x) for x in state.get[0]] if state.exists else []
+        newest, kept = state.get if state.exists else (float("-inf"), [])
+        founders = [tuple(x) for x in kept]
         df = pd.concat(list(batches)).sort_values(["published", "story_id"])
         out = []
         for row in df.itertuples(index=False):
+            if pd.isna(row.published):
+                out.append((group[0], row.story_id, row.story_id))
+                continue
             at = row.published.timestamp()
+            newest = max(newest, at)
             mine = tuple(getattr(row, f) for f in fields)
-            first = next((f for f in founders if abs(at - f[1]) <= keep_hours * 3600 and same(mine, f[2:])), None)
+            near = (f for f in founders if abs(at - f[1]) <= keep_hours * 3600 and same(mine, f[2:]))
+            first = min(near, key=lambda f: (f[1], f[0]), default=None)
             if first is None:
                 founders.append((row.story_id, at, *mine))
             out.append((group[0], row.story_id, first[0] if first else row.story_id))
-        newest = max(f[1] for f in founders)
         founders = sorted((f for f in founders if f[1] >= newest - 2 * keep_hours * 3600), key=lambda f: (f[1], f[0]))
-        state.update(([list(map(str, f[:1])) + [f[1], *f[2:]] for f in founders],))
+        state.update((newest, [list(f) for f in founders]))
         yield pd.DataFrame(out, columns=[key, "story_id", "founder_id"])
 
     kinds = dict(stories.dtypes)
     founder = "struct<id:string,at:double," + ",".join(f"{f}:{kinds[f]}" for f in fields) + ">"
     picked = stories.select(key, F.col("story_id").cast("string").alias("story_id"), "published", *fields)
-    return picked.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, story_id string, founder_id string", f"founders array<{founder}>", "append", GroupStateTimeout.NoTimeout)
+    return picked.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, story_id string, founder_id string", f"newest double, founders array<{founder}>", "append", GroupStateTimeout.NoTimeout)
 
 
 def run_once(flow: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
