@@ -20,7 +20,7 @@ import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 #: What a word is for every operator here: a run of anything but ASCII white space.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -112,6 +112,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 4 <<
             yield batch.slice(first)
 
 
+def check_ids(docs: DataFrame) -> None:
+    """Raises TypeError unless doc_id is a whole number, by whose order documents go."""
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, IntegralType):
+        raise TypeError(f"doc_id has to be a whole number, not {kind.simpleString()}")
+
+
 def keyed(docs: DataFrame, carry: bool) -> DataFrame:
     """(doc_id, text), or with carry (row, text) where row is a struct of all columns, so names clash with nothing."""
     return docs.select(F.struct("*").alias("row") if carry else "doc_id", "text")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import batched, durable, keyed, output, shuffle_width, slices
+from meridian.llm.common import batched, check_ids, durable, keyed, output, shuffle_width, slices
 from meridian.llm.components import components
 
 MOST_BITS = 3
@@ -214,6 +214,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component; such rows get that of their fingerprint, or null. Repeated rows come out as often as they come in, an
     empty table gives an empty result, other columns are not looked at.
     """
+    check_ids(docs)
     fps = durable(fingerprints(docs))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return fps.join(named(fps), "fp").select("doc_id", "fp", hexed, "component_id")
@@ -225,6 +226,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows with the same doc_id are one document. Rows without a doc_id stay if no document with one is linked to their
     fingerprint, one for each fingerprint.
     """
+    check_ids(docs)
     rows = durable(fingerprints(docs, carry=True))
     fps = rows.select("row.doc_id", "fp")
     group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).alias("group")

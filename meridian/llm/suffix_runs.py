@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import batched, by_key, durable, grouped, or_empty, pack, shuffle_width, unpack
+from meridian.llm.common import batched, by_key, check_ids, durable, grouped, or_empty, pack, shuffle_width, unpack
 
 LENGTH = 50
 DEPTH = 16
@@ -540,8 +540,9 @@ def deduplicated(docs: DataFrame, run_bytes: int = RUN_BYTES, as_text: bool = Fa
     row is a struct of all other columns, so their names clash with nothing. kept are the bytes that no LENGTH-byte string
     covers that also starts in a document with a smaller doc_id; spans are the maximal runs removed. Strings never cross
     documents and are judged on the input. With as_text kept is text, without characters of which a cut left half. A null text is empty. Rows with the same doc_id don't act on each other; a null
-    doc_id is smaller than none and none is smaller than it. An empty table gives an empty result.
+    doc_id is smaller than none and none is smaller than it, and one that is no whole number is an error. An empty table gives an empty result.
     """
+    check_ids(docs)
     width = shuffle_width(docs.sparkSession)
     splitters = _splitters(docs.select("doc_id", "text"), 2 * width)
     stored = durable(runs(docs, splitters, run_bytes))

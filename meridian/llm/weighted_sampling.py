@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import batched, or_empty, shuffle_width, slices
+from meridian.llm.common import batched, check_ids, or_empty, shuffle_width, slices
 
 SAMPLES = 64
 #: (text, term) pairs that are worked on at once.
@@ -207,9 +207,10 @@ def against_next(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of each row.
 
     Rows are in order of doc_id, null first, then text; the next of the last is the first, which for a single row is
-    itself. Repeated rows follow each other. A null text counts as empty, an empty table gives an empty result, and
+    itself. Repeated rows follow each other. A doc_id that is no whole number is an error. A null text counts as empty, an empty table gives an empty result, and
     other columns are not looked at.
     """
+    check_ids(docs)
     rows = with_next(docs, 4 * shuffle_width(docs.sparkSession))
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 

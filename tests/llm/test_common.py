@@ -3,7 +3,7 @@ import os
 import pyarrow as pa
 import pytest
 
-from meridian.llm import common, sampling
+from meridian.llm import common, sampling, simhash, suffix_runs, weighted_sampling
 
 
 def test_stored_tables_stay_until_they_are_removed(spark):
@@ -66,3 +66,11 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="share"):
         common.shared_dir(Session())
+
+
+def test_ids_that_are_no_numbers_are_refused(spark):
+    docs = spark.createDataFrame([("a", "text")], "doc_id string, text string")
+    for run in (suffix_runs.deduplicated, weighted_sampling.against_next, simhash.near_duplicates, simhash.one_of_each):
+        with pytest.raises(TypeError, match="whole number"):
+            run(docs)
+    assert simhash.near_duplicates(spark.createDataFrame([(1, "text")], "doc_id int, text string")).count() == 1
