@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules, langid, packing, segment_bpe, sharding, simhash, suffix_runs, token_counts, toxicity, weighted_sampling
+from meridian.llm import host_rules, langid, packing, segment_bpe, sharding, simhash, simhash_sql, suffix_runs, token_counts, toxicity, weighted_sampling
 from meridian.llm.common import read_table
 from meridian.llm.sampling import fold
 
@@ -80,6 +80,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+SQL["op6_simhash"] = simhash_sql.SQL
+
+
 @query
 def op5_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")

@@ -1,10 +1,12 @@
 import random
 
+import duckdb
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from meridian.llm import components, queries, simhash
+from meridian.llm import components, queries, simhash, simhash_sql
 
 from .fixtures import ODD, no_docs, odd_docs, sample_texts
 
@@ -142,3 +144,22 @@ def test_components_of_paths_and_stars(spark):
     want = {x: min(names[:60]) for x in names[:60]} | {x: min(names[100:150]) for x in names[100:150]} | {x: 2000 for x in range(2000, 2041)}
     assert got == want
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_the_sql_agrees(spark):
+    """On the table, and on odd rows, words of all lengths that the hash treats in ways of its own among them."""
+    long = spark.createDataFrame([(100 + n, "w" * n + " b" * (n % 4)) for n in range(80)], "doc_id long, text string")
+    near = spark.createDataFrame([(300 + n, "one two three four five six seven eight nine ten " * 40 + f"x{n} y z") for n in range(6)], "doc_id long, text string")
+    odd = odd_docs(spark).select("doc_id", "text").unionByName(long).unionByName(near)
+    for docs, rows in ((odd, simhash.near_duplicates(odd)), (spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), queries.op6_simhash(spark, SF))):
+        documents = docs.toPandas()  # noqa: F841
+        want = duckdb.sql(queries.SQL["op6_simhash"]).fetchall()
+        got = [(r.doc_id, r.fingerprint, r.component_id) for r in rows.collect()]
+        assert sorted(set(got)) == sorted(set(want)) and len({x[2] for x in got}) < len({x[0] for x in got})
+
+
+def test_hashes_in_sql():
+    texts = ["".join(chr(97 + (i * n) % 26) for i in range(n)) for n in range(1, 140)] + ["é漢" * 30]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})  # noqa: F841
+    got = dict(duckdb.sql(f"WITH {simhash_sql.HASHED} SELECT s, h FROM hashed").fetchall())
+    assert got == {t: xxhash.xxh64_intdigest(t.encode(), 42) for t in texts}
