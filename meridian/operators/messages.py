@@ -78,6 +78,11 @@ def unresolved(extractions: DataFrame, resolutions: DataFrame, extract_hash: str
     return happened.join(done, "story_id", "left_anti").orderBy(F.desc("created_at"), "story_id").limit(n)
 
 
+def first_sections(sections: DataFrame) -> DataFrame:
+    """(story_id, section): where each story was first seen; the first by name of those of one time."""
+    return sections.groupBy("story_id").agg(F.min(F.struct("first_seen_at", "section")).getField("section").alias("section"))
+
+
 def outlet_tags(categories, fields: list[str]) -> Column:
     """An outlet's own labels, from some lists of a map of lists, each once in its first place."""
     lists = [F.coalesce(F.element_at(T.col(categories), f), F.array().cast("array<string>")) for f in fields]

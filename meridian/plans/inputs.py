@@ -547,6 +547,22 @@ def stm12_session_stream(spark, sf):
     return rows.select("user_id", F.unix_micros("start").alias("start"), "n")
 
 
+@query("""
+WITH RECURSIVE s AS MATERIALIZED (SELECT event_id, user_id % 25 AS country, ts, event_type, floor(value / 10) AS v, row_number() OVER (PARTITION BY user_id % 25, event_type, floor(value / 10) ORDER BY ts, CAST(event_id AS VARCHAR)) AS k FROM events),
+walk AS (SELECT event_id, country, event_type, v, k, ts, [{'at': ts, 'id': event_id}] AS founders, event_id AS founder FROM s WHERE k = 1
+ UNION ALL SELECT s.event_id, s.country, s.event_type, s.v, s.k, s.ts, CASE WHEN len(list_filter(w.founders, lambda f: s.ts - f.at <= INTERVAL 48 HOUR)) > 0 THEN w.founders ELSE list_append(w.founders, {'at': s.ts, 'id': s.event_id}) END,
+  coalesce(list_filter(w.founders, lambda f: s.ts - f.at <= INTERVAL 48 HOUR)[1].id, s.event_id) FROM walk w JOIN s ON s.country = w.country AND s.event_type = w.event_type AND s.v = w.v AND s.k = w.k + 1)
+SELECT CAST(event_id AS VARCHAR) AS story_id, country, CAST(founder AS VARCHAR) AS founder_id FROM walk
+""")
+def stm07_leaders_stream(spark, sf):
+    """Events as a stream of stories, each joined to the first founder of its country that is of its kind and near in time."""
+    def flow(events):
+        stories = events.select(F.col("event_id").alias("story_id"), (F.col("user_id") % 25).alias("country"), F.col("ts").alias("published"), "event_type", F.floor(F.col("value") / 10).alias("v"))
+        return flows.leaders(stories, lambda a, b: a == b, "country", ["event_type", "v"])
+
+    return _streamed(spark, sf, flow, ["story_id"], "append").select("story_id", "country", "founder_id")
+
+
 @query("SELECT user_id, CAST(epoch_us(max(ts)) AS BIGINT) AS last, floor(epoch(TIMESTAMP '2024-01-31 00:00:00')) - floor(epoch(max(ts))) > 26 * 3600 AS silent FROM events GROUP BY user_id")
 def stm10_silent(spark, sf):
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))

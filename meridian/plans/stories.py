@@ -218,6 +218,11 @@ def jn20_with_sections(spark, sf):
     return X.with_sections(stories.filter("n % 5 <> 4").select("story_id"), sections).select("story_id", F.array_join("sections", ",").alias("sections"))
 
 
+@query(over_store("SELECT story_id, arg_min(section, (first_seen_at, section)) AS section FROM story_sections GROUP BY story_id", "story_sections"))
+def win04_first_sections(spark, sf):
+    return Q.first_sections(*store(spark, sf, "story_sections"))
+
+
 @query(over_store(r"""
 SELECT s.story_id, substr(sha256(concat_ws(chr(10), 'Outlet: ' || outlet, 'Published: ' || strftime(published, '%Y-%m-%d %H:%M:%S'), 'Headline: ' || headline,
   CASE WHEN description <> '' THEN 'Summary: ' || description END, 'Labels: News, ' || status, CASE WHEN coalesce(text, '') <> '' THEN chr(10) || text END)), 1, 32) AS input_hash
@@ -589,6 +594,13 @@ def jn11_gazetteer_candidates(spark, sf):
     return found.select("query_id", F.col("place.geonames_id").alias("geonames_id"), F.col("place.precision").alias("precision"), F.coalesce("place.pinnable", F.lit(False)).alias("pinnable"))
 
 
+@query(over_store("SELECT r.story_id, r.geonames_id, p.name, p.prec AS \"precision\", p.population FROM resolutions r LEFT JOIN kept p USING (geonames_id)", "places", "alternates", "resolutions", more=_GAZETTEER))
+def jn15_looked_up(spark, sf):
+    found, places = store(spark, sf, "resolutions", "places")
+    rows = G.looked_up(found.select("story_id", "geonames_id"), places)
+    return rows.select("story_id", "geonames_id", "place.name", "place.precision", "place.population")
+
+
 def _decided(asked: str, climbs: bool) -> str:
     """SQL of one pass over asked(query_id, name, country, kind, held): the best candidate within the container, or why there is none."""
     fits = "CASE WHEN k.prec IS NULL THEN -99 WHEN w.wanted IS NULL THEN 0 ELSE -abs(list_position(['point', 'district', 'city', 'region', 'country'], k.prec) - w.wanted) END"
@@ -692,3 +704,58 @@ SELECT p_partkey, strftime(to_timestamp(p_partkey * 1000003 / 1000.0) AT TIME ZO
 """)
 def dt04_millis_and_decimals(spark, sf):
     return table(spark, sf, "part").select("p_partkey", times.iso_from_millis(F.col("p_partkey") * 1000003).alias("iso"), geo.decimals("p_retailprice").cast("int").alias("digits"))
+
+
+_FLAGS = {
+    0: ("reuters", "https://r/live-x", {"subjects": ["ANLINS", "zz", "fbox"], "media": ["Video", "image"]}, "analysis,factbox,live,video"),
+    1: ("bbc", "https://b/x", {"types": ["Photo Gallery"], "subtypes": ["Pod-cast", "odd"]}, "gallery,podcast"),
+    2: ("bbc", "https://b/x", {"types": ["correspondent"]}, "other_format"),
+    3: ("guardian", "https://g/x/live", {"tones": ["Minute by minute", "Letters"], "design": ["QuizDesign"], "card_types": ["audio", "text"]}, "audio,live,opinion,quiz"),
+    4: ("pbs", "https://p/newshour/show/x", {"post_type": ["post"], "video_without_text": ["true"]}, "broadcast,video"),
+    5: ("nyt", "https://n/2026/opinion/crosswords/x", {}, "opinion,quiz"),
+    6: ("other", "https://o/opinion/x", {"tones": ["comment"]}, ""),
+}
+
+
+@query("SELECT event_id, CASE event_id % 7 " + " ".join(f"WHEN {i} THEN '{flags}'" for i, (*_, flags) in _FLAGS.items()) + " END AS flags FROM events")
+def str13_flags_by_labels(spark, sf):
+    """Flags of pages by the address and labels of each outlet in turn."""
+    n = F.pmod("event_id", F.lit(7))
+    pick = lambda value: F.coalesce(*(F.when(n == i, value(row)) for i, row in _FLAGS.items()))
+    empty = F.create_map().cast("map<string,array<string>>")
+    labels = pick(lambda row: F.create_map(*(x for k, v in row[2].items() for x in (F.lit(k), F.array(*map(F.lit, v))))) if row[2] else empty)
+    e = table(spark, sf, "events").withColumns({"o": pick(lambda row: F.lit(row[0])), "u": pick(lambda row: F.lit(row[1])), "l": labels})
+    return e.select("event_id", F.array_join(I.format_flags(F.col("o"), F.col("u"), F.col("l")), ",").alias("flags"))
+
+
+@query("SELECT r_regionkey, CAST(CASE WHEN r_regionkey = 0 THEN 20000 ELSE greatest(r_regionkey * 10000, CASE WHEN r_regionkey % 2 = 0 THEN 20000 ELSE 0 END) END AS BIGINT) AS most FROM region")
+def top09_run_limit(spark, sf):
+    """How many rows a run sends: with a cursor its limit, without one the whole window."""
+    rows = [(k, X.run_limit("cursor" if k % 2 else None, k * 10_000)) for k in (r.r_regionkey for r in table(spark, sf, "region").select("r_regionkey").collect())]
+    return spark.createDataFrame(rows, "r_regionkey int, most long")
+
+
+@query("""
+SELECT * FROM (VALUES ('whole', ''), ('lacks', 'missing: items'), ('lacks', 'unknown: extra'), ('lacks', 'snapshotId'), ('lacks', 'pinsWithheld'), ('outlets', 'outlet bbc: 2 times'), ('outlets', 'outlet pbs: 0 times'), ('outlets', 'outlet zz'), ('withheld', 'pins withheld but sent')) t(body, problem)
+WHERE EXISTS (SELECT 1 FROM region)
+""")
+def set05_body_problems(spark, sf):
+    """The frame of a body: fields that are missing or unknown, outlets, flags that its items belie."""
+    whole = {"schema": S.SCHEMA, "snapshotId": "snap_" + "0" * 16, "generatedAt": "2024-01-01T00:00:00Z", "dataAsOf": "2024-01-01T00:00:00Z", "pinsWithheld": False, "worldNewsWithheld": False, "outlets": [{"outlet": o} for o in S.OUTLETS], "items": []}
+    lacks = {k: v for k, v in whole.items() if k != "items"} | {"extra": 1, "snapshotId": "x", "pinsWithheld": "no"}
+    outlets = whole | {"outlets": [{"outlet": o} for o in ["reuters", "bbc", "bbc", "guardian", "nyt", "zz"]]}
+    withheld = whole | {"pinsWithheld": True, "items": [{"location": {"lat": 1.0}}]}
+    found = [(name, p) for name, body in {"whole": whole, "lacks": lacks, "outlets": outlets, "withheld": withheld}.items() for p in S.body_problems(body) or [""]]
+    return spark.createDataFrame(found, "body string, problem string")
+
+
+@query("SELECT r_regionkey, r_regionkey < 3 AS good FROM region")
+def hsh05_verified(spark, sf):
+    """Signatures that are right and fresh, that are forged, and that are too old."""
+    from meridian.functions import hashing
+
+    text = hashing.signing_text("relay", 1_000, b"body")
+    good = hashing.sign("s", text)
+    said = {0: (good, 1000.0, 1000.0), 1: (good, 1000.0, 1300.0), 2: (good, 1300.0, 1000.0), 3: (hashing.sign("t", text), 1000.0, 1000.0), 4: (good, 1000.0, 1301.0)}
+    keys = [r.r_regionkey for r in table(spark, sf, "region").select("r_regionkey").collect()]
+    return spark.createDataFrame([(k, hashing.verified("s", text, *said[k])) for k in keys], "r_regionkey int, good boolean")
