@@ -278,21 +278,23 @@ def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: floa
     """Pairs (a, b), a < b, with the same `within` whose token sets overlap by `least` or more.
 
     Prefix filtering: in an order from rare to frequent, sets that overlap so much share a token among the first
-    n - ceil(least * n) + 1 of each, so only those are joined on, and frequent tokens hardly ever.
+    n - ceil(least * n) + 1 of each, so only those are joined on, and frequent tokens hardly ever. What meets are ids, sizes and
+    places: at its first shared token a pair has at most the rest of the shorter set still to share, and pairs for which that
+    is too little go before their tokens are fetched and compared.
     """
     each = rows.select(key, within, F.explode(F.transform(tokens, lambda w: F.xxhash64(w))).alias("w"))  # numbers are joined and intersected faster
     freq = each.groupBy(within, "w").agg(F.count(F.lit(1)).alias("df"))
     ranked = each.join(freq, [within, "w"]).groupBy(key, within).agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("t"))
     first = F.size("t") - T.at_least("t", least) + 1
-    prefix = ranked.select(F.col(key).alias("a"), within, F.col("t").alias("ta"), F.explode(F.slice("t", F.lit(1), first)).alias("w"))
-    other = prefix.select(F.col("a").alias("b"), within, F.col("ta").alias("tb"), "w")
-    sizes = (F.size("tb") >= T.at_least("ta", least)) & (F.size("ta") >= T.at_least("tb", least))
-    pairs = prefix.join(other, [within, "w"]).filter((F.col("a") < F.col("b")) & sizes)
-    # a pair that shares several tokens of both prefixes is compared at the first of them only
-    before = lambda t: F.slice(t, F.lit(1), F.greatest(F.array_position(t, F.col("w")).cast("int") - 1, F.lit(0)))
-    first_shared = ~F.arrays_overlap(before("ta"), before("tb"))
-    compared = pairs.filter(first_shared).withColumn("overlap", T.jaccard("ta", "tb")).filter(F.col("overlap") >= least)
-    return compared.select("a", "b", F.round("overlap", 6).alias("overlap"))
+    prefix = ranked.select(F.col(key).alias("a"), within, F.size("t").alias("na"), F.posexplode(F.slice("t", F.lit(1), first)).alias("i", "w"))
+    other = prefix.select(F.col("a").alias("b"), within, F.col("na").alias("nb"), F.col("i").alias("j"), "w")
+    shared = F.ceil(F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-9)
+    enough = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= shared
+    sizes = F.least("na", "nb") >= F.ceil(F.greatest("na", "nb") * least - 1e-9)
+    pairs = prefix.join(other, [within, "w"]).filter((F.col("a") < F.col("b")) & sizes & enough).select("a", "b").distinct()
+    sets = ranked.select(F.col(key).alias("a"), F.col("t").alias("ta"))
+    found = pairs.join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("ta").alias("tb")), "b")
+    return found.withColumn("overlap", T.jaccard("ta", "tb")).filter(F.col("overlap") >= least).select("a", "b", F.round("overlap", 6).alias("overlap"))
 
 
 @query("""
