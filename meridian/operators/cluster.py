@@ -72,10 +72,10 @@ def candidate_pairs(stories: DataFrame, founders: DataFrame) -> DataFrame:
     base = ["story_id", "country"]
 
     def branch(value: Callable[[bool], Column]) -> DataFrame:
-        # one side is put into the neighbouring windows of time and cells, the other into its own
+        # one side is put into the neighbouring windows of time and cells, the other into its own; no story has a value twice
         a = left.select(*base, "published", value(True).alias("v")).select(*base, "v", _days("published", 1).alias("d"))
         b = right.select(F.col("story_id").alias("founder_id"), "country", _days("published", 0).alias("d"), "published", value(False).alias("v")).drop("published")
-        return a.distinct().join(b.distinct(), ["country", "d", "v"]).select("story_id", "founder_id")
+        return a.join(b, ["country", "d", "v"]).select("story_id", "founder_id")
 
     tokens = [rare_tokens(side, left.unionByName(right, allowMissingColumns=True)) for side in (left, right)]
     left = left.join(tokens[0], "story_id", "left")
