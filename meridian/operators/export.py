@@ -8,6 +8,7 @@ import os
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from meridian import schemas
 from meridian.functions import geo, hashing, times
 from meridian.functions import text as T
+from meridian.operators.tables import stored
 
 WINDOW_DAYS, TEXT_HOURS, COLD_START = 7, 24, 20_000
 MAX_BATCH, TARGET_BYTES = 500, 3 << 20
@@ -131,6 +133,81 @@ def batch_numbers(sizes, most: int = MAX_BATCH, target: int = TARGET_BYTES) -> C
     return F.aggregate(T.col(sizes), fresh, step, lambda acc: acc["out"])
 
 
+def _next_starts(sums: np.ndarray, most: int, target: int) -> np.ndarray:
+    """Where the batch after one that begins at each row begins; sums are those of the sizes before each row."""
+    n = len(sums) - 1
+    here = np.arange(n)
+    by_bytes = np.searchsorted(sums, sums[:-1] + target, side="right") - 1
+    return np.maximum(np.minimum(np.minimum(here + most, by_bytes), n), here + 1)
+
+
+def batched_rows(rows: DataFrame, group: str, order: str, size: str, most: int = MAX_BATCH, target: int = TARGET_BYTES) -> DataFrame:
+    """rows with batch, the number that batch_numbers gives each within its group, for groups of any length.
+
+    Rows are dealt by ranges of (group, order). How a chunk goes on depends only on where the first batch of its own begins, which
+    is within its first `most` rows; so each chunk works out, for all of those, how many batches it begins and what the
+    last one holds at its end. One short row for each chunk is then followed through a group, and chunks number their rows.
+    """
+    kinds = dict(rows.dtypes)
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch.assign(chunk=TaskContext.get().partitionId())
+
+    dealt = stored(rows.repartitionByRange(width, group, order).sortWithinPartitions(group, order).mapInPandas(numbered, f"{columns}, chunk int"))
+
+    def sums_of(part: pd.DataFrame) -> np.ndarray:
+        return np.concatenate(([0], np.cumsum(part[size].to_numpy(dtype=np.int64))))
+
+    def summed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        sums = sums_of(part.sort_values(order))
+        n = len(part)
+        jump = _next_starts(sums, most, target)
+        begun, last = np.ones(n, dtype=np.int64), np.arange(n)
+        while (inside := jump < n).any():  # twice as far each time
+            to = jump[inside]
+            begun[inside] += begun[to]
+            last[inside] = last[to]
+            jump[inside] = jump[to]
+        few = min(most, n)
+        row = (key[0], key[1], n, sums[: few + 1].tolist(), begun[:few].tolist(), (n - last[:few]).tolist(), (sums[n] - sums[last[:few]]).tolist(), int(sums[n]))
+        return pd.DataFrame([row], columns=["chunk", group, "n", "sums", "begun", "left_n", "left_bytes", "bytes"])
+
+    shape = f"chunk int, `{group}` {kinds[group]}, n long, sums array<long>, begun array<long>, left_n array<long>, left_bytes array<long>, bytes long"
+    chunks = dealt.groupBy("chunk", group).applyInPandas(summed, shape)
+
+    def followed(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        out, begun, held_n, held_bytes = [], 0, most, 0
+        for c in parts.sort_values("chunk").itertuples(index=False):
+            fits = min(most - held_n, int(np.searchsorted(c.sums, target - held_bytes, side="right")) - 1, c.n)
+            first = max(fits, 0) if begun else 0
+            out.append((c.chunk, key[0], first, begun))
+            if first >= c.n:
+                held_n, held_bytes = held_n + c.n, held_bytes + c.bytes
+            else:
+                begun, held_n, held_bytes = begun + int(c.begun[first]), int(c.left_n[first]), int(c.left_bytes[first])
+        return pd.DataFrame(out, columns=["chunk", group, "first", "begun"])
+
+    entered = chunks.groupBy(group).applyInPandas(followed, f"chunk int, `{group}` {kinds[group]}, first long, begun long")
+
+    def named(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(order)
+        jump = _next_starts(sums_of(part), most, target)
+        first, begun = int(part["first"].iloc[0]), int(part["begun"].iloc[0])
+        marks = np.zeros(len(part), dtype=np.int64)
+        while first < len(part):
+            marks[first] = 1
+            first = int(jump[first])
+        return part.assign(batch=begun - 1 + np.cumsum(marks))[[*kinds, "batch"]]
+
+    back = dealt.join(entered.withColumnRenamed(group, "_group"), (dealt["chunk"] == entered["chunk"]) & F.col(group).eqNullSafe(F.col("_group"))).select(dealt["*"], "first", "begun")
+    return back.groupBy("chunk", group).applyInPandas(named, f"{columns}, batch long")
+
+
 def bodies(found: DataFrame, generated_at: str, most: int = MAX_BATCH, target: int = TARGET_BYTES) -> Iterator[bytes]:
     """Bodies to send, in order. One run sends at most run_limit rows; they pass through the driver one at a time."""
     batch, size = [], 0

@@ -170,9 +170,9 @@ b AS (SELECT lang, doc_id, n_chars, rn, 0 AS batch, 1 AS n, n_chars AS bytes FRO
 SELECT doc_id, batch FROM b
 """)
 def fold01_batches(spark, sf):
-    d = table(spark, sf, "documents").groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("doc_id", "n_chars"))).alias("d"))
-    numbers = X.batch_numbers(F.transform("d", lambda x: x["n_chars"]), 20, 30_000)
-    return d.select(F.explode(F.arrays_zip(F.transform("d", lambda x: x["doc_id"]).alias("doc_id"), numbers.alias("batch"))).alias("x")).select("x.doc_id", "x.batch")
+    """Batches of the documents of each language, whose length no task has to hold."""
+    d = table(spark, sf, "documents").select("lang", "doc_id", "n_chars")
+    return X.batched_rows(d, "lang", "doc_id", "n_chars", 20, 30_000).select("doc_id", F.col("batch").cast("int").alias("batch"))
 
 
 def _stories(spark, sf):

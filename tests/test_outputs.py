@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -329,3 +330,20 @@ def test_signed_requests():
 
     headers, body = X.signed(b"{}", "s", "v1", 5)
     assert gzip.decompress(body) == b"{}" and headers["x-signature"] == hashing.sign("s", hashing.signing_text("v1", 5, b"{}"))
+
+
+@pytest.mark.parametrize(("most", "target"), [(3, 50), (20, 1000), (1, 10), (7, 5)])
+def test_batches_of_long_groups_are_those_of_the_fold(spark, most, target):
+    rng = random.Random(most)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([1, 2, 9, 30, 200])) for i in range(400)] + [("short", 1000, 5)]
+    df = spark.createDataFrame(rows, "g string, i long, size long").repartition(3)
+    got = {r.i: r.batch for r in X.batched_rows(df, "g", "i", "size", most, target).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        batch = n = total = 0
+        for _, i, size in sorted(r for r in rows if r[0] == g):
+            if n and (n >= most or total + size > target):
+                batch, n, total = batch + 1, 0, 0
+            want[i] = batch
+            n, total = n + 1, total + size
+    assert got == want
