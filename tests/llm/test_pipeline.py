@@ -1,4 +1,5 @@
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -85,3 +86,9 @@ def test_documents_stay_if_none_has_a_language(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     out = corpus_pipeline.language_id(spark, docs, SF)
     assert out.columns == docs.columns and sorted(tuple(r) for r in out.collect()) == [rows[0], rows[1], rows[5]]
+
+
+def test_runs_side_by_side_keep_their_tables(spark):
+    with ThreadPoolExecutor(2) as pool:
+        both = [f.result() for f in [pool.submit(lambda: sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length").collect()))) for _ in range(2)]]
+    assert both[0] == both[1] and len(both[0]) > 100
