@@ -73,7 +73,7 @@ def read_under_other_settings(stories: DataFrame, extractions: DataFrame, config
 
 def unresolved(extractions: DataFrame, resolutions: DataFrame, extract_hash: str, resolve_hash: str, n: int) -> DataFrame:
     """The newest happenings with a place that were not looked up for this reading under these settings."""
-    happened = extractions.filter((F.col("config_hash") == extract_hash) & F.col("accepted") & F.col("is_physical_event") & (F.coalesce("place_name", F.lit("")) != ""))
+    happened = extractions.filter((F.col("config_hash") == extract_hash) & F.coalesce("accepted", F.lit(True)) & F.col("is_physical_event") & (F.coalesce("place_name", F.lit("")) != ""))
     done = resolutions.filter((F.col("config_hash") == resolve_hash) & (F.col("extract_hash") == extract_hash)).select("story_id")
     return happened.join(done, "story_id", "left_anti").orderBy(F.desc("created_at"), "story_id").limit(n)
 
