@@ -38,7 +38,7 @@ DEPTH = 16
 #: Window starts that share an anchor lie within so many positions.
 SPAN = LENGTH - DEPTH + 1
 #: Bytes of text in a run, about.
-RUN_BYTES = 12 << 20
+RUN_BYTES = 8 << 20
 _POSITION_BITS = 28
 _BLOCK = 1 << 18
 #: Pieces of a run that are held as strings at once, about.
@@ -351,7 +351,7 @@ def runs(docs: DataFrame, splitters: list[tuple[int, int]], run_bytes: int = RUN
             at += b - a
         other = table.select(rest)
         del table
-        docs, packed = pack(ids, sizes), zstandard.ZstdCompressor(level=6).compress(memoryview(data)[: len(data) - 8])
+        docs, packed = pack(ids, sizes), zstandard.ZstdCompressor(level=9).compress(memoryview(data)[: len(data) - 8])
         sorted_run = _suffixes(Run(ids, sizes, data))
         cuts = sorted_run.ranges(splitters)
         parts = [{"range": i, "part": front_coded(sorted_run.high[a:b], sorted_run.low[a:b])} for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
