@@ -170,9 +170,6 @@ SELECT d.doc_id, md5(coalesce(b.text, '')) AS text, CAST(len(list_filter(string_
 """)
 def src11_block_pages(spark, sf):
     """Each document as a page whose lines are blocks: paragraphs, italic ones, heads, links, asides and blocks of links in turn."""
-    said = lambda x, kind, lean: F.struct(F.lit(kind).alias("type"), F.struct(x.alias("text"), F.array(F.lit(lean)).alias("attributes")).alias("model"))
-    paragraph = lambda x, kind, lean: F.struct(F.lit("paragraph").alias("type"), F.struct(x.alias("text"), F.array(said(x, kind, lean)).alias("blocks")).alias("model"))
-
     def block(x, i):
         k = (i + 1) % 6
         kind = F.when(k == 4, F.lit("urlLink")).otherwise(F.lit("fragment"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meridian import schemas
 from meridian.functions import geo, times
+from meridian.functions.text import STOP_WORDS
 from meridian.operators import checks as C
 from meridian.operators import cluster as K
 from meridian.operators import export as X
@@ -174,10 +175,9 @@ def flt20_needs_page(spark, sf):
 @query(over_store("""
 SELECT s.story_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(key_entities, lambda x: lower(trim(x))), lambda x: x <> ''))), '|') AS keys,
   coalesce(list_contains(format_flags, 'live'), FALSE) AS is_live,
-  CAST(len(list_distinct(list_filter(regexp_extract_all(lower(coalesce(headline, '')), '[a-z0-9]+'), lambda w: length(w) > 2 AND w NOT IN ('the', 'with', 'view', 'and')
-    OR w = 'view'))) - CASE WHEN headline IS NOT NULL THEN 0 ELSE 0 END AS BIGINT) AS n_tokens
+  CAST(len(list_distinct(list_filter(regexp_extract_all(lower(coalesce(headline, '')), '[a-z0-9]+'), lambda w: length(w) > 2 AND NOT list_contains(string_split('STOP', ' '), w)))) AS BIGINT) AS n_tokens
 FROM stories s JOIN extractions e USING (story_id)
-""", "stories", "extractions"))
+""".replace("STOP", " ".join(STOP_WORDS)), "stories", "extractions"))
 def flt16_facts(spark, sf):
     stories, read = store(spark, sf, "stories", "extractions")
     rows = K.facts(stories.join(read.select("story_id", F.col("key_entities").alias("entities")), "story_id"))
@@ -258,7 +258,7 @@ def str24_claims_and_pairs(spark, sf):
 @query(over_store("""
 SELECT row_id, known_id FROM (SELECT n AS row_id FROM stories) LEFT JOIN (SELECT r.n AS row_id, arg_min(a.story_id, (first_seen_at, a.story_id)) AS known_id
   FROM (SELECT n, outlet, unnest(['a' || n * 2, 'u' || n % 500]) AS alias FROM stories) r JOIN story_aliases a ON a.outlet = r.outlet AND a.alias = r.alias GROUP BY r.n) USING (row_id)
-""".replace("FROM (SELECT n, outlet, unnest", "FROM (SELECT n, outlet, unnest"), "stories", "story_aliases"))
+""", "stories", "story_aliases"))
 def jn06_owners(spark, sf):
     stories, known = store(spark, sf, "stories", "story_aliases")
     rows = stories.select(F.col("n").alias("row_id"), "outlet", F.array(F.concat(F.lit("a"), F.col("n") * 2), F.concat(F.lit("u"), F.col("n") % 500)).alias("aliases"))

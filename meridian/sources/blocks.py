@@ -206,7 +206,7 @@ def _first(value: Column, *paths: str) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    return F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
+    return F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
 
 
 def content_parts(value: Column) -> Column:
