@@ -1,6 +1,5 @@
 import hashlib
 import pathlib
-import random
 import subprocess
 import sys
 

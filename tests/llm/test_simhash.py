@@ -4,7 +4,6 @@ import duckdb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import functions as F
 
 from meridian.llm import components, queries, simhash, simhash_sql
 

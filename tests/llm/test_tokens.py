@@ -6,7 +6,6 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 
 from meridian.llm import packing, queries, segment_bpe, token_counts
 
