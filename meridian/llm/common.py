@@ -46,6 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A place in the shared folder that no other call has, for files that stay."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 #: The lists, of this thread's callers, that get the paths of stored tables.
 _collecting: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("collecting", default=())
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import host_rules, langid, packing, segment_bpe, sharding, simhash, simhash_sql, suffix_runs, token_counts, toxicity, weighted_sampling
-from meridian.llm.common import read_table
+from meridian.llm import co_buckets, host_rules, langid, packing, segment_bpe, sharding, simhash, simhash_sql, suffix_runs, token_counts, toxicity, weighted_sampling
+from meridian.llm.common import new_folder, read_table
 from meridian.llm.sampling import fold
 
 
@@ -103,6 +103,11 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.against_next(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_co_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co_buckets.sales_and_lines(read_table(spark, sf_dir, "sales"), read_table(spark, sf_dir, "sale_lines"), new_folder(spark, "co_buckets"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
