@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import co_buckets, host_rules, langid, packing, segment_bpe, sharding, simhash, simhash_sql, suffix_runs, token_counts, toxicity, weighted_sampling
+from meridian.llm import archives, co_buckets, host_rules, langid, packing, phrases, segment_bpe, sharding, simhash, simhash_sql, suffix_runs, token_counts, toxicity, weighted_sampling
 from meridian.llm.common import new_folder, read_table
 from meridian.llm.sampling import fold
 
@@ -108,6 +108,19 @@ def op11_co_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return co_buckets.sales_and_lines(read_table(spark, sf_dir, "sales"), read_table(spark, sf_dir, "sale_lines"), new_folder(spark, "co_buckets"))
 
 
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+SQL["op12_phrases"] = phrases.SQL
+
+
+@query
+def op13_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.pages_archived(read_table(spark, sf_dir, "pages"), new_folder(spark, "archives"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
