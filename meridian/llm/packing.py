@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -202,16 +203,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     return min(plans, key=lambda found: sum(times for _, times in found))
 
 
-def places(plans: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
-    """(length, first rank, rank after the last, sequence of the first, offset) for each place in each plan."""
+def places(plans: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """(length, first rank, rank after the last, sequence of the first, offset of the first, how many in a sequence).
+
+    Pieces of one length stand side by side in a sequence and share an entry, however many they are. A sequence has at most
+    sqrt(2 * capacity) different lengths, as these alone fill it, and the number of plans goes by the capacity (see plan):
+    the entries have a bound that no input moves.
+    """
     out, base, ranks = [], 0, {}
     for used, times in plans:
         offset = 0
-        for n in used:
+        for n, each in sorted(Counter(used).items(), reverse=True):
             first = ranks.get(n, 0)
-            out.append((n, first, first + times, base, offset))
-            ranks[n] = first + times
-            offset += n
+            ranks[n] = first + times * each
+            out.append((n, first, ranks[n], base, offset, each))
+            offset += n * each
         base += times
     return out
 
@@ -238,12 +244,11 @@ def packed(cut: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_R
     spark = cut.sparkSession
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most capacity rows
     buckets = spark.createDataFrame([(n, 1 + k // bucket_rows) for n, k in counts.items()], "length long, buckets long")
-    rows = places(plan(counts, capacity))
-    # every combination uses up a length or a gap, so a plan has a few places for each length, whatever the input
-    assert len(counts) <= capacity and len(rows) <= 64 * capacity
-    found = spark.createDataFrame(rows, "at_length int, first long, after long, base long, offset long")
+    found = spark.createDataFrame(places(plan(counts, capacity)), "at_length int, first long, after long, base long, at long, each int")
     here = (F.col("length") == F.col("at_length")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("after"))
-    return ranked(cut, buckets).join(F.broadcast(found), here).withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("first"))
+    own = F.col("rank") - F.col("first")
+    placed = ranked(cut, buckets).join(F.broadcast(found), here)
+    return placed.withColumns({"sequence_id": F.col("base") + F.expr("(rank - first) div each"), "offset": F.col("at") + own % F.col("each") * F.col("length")})
 
 
 def pack(docs: DataFrame, vocabulary: str, ranks: str, pattern: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -92,3 +92,10 @@ def test_runs_side_by_side_keep_their_tables(spark):
     with ThreadPoolExecutor(2) as pool:
         both = [f.result() for f in [pool.submit(lambda: sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length").collect()))) for _ in range(2)]]
     assert both[0] == both[1] and len(both[0]) > 100
+
+
+def test_a_third_of_the_texts_is_null_beside_long_ones(spark):
+    """The last stage on lengths of which each leaves another gap for the many texts of one token."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 508, F.expr("repeat(' a', cast(512 + id as int))")).when(F.col("id") % 2 == 0, "a b").alias("text"))
+    rows = corpus_pipeline.best_fit_packing(spark, docs, SF).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("k")).collect()
+    assert sum(r.k for r in rows) == 3000 and max(r.n for r in rows) <= 1024 and len(rows) == 508

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from meridian.llm import packing, queries, segment_bpe, token_counts
 
@@ -219,3 +220,15 @@ def test_ranks_in_buckets_of_any_size(spark, rows):
     cut = spark.createDataFrame([(i // 2, i % 2, n, i) for i, n in enumerate(lengths)], "doc_id long, piece int, length long, ids_crc32 long").repartition(3)
     found = packing.packed(cut, 64, rows).collect()
     assert len(found) == len(lengths) and gapless(found) == 700 + 30 + 1
+
+
+def test_many_short_pieces_beside_long_ones_take_few_places(spark):
+    """One piece each of 513 to 1020 tokens and very many of one, as null and empty texts are: each gap takes a run of them."""
+    counts = {n: 1 for n in range(513, 1021)} | {1: 200_000}
+    plans = packing.plan(counts)
+    found = packing.places(plans)
+    assert len(found) < 2000 and sum(t for _, t in plans) == -(-(sum(range(513, 1021)) + 200_000) // 1024) == 576
+    args = [public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN]
+    docs = spark.range(140_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 508, F.expr("repeat(' a', cast(512 + id as int))")).when(F.col("id") % 3 == 0, "").alias("text"))
+    rows = packing.pack(docs, *args).select("sequence_id", "offset", "length").collect()
+    assert len(rows) == 140_000 and gapless(rows) == -(-sum(r.length for r in rows) // 1024)
