@@ -265,6 +265,62 @@ def src17_section_rows(spark, sf):
     return rows.select(F.substring("id", 3, 20).cast("long").alias("page_id"), "section", "id", "headline", "url", "word_count", F.coalesce(F.array_join("authors", "|"), F.lit("")).alias("authors"), "description")
 
 
+@query(rf"""
+WITH d AS ({_LINES}) SELECT doc_id, doc_id % 60 AS depth, CASE WHEN lines[1] <> '' THEN lines[1] || chr(10) || chr(10) ELSE '' END || 'End ' || doc_id AS text FROM d
+""")
+def src11_deep_headings(spark, sf):
+    """Each document's first line as a heading's paragraph, 0 to 59 blocks below it, before other paragraphs that lie less deep."""
+    first = F.get(F.split(F.regexp_replace(F.coalesce("text", F.lit("")), "[&<>]", ""), "\n"), F.lit(0))
+    depth = (F.col("doc_id") % 60).cast("int")
+    said = lambda text: F.to_json(F.struct(F.lit("paragraph").alias("type"), F.struct(text.alias("text")).alias("model")))
+    inner = F.concat(F.expr("""repeat('{"type": "box", "model": {"blocks": [{"type": "other"}, ', cast(doc_id % 60 as int))"""), said(first), F.repeat(F.lit("]}}"), depth))
+    heading = F.concat(F.lit('{"type": "subheadline", "model": {"blocks": ['), inner, F.lit(", "), said(F.lit("later")), F.lit("]}}"))
+    end = F.concat(F.lit('{"type": "text", "model": {"blocks": ['), said(F.concat(F.lit("End "), F.col("doc_id"))), F.lit("]}}"))
+    html = F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": {"pageProps": {"page": {"k": {"contents": ['), heading, F.lit(", "), end, F.lit("]}}}}}</script>"))
+    rows = blocks.block_pages(table(spark, sf, "documents").select("doc_id", html.alias("html")), "html")
+    return rows.select("doc_id", (F.col("doc_id") % 60).alias("depth"), "text")
+
+
+@query(r"""
+SELECT page_id, CAST(i AS INT) AS position, CASE WHEN page_id % 4 = 3 THEN 'lone ' ELSE 'told ' END || page_id || '.' || i AS headline, CASE WHEN i > 0 THEN 'https://r.org/' || page_id || '/' || i END AS url
+FROM pages, range(0, 3) t(i) WHERE page_id % 9 <> 0 AND (page_id % 4 <> 3 OR i = 0)
+""")
+def src16_article_lists(spark, sf):
+    """Pages with several lists: one under a preferred key goes before one that is read earlier, the first read otherwise, at any depth."""
+    n = F.col("page_id").cast("string")
+    one = lambda i, word: F.concat(F.lit('{"headlines": {"basic": " '), F.lit(word), n, F.lit(f'.{i} "}}'), F.concat(F.lit(', "canonical_url": "/'), n, F.lit(f'/{i}"')) if i else F.lit(""), F.lit("}"))
+    told = F.concat(F.lit("["), F.concat_ws(", ", one(0, "told  "), F.lit('{"other": 1}'), one(1, "told "), one(2, "told ")), F.lit("]"))
+    other = F.concat(F.lit('[{"url": "/related/'), n, F.lit('"}]'))
+    k = F.col("page_id") % 4
+    body = (
+        F.when(k == 0, F.concat(F.lit('{"related": '), other, F.lit(', "articles": '), told, F.lit("}")))
+        .when(k == 1, F.concat(F.lit('{"z": {"y": [[], {"x": '), told, F.lit('}]}, "a": '), other, F.lit("}")))
+        .when(k == 2, F.concat(F.repeat(F.lit('{"meta": {"articles": []}, "deep": '), (F.col("page_id") % 50 + 1).cast("int")), F.lit('{"items": '), other, F.lit(', "content_elements": '), told, F.lit("}"), F.repeat(F.lit("}"), (F.col("page_id") % 50 + 1).cast("int"))))
+        .otherwise(F.concat(F.lit('{"items": ["text", {"no": 1}], "top": ['), one(0, "lone "), F.lit('], "last": '), other, F.lit("}")))
+    )
+    p = table(spark, sf, "pages").select(F.lit("s").alias("section"), F.when(F.col("page_id") % 9 != 0, body).otherwise(F.repeat(F.lit("["), 5000)).alias("body"))
+    rows = pages.section_rows(p, "https://r.org")
+    return rows.select(F.regexp_extract("headline", r"(\d+)\.", 1).cast("long").alias("page_id"), "position", "headline", "url")
+
+
+@query(r"""
+SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'low ' || page_id WHEN 3 THEN 'said ' || page_id END AS text, CASE WHEN page_id % 5 IN (1, 3) THEN 'H' || page_id END AS headline,
+  CASE page_id % 5 WHEN 1 THEN 'Ann' WHEN 3 THEN 'Bo|Cy' ELSE '' END AS authors, CASE WHEN page_id % 5 = 4 THEN 1 ELSE 0 END AS cards FROM pages
+""")
+def src15_broken_pages(spark, sf):
+    """Pages nested thousands deep, with JSON-LD of other shapes than meant, and cut off within a tag."""
+    html = F.expr("""CASE page_id % 5
+      WHEN 0 THEN concat('<div class="body-text">', repeat('<div>', 3000), '<p>low ', page_id, '</p>', repeat('</i>', 100))
+      WHEN 1 THEN concat('<script type="application/ld+json">{"@graph": null, "headline": "H', page_id, '", "author": [{"name": 7}, 3, {"name": "Ann"}, {}]}</script>')
+      WHEN 2 THEN concat('<script type="application/ld+json">', repeat('[', 20000), '</script><p>no</p>')
+      WHEN 3 THEN concat('<script type="application/ld+json">{"@graph": [1, {"headline": "H', page_id, '", "articleBody": "said ', page_id, '", "author": [{"name": "Bo"}, "Cy"]}]}</script>')
+      ELSE concat(repeat('<section>', 2000), '<article class="card-md"><a class="card-md__title" href="/n">T</a></article><article class="card-md"><a class="card-md__title" hre') END""")
+    p = table(spark, sf, "pages").select("page_id", html.alias("h"))
+    cards = pages.listing_cards(p, "h", "https://p.org").groupBy("page_id").agg(F.count(F.lit(1)).cast("int").alias("cards"))
+    read = p.select("page_id", pages.article_pages("h").alias("p")).join(cards, "page_id", "left")
+    return read.select("page_id", "p.text", "p.headline", F.array_join("p.authors", "|").alias("authors"), F.coalesce("cards", F.lit(0)).alias("cards"))
+
+
 # ---- files ---------------------------------------------------------------------------------------------------
 
 

@@ -1,23 +1,19 @@
 """Article pages that carry their text as JSON: trees of blocks, or a wire's content object.
 
 Everything is an expression over VARIANT values within the page's own row: trees are opened level by level with higher-order
-functions, to a fixed depth, and the body is what position rules leave of the flat list. A broken page gives nulls and never fails.
+functions, as deep as the page goes, and the body is what position rules leave of the flat list. A broken page, or one that is
+nested deeper than the JSON reader takes (about 1000 levels), gives nulls and never fails.
 """
 
 from __future__ import annotations
 
-import functools
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.functions import jsons, times
 from meridian.functions import text as T
-from meridian.functions import times
-from meridian.sources.pages import Tree
-
-#: Levels of blocks that are opened to find a paragraph in a heading or a contributor, and links within links.
-DEPTH = 4
+from meridian.sources.pages import parsed
 
 
 def _list(value: Column, path: str) -> Column:
@@ -44,29 +40,28 @@ def _truth(value: Column, path: str, wanted: bool) -> Column:
     return F.coalesce((F.schema_of_variant(at) == "BOOLEAN") & (F.try_variant_get(at, "$", "boolean") == wanted), F.lit(False))
 
 
-def _opened(blocks: Column) -> Column:
-    """Paragraphs stay, other blocks give way to what they hold, in order."""
-    return F.flatten(F.transform(blocks, lambda b: F.when(_is(b, "paragraph"), F.array(b)).otherwise(_list(b, "$.model.blocks"))))
+def _inner(block: Column) -> Column:
+    return _list(block, "$.model.blocks")
 
 
 def first_paragraph(block: Column) -> Column:
-    """Text of the first paragraph in a block or anywhere below it, down to DEPTH levels."""
-    found = functools.reduce(lambda blocks, _: _opened(blocks), range(DEPTH), F.array(block))
-    texts = F.transform(F.filter(found, lambda b: _is(b, "paragraph")), lambda p: _text(p, "$.model.text"))
+    """Text of the first paragraph in a block or anywhere below it."""
+    found = jsons.opened(F.array(block), lambda b: _is(b, "paragraph"), _inner, jsons.keys_in(block, "blocks") + 1)
+    texts = F.transform(found, lambda p: _text(p, "$.model.text"))
     return F.get(F.filter(texts, lambda x: x.isNotNull()), F.lit(0))
 
 
 def style_of(paragraph: Column) -> Column:
-    """link: all that shows is links; italic: all its letters lean, those within links too; else plain."""
+    """link: all that shows is links; italic: all its letters lean, those within links too, and links within these; else plain."""
     said = lambda b: F.coalesce(_text(b, "$.model.text").rlike(r"\S"), F.lit(False))
     leans = lambda b: F.coalesce(F.array_contains(F.try_variant_get(b, "$.model.attributes", "array<string>"), "italic"), F.lit(False))
-    levels = [_list(paragraph, "$.model.blocks")]
-    for _ in range(DEPTH - 2):
-        levels.append(F.flatten(F.transform(F.filter(levels[-1], lambda b: _is(b, "urlLink")), lambda b: _list(b, "$.model.blocks"))))
-    shown = F.filter(levels[0], said)
-    letters = F.filter(F.concat(*levels), lambda b: said(b) & _is(b, "fragment"))
+    is_link = lambda b: _is(b, "urlLink")
+    own = _inner(paragraph)
+    most = F.when(F.exists(own, is_link), jsons.keys_in(paragraph, "blocks")).otherwise(F.lit(0))
+    shown = F.filter(own, said)
+    letters = F.filter(jsons.opened(own, lambda b: ~is_link(b), _inner, most), lambda b: said(b) & _is(b, "fragment"))
     return (
-        F.when((F.size(shown) > 0) & F.forall(shown, lambda b: _is(b, "urlLink")), F.lit("link"))
+        F.when((F.size(shown) > 0) & F.forall(shown, is_link), F.lit("link"))
         .when((F.size(letters) > 0) & F.forall(letters, leans), F.lit("italic"))
         .otherwise(F.lit("plain"))
     )
@@ -192,12 +187,6 @@ def block_pages(pages: DataFrame, html: str) -> DataFrame:
 TEXT_KINDS = ("text", "paragraph", "subhead", "header")
 
 
-def _said(value: Column, depth: int = 2) -> Column:
-    """A string, or what an object says under basic, text or value."""
-    own = F.nullif(F.trim(F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))), F.lit(""))
-    return own if not depth else F.coalesce(own, *(_said(F.try_variant_get(value, f"$.{k}", "variant"), depth - 1) for k in ("basic", "text", "value")))
-
-
 def _first(value: Column, *paths: str) -> Column:
     """The first path that holds something: no empty text, list, or null."""
     at = lambda p: F.try_variant_get(value, p, "variant")
@@ -213,7 +202,7 @@ def content_parts(value: Column) -> Column:
     """The paragraphs, not yet cleaned, of a content object: its elements, or the lines of its body or text."""
     content = _first(value, "$.content_elements", "$.body", "$.text")
     pieces = F.filter(F.try_variant_get(content, "$", "array<variant>"), lambda e: F.schema_of_variant(e).startswith("OBJECT") & F.coalesce(_text(e, "$.type"), F.lit("text")).isin(*TEXT_KINDS))
-    return F.when(F.schema_of_variant(content) == "STRING", _lines(F.try_variant_get(content, "$", "string"))).otherwise(F.transform(pieces, lambda e: _said(_first(e, "$.content", "$.text"))))
+    return F.when(F.schema_of_variant(content) == "STRING", _lines(F.try_variant_get(content, "$", "string"))).otherwise(F.transform(pieces, lambda e: jsons.text_of(_first(e, "$.content", "$.text"))))
 
 
 def marked_paragraphs(html) -> Column:
@@ -221,14 +210,18 @@ def marked_paragraphs(html) -> Column:
 
     @F.pandas_udf("array<string>")
     def run(s: pd.Series) -> pd.Series:
-        def outer(node):
-            for child in (c for c in node.children if not isinstance(c, str)):
-                if child.attrs.get("data-testid", "").startswith("paragraph-"):
-                    yield child.raw()
+        def outer(root):
+            todo = [*reversed(root.children)]
+            while todo:
+                node = todo.pop()
+                if isinstance(node, str):
+                    continue
+                if node.attrs.get("data-testid", "").startswith("paragraph-"):
+                    yield node.raw()
                 else:
-                    yield from outer(child)
+                    todo += reversed(node.children)
 
-        return s.map(lambda x: list(outer(Tree(x or "").root)))
+        return s.map(lambda x: list(outer(parsed(x))))
 
     return run(T.col(html))
 
