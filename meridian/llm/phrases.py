@@ -41,7 +41,9 @@ FEWEST_CELLS, MOST_CELLS = 1 << 20, 1 << 30
 SLICE = 1 << 18
 ROWS = 2
 #: Bytes of text that are cut into words at once, phrases that are counted at once, and words that a task numbers.
-BLOCK, AT_ONCE, MOST_WORDS = 4 << 20, 4 << 20, 1 << 20
+BLOCK, AT_ONCE, MOST_WORDS = 4 << 20, 8 << 20, 1 << 20
+#: A cell for so many bytes of text, which makes 10 to 20 phrases: far from the least count.
+BYTES_A_CELL = 32
 
 
 class Words(dict):
@@ -128,9 +130,10 @@ def sketch(docs: DataFrame, n_cells: int, least: int, longest: int) -> list[byte
     """
     count_type = np.uint8 if least < 256 else np.uint32
 
-    def counted(hashes):
+    def counted(held):
         for row in range(ROWS):
-            cells, n = np.unique(cell(hashes, row, n_cells), return_counts=True)
+            cells, n = np.unique(np.concatenate(held[row]), return_counts=True)
+            held[row].clear()
             n = np.minimum(n, least).astype(count_type)
             edges = np.searchsorted(cells, np.arange(0, n_cells + 1, SLICE))
             for k in np.flatnonzero(np.diff(edges)):
@@ -140,16 +143,17 @@ def sketch(docs: DataFrame, n_cells: int, least: int, longest: int) -> list[byte
 
     @batched
     def local(batches):
-        held, size = [], 0
+        held, size = [[] for _ in range(ROWS)], 0
         for lang, numbers, words, told in _each_block(batches, longest):
             for _, _, hashes in phrases_of(numbers, words.hashes, seed_of(lang), told, longest):
-                held.append(hashes)
+                for row in range(ROWS):
+                    held[row].append(cell(hashes, row, n_cells))
                 size += len(hashes)
             if size >= AT_ONCE:
-                yield _rows(counted(np.concatenate(held)))
-                held, size = [], 0
+                yield _rows(counted(held))
+                size = 0
         if size:
-            yield _rows(counted(np.concatenate(held)))
+            yield _rows(counted(held))
 
     def _rows(found):
         keys, data = zip(*found)
@@ -278,7 +282,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), or_empty(F.col("text")).cast("binary").alias("text"))
     if n_cells is None:
         size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        n_cells = min(MOST_CELLS, max(FEWEST_CELLS, 1 << (size // 12).bit_length()))
+        n_cells = min(MOST_CELLS, max(FEWEST_CELLS, 1 << (size // BYTES_A_CELL).bit_length()))
     table = durable(counts(rows, sketch(rows, n_cells, least, longest), n_cells, least, longest))
     totals = table.filter("phrase IS NULL").select("lang", F.col("f").alias("n"))
     kept = scored(table, longest).join(subsumed(table, longest), ["lang", "phrase"], "left")
