@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,21 +69,57 @@ def deltas(previous: DataFrame, current: DataFrame) -> DataFrame:
     return j.select("name", change.alias("change"))
 
 
+def changes(told: list[str], told_at: float | None, failing: list[str], now_s: float) -> dict | None:
+    """What to tell when these checks fail and those were told of last: new, still, recovered, and whether the day's digest is due; None if nothing."""
+    before, now = set(told), sorted(set(failing))
+    due = told_at is None or now_s - told_at >= DIGEST_HOURS * 3600
+    found = {"new": [n for n in now if n not in before], "still": [n for n in now if n in before], "recovered": sorted(before - set(now)), "due": due}
+    return found if found["new"] or found["recovered"] or due else None
+
+
 def decide(state: dict, checks: list[tuple[str, bool | None, str]], now_s: int) -> tuple[str | None, dict]:
     """A message if something failed, recovered or a day has gone by, and the state to keep if it is sent."""
     failing = sorted(n for n, ok, _ in checks if ok is False)
-    before = set(state.get("told", []))
-    new, still, gone = [n for n in failing if n not in before], [n for n in failing if n in before], sorted(before - set(failing))
-    due = state.get("told_at") is None or now_s - state["told_at"] >= DIGEST_HOURS * 3600
     kept = state | {"checked_at": now_s, "checks": {n: ok for n, ok, _ in checks}}
-    if not (new or gone or due):
+    found = changes(state.get("told", []), state.get("told_at"), failing, now_s)
+    if found is None:
         return None, kept
     detail = {n: d for n, _, d in checks}
     lines = [f"{len(failing)} checks failing" if failing else "all checks pass"]
-    lines += [f"new: {detail[n]}" for n in new] + [f"still: {detail[n]}" for n in still] + [f"recovered: {n}" for n in gone]
+    lines += [f"new: {detail[n]}" for n in found["new"]] + [f"still: {detail[n]}" for n in found["still"]] + [f"recovered: {n}" for n in found["recovered"]]
     return "\n".join(lines), kept | {"told_at": now_s, "told": failing}
 
 
+def fold_digests(snapshots: DataFrame, key: str) -> DataFrame:
+    """(key, at, new, still, recovered, due, sent): the messages that a monitor makes of snapshots(key, at, failing array, sent), in order of `at`.
+
+    A message is made if a check fails that wasn't told of, if one that was told of is well again, or if the last one is a day old. What counts
+    as told moves only with a message that was sent: `sent` says whether one could be sent then, so after a failure the next
+    snapshot tries again. A null array is no failing check, a null `sent` is false. Each key's snapshots go by in one task, one at a time, with two numbers and a
+    list of names as all that is kept; snapshots of one moment go by their failing checks.
+    """
+    kind = snapshots.schema[key].dataType.simpleString()
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, told, told_at = object(), [], None
+        for df in batches:
+            out = []
+            for k, at, failing, sent in zip(df["key"], df["at"], df["failing"], df["sent"], strict=True):
+                if k != now:
+                    now, told, told_at = k, [], None
+                failing = [] if failing is None else list(failing)
+                found = changes(told, told_at, failing, at.timestamp())
+                if found:
+                    out.append((k, at, found["new"], found["still"], found["recovered"], found["due"], sent))
+                    if sent:
+                        told, told_at = sorted(set(failing)), at.timestamp()
+            yield pd.DataFrame(out, columns=["key", "at", "new", "still", "recovered", "due", "sent"])
+
+    rows = snapshots.filter(F.col(key).isNotNull() & F.col("at").isNotNull()).select(F.col(key).alias("key"), "at", F.array_sort("failing").alias("failing"), F.coalesce("sent", F.lit(False)).alias("sent"))
+    told = rows.repartition("key").sortWithinPartitions("key", "at", "failing").mapInPandas(fold, f"key {kind}, at timestamp, new array<string>, still array<string>, recovered array<string>, due boolean, sent boolean")
+    return told.withColumnRenamed("key", key)
+
+
 def fold_alerts(snapshots: DataFrame) -> DataFrame:
     """(at, name, change) over snapshots(at, name, ok) in order: what each one would tell, for each check by itself.
 
@@ -117,13 +155,16 @@ def status(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def outcomes_by_day(verifications: DataFrame, since: Column | None = None) -> DataFrame:
     """(day, outcomes): how many verdicts of each kind were last written on a day, from the day of `since` on."""
     if since is not None:
-        verifications = verifications.filter(F.to_date("updated_at") >= F.to_date(since))
+        verifications = verifications.filter(F.col("updated_at") >= F.date_trunc("day", since))  # as a bound that the scan can use
     n = verifications.groupBy(F.to_date("updated_at").alias("day"), "outcome").agg(F.count(F.lit(1)).alias("n"))
     return n.groupBy("day").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("outcome", "n")))).alias("outcomes")).orderBy("day")
 
 
 def spend_of_day(calls: DataFrame, day: Column) -> DataFrame:
-    return calls.agg(F.coalesce(F.sum(F.when(F.to_date("created_at") == day, F.col("cost_usd"))), F.lit(0.0)).alias("spent"))
+    """(spent): what the calls of a day cost; only that day is read."""
+    start = F.date_trunc("day", day)
+    own = calls.filter((F.col("created_at") >= start) & (F.col("created_at") < start + F.expr("INTERVAL 1 DAY")))
+    return own.agg(F.coalesce(F.sum("cost_usd"), F.lit(0.0)).alias("spent"))
 
 
 def counters(rows: DataFrame, keys: list[str], failed: Column, cost: str) -> DataFrame:

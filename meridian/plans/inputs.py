@@ -562,7 +562,7 @@ def snk04_bodies(spark, sf):
     return spark.createDataFrame(found, "batch long, n long, bytes long")
 
 
-def _streamed(spark, sf, flow, keys, mode: str = "update") -> DataFrame:
+def _streamed(spark, sf, flow, keys, mode: str = "update", keyed_state: bool = False) -> DataFrame:
     """The last rows by key of a flow over the events, run as a stream to the end of what is there."""
     events = flows.read_stream(spark, f"{sf}/event[s].parquet", "event_id long, ts timestamp_ntz, user_id long, event_type string, value double", 1).withColumn("ts", F.col("ts").cast("timestamp"))
     out, state = folder(spark), folder(spark)
@@ -571,8 +571,8 @@ def _streamed(spark, sf, flow, keys, mode: str = "update") -> DataFrame:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     made = flow(events)
-    flows.run_once(made, sink, state, mode)
-    flows.run_once(made, sink, state, mode)  # nothing has come since
+    flows.run_once(made, sink, state, mode, keyed_state)
+    flows.run_once(made, sink, state, mode, keyed_state)  # nothing has come since
     kept = spark.read.parquet(f"{out}/*")
     return M.last_wins(kept.limit(0), kept, keys, [F.desc("batch")]).drop("batch")
 
@@ -600,13 +600,16 @@ def stm12_session_stream(spark, sf):
     return rows.select("user_id", F.unix_micros("start").alias("start"), "n")
 
 
-@query("""
+_LEADERS = """
 WITH RECURSIVE s AS MATERIALIZED (SELECT event_id, user_id % 25 AS country, ts, event_type, floor(value / 10) AS v, row_number() OVER (PARTITION BY user_id % 25, event_type, floor(value / 10) ORDER BY ts, CAST(event_id AS VARCHAR)) AS k FROM events),
 walk AS (SELECT event_id, country, event_type, v, k, ts, [{'at': ts, 'id': event_id}] AS founders, event_id AS founder FROM s WHERE k = 1
  UNION ALL SELECT s.event_id, s.country, s.event_type, s.v, s.k, s.ts, CASE WHEN len(list_filter(w.founders, lambda f: s.ts - f.at <= INTERVAL 48 HOUR)) > 0 THEN w.founders ELSE list_append(w.founders, {'at': s.ts, 'id': s.event_id}) END,
   coalesce(list_filter(w.founders, lambda f: s.ts - f.at <= INTERVAL 48 HOUR)[1].id, s.event_id) FROM walk w JOIN s ON s.country = w.country AND s.event_type = w.event_type AND s.v = w.v AND s.k = w.k + 1)
 SELECT CAST(event_id AS VARCHAR) AS story_id, country, CAST(founder AS VARCHAR) AS founder_id FROM walk
-""")
+"""
+
+
+@query(_LEADERS)
 def stm07_leaders_stream(spark, sf):
     """Events as a stream of stories, each joined to the first founder of its country that is of its kind and near in time."""
     def flow(events):
@@ -616,6 +619,32 @@ def stm07_leaders_stream(spark, sf):
     return _streamed(spark, sf, flow, ["story_id"], "append").select("story_id", "country", "founder_id")
 
 
+@query(_LEADERS)
+def stm07_indexed_stream(spark, sf):
+    """The same with founders kept by what stories share, and forgotten by timers."""
+    def flow(events):
+        kind, v = F.col("event_type"), F.floor(F.col("value") / 10)
+        stories = events.select(F.col("event_id").alias("story_id"), (F.col("user_id") % 25).alias("country"), F.col("ts").alias("published"), "event_type", v.alias("v"), F.array(F.concat_ws(" ", kind, v.cast("string"))).alias("shared"))
+        return flows.indexed_leaders(stories, lambda a, b: a == b, "country", "shared", ["event_type", "v"])
+
+    return _streamed(spark, sf, flow, ["story_id"], "append", True).select("story_id", "country", "founder_id")
+
+
+@query("""
+SELECT a.event_id AS story_id, b.event_id AS cluster_id FROM events a JOIN events b ON b.event_type = 'purchase' AND a.event_type <> 'purchase' AND b.user_id % 200 IS NOT DISTINCT FROM a.user_id % 200
+  AND b.ts BETWEEN a.ts - INTERVAL 48 HOUR AND a.ts + INTERVAL 48 HOUR
+""")
+def stm04_interval_stream(spark, sf):
+    """Two streams joined on country and 48 hours either way: purchases as founders, all other events as stories."""
+    def flow(events):
+        country = F.concat(F.lit("C"), F.col("user_id") % 200)
+        subjects = events.filter("event_type <> 'purchase'").select(F.col("event_id").alias("story_id"), country.alias("country"), F.col("ts").alias("published"))
+        founders = events.filter("event_type = 'purchase'").select(F.col("event_id").alias("cluster_id"), country.alias("founder_country"), F.col("ts").alias("founder_published"))
+        return flows.near_founders(subjects, founders)
+
+    return _streamed(spark, sf, flow, ["story_id", "cluster_id"], "append").select("story_id", "cluster_id")
+
+
 @query("SELECT user_id, CAST(epoch_us(max(ts)) AS BIGINT) AS last, floor(epoch(TIMESTAMP '2024-01-31 00:00:00')) - floor(epoch(max(ts))) > 26 * 3600 AS silent FROM events GROUP BY user_id")
 def stm10_silent(spark, sf):
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))

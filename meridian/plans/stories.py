@@ -557,6 +557,25 @@ def stm08_alerts(spark, sf):
     return H.fold_alerts(e.select(F.col("user_id").alias("name"), F.col("event_id").alias("at"), F.when(F.col("event_type") != "view", F.col("event_type") != "error").alias("ok")))
 
 
+@query("""
+WITH RECURSIVE e AS (SELECT user_id % 40 AS monitor, date_trunc('hour', ts) AS moment, event_type, bool_or(value > 60) AS bad, min(event_id) % 3 <> 0 AS sends FROM events GROUP BY ALL),
+s AS MATERIALIZED (SELECT monitor, moment, coalesce(list(event_type ORDER BY event_type) FILTER (bad), []) AS failing, bool_and(sends) AS sent, row_number() OVER (PARTITION BY monitor ORDER BY moment) AS k FROM e GROUP BY monitor, moment),
+r AS (SELECT monitor, CAST(0 AS BIGINT) AS k, CAST(NULL AS TIMESTAMP) AS moment, CAST([] AS VARCHAR[]) AS told, CAST(NULL AS TIMESTAMP) AS told_at, CAST([] AS VARCHAR[]) AS fresh, CAST([] AS VARCHAR[]) AS again, CAST([] AS VARCHAR[]) AS gone, FALSE AS due, FALSE AS sent FROM (SELECT DISTINCT monitor FROM s)
+ UNION ALL SELECT monitor, k, moment, CASE WHEN says AND sent THEN failing ELSE told END, CASE WHEN says AND sent THEN moment ELSE told_at END, fresh, again, gone, due, sent
+ FROM (SELECT *, due OR len(fresh) > 0 OR len(gone) > 0 AS says FROM (SELECT s.monitor, s.k, s.moment, s.failing, s.sent, r.told, r.told_at, list_filter(s.failing, lambda x: NOT list_contains(r.told, x)) AS fresh, list_filter(s.failing, lambda x: list_contains(r.told, x)) AS again,
+   list_filter(r.told, lambda x: NOT list_contains(s.failing, x)) AS gone, r.told_at IS NULL OR s.moment - r.told_at >= INTERVAL 24 HOUR AS due FROM r JOIN s ON s.monitor = r.monitor AND s.k = r.k + 1)))
+SELECT monitor, CAST(epoch(moment) AS BIGINT) AS "at", array_to_string(fresh, ',') AS fresh, array_to_string(again, ',') AS again, array_to_string(gone, ',') AS gone, due, sent FROM r WHERE k > 0 AND (due OR len(fresh) > 0 OR len(gone) > 0)
+""")
+def stm08_digests(spark, sf):
+    """Monitors that check by the hour, whose messages can't always be sent, with a digest when the last one sent is a day old."""
+    e = table(spark, sf, "events").select((F.col("user_id") % 40).alias("monitor"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at"), "event_type", "value", "event_id")
+    checks = e.groupBy("monitor", "at", "event_type").agg(F.bool_or(F.col("value") > 60).alias("bad"), (F.min("event_id") % 3 != 0).alias("sends"))
+    snapshots = checks.groupBy("monitor", "at").agg(F.collect_list(F.when(F.col("bad"), F.col("event_type"))).alias("failing"), F.bool_and("sends").alias("sent"))
+    rows = H.fold_digests(snapshots, "monitor")
+    joined = lambda c: F.array_join(c, ",")
+    return rows.select("monitor", F.unix_timestamp("at").alias("at"), joined("new").alias("fresh"), joined("still").alias("again"), joined("recovered").alias("gone"), "due", "sent")
+
+
 @query("SELECT o_custkey % 3 AS n, CASE o_custkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE ELSE TRUE END AS old FROM orders GROUP BY ALL")
 def val05_names_rule(spark, sf):
     """Gazetteers without a rule number, with this one's, and with one that is no number."""

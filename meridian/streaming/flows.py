@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 
@@ -34,6 +35,19 @@ def sessions(events: DataFrame, at: str, gap: str, keys: list[str], late: str =
     return w.agg(F.count(F.lit(1)).alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n")
 
 
+def near_founders(subjects: DataFrame, founders: DataFrame, hours: int = 48, late: str = "1 day") -> DataFrame:
+    """(story_id, cluster_id) of two streams, as cluster.near_founders gives it for what they hold: same country, or both of none, and at most so many hours apart.
+
+    Rows of either side may come up to `late` after newer ones, and before or after those that they meet. What no row to
+    come can meet any more leaves the state: a row stays for `hours` and `late` beyond its own time, by the slower stream.
+    """
+    within = f"founder_published BETWEEN published - INTERVAL {hours} HOURS AND published + INTERVAL {hours} HOURS"
+    a = subjects.select("story_id", "country", "published").withWatermark("published", late)
+    b = founders.select("cluster_id", "founder_country", "founder_published").withWatermark("founder_published", late)
+    met = a.join(b, F.col("country").eqNullSafe(F.col("founder_country")) & F.expr(within))
+    return met.select("story_id", "cluster_id", "published", "founder_published")
+
+
 def silent(events: DataFrame, key: str, at: str, now, hours: int) -> DataFrame:
     """(key, last, silent) of each key: has nothing come for so many hours?"""
     last = events.groupBy(key).agg(F.max(at).alias("last"))
@@ -77,7 +91,86 @@ def leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], key: str,
     return picked.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, story_id string, founder_id string", f"newest double, founders array<{founder}>", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_once(flow: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    """All that has come since the last run, given to sink in batches; a batch that failed comes again with its number."""
-    query = flow.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
-    query.awaitTermination()
+class _Founders(StatefulProcessor):
+    """Founders of a key by the values that they have, and by the day on which they are to be forgotten."""
+
+    def __init__(self, same: Callable[[tuple, tuple], bool], fields: list[str], founder: str, keep_hours: int):
+        self.same, self.fields, self.founder, self.keep = same, fields, founder, keep_hours * 3600
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.by_value = handle.getMapState("by_value", "v string", f"founders array<{self.founder}>")
+        self.by_hour = handle.getMapState("by_hour", "hour long", "values array<string>")
+
+    def _at(self, state, key) -> list:
+        return [tuple(x) if not isinstance(x, str) else x for x in state.getValue((key,))[0]] if state.containsKey((key,)) else []
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        out = []
+        for row in pd.concat(list(rows)).sort_values(["published", "story_id"]).itertuples(index=False):
+            at, mine, values = row.published.timestamp(), tuple(getattr(row, f) for f in self.fields), sorted({v for v in row.values if v is not None})
+            held = {v: self._at(self.by_value, v) for v in values}
+            near = [f for found in held.values() for f in found if abs(at - f[1]) <= self.keep and self.same(mine, f[2:])]
+            first = min(near, key=lambda f: (f[1], f[0]), default=None)
+            if first is None:
+                for v in values:
+                    self.by_value.updateValue((v,), ([*held[v], (row.story_id, at, *mine)],))
+                hour = int(at + 2 * self.keep) // 3600 + 1
+                if values:
+                    self.by_hour.updateValue((hour,), (sorted({*self._at(self.by_hour, hour), *values}),))
+                    self.handle.registerTimer(hour * 3_600_000)
+            out.append((key[0], row.story_id, first[0] if first else row.story_id))
+        yield pd.DataFrame(out, columns=["key", "story_id", "founder_id"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        hour = expiredTimerInfo.getExpiryTimeInMs() // 3_600_000
+        for v in self._at(self.by_hour, hour):
+            left = [f for f in self._at(self.by_value, v) if int(f[1] + 2 * self.keep) // 3600 + 1 > hour]
+            if left:
+                self.by_value.updateValue((v,), (left,))
+            elif self.by_value.containsKey((v,)):
+                self.by_value.removeKey((v,))
+        if self.by_hour.containsKey((hour,)):
+            self.by_hour.removeKey((hour,))
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def indexed_leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], key: str, values: str, fields: list[str], keep_hours: int = 48, late: str = "1 day") -> DataFrame:
+    """leaders() for stories that can only be the same if they share one of the strings in the column `values`: places' cells, entities, words.
+
+    Founders are kept by these, so a story is compared to those that share one, not to all of its key. A founder is
+    forgotten by a timer, once the watermark is twice keep_hours past its time, whether or not its key gets another story;
+    a story that comes later than `late` is dropped. A story without a time founds its own cluster, outside of the state.
+    """
+    kinds = dict(stories.dtypes)
+    founder = "struct<id:string,at:double," + ",".join(f"{f}:{kinds[f]}" for f in fields) + ">"
+    picked = stories.select(F.col(key).alias("key"), F.col("story_id").cast("string").alias("story_id"), "published", F.coalesce(values, F.array().cast("array<string>")).alias("values"), *fields)
+    own = picked.filter("published IS NULL").select("key", "story_id", F.col("story_id").alias("founder_id"))
+    timed = picked.filter("published IS NOT NULL").withWatermark("published", late)
+    found = timed.groupBy("key").transformWithStateInPandas(_Founders(same, fields, founder, keep_hours), f"key {kinds[key]}, story_id string, founder_id string", "append", "eventTime")
+    return found.unionByName(own).select(F.col("key").alias(key), "story_id", "founder_id")
+
+
+#: The store of state that maps and timers need; Spark reads the setting when a query starts.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_once(flow: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", keyed_state: bool = False) -> list[dict]:
+    """All that has come since the last run, given to sink in batches; a batch that failed comes again with its number.
+
+    keyed_state is for flows with indexed_leaders. What each batch reports of its state comes back: rows kept, and rows dropped as too late.
+    """
+    conf = flow.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    try:
+        if keyed_state:
+            conf.set(STATE_STORE, ROCKS)
+        query = flow.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
+        query.awaitTermination()
+    finally:
+        conf.set(STATE_STORE, before)
+    return [{"rows": p.numInputRows, "kept": sum(s.numRowsTotal for s in p.stateOperators), "late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators)} for p in query.recentProgress]
