@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from urllib.parse import unquote
 
@@ -163,9 +164,17 @@ def entity_keys(c) -> Column:
     return F.array_distinct(F.filter(F.transform(F.coalesce(col(c), F.array().cast("array<string>")), lambda x: F.lower(F.trim(x))), lambda x: x.isNotNull() & (x != "")))
 
 
+_CREDENTIALS = r"(?i)\b([a-z][a-z0-9+.\-]*://)[^\s/@:]+:[^\s/@]*@"
+
+
 def redact(c) -> Column:
     """Without the user and password of any address."""
-    return F.regexp_replace(col(c), r"(?i)\b([a-z][a-z0-9+.\-]*://)[^\s/@:]+:[^\s/@]*@", "$1***:***@")
+    return F.regexp_replace(col(c), _CREDENTIALS, "$1***:***@")
+
+
+def redacted(text: str) -> str:
+    """redact() of a text that the driver has."""
+    return re.sub(_CREDENTIALS, r"\1***:***@", text)
 
 
 def shorten(c, most: int = 200) -> Column:

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import gzip
 import json
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian import schemas
 from meridian.functions import geo, hashing, times
 from meridian.functions import text as T
-from meridian.operators.tables import stored
+from meridian.operators.tables import read_text, replace_text, stored
 
 WINDOW_DAYS, TEXT_HOURS, COLD_START = 7, 24, 20_000
 MAX_BATCH, TARGET_BYTES = 500, 3 << 20
@@ -141,14 +142,14 @@ def _next_starts(sums: np.ndarray, most: int, target: int) -> np.ndarray:
     return np.maximum(np.minimum(np.minimum(here + most, by_bytes), n), here + 1)
 
 
-def batched_rows(rows: DataFrame, group: str, order: str, size: str, most: int = MAX_BATCH, target: int = TARGET_BYTES) -> DataFrame:
+def batched_rows(rows: DataFrame, group: str, order: str | list[str], size: str, most: int = MAX_BATCH, target: int = TARGET_BYTES) -> DataFrame:
     """rows with batch, the number that batch_numbers gives each within its group, for groups of any length.
 
     Rows are dealt by ranges of (group, order). How a chunk goes on depends only on where the first batch of its own begins, which
     is within its first `most` rows; so each chunk works out, for all of those, how many batches it begins and what the
     last one holds at its end. One short row for each chunk is then followed through a group, and chunks number their rows.
     """
-    kinds = dict(rows.dtypes)
+    kinds, order = dict(rows.dtypes), [order] if isinstance(order, str) else order
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
 
@@ -158,7 +159,7 @@ def batched_rows(rows: DataFrame, group: str, order: str, size: str, most: int =
         for batch in batches:
             yield batch.assign(chunk=TaskContext.get().partitionId())
 
-    dealt = stored(rows.repartitionByRange(width, group, order).sortWithinPartitions(group, order).mapInPandas(numbered, f"{columns}, chunk int"))
+    dealt = stored(rows.repartitionByRange(width, group, *order).sortWithinPartitions(group, *order).mapInPandas(numbered, f"{columns}, chunk int"))
 
     def sums_of(part: pd.DataFrame) -> np.ndarray:
         return np.concatenate(([0], np.cumsum(part[size].to_numpy(dtype=np.int64))))
@@ -222,6 +223,68 @@ def bodies(found: DataFrame, generated_at: str, most: int = MAX_BATCH, target: i
         yield _body(batch, generated_at)
 
 
+def body_rows(found: DataFrame, generated_at: str, most: int = MAX_BATCH, target: int = TARGET_BYTES) -> DataFrame:
+    """(batch, n, body): the same bodies as rows, numbered from 0, whatever their number.
+
+    Only keys and sizes go through the batches; items meet again in the groups of their batch, which are as small as a body.
+    """
+    keys = found.select(F.lit(0).alias("all"), "last_seen_at", "story_id", F.octet_length("item").cast("long").alias("size"))
+    numbered = batched_rows(keys, "all", ["last_seen_at", "story_id"], "size", most, target).select("story_id", "batch")
+    listed = found.join(numbered, "story_id").groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("last_seen_at", "story_id", "item"))).alias("items"))
+    head, tail = f'{{"version":1,"generatedAt":{json.dumps(generated_at)},"items":[', "]}"
+    return listed.select("batch", F.size("items").alias("n"), F.concat(F.lit(head), F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit(tail)).alias("body"))
+
+
+def signed_rows(bodies: DataFrame, secret: str, prefix: str, timestamp_ms: int) -> DataFrame:
+    """bodies(body, ...) with content_sha256 and signature, those of signed(), worked out by Spark; compress a body after it is signed."""
+    sha = F.sha2(F.encode("body", "UTF-8"), 256)
+    text = F.concat_ws("\n", F.lit(prefix), F.lit(str(timestamp_ms)), sha)
+    return bodies.withColumns({"content_sha256": sha, "signature": hashing.signature(secret, text)})
+
+
+def load_state(spark: SparkSession, path: str) -> dict:
+    """What a run left in the shared folder; empty if there is nothing, or nothing that can be read."""
+    try:
+        found = json.loads(read_text(spark, path) or "{}")
+    except ValueError:
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def save_state(spark: SparkSession, path: str, **fields) -> dict:
+    """The state with fields changed, replaced as a whole, so it outlives the driver; texts lose credentials first."""
+    state = load_state(spark, path) | {k: T.redacted(v) if isinstance(v, str) else v for k, v in fields.items()}
+    replace_text(spark, path, json.dumps(state, sort_keys=True, ensure_ascii=False))
+    return state
+
+
+def run_export(tables: dict[str, DataFrame], path: str, now: dt.datetime, send: Callable[[DataFrame], None], extract_hash: str, limit: int) -> int:
+    """Sends the rows that are due, and moves the cursor in the state at `path` if send() ends well; gives their number.
+
+    The start is the cursor, or the window's begin if there is none or it is older: so a state that is lost means that the
+    window goes again. A run whose send() fails leaves the cursor and a note of the error, and the next one sends the same
+    rows. The cursor is the newest last_seen_at that was sent; rows of that very time go together only if the limit does not part
+    them, so it stays one step before them if it might have.
+    """
+    spark = tables["stories"].sparkSession
+    state, at = load_state(spark, path), F.lit(now)
+    cursor = F.timestamp_micros(F.lit(state.get("cursor_us")).cast("long"))
+    most = run_limit(state.get("cursor_us"), limit)
+    floor = times.start_point(F.lit(None).cast("timestamp"), at)
+    found = stored(rows_since(tables["stories"], tables["story_texts"], tables["extractions"], extract_hash, times.start_point(cursor, at), floor, most))
+    seen = found.select(F.unix_micros("last_seen_at").alias("us"))
+    n, newest = seen.agg(F.count(F.lit(1)), F.max("us")).first()
+    before = seen.filter(F.col("us") < newest).agg(F.max("us")).first()[0] if n >= most else None
+    try:
+        send(found)
+    except Exception as error:
+        save_state(spark, path, last_error=str(error)[:200])
+        raise
+    reached = max((x for x in (before or newest, state.get("cursor_us")) if x is not None), default=None)
+    save_state(spark, path, cursor_us=reached, last_ok_at=now.isoformat(), last_error=None)
+    return n
+
+
 def _body(batch: list[str], generated_at: str) -> bytes:
     return f'{{"version":1,"generatedAt":{json.dumps(generated_at)},"items":[{",".join(batch)}]}}'.encode()
 

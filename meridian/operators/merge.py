@@ -1,10 +1,12 @@
 """Upserts as pure functions: (current table, incoming rows) -> new table. Plain Parquet has no MERGE.
 
-Each is one aggregate or one join by key, so a merge shuffles by its key once; versions() below writes the result.
+Each is one aggregate or one join by key, so a merge shuffles by its key once. merge_into() applies one to a table on disk and
+rewrites only the buckets that incoming rows fall into.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -247,6 +249,44 @@ def drop_plan(tables: dict[str, DataFrame], outlets: list[str], allowed: list[st
     return reduce(DataFrame.unionByName, parts).groupBy("table").agg(F.sum("n").alias("rows"))
 
 
+BUCKET = "key_bucket"
+
+
+def _bucketed(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
+
+
+def _write_buckets(rows: DataFrame, root: str) -> None:
+    """A file for each bucket; buckets without a row here stay as they are."""
+    rows.repartition(BUCKET).write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
+
+
+def lay_out(rows: DataFrame, root: str, keys: list[str], n: int) -> None:
+    """Writes a table in n buckets by a hash of the keys, each a partition folder."""
+    _write_buckets(_bucketed(rows, keys, n), root)
+
+
+def read_buckets(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The table without its bucket."""
+    return spark.read.schema(f"{schema}, {BUCKET} int").parquet(root).drop(BUCKET)
+
+
+def merge_into(incoming: DataFrame, root: str, schema: str, keys: list[str], n: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
+    """Replaces the table at root by merge(current, incoming), and gives the buckets that were touched: at most n numbers.
+
+    Only the buckets of incoming rows are read, merged and written; all other files stay, names included. merge has to
+    look at rows of equal keys only, as the functions above do when `keys` are among theirs, and may not leave a touched bucket without
+    a row. New files replace the old ones when all of them are written, so a run that fails before that leaves the table.
+    """
+    spark = incoming.sparkSession
+    new = _bucketed(incoming, keys, n)
+    touched = sorted(r[BUCKET] for r in new.select(BUCKET).distinct().collect())
+    if touched:
+        held = spark.read.schema(f"{schema}, {BUCKET} int").parquet(root).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        _write_buckets(_bucketed(merge(held, new.drop(BUCKET)).select(*held.columns), keys, n), root)
+    return touched
+
+
 def write_version(df: DataFrame, root: str, version: int) -> None:
     """A new version of a table beside the old ones; readers switch once it is whole."""
     df.write.parquet(f"{root}/version={version}")

@@ -18,6 +18,7 @@ from meridian.operators import checks as C
 from meridian.operators import export as X
 from meridian.operators import merge as M
 from meridian.operators import snapshot as S
+from meridian.operators import tables
 from meridian.operators.tables import shared_folder
 from meridian.plans.registry import query, table
 from meridian.plans.store import over_store, store
@@ -551,15 +552,106 @@ SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n, CAST(max(bytes) AS BIGINT)
 """)
 def snk04_bodies(spark, sf):
     """Bodies to send, cut by count and bytes: for each its items and their bytes."""
-    import json
-
     item = F.concat(F.lit('{"id":'), "doc_id", F.lit(',"text":"'), F.repeat(F.lit("x"), (F.col("n_chars") % 3000).cast("int")), F.lit('"}'))
     rows = table(spark, sf, "documents").select(F.col("doc_id").alias("last_seen_at"), F.col("doc_id").alias("story_id"), item.alias("item"))
-    found = []
-    for i, body in enumerate(X.bodies(rows, "now", 40, 30_000)):
-        items = json.loads(body)["items"]
-        found.append((i, len(items), sum(len(json.dumps(x, separators=(",", ":"))) for x in items)))
-    return spark.createDataFrame(found, "batch long, n long, bytes long")
+    told = F.from_json("body", "items array<struct<id:string,text:string>>")["items"]
+    held = F.aggregate(told, F.lit(0).cast("long"), lambda n, x: n + F.length(x["id"]) + F.length(x["text"]) + len('{"id":,"text":""}'))
+    return X.body_rows(rows, "now", 40, 30_000).select("batch", F.size(told).cast("long").alias("n"), held.alias("bytes"))
+
+
+@query(f"""
+WITH b AS (SELECT o_custkey % 500 AS k, '{{"version":1,"generatedAt":"t","items":[' || string_agg('"' || o_orderkey || '"', ',' ORDER BY o_orderkey) || ']}}' AS body FROM orders GROUP BY o_custkey % 500)
+SELECT k, sha256(body) AS content_sha256, sha256(unhex('{bytes(b ^ 0x5C for b in _KEY).hex()}') || unhex(sha256(unhex('{bytes(b ^ 0x36 for b in _KEY).hex()}') || encode('rail' || chr(10) || 1700000000123 || chr(10) || sha256(body))))) AS signature FROM b
+""")
+def snk05_signed_bodies(spark, sf):
+    """A body for each of 500 customers' groups, its digest and signature."""
+    rows = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 500).alias("k")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("keys"))
+    items = F.array_join(F.transform("keys", lambda x: F.concat(F.lit('"'), x.cast("string"), F.lit('"'))), ",")
+    bodies = rows.select("k", F.concat(F.lit('{"version":1,"generatedAt":"t","items":['), items, F.lit("]}")).alias("body"))
+    return X.signed_rows(bodies, "a secret", "rail", 1_700_000_000_123).select("k", "content_sha256", "signature")
+
+
+@query(over_store("""
+WITH d AS (SELECT s.story_id, s.last_seen_at AS seen, e.created_at FROM stories s LEFT JOIN (SELECT * FROM extractions WHERE config_hash = 'e1') e USING (story_id) WHERE s.last_seen_at > TIMESTAMP '2024-01-13 00:00:00' AND outlet NOT IN ('guardian', 'nyt')),
+a AS (SELECT * FROM d WHERE seen > TIMESTAMP '2024-01-13 00:00:00' OR created_at > TIMESTAMP '2024-01-13 00:00:00' ORDER BY seen, story_id LIMIT 20000),
+ca AS (SELECT max(seen) AS c FROM a),
+b AS (SELECT d.* FROM d, ca WHERE seen > c OR created_at > c ORDER BY seen, story_id LIMIT 300),
+cb AS (SELECT coalesce(max(seen) FILTER (seen < (SELECT max(seen) FROM b)), max(seen)) AS c FROM b),
+e AS (SELECT d.* FROM d, (SELECT greatest((SELECT c FROM ca), CASE WHEN (SELECT count(*) FROM b) >= 300 THEN (SELECT c FROM cb) ELSE (SELECT max(seen) FROM b) END) AS c) WHERE seen > c OR created_at > c ORDER BY seen, story_id LIMIT 300)
+SELECT 1 AS run, story_id FROM a UNION ALL SELECT 3, story_id FROM b UNION ALL SELECT 4, story_id FROM e UNION ALL SELECT 5, story_id FROM a
+""", "stories", "extractions").replace(")\n\nWITH d AS", "),\nd AS"))
+def snk07_resumed_export(spark, sf):
+    """Five runs of an export: a first one, one that fails half-way, one that sends the same rows, the next, and one after the state is lost."""
+    import datetime as dt
+
+    names = ("stories", "story_texts", "extractions")
+    tables = dict(zip(names, store(spark, sf, *names), strict=True))
+    out, state = folder(spark), folder(spark)
+
+    def run(number: int, path: str, fails: bool = False) -> None:
+        def send(rows: DataFrame) -> None:
+            if fails:
+                rows.limit(10).collect()
+                raise ConnectionError("https://user:word@far.example is gone")
+            rows.select(F.lit(number).alias("run"), "story_id").write.parquet(f"{out}/run={number}")
+
+        X.run_export(tables, path, dt.datetime(2024, 1, 20, tzinfo=dt.UTC), send, "e1", 300)
+
+    run(1, state)
+    try:
+        run(2, state, fails=True)
+    except ConnectionError:
+        pass
+    for number in (3, 4):
+        run(number, state)
+    run(5, folder(spark))
+    return spark.read.parquet(*(f"{out}/run={n}" for n in (1, 3, 4, 5)))
+
+
+@query("SELECT page_id, url, CAST(1 AS INT) AS build, 'before' AS read FROM pages WHERE page_id % 3 = 1 UNION ALL SELECT page_id, url, 1, 'failed' FROM pages WHERE page_id % 3 = 1 UNION ALL SELECT page_id, url, 3, 'after' FROM pages WHERE page_id % 3 = 0")
+def snk09_switched(spark, sf):
+    """Builds beside each other: what readers see after the first, after one that fails when it has written half, and after the third."""
+    p, root = table(spark, sf, "pages"), folder(spark)
+    read = lambda word: spark.read.schema("page_id long, url string, build int").parquet(f"{tables.current_build(spark, root)}/pages").withColumn("read", F.lit(word))
+
+    def build(number: int, fails: bool = False):
+        def write(place: str) -> None:
+            p.filter(F.col("page_id") % 3 == number % 3).select("page_id", "url", F.lit(number).alias("build")).write.parquet(f"{place}/pages")
+            if fails:
+                raise ValueError("the second table can't be built")
+
+        return write
+
+    tables.publish(spark, root, build(1))
+    before = read("before")
+    try:
+        tables.publish(spark, root, build(2, fails=True))
+    except ValueError:
+        pass
+    failed = read("failed")
+    tables.publish(spark, root, build(3))
+    return before.unionByName(failed).unionByName(read("after"))
+
+
+@query("""
+WITH c AS (SELECT 's' || o_orderkey AS story_id, o_orderpriority AS section, CAST(o_orderdate AS TIMESTAMP) AS a, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 DAY AS b FROM orders),
+i AS (SELECT 's' || o_orderkey AS story_id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'new' END AS section, CAST(o_orderdate AS TIMESTAMP) - INTERVAL 1 DAY AS a, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 9 DAY AS b FROM orders WHERE o_custkey % 400 = 1)
+SELECT story_id, section, CAST(epoch(min(a)) AS BIGINT) AS first_seen, CAST(epoch(max(b)) AS BIGINT) AS last_seen FROM (SELECT * FROM c UNION ALL SELECT * FROM i) GROUP BY ALL
+""")
+def ups05_partial_merge(spark, sf):
+    """Sections seen again merged into a table of 64 buckets, of which only those of the incoming rows are written anew."""
+    o = table(spark, sf, "orders").withColumn("t", F.col("o_orderdate").cast("timestamp"))
+    row = lambda section, before, after: ["o_custkey", "o_orderkey", F.concat(F.lit("s"), F.col("o_orderkey").cast("string")).alias("story_id"), section.alias("section"), (F.col("t") - F.expr(f"INTERVAL {before} DAY")).alias("first_seen_at"), (F.col("t") + F.expr(f"INTERVAL {after} DAY")).alias("last_seen_at")]
+    kept = ["story_id", "section", "first_seen_at", "last_seen_at"]
+    current = o.select(row(F.col("o_orderpriority"), 0, 1)).select(kept)
+    again = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).otherwise(F.lit("new"))
+    incoming = o.filter(F.col("o_custkey") % 400 == 1).select(row(again, 1, 9)).select(kept)
+    root, keys = folder(spark), ["story_id"]
+    M.lay_out(current, root, keys, 64)
+    schema = "story_id string, section string, first_seen_at timestamp, last_seen_at timestamp"
+    M.merge_into(incoming, root, schema, keys, 64, lambda a, b: M.merge_seen(a, b, ["story_id", "section"]))
+    rows = M.read_buckets(spark, root, schema)
+    return rows.select("story_id", "section", F.unix_timestamp("first_seen_at").alias("first_seen"), F.unix_timestamp("last_seen_at").alias("last_seen"))
 
 
 def _streamed(spark, sf, flow, keys, mode: str = "update", keyed_state: bool = False) -> DataFrame:
