@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meridian import schemas
@@ -22,7 +22,7 @@ from meridian.operators import tables
 from meridian.operators.tables import shared_folder
 from meridian.plans.registry import query, table
 from meridian.plans.store import over_store, store
-from meridian.sources import blocks, feeds, files, pages
+from meridian.sources import blocks, feeds, files, listings, pages
 from meridian.streaming import flows
 
 
@@ -136,6 +136,35 @@ def snk09_versions(spark, sf):
     return M.read_version(spark, path, "page_id long, url string", 2).withColumn("version", F.lit(2))
 
 
+_LISTED = """
+r AS (SELECT event_id, 'o' || user_id % 3 AS outlet, event_type || user_id % 7 AS section, CASE WHEN event_id % 23 = 0 THEN 'a' || (event_id - 1) % 400 ELSE 'a' || event_id END AS alias, row_number() OVER (PARTITION BY user_id % 3, event_type, user_id % 7 ORDER BY ts DESC, event_id) - 1 AS position FROM events),
+p AS (SELECT *, position // 20 AS page, alias NOT IN (SELECT 'a' || event_id FROM events WHERE event_id % 9 < 4) AND position < 140 AS fresh FROM r),
+f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY outlet, section, alias ORDER BY position) = 1),
+e AS (SELECT outlet, section, page, bool_or(fresh) AS goes_on, count(*) AS n FROM f GROUP BY ALL),
+s AS (SELECT e.outlet, e.section, min(CASE WHEN NOT goes_on THEN e.page END) AS last FROM e GROUP BY ALL)"""
+
+
+@query("WITH " + _LISTED + "\nSELECT outlet, section, count(DISTINCT page) AS pages, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS total FROM f JOIN s USING (outlet, section) WHERE page <= coalesce(last, 1000000) GROUP BY ALL")
+def src27_paged_listings(spark, sf):
+    """Sections listed newest first in pages of 20, read until a page has nothing that isn't stored; from the 140th row on all is."""
+    e = table(spark, sf, "events")
+    section = [F.concat(F.lit("o"), F.col("user_id") % 3).alias("outlet"), F.concat("event_type", F.col("user_id") % 7).alias("section")]
+    alias = F.concat(F.lit("a"), F.when(F.col("event_id") % 23 == 0, (F.col("event_id") - 1) % 400).otherwise(F.col("event_id")))
+    rows = e.select("event_id", *section, alias.alias("alias"), "ts")
+    order = Window.partitionBy("outlet", "section").orderBy(F.desc("ts"), "event_id")
+    recorded = rows.withColumn("position", F.row_number().over(order) - 1).withColumn("page", F.expr("position div 20").cast("int")).withColumn("aliases", F.array("alias"))
+    path = folder(spark)
+    recorded.drop("ts").write.parquet(path)
+    recorded = spark.read.parquet(path)
+    story = F.concat(F.lit("s"), "alias")
+    known = recorded.filter("position >= 140").select("outlet", "alias").unionByName(e.filter("event_id % 9 < 4").select(F.concat(F.lit("a"), "event_id").alias("alias"), F.explode(F.array(F.lit("o0"), F.lit("o1"), F.lit("o2"))).alias("outlet")).select("outlet", "alias")).distinct()
+    known = known.select("outlet", "alias", story.alias("story_id"), F.lit(0).cast("timestamp").alias("first_seen_at"))
+    stories = recorded.select(story.alias("story_id"), "section").distinct()
+    kept, pages_ = listings.read_listings(recorded.select("outlet", "section"), lambda wanted: recorded.join(wanted, ["outlet", "section", "page"]), known, stories)
+    counts = kept.groupBy("outlet", "section").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+    return counts.join(pages_, ["outlet", "section"]).select("outlet", "section", "pages", "n", "total")
+
+
 # ---- listings and pages --------------------------------------------------------------------------------------
 
 
