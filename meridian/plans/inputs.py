@@ -103,6 +103,28 @@ def src06_base_rows(spark, sf):
     return rows.select("id", "headline", "url", "thumbnail", F.array_join("authors", "|").alias("authors"), joined("rss").alias("rss"), joined("section").alias("section"), joined("feed").alias("feed"))
 
 
+@query("""
+WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS position FROM events)
+SELECT user_id, CAST(position AS BIGINT) AS position, 'T' || event_id AS title, CASE user_id % 3 WHEN 2 THEN 'https://z/' || event_id ELSE 'https://x/' || event_id END AS link, 'urn:' || event_id AS guid, CASE user_id % 3 WHEN 1 THEN '2024-01-02T03:04:05Z' WHEN 2 THEN '2024-02-01T00:00:00Z' ELSE '2024-01-05T09:00:00Z' END AS published FROM e WHERE user_id % 11 <> 0
+""")
+def src02_three_dialects(spark, sf):
+    """A document for each user, of RSS 2.0, RSS 1.0 or Atom by turns, some of them broken: items with their places."""
+    e = table(spark, sf, "events")
+    k, n = F.col("user_id") % 3, F.col("event_id").cast("string")
+    part = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    rss = part("<item><title>T", n, '</title><guid isPermaLink="false">urn:', n, "</guid><link> https://x/", n, " </link>", F.when(k == 0, F.lit("<pubDate>Fri, 5 Jan 2024 10:00:00 +0100</pubDate>")).otherwise(F.lit("<dc:date>2024-01-02T03:04:05Z</dc:date>")), "</item>")
+    atom = part("<entry><id>urn:", n, "</id><title>T", n, '</title><link rel="self" href="https://self"/><link href="https://z/', n, '"/><updated>2024-02-01T00:00:00Z</updated></entry>')
+    items = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", F.when(k == 2, atom).otherwise(rss).alias("x")))).alias("items"))
+    joined = F.array_join(F.transform("items", lambda x: x["x"]), "\n")
+    document = (
+        F.when(F.col("user_id") % 11 == 0, part("<rss><channel>", joined))
+        .when(k == 0, part('<?xml version="1.0"?><rss version="2.0"><channel><title>Feed</title>', joined, "</channel></rss>"))
+        .when(k == 1, part('<?xml version="1.0"?><rdf:RDF xmlns:rdf="r" xmlns="http://purl.org/rss/1.0/" xmlns:dc="d"><channel><title>Feed</title></channel>', joined, "</rdf:RDF>"))
+        .otherwise(part('<feed xmlns="http://www.w3.org/2005/Atom"><title>Feed</title>', joined, "</feed>"))
+    )
+    return feeds.feed_items(items.select("user_id", document.alias("xml")), "xml").select("user_id", "position", "title", "link", "guid", "published")
+
+
 @query("""
 SELECT 'job' AS part, source || '/' || section AS k, CAST(n AS BIGINT) AS n FROM (SELECT * FROM (VALUES ('a', 'x', 1), ('a', 'y', 2), ('b', 'x', 3), ('c', 'z', 4)) t(source, section, n))
 UNION ALL SELECT 'feeds', '', 70

@@ -211,3 +211,16 @@ def test_incidents(spark, tmp_path):
     assert out["receipts"][0].source_url == "https://s/1" and out["runs"][0].idempotency_key.endswith(":ukraine:1")
     given = files.incident_tables(files.latest_incident(rows), "now", interpretation={"model": "m", "payload": {"event_type": "z", "actors": ["q"]}})
     assert given["incidents"].first().type == "z" and given["claims"].filter("kind = 'actor'").first().value == '{"value":["q"]}'
+
+
+def test_items_have_their_place_in_the_document(spark):
+    """One pass over mixed documents, in order, with broken ones and other columns between."""
+    many = '<?xml version="1.0"?><rss><channel>' + "".join(f"<item><title>t{i}</title></item>" for i in range(300)) + "</channel></rss>"
+    docs = [(0, RSS2), (1, RDF), (2, ATOM), (3, "<rss><channel><item>"), (4, None), (5, ""), (6, "not xml"), (7, many), (8, "<other><x>1</x></other>")]
+    df = spark.createDataFrame(docs, "doc int, xml string").repartition(4)
+    got = {}
+    for r in feeds.feed_items(df, "xml").collect():
+        got.setdefault(r.doc, {})[r.position] = r.title
+    assert got == {0: {0: "One", 1: "Two", 2: "Three"}, 1: {0: "Four"}, 2: {0: "Five"}, 7: {i: f"t{i}" for i in range(300)}}
+    plan = feeds.feed_items(df, "xml")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1
