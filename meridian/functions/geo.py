@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,3 +69,25 @@ def cost_usd(model, hit, miss, out, peak, prices: dict[str, tuple[float, float,
 def cache_misses(prompt, hit, miss) -> Column:
     """Prompt tokens that were not cached; all of them if neither number came."""
     return F.when((F.coalesce(col(hit), F.lit(0)) == 0) & (F.coalesce(col(miss), F.lit(0)) == 0), col(prompt)).otherwise(F.coalesce(col(miss), F.lit(0)))
+
+
+def _column(lon, degrees: float) -> Column:
+    """The column of a grid whose columns are at most so wide and divide the circle evenly."""
+    n = ceil(360 / degrees)
+    return F.least(F.floor(F.pmod(col(lon), F.lit(360.0)) * (n / 360.0)), F.lit(n - 1))
+
+
+def cell(lat, lon, degrees: float) -> Column:
+    """The field of a grid that a point is in, degrees high and about as wide."""
+    return F.concat_ws(",", F.floor(col(lat) / degrees), _column(lon, degrees))
+
+
+def cells_around(lat, lon, km: float, degrees: float) -> Column:
+    """An array of the fields that a circle of km around a point may reach into, each once; near a pole all of a row."""
+    n, arc = ceil(360 / degrees), km / 111.0  # a degree of latitude has a little more than 111 km
+    rows, row = int(arc / degrees) + 1, F.floor(col(lat) / degrees)
+    top = F.abs(col(lat)) + arc
+    wide = F.when(top >= 89.0, F.lit(180.0)).otherwise(F.lit(arc) / F.cos(F.radians(top)))
+    reach = F.least(F.ceil(wide * (n / 360.0)), F.lit(n // 2 + 1)).cast("int")
+    columns = F.transform(F.sequence(-reach, reach), lambda k: F.pmod(_column(lon, degrees) + k, F.lit(n)))
+    return F.array_distinct(F.flatten(F.transform(F.sequence(row - rows, row + rows), lambda r: F.transform(columns, lambda c: F.concat_ws(",", r, c)))))

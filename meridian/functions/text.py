@@ -150,8 +150,8 @@ def headline_tokens(c) -> Column:
 def jaccard(a, b) -> Column:
     """Overlap of two sets of words; 0 if one is empty."""
     a, b = col(a), col(b)
-    either = F.size(F.array_union(a, b))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
+    both = F.size(F.array_intersect(a, b))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
 def at_least(words, least: float) -> Column:

@@ -28,6 +28,11 @@ def run_limit(cursor, limit: int) -> int:
     return limit if cursor else max(limit, COLD_START)
 
 
+def run_limits(cursor: Column, limit: Column) -> Column:
+    """run_limit() of columns."""
+    return F.when(F.coalesce(cursor, F.lit("")) != "", limit).otherwise(F.greatest(limit, F.lit(COLD_START)))
+
+
 def rows_since(stories: DataFrame, texts: DataFrame, extractions: DataFrame, extract_hash: str, cursor: Column, floor: Column, limit: int) -> DataFrame:
     """Stories seen, or read, after the cursor and seen after the floor, the longest ago first.
 

@@ -153,11 +153,46 @@ def item_problems(found: DataFrame, generated_at: str | None = None) -> DataFram
     return found.select("id", F.explode(named).alias("problem")).unionByName(twice)
 
 
+FRAME = ("schema", "snapshotId", "generatedAt", "dataAsOf", "pinsWithheld", "worldNewsWithheld", "outlets", "items")
+
+
+def frame_problems(bodies: DataFrame, key: str, body: str) -> DataFrame:
+    """(key, problem): what body_problems() says of each of many bodies, by expressions over the body's JSON; `not an object` of one that is none."""
+    v, keys = F.try_parse_json(body), F.json_object_keys(F.when(F.try_parse_json(body).isNotNull(), F.col(body)))
+    at = lambda path, kind="variant": F.try_variant_get("_v", path, kind)
+    kind_of = lambda path: F.coalesce(F.schema_of_variant(at(path)), F.lit("VOID"))
+    string = lambda path: F.when(kind_of(path) == "STRING", at(path, "string"))
+    none = F.array().cast("array<string>")
+    expected = F.array(*map(F.lit, FRAME))
+    sorted_out = lambda a, b, word: F.transform(F.array_sort(F.array_except(a, b)), lambda k: F.concat(F.lit(f"{word}: "), k))
+    told = lambda bad, name: F.when(bad, F.lit(name))
+    listed = lambda path: F.coalesce(at(path, "array<variant>"), F.array().cast("array<variant>"))
+    read = bodies.select(F.col(key).alias("_key"), v.alias("_v"), keys.alias("_keys")).withColumns({"_items": listed("$.items"), "_named": F.transform(listed("$.outlets"), lambda x: F.try_variant_get(x, "$.outlet", "string"))})
+    times_of = lambda o: F.size(F.filter("_named", lambda x: x.eqNullSafe(F.lit(o))))
+    located = lambda x: F.coalesce(F.schema_of_variant(F.try_variant_get(x, "$.location", "variant")).startswith("OBJECT<"), F.lit(False))
+    whole = lambda path: (kind_of(path) == "BOOLEAN") & F.coalesce(at(path, "boolean"), F.lit(False))
+    single = F.array_compact(
+        F.array(
+            told(~string("$.schema").eqNullSafe(F.lit(SCHEMA)), "schema"),
+            told(~F.coalesce(string("$.snapshotId").rlike("^snap_[0-9a-f]{16}$"), F.lit(False)), "snapshotId"),
+            *(told(~F.coalesce(string(f"$.{k}").rlike(_UTC), F.lit(False)), k) for k in ("generatedAt", "dataAsOf")),
+            *(told(kind_of(f"$.{k}") != "BOOLEAN", k) for k in ("pinsWithheld", "worldNewsWithheld")),
+            *(F.when(times_of(o) != 1, F.concat(F.lit(f"outlet {o}: "), times_of(o).cast("string"), F.lit(" times"))) for o in OUTLETS),
+            told(F.size("_items") > MAX_ITEMS, "too many items"),
+            told(whole("$.pinsWithheld") & F.exists("_items", located), "pins withheld but sent"),
+            told(whole("$.worldNewsWithheld") & F.exists("_items", lambda x: ~located(x)), "world news withheld but sent"),
+        )
+    )
+    strange = F.transform(F.filter("_named", lambda x: ~F.coalesce(x.isin(*OUTLETS), F.lit(False))), lambda x: F.concat(F.lit("outlet "), F.coalesce(x, F.lit("None"))))
+    found = F.when(F.col("_keys").isNull(), F.array(F.lit("not an object"))).otherwise(F.concat(sorted_out(expected, F.coalesce("_keys", none), "missing"), sorted_out(F.coalesce("_keys", none), expected, "unknown"), single, strange))
+    return read.select(F.col("_key").alias(key), F.explode(found).alias("problem"))
+
+
 def body_problems(value: dict) -> list[str]:
     """Ways in which the frame of a body breaks a rule; its items are item_problems' business."""
     import re
 
-    expected = {"schema", "snapshotId", "generatedAt", "dataAsOf", "pinsWithheld", "worldNewsWithheld", "outlets", "items"}
+    expected = set(FRAME)
     found = [f"missing: {k}" for k in sorted(expected - value.keys())] + [f"unknown: {k}" for k in sorted(value.keys() - expected)]
     found += ["schema"] * (value.get("schema") != SCHEMA)
     found += ["snapshotId"] * (not re.fullmatch("snap_[0-9a-f]{16}", str(value.get("snapshotId"))))

@@ -206,7 +206,7 @@ def alg03_candidate_pairs(spark, sf):
     return K.candidate_pairs(s, s).select("story_id", "founder_id", F.round("km", 3).alias("km"), "shared", F.round("overlap", 4).alias("overlap"))
 
 
-@query("""
+_PLACED = """
 WITH RECURSIVE s AS MATERIALIZED (SELECT CAST(event_id AS VARCHAR) AS id, user_id, user_id % 25 AS country, floor(epoch(ts)) AS at, event_id % 50 = 0 AS live, 'person ' || CAST(floor(value) AS BIGINT) || ' ' || event_id % 40 AS entity, [event_type, 'bucket' || CAST(floor(value / 2) AS BIGINT), 'user' || user_id] AS t,
   CASE WHEN event_id % 2 = 0 THEN user_id % 140 - 70 + value / 50 END AS lat, CASE WHEN event_id % 2 = 0 THEN user_id * 7 % 360 - 180 + value / 40 END AS lon, row_number() OVER (ORDER BY epoch_us(ts), CAST(event_id AS VARCHAR)) AS k FROM events),
 p AS MATERIALIZED (SELECT a.k, b.k AS f, 2 * 6371.0088 * asin(sqrt(least(1, pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lon) - radians(a.lon)) / 2), 2)))) AS km, a.entity = b.entity AS shared,
@@ -215,7 +215,10 @@ c AS MATERIALIZED (SELECT s.k, s.id, f FROM s LEFT JOIN (SELECT k, list(f) AS f
 walk AS (SELECT CAST(0 AS BIGINT) AS k, (SELECT bitstring('0', CAST(count(*) + 1 AS INT)) FROM s) AS founders, CAST(NULL AS BIGINT) AS joined
  UNION ALL SELECT c.k, CASE WHEN coalesce(len(list_filter(c.f, lambda x: get_bit(w.founders, CAST(x AS INT)) = 1)), 0) = 0 THEN set_bit(w.founders, CAST(c.k AS INT), 1) ELSE w.founders END, list_min(list_filter(c.f, lambda x: get_bit(w.founders, CAST(x AS INT)) = 1)) FROM walk w JOIN c ON c.k = w.k + 1)
 SELECT s.id AS story_id, 'nf_' || substr(sha256(coalesce(f.user_id, s.user_id) || chr(10) || coalesce(f.id, s.id)), 1, 12) AS cluster_id, CASE WHEN f.id IS NULL THEN 'founder' ELSE 'same' END AS verdict, f.id AS compared_to FROM walk w JOIN s ON s.k = w.k LEFT JOIN s f ON f.k = w.joined
-""")
+"""
+
+
+@query(_PLACED)
 def alg03_online_cluster(spark, sf):
     """Every event placed in turn; the SQL walks them one by one and keeps the founders so far."""
     s = _stories(spark, sf)
@@ -223,6 +226,14 @@ def alg03_online_cluster(spark, sf):
     return K.place(s, K.candidate_pairs(s, s).withColumn("same", same))
 
 
+@query(_PLACED)
+def alg03_cluster_rounds(spark, sf):
+    """The same by rounds to the end, none of it in one task."""
+    s = _stories(spark, sf)
+    same = (F.coalesce(F.col("km"), F.lit(999.0)) <= 20) & (F.col("overlap") >= 0.2) | F.col("shared").isNotNull()
+    return K.place(s, K.candidate_pairs(s, s).withColumn("same", same), 0)
+
+
 @query("""
 WITH r AS (SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate NULLS LAST, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE))) AS rn FROM lineitem),
 g AS (SELECT l_orderkey, min(l_shipdate) AS f, max(l_shipdate) AS l, list(CAST(l_linenumber AS VARCHAR) ORDER BY rn) FILTER (rn <= 8 AND l_returnflag <> 'N') AS reports FROM r GROUP BY l_orderkey)

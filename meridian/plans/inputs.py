@@ -125,6 +125,27 @@ def src02_three_dialects(spark, sf):
     return feeds.feed_items(items.select("user_id", document.alias("xml")), "xml").select("user_id", "position", "title", "link", "guid", "published")
 
 
+@query("""
+WITH w AS (SELECT 'r' || r_regionkey AS name, r_regionkey * 10 AS position FROM region WHERE r_regionkey % 2 = 1 UNION ALL SELECT n_name, 100 - n_nationkey FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT 'nowhere', 5),
+g AS (SELECT 'r' || n_regionkey AS name, n_name AS source, n_nationkey AS position FROM nation),
+s AS (SELECT n_name AS source, c_mktsegment AS section, min(c_custkey) AS position FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL),
+o AS (SELECT coalesce(g.source, w.name) AS source, min((w.position, coalesce(g.position, 0))) AS at_ FROM w LEFT JOIN g ON g.name = w.name GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY at_, s.position, s.source, s.section) AS INT) AS n, s.source, s.section FROM o JOIN s ON s.source = o.source
+UNION ALL SELECT 0, source, 'unknown' FROM o WHERE source NOT IN (SELECT source FROM s)
+""")
+def src28_jobs_of_tables(spark, sf):
+    """Regions as groups of nations, and nations by name, wanted in an order; market segments as their sections."""
+    region, nation, customer = (table(spark, sf, t) for t in ("region", "nation", "customer"))
+    group = lambda c: F.concat(F.lit("r"), c)
+    wanted = region.filter("r_regionkey % 2 = 1").select(group("r_regionkey").alias("name"), (F.col("r_regionkey") * 10).cast("long").alias("position"))
+    wanted = wanted.unionByName(nation.filter("n_nationkey % 3 = 0").select(F.col("n_name").alias("name"), (100 - F.col("n_nationkey")).cast("long").alias("position")))
+    wanted = wanted.unionByName(region.filter("r_regionkey = 0").select(F.lit("nowhere").alias("name"), F.lit(5).cast("long").alias("position")))
+    groups = nation.select(group("n_regionkey").alias("name"), F.col("n_name").alias("source"), F.col("n_nationkey").cast("long").alias("position"))
+    sections = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("source"), F.col("c_mktsegment").alias("section")).agg(F.min("c_custkey").alias("position"))
+    rows, unknown = feeds.jobs(wanted, sections, groups)
+    return rows.unionByName(unknown.select(F.lit(0).alias("n"), F.col("name").alias("source"), F.lit("unknown").alias("section")))
+
+
 @query("""
 SELECT 'job' AS part, source || '/' || section AS k, CAST(n AS BIGINT) AS n FROM (SELECT * FROM (VALUES ('a', 'x', 1), ('a', 'y', 2), ('b', 'x', 3), ('c', 'z', 4)) t(source, section, n))
 UNION ALL SELECT 'feeds', '', 70
@@ -376,6 +397,31 @@ def src15_broken_pages(spark, sf):
 # ---- files ---------------------------------------------------------------------------------------------------
 
 
+@query("SELECT p_partkey * 2 AS geonames_id, 'part ' || p_partkey AS folded FROM part WHERE p_partkey % 3 <> 0")
+def src22_archives(spark, sf):
+    """Zip archives of 500 parts each, with two files of which one is read, side by side."""
+    import io
+    import zipfile
+
+    @F.pandas_udf("binary")
+    def zipped(texts):
+        def one(text):
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("readme.txt", "no\tnames\there")
+                archive.writestr("names.txt", text)
+            return out.getvalue()
+
+        return texts.map(one)
+
+    n = F.col("p_partkey")
+    line = F.concat_ws("\t", n, n * 2, F.when(n % 3 == 0, F.lit("link")).otherwise(F.lit("en")), F.concat(F.lit("Part "), n))
+    lines = table(spark, sf, "part").select(F.expr("p_partkey div 500").alias("k"), line.alias("line"))
+    archives = lines.groupBy("k").agg(zipped(F.array_join(F.collect_list("line"), "\n")).alias("content"))
+    f = F.split("value", "\t")
+    return files.archive_lines(archives, "names.txt").filter(F.get(f, F.lit(2)) == "en").select(F.get(f, F.lit(1)).cast("long").alias("geonames_id"), T.fold(F.get(f, F.lit(3))).alias("folded"))
+
+
 @query(r"""
 SELECT c_custkey AS geonames_id, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'ascii' END AS ascii_name, CAST(c_custkey % 180 - 90.5 AS DOUBLE) AS latitude, split_part('A,P,S', ',', CAST(1 + c_custkey % 5 AS INT)) AS feature_class, 'C' || c_nationkey AS country, CASE WHEN c_custkey % 3 = 0 THEN 'A1' END AS admin1, CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_custkey * 10 END AS population
 FROM customer WHERE c_custkey % 5 < 3 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meridian import schemas
-from meridian.functions import geo, times
+from meridian.functions import geo, hashing, times
 from meridian.functions.text import STOP_WORDS
 from meridian.operators import checks as C
 from meridian.operators import cluster as K
@@ -585,6 +585,54 @@ def val05_names_rule(spark, sf):
     return table(spark, sf, "orders").select(n).distinct().withColumn("old", F.get(F.array(*map(F.lit, told)), F.col("n").cast("int")))
 
 
+@query("""
+SELECT o_custkey AS build, coalesce(max(CASE WHEN o_orderstatus <> 'F' THEN TRY_CAST(CASE o_orderkey % 3 WHEN 0 THEN '2' WHEN 1 THEN 'x' ELSE '1' END AS INT) END), 1) AS rule,
+  coalesce(max(CASE WHEN o_orderstatus <> 'F' THEN TRY_CAST(CASE o_orderkey % 3 WHEN 0 THEN '2' WHEN 1 THEN 'x' ELSE '1' END AS INT) END), 1) < 2 AS is_old FROM orders GROUP BY o_custkey
+""")
+def val05_names_rules(spark, sf):
+    """Builds by customer: with this code's rule, an older one, one that is no number, and without any."""
+    o = table(spark, sf, "orders")
+    key = F.when(F.col("o_orderstatus") != "F", F.lit("names_rule")).otherwise(F.lit("built_at"))
+    return G.names_rules(o.select(F.col("o_custkey").alias("build"), key.alias("key"), F.get(F.array(F.lit("2"), F.lit("x"), F.lit("1")), (F.col("o_orderkey") % 3).cast("int")).alias("value")))
+
+
+@query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_custkey * 50 ELSE greatest(o_custkey * 50, 20000) END AS BIGINT) AS most FROM orders")
+def top09_run_limits(spark, sf):
+    o = table(spark, sf, "orders")
+    cursor = F.when(o.o_orderkey % 3 == 0, F.lit("c")).when(o.o_orderkey % 3 == 1, F.lit(""))
+    return o.select("o_orderkey", X.run_limits(cursor, (o.o_custkey * 50).cast("long")).alias("most"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN TRUE WHEN 1 THEN FALSE WHEN 2 THEN o_custkey % 600 <= 300 ELSE FALSE END AS good FROM orders")
+def hsh05_verified_rows(spark, sf):
+    """Signatures of orders' bodies that are right and fresh, forged, of several ages, of another body, and missing."""
+    o = table(spark, sf, "orders")
+    text = lambda n: F.concat_ws("\n", F.lit("relay"), F.lit("1000"), F.sha2((o.o_orderkey + n).cast("string"), 256))
+    k = o.o_orderkey % 5
+    given = F.when(k.isin(0, 2), hashing.signature("s", text(0))).when(k == 1, hashing.signature("t", text(0))).when(k == 3, hashing.signature("s", text(1)))
+    age = F.when(k == 2, o.o_custkey % 600).otherwise(F.lit(10))
+    return o.select("o_orderkey", hashing.is_verified("s", text(0), given, F.lit(1000), F.lit(1000) + age).alias("good"))
+
+
+@query("""
+SELECT o_orderkey AS id, unnest(CASE o_orderkey % 8 WHEN 1 THEN ['missing: items', 'snapshotId', 'pinsWithheld'] || [] WHEN 2 THEN ['unknown: extra'] WHEN 3 THEN ['outlet bbc: 2 times', 'outlet pbs: 0 times', 'outlet zz'] WHEN 4 THEN ['pins withheld but sent']
+  WHEN 5 THEN ['not an object'] WHEN 6 THEN ['schema', 'generatedAt', 'world news withheld but sent'] WHEN 7 THEN ['not an object'] ELSE [] END) AS problem FROM orders
+""")
+def set05_frame_problems(spark, sf):
+    """A body for each order: whole, without a key, with one too many, with other outlets, belied by its items, no object, no JSON."""
+    import json
+
+    outlets = [{"outlet": x} for x in S.OUTLETS]
+    whole = {"schema": S.SCHEMA, "snapshotId": "snap_" + "0" * 16, "generatedAt": "2024-01-01T00:00:00Z", "dataAsOf": "2024-01-01T00:00:00Z", "pinsWithheld": False, "worldNewsWithheld": False, "outlets": outlets, "items": []}
+    bodies = [
+        whole, {k: v for k, v in whole.items() if k != "items"} | {"snapshotId": "x", "pinsWithheld": "no"}, whole | {"extra": None}, whole | {"outlets": [{"outlet": x} for x in ["reuters", "bbc", "bbc", "guardian", "nyt", "zz"]]},
+        whole | {"pinsWithheld": True, "items": [{"id": 1}, {"location": {"lat": 1.0}}]}, [whole], whole | {"schema": 1, "generatedAt": "today", "worldNewsWithheld": True, "items": [{"location": None}]},
+    ]
+    texts = F.array(*(F.lit(json.dumps(b)) for b in bodies), F.lit("{"))
+    o = table(spark, sf, "orders")
+    return S.frame_problems(o.select(F.col("o_orderkey").alias("id"), F.get(texts, (o.o_orderkey % 8).cast("int")).alias("body")), "id", "body")
+
+
 # ---- the gazetteer -------------------------------------------------------------------------------------------
 
 _NAMES = """
@@ -613,6 +661,18 @@ def jn11_gazetteer_candidates(spark, sf):
     return found.select("query_id", F.col("place.geonames_id").alias("geonames_id"), F.col("place.precision").alias("precision"), F.coalesce("place.pinnable", F.lit(False)).alias("pinnable"))
 
 
+@query(over_store(f"""
+SELECT k.geonames_id, h.geonames_id AS container_id FROM kept k JOIN kept h ON h.country = k.country AND h.geonames_id % 7 IN (0, 3, 5)
+WHERE CASE WHEN coalesce(h.prec = 'country', FALSE) THEN TRUE WHEN h.feature_code = 'ADM1' AND h.admin1 IS NOT NULL AND k.admin1 IS NOT NULL THEN k.admin1 = h.admin1
+  WHEN h.feature_code = 'ADM2' AND h.admin2 IS NOT NULL AND k.admin2 IS NOT NULL AND k.admin1 IS NOT NULL THEN k.admin2 = h.admin2 AND k.admin1 IS NOT DISTINCT FROM h.admin1
+  ELSE {km("k", "h")} <= CASE WHEN h.prec = 'region' THEN 150 ELSE 30 END END
+""", "places", "alternates", more=_GAZETTEER))
+def jn17_contained(spark, sf):
+    """Every place and each of three sevenths of the places as a container, met by country, code or grid square."""
+    places = G.with_precision(store(spark, sf, "places")[0])
+    return G.contained(places, places.filter("geonames_id % 7 IN (0, 3, 5)"))
+
+
 @query(over_store("SELECT r.story_id, r.geonames_id, p.name, p.prec AS \"precision\", p.population FROM resolutions r LEFT JOIN kept p USING (geonames_id)", "places", "alternates", "resolutions", more=_GAZETTEER))
 def jn15_looked_up(spark, sf):
     found, places = store(spark, sf, "resolutions", "places")
@@ -771,7 +831,7 @@ def set05_body_problems(spark, sf):
 @query("SELECT r_regionkey, r_regionkey < 3 AS good FROM region")
 def hsh05_verified(spark, sf):
     """Signatures that are right and fresh, that are forged, and that are too old."""
-    from meridian.functions import hashing
+
 
     text = hashing.signing_text("relay", 1_000, b"body")
     good = hashing.sign("s", text)

@@ -21,21 +21,26 @@ CODES_NOT_NAMES = ["post", "iata", "icao", "faac", "abbr", "wkdt", "unlc"]
 
 
 def zip_lines(spark: SparkSession, path: str, member: str) -> DataFrame:
-    """value: the lines of one file in each zip archive at path, unpacked as a stream in the task that has read the archive.
+    """value: the lines of one file in each zip archive at path; archives side by side."""
+    return archive_lines(spark.read.format("binaryFile").load(path), member)
 
-    An archive can't be split, so it is one task's work, and 2 GB at most; its lines are dealt out anew after it.
+
+def archive_lines(archives: DataFrame, member: str) -> DataFrame:
+    """value: the lines of one file in each zip archive of archives(content, ...), unpacked as a stream in the task that has read it.
+
+    An archive can't be split, so it is one task's work, and 2 GB at most; its lines are dealt out anew after it. What is no
+    archive, or has no such file, is an error: a gazetteer isn't built from half a dump.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column("content"):
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive, archive.open(member) as raw:
-                    lines = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n")
-                    while part := list(itertools.islice(lines, 10_000)):
-                        yield pa.RecordBatch.from_arrays([pa.array([x.removesuffix("\n") for x in part], pa.string())], ["value"])
-
-    found = spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "value string")
-    return found.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        for content in (c for batch in batches for c in batch.column("content") if c.is_valid):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive, archive.open(member) as raw:
+                lines = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="\n")
+                while part := list(itertools.islice(lines, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array([x.removesuffix("\n") for x in part], pa.string())], ["value"])
+
+    found = archives.select("content").mapInArrow(run, "value string")
+    return found.repartition(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _fields(spark: SparkSession, path: str, least: int) -> DataFrame:
