@@ -30,6 +30,8 @@ SLICE_BYTES = 1 << 20
 MOST_SAMPLE = 4000
 #: What a switch of language costs, in natural-log units of word scores.
 SWITCH = 12.0
+#: How far below the worst candidate a language is that is none for a word: more than two switches cost.
+FAR = 100.0
 UNKNOWN = "und"
 
 #: First code point, code point after the last, script.
@@ -110,14 +112,6 @@ def words_of(texts: list[str]) -> Words:
     return Words(first, after - first, scripts[first], np.searchsorted(begins, first, side="right") - 1, hashes)
 
 
-def gathered(words: Words, per_letter: np.ndarray) -> np.ndarray:
-    """Sum of per_letter[hash] over the letters of each word."""
-    if not len(words.first):
-        return np.zeros(0, dtype=np.float32)
-    inside = np.repeat(words.first - np.concatenate(([0], np.cumsum(words.size)[:-1])), words.size) + np.arange(words.size.sum())
-    return np.add.reduceat(per_letter[words.hashes[inside]], np.concatenate(([0], np.cumsum(words.size)[:-1])))
-
-
 @dataclass
 class Model:
     langs: list[str]
@@ -127,11 +121,22 @@ class Model:
     seen: np.ndarray
 
     def scores(self, words: Words) -> np.ndarray:
-        """Score of each word in each language; far below all others for a language that is no candidate."""
-        out = np.stack([gathered(words, row) for row in self.table], axis=1)
-        able = self.seen[words.script]
-        able |= ~able.any(axis=1, keepdims=True)  # a script that no language has tells nothing
-        return np.where(able, out, out.min(axis=1, keepdims=True) - 20)
+        """Score of each word in each language that was seen in its script, and FAR below these in all others.
+
+        Words of one script are scored together, in its candidates only; in a script that no language has, all are.
+        """
+        out = np.empty((len(words.script), len(self.langs)), dtype=np.float32)
+        for script in np.unique(words.script).tolist():
+            at = np.flatnonzero(words.script == script)
+            able = np.flatnonzero(self.seen[script]) if self.seen[script].any() else np.arange(len(self.langs))
+            first, size = words.first[at], words.size[at]
+            starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+            grams = words.hashes[np.repeat(first - starts, size) + np.arange(size.sum())]
+            told = np.stack([np.add.reduceat(self.table[k][grams], starts) for k in able], axis=1)
+            mine = np.repeat(told.min(axis=1, keepdims=True) - FAR, len(self.langs), axis=1)
+            mine[:, able] = told
+            out[at] = mine
+        return out
 
 
 def fit(docs: DataFrame, most: int = MOST_SAMPLE) -> Model:

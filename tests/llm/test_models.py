@@ -180,3 +180,82 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.scored(no_docs(spark), model).count() == 0
     nothing = toxicity.fit(no_docs(spark), spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.predicted for r in toxicity.scored(odd_docs(spark), nothing).collect()} == {0}
+
+
+def letters_of(text):
+    """Runs of letters of a lower-cased text, each with its places."""
+    import unicodedata
+
+    text, runs = text.lower(), []
+    letter = [unicodedata.category(c)[0] == "L" if ord(c) > 0xFFFF else c.isalpha() for c in text]
+    for i, is_letter in enumerate(letter):
+        if is_letter:
+            if i and letter[i - 1]:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+    return text, letter, runs
+
+
+def gram(text, letter, i):
+    at = lambda k: ord(text[k]) if 0 <= k < len(text) and letter[k] else 0x20
+    mixed = (at(i - 1) * 0x9E3779B1 & 0xFFFFFFFF) ^ (at(i) * 0x85EBCA77 & 0xFFFFFFFF) ^ (at(i + 1) * 0xC2B2AE3D & 0xFFFFFFFF)
+    mixed ^= mixed >> 15
+    return (mixed * 0x27D4EB2F & 0xFFFFFFFF) >> 32 - langid.BUCKETS.bit_length() + 1
+
+
+def script_of(c):
+    return next((name for first, after, name in langid.SCRIPT_RANGES if first <= ord(c) < after), "Other")
+
+
+def by_plain_loops(learn, ask):
+    """(lang, score) of each text of ask, from (text, lang) pairs to learn from: counts, candidates by script and a best path, one word at a time."""
+    grams, scripts = {}, {}
+    for text, lang in learn:
+        lowered, letter, runs = letters_of(text or "")
+        for run in runs:
+            for i in run:
+                g = grams.setdefault(lang, {})
+                g[gram(lowered, letter, i)] = g.get(gram(lowered, letter, i), 0) + 1
+            s = scripts.setdefault(lang, {})
+            s[script_of(lowered[run[0]])] = s.get(script_of(lowered[run[0]]), 0) + len(run)
+    langs = sorted(grams)
+    total = {x: sum(grams[x].values()) + 0.05 * langid.BUCKETS for x in langs}
+    seen = {x: {k for k, n in scripts[x].items() if n > 0.001 * sum(scripts[x].values())} for x in langs}
+    out = []
+    for text in ask:
+        lowered, letter, runs = letters_of(text or "")
+        if not runs:
+            out.append((langid.UNKNOWN, 0.0))
+            continue
+        paths = None
+        for run in runs:
+            hashes = [gram(lowered, letter, i) for i in run]
+            able = [x for x in langs if script_of(lowered[run[0]]) in seen[x]] or langs
+            score = {x: sum(np.log((grams[x].get(h, 0) + 0.05) / total[x]) for h in hashes) for x in able}
+            low = min(score.values()) - langid.FAR
+            if paths is None:
+                paths = {x: (score.get(x, low), {x: len(run)}) for x in langs}
+                continue
+            best = max(langs, key=lambda x: paths[x][0])
+            new = {}
+            for x in langs:
+                value, counts = paths[x] if paths[best][0] - langid.SWITCH <= paths[x][0] else (paths[best][0] - langid.SWITCH, paths[best][1])
+                new[x] = (value + score.get(x, low), counts | {x: counts.get(x, 0) + len(run)})
+            paths = new
+        counts = max(paths.values(), key=lambda p: p[0])[1]
+        first = max(langs, key=lambda x: counts.get(x, 0))
+        out.append((first, counts.get(first, 0) / sum(counts.values())))
+    return out
+
+
+def test_languages_against_plain_loops(spark):
+    """The query's model and labels, on part of the table and on mixed texts, against loops over words."""
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect() if r.text and len(r.text) < 3000][:110]
+    docs += [(9001, "Это русский текст о погоде и людях. " * 9, "ru"), (9002, "Ένα κείμενο για τον καιρό. " * 9, "el"), (9003, docs[0][1] + " Это текст о людях и погоде сегодня. " * 3 + docs[1][1], None), (9004, "漢字 12 ?", None), (9005, None, None), (9006, "Привет", None)]
+    learn = [(t, x) for i, t, x in docs if x is not None and i % 3 != 2]
+    model = langid.fit(spark.createDataFrame([(i, t, x) for i, t, x in docs if x is not None and i % 3 != 2], "doc_id long, text string, lang string"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.label(spark.createDataFrame([(i, t) for i, t, _ in docs], "doc_id long, text string"), model).collect()}
+    want = by_plain_loops(learn, [t for _, t, _ in docs])
+    assert [got[i][0] for i, _, _ in docs] == [w[0] for w in want]
+    assert max(abs(got[i][1] - w[1]) for (i, _, _), w in zip(docs, want)) < 0.02
