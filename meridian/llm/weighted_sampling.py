@@ -1,6 +1,7 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a bag of weighted terms: its words, each with its count times its length. For every term and sample,
+A text is a bag of weighted terms: its words, each with its count times its length; where a script has no blanks between
+words, and in words of more than LONGEST_WORD characters, the overlapping pieces of a few characters. For every term and sample,
 r and c are drawn from Gamma(2, 1) and b from U(0, 1), by a hash of both alone. With t = floor(ln(weight) / r + b) and
 ln(a) = ln(c) - r * (t - b + 1), the sample is the (term, t) of least a; two texts have the same sample with a
 probability equal to the generalised Jaccard similarity, sum of min / sum of max, of their weights.
@@ -9,6 +10,7 @@ probability equal to the generalised Jaccard similarity, sum of min / sum of max
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -30,9 +32,30 @@ MOST_TERMS = 1 << 15
 GROUP_TERMS = 1 << 17
 
 
+#: Scripts that are written without blanks between words (Thai to Myanmar, Khmer, and from the CJK radicals on).
+_DENSE = re.compile("([\u0e00-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]+)")
+#: Longer words are taken in pieces too, as an edit within would change them as a whole.
+LONGEST_WORD = 64
+#: Characters of a piece, of a dense script and of a long word.
+DENSE_PIECE, LONG_PIECE = 2, 8
+
+
+def _pieces(run: str, size: int) -> list[str]:
+    return [run[i : i + size] for i in range(max(1, len(run) - size + 1))]
+
+
 def terms_of(text: str) -> dict[str, int]:
-    """Weight of each word of the lower-cased text."""
-    return {w: n * len(w) for w, n in Counter(text.lower().split()).items()}
+    """Weight of each term of the lower-cased text."""
+    words = Counter(text.lower().split())
+    dense = not text.isascii() and _DENSE.search(text) is not None
+    split = [w for w in words if len(w) > LONGEST_WORD or dense and _DENSE.search(w)] if dense or max(map(len, words), default=0) > LONGEST_WORD else []
+    for w in split:
+        n = words.pop(w)
+        for i, part in enumerate(_DENSE.split(w)):
+            if part:
+                for piece in _pieces(part, DENSE_PIECE) if i % 2 else _pieces(part, LONG_PIECE) if len(part) > LONGEST_WORD else [part]:
+                    words[piece] += n
+    return {w: n * len(w) for w, n in words.items()}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

@@ -88,3 +88,50 @@ print(peak() - before)
     root = str(pathlib.Path(__file__).parents[2])
     out = subprocess.run([sys.executable, "-c", code, root], capture_output=True, text=True, check=True)
     assert int(out.stdout) < 500
+
+
+def one_by_one(text, samples):
+    """The samples of a text, term by term, with the least ln(a) so far kept for each."""
+    best = [(np.float32(np.inf), 0)] * samples
+    for term, weight in ws.terms_of(text).items():
+        key = int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "little")
+        r, log_c, b = (x[0] for x in ws.draws(np.array([key], np.uint64), samples))
+        ln = np.log(np.float32(weight))
+        for i in range(samples):
+            t = np.floor(np.float32(ln / r[i]) + b[i])
+            log_a = log_c[i] - r[i] * np.float32(t - b[i] + 1)
+            if log_a < best[i][0]:
+                mixed = ws._mixed(np.array([key], np.uint64) ^ ws._mixed(np.array([int(t)], np.int64).view(np.uint64)))
+                best[i] = (log_a, int(mixed[0] >> np.uint64(48)))
+    return [x for _, x in best]
+
+
+def test_signatures_are_those_of_terms_one_by_one():
+    texts = [*sample_texts(12), "漢字かな交じり文です。今日は", "x" * 300]
+    got = ws.signatures(texts, 16)
+    for text, row in zip(texts, got):
+        assert one_by_one(text, 16) == row.tolist()
+
+
+def dense(n, seed, first=0x4E00):
+    rng = np.random.default_rng(seed)
+    return "".join(chr(first + int(c)) for c in rng.zipf(1.3, n) % 900)
+
+
+def test_scripts_without_blanks():
+    """A text with its last quarter replaced stays near, one with other characters in it doesn't become so, whatever the script."""
+    for first in (0x4E00, 0x0E01, 0x3042, 0x20000):
+        texts = [dense(460, k, first) for k in range(30)]
+        changed = [ws.edited(a, b) for a, b in zip(texts, texts[1:])]
+        a, b = ws.signatures(texts), ws.signatures(changed)
+        near, far = ws.likeness(a[:-1], b), ws.likeness(a[:-1], a[1:])
+        assert near.min() > 0.4 and near.mean() > 0.55 and far.max() < 0.45 and near.mean() > far.mean() + 0.25
+        want = np.array([jaccard(x, y) for x, y in zip(texts, changed)])
+        assert np.abs(near - want).max() < 0.3 and abs((near - want).mean()) < 0.05
+
+
+def test_terms():
+    assert ws.terms_of("A b b") == {"a": 1, "b": 2} and ws.terms_of("") == {}
+    assert ws.terms_of("漢字漢字 x") == {"漢字": 4, "字漢": 2, "x": 1} and ws.terms_of("ab漢cd漢字") == {"ab": 2, "漢": 1, "cd": 2, "漢字": 2}
+    assert ws.terms_of("ab" * 40) == {"abababab": 37 * 8, "babababa": 36 * 8} and set(ws.terms_of("y" * 64)) == {"y" * 64}
+    assert ws.terms_of("漢字です 漢字です") == {"漢字": 4, "字で": 4, "です": 4}
