@@ -159,10 +159,11 @@ def merge_runs(runs: list[tuple[list[int], list[int]]]) -> Iterator[tuple[int, i
     """(run, place in it, length shared with the suffix before) of all suffixes of sorted runs, in order.
 
     A loser tree. shared[r] is what the head of run r shares with the suffix that went out last; when a head meets
-    the loser at a node, the one that shares more comes first, unread. Only if both share the same are the rest
-    of the strings compared, and the loser then keeps the length that it shares with the winner.
+    the loser at a node, the one that shares more comes first, unread. Only if both share the same are the rests
+    of the strings, without what they share, compared, and the loser then keeps the length that it shares with the winner.
     """
     k = len(runs)
+    rests = [(1 << 8 * (DEPTH - n)) - 1 for n in range(DEPTH + 1)]
     width = 1 << max(0, (k - 1).bit_length())
     last_key = 1 << (8 * DEPTH)
     keys = [r[0] for r in runs] + [[]] * (width - k)
@@ -202,11 +203,11 @@ def merge_runs(runs: list[tuple[list[int], list[int]]]) -> Iterator[tuple[int, i
                 losers[node], now, common = now, other, theirs
                 key = head[now]
             elif theirs == common >= 0:
-                rest = head[other]
-                length = DEPTH - ((key ^ rest).bit_length() + 7) // 8
-                if rest < key:
+                mine, rest = key & rests[common], head[other] & rests[common]
+                length = DEPTH - ((mine ^ rest).bit_length() + 7) // 8
+                if rest < mine:
                     shared[now] = length
-                    losers[node], now, key = now, other, rest
+                    losers[node], now, key = now, other, head[other]
                 else:
                     shared[other] = length
             node >>= 1
