@@ -6,7 +6,8 @@ import hashlib
 import hmac
 import json
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.text import col, normalise
@@ -70,6 +71,37 @@ class ConfigHashes:
         return digest({"stage": stage, "settings": self.settings.get(stage, {}), "on": [self.of(s) for s in self.DEPENDS[stage]]}, 16)
 
 
+def canonical(c) -> Column:
+    """canonical_json() of JSON text; null for what is none."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(text):
+            try:
+                return canonical_json(json.loads(text))
+            except (ValueError, TypeError, RecursionError):
+                return None
+
+        return texts.map(one)
+
+    return run(col(c))
+
+
+def config_hashes(configs: DataFrame, settings: dict[str, str]) -> DataFrame:
+    """configs with a column <stage>_hash for each stage: ConfigHashes.of() of each row.
+
+    settings names, by stage, the column that holds the stage's settings as JSON text; a stage without one, a null, and what is no JSON
+    count as empty settings.
+    """
+    read = configs.withColumns({f"_{stage}": F.coalesce(canonical(c), F.lit("{}")) for stage, c in settings.items()})
+    for stage, on in ConfigHashes.DEPENDS.items():
+        below = F.concat_ws(",", *(F.concat(F.lit('"'), F.col(f"{s}_hash"), F.lit('"')) for s in on))
+        own = F.col(f"_{stage}") if stage in settings else F.lit("{}")
+        text = F.concat(F.lit('{"on":['), below, F.lit('],"settings":'), own, F.lit(f',"stage":"{stage}"}}'))
+        read = read.withColumn(f"{stage}_hash", F.substring(F.sha2(text, 256), 1, 16))
+    return read.drop(*(f"_{stage}" for stage in settings))
+
+
 def signing_text(prefix: str, timestamp_ms: int, body: bytes) -> str:
     return "\n".join([prefix, str(timestamp_ms), hashlib.sha256(body).hexdigest()])
 

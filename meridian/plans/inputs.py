@@ -533,6 +533,22 @@ def hsh02_config_hashes(spark, sf):
     return spark.createDataFrame(rows, "r_regionkey int, " + ", ".join(f"{s} string" for s in stages))
 
 
+@query("""
+WITH a AS (SELECT o_orderkey, substr(sha256('{"on":[],"settings":' || CASE o_orderkey % 4 WHEN 0 THEN '{}' WHEN 1 THEN '{}' ELSE '{"a":[1,2],"m":"' || o_orderpriority || '"}' END || ',"stage":"extract"}'), 1, 16) AS extract, o_custkey % 9 AS k FROM orders),
+b AS (SELECT *, substr(sha256('{"on":["' || extract || '"],"settings":{},"stage":"resolve"}'), 1, 16) AS resolve FROM a),
+c AS (SELECT *, substr(sha256('{"on":["' || extract || '","' || resolve || '"],"settings":{"k":' || k || '},"stage":"cluster"}'), 1, 16) AS cluster, substr(sha256('{"on":["' || extract || '","' || resolve || '"],"settings":{},"stage":"verify"}'), 1, 16) AS verify FROM b)
+SELECT o_orderkey, extract, resolve, cluster, verify, substr(sha256('{"on":["' || extract || '","' || resolve || '","' || verify || '"],"settings":{},"stage":"placement"}'), 1, 16) AS placement FROM c
+""")
+def hsh02_config_rows(spark, sf):
+    """The settings of each order as JSON text of any form, some of it null or broken, and the hashes of all stages."""
+    o = table(spark, sf, "orders")
+    k = o.o_orderkey % 4
+    extract = F.when(k == 1, F.lit("{broken")).when(k > 1, F.concat(F.lit('{ "m":"'), "o_orderpriority", F.lit('" , "a": [1, 2]}')))
+    rows = o.select("o_orderkey", extract.alias("e"), F.concat(F.lit('{"k" : '), o.o_custkey % 9, F.lit("}")).alias("c"))
+    found = hashing.config_hashes(rows, {"extract": "e", "cluster": "c"})
+    return found.select("o_orderkey", *(F.col(f"{s}_hash").alias(s) for s in hashing.ConfigHashes.DEPENDS))
+
+
 _KEY = b"a secret".ljust(64, b"\0")
 
 

@@ -116,3 +116,12 @@ def test_archives_side_by_side(spark, tmp_path):
     with pytest.raises(Exception, match="in.txt"):
         files.archive_lines(spark.createDataFrame([(bytearray(out.getvalue()),)], "content binary"), "in.txt").count()
     assert files.archive_lines(spark.createDataFrame([(None,)], "content binary"), "in.txt").count() == 0
+
+
+def test_hashes_of_settings(spark):
+    rows = [(0, '{"b": 1, "a": {"y": "é", "x": [1.5, null]}}', '{"k":2}'), (1, None, ""), (2, "{", "[]"), (3, " {} ", '{"k": 2 }')]
+    found = hashing.config_hashes(spark.createDataFrame(rows, "i int, e string, v string"), {"extract": "e", "verify": "v"}).orderBy("i").collect()
+    read = lambda x: json.loads(x) if x and x != "{" else {}
+    for r, (_, e, v) in zip(found, rows, strict=True):
+        want = hashing.ConfigHashes({"extract": read(e), "verify": read(v)})
+        assert {s: r[f"{s}_hash"] for s in hashing.ConfigHashes.DEPENDS} == {s: want.of(s) for s in hashing.ConfigHashes.DEPENDS}
