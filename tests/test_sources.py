@@ -224,3 +224,19 @@ def test_items_have_their_place_in_the_document(spark):
     assert got == {0: {0: "One", 1: "Two", 2: "Three"}, 1: {0: "Four"}, 2: {0: "Five"}, 7: {i: f"t{i}" for i in range(300)}}
     plan = feeds.feed_items(df, "xml")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 1
+
+
+def test_credits_within_media(spark):
+    """The item's own words first, else those of an element without an address, of a group, or of an element in a group."""
+    item = lambda inner: f"<item><title>t</title>{inner}</item>"
+    items = [
+        "<media:credit>own</media:credit><media:content url='u'><media:credit>in</media:credit></media:content>",
+        "<media:content><media:credit> in </media:credit></media:content>",
+        "<media:group><media:content url='g'/><media:credit>group</media:credit><media:description>told</media:description></media:group>",
+        "<media:group><media:content url='g'><media:credit>deep</media:credit></media:content></media:group><media:thumbnail url='th'/>",
+        "<media:content url=''><media:credit> </media:credit></media:content>",
+    ]
+    doc = "<rss xmlns:media='m'><channel>" + "".join(map(item, items)) + "</channel></rss>"
+    got = feeds.feed_items(spark.createDataFrame([(doc,)], "x string"), "x").orderBy("position").collect()
+    assert [r.media_credit for r in got] == ["own", "in", "group", "deep", None] and [r.media_description for r in got] == [None, None, "told", None, None]
+    assert [[m.url for m in r.media] for r in got] == [["u"], [], [], ["th"], []]
