@@ -54,42 +54,56 @@ def rare_tokens(stories: DataFrame, every: DataFrame) -> DataFrame:
     """
     each = lambda df: df.select("story_id", F.explode("tokens").alias("w"))
     freq = each(every).groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    sets = each(stories).join(freq, "w").groupBy("story_id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("t"))
+    sets = each(stories).join(freq.hint("merge"), "w").groupBy("story_id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("t"))
     first = F.size("t") - T.at_least("t", OVERLAP) + 1
     return sets.select("story_id", F.transform(F.slice("t", F.lit(1), first), lambda x: x["w"]).alias("rare"))
 
 
-def candidate_pairs(stories: DataFrame, founders: DataFrame) -> DataFrame:
-    """(story_id, founder_id, km, shared, overlap) of pairs that may be one event.
+def _met(stories: DataFrame, founders: DataFrame) -> DataFrame:
+    """candidate_pairs() with s_published and f_published.
 
-    Same country, at most WINDOW_HOURS apart, neither a live page, and near in place, with an entity in common, or alike in
-    their headlines. Each of the three reasons is an equi-join on country, a window of time and a cell, an entity or a
-    token, so no pair is looked at that has no reason; two headlines that overlap share a token.
+    Rows carry what is compared into each join, so a pair is judged where it meets and only what passes goes on; of several
+    reasons that a pair meets by, the first one in the order place, entity, token gives it. Joins sort and merge: tables
+    of stories grow with the input, and compressed they look small enough to be broadcast long after they are.
     """
     ok = (~F.col("is_live")) & (F.coalesce("country", F.lit("")) != "") & F.col("published").isNotNull()
     left = facts(stories).filter(ok)
     right = facts(founders).filter(ok)
-    base = ["story_id", "country"]
+    every = left.unionByName(right, allowMissingColumns=True)
+    cols = ["published", "latitude", "longitude", "keys", "tokens", "rare"]
 
-    def branch(value: Callable[[bool], Column]) -> DataFrame:
+    def side(df: DataFrame, name: str, prefix: str) -> DataFrame:
+        rows = df.join(rare_tokens(df, every).hint("merge"), "story_id", "left")
+        return rows.select(F.col("story_id").alias(name), "country", *(F.col(c).alias(f"{prefix}_{c}") for c in cols))
+
+    left, right = side(left, "story_id", "s"), side(right, "founder_id", "f")
+    near = F.coalesce(geo.distance_km("s_latitude", "s_longitude", "f_latitude", "f_longitude") <= RADIUS_KM, F.lit(False))
+    shared = F.get(F.array_sort(F.array_intersect("s_keys", "f_keys")), F.lit(0))
+    overlap = T.jaccard("s_tokens", "f_tokens")
+
+    def branch(value: Callable[[str, bool], Column], reason: Column) -> DataFrame:
         # one side is put into the neighbouring windows of time and cells, the other into its own; no story has a value twice
-        a = left.select(*base, "published", value(True).alias("v")).select(*base, "v", _days("published", 1).alias("d"))
-        b = right.select(F.col("story_id").alias("founder_id"), "country", _days("published", 0).alias("d"), "published", value(False).alias("v")).drop("published")
-        return a.join(b, ["country", "d", "v"]).select("story_id", "founder_id")
-
-    tokens = [rare_tokens(side, left.unionByName(right, allowMissingColumns=True)) for side in (left, right)]
-    left = left.join(tokens[0], "story_id", "left")
-    right = right.join(tokens[1], "story_id", "left")
-    pairs = branch(lambda around: _cells("latitude", "longitude", around)).unionByName(branch(lambda _: F.explode("keys"))).unionByName(branch(lambda _: F.explode("rare"))).distinct()
-    cols = ["published", "latitude", "longitude", "keys", "tokens", "outlet", "primary_alias"]
-    own = left.select("story_id", *(F.col(c).alias(f"s_{c}") for c in cols))
-    other = right.select(F.col("story_id").alias("founder_id"), *(F.col(c).alias(f"f_{c}") for c in cols))
-    j = pairs.filter("story_id <> founder_id").join(own, "story_id").join(other, "founder_id")
+        a = left.withColumn("v", value("s", True)).withColumn("d", _days("s_published", 1))
+        b = right.withColumn("v", value("f", False)).withColumn("d", _days("f_published", 0))
+        met = a.join(b.hint("merge"), ["country", "d", "v"]).filter("story_id <> founder_id").filter(times.within_hours("s_published", "f_published", WINDOW_HOURS))
+        return met.filter(reason).drop("country", "d", "v")
+
+    places = branch(lambda side, around: _cells(f"{side}_latitude", f"{side}_longitude", around), near)
+    entities = branch(lambda side, _: F.explode(f"{side}_keys"), (F.col("v") == shared) & ~near)
+    first = F.get(F.array_intersect("s_rare", "f_rare"), F.lit(0))
+    words = branch(lambda side, _: F.explode(f"{side}_rare"), (F.col("v") == first) & (overlap >= OVERLAP) & ~near & shared.isNull())
     km = geo.distance_km("s_latitude", "s_longitude", "f_latitude", "f_longitude")
-    shared = F.get(F.array_sort(F.array_intersect("s_keys", "f_keys")), F.lit(0))
-    j = j.withColumns({"km": km, "shared": shared, "overlap": T.jaccard("s_tokens", "f_tokens")})
-    reason = F.coalesce(F.col("km") <= RADIUS_KM, F.lit(False)) | F.col("shared").isNotNull() | (F.col("overlap") >= OVERLAP)
-    return j.filter(times.within_hours("s_published", "f_published", WINDOW_HOURS) & reason).select("story_id", "founder_id", "km", "shared", "overlap")
+    return places.unionByName(entities).unionByName(words).select("story_id", "founder_id", km.alias("km"), shared.alias("shared"), overlap.alias("overlap"), "s_published", "f_published")
+
+
+def candidate_pairs(stories: DataFrame, founders: DataFrame) -> DataFrame:
+    """(story_id, founder_id, km, shared, overlap) of pairs that may be one event.
+
+    Same country, at most WINDOW_HOURS apart, neither a live page, and near in place, with an entity in common, or alike in
+    their headlines. Each of the three reasons is an equi-join on country, a window of time and a cell, an entity or a
+    token, so no pair is looked at that has no reason; two headlines that overlap share a token.
+    """
+    return _met(stories, founders).select("story_id", "founder_id", "km", "shared", "overlap")
 
 
 #: So few open pairs are settled in one task, which takes them in order; more go in rounds.
@@ -111,27 +125,27 @@ def place(stories: DataFrame, pairs: DataFrame, at_once: int = SETTLED_AT_ONCE)
     order = F.struct(F.coalesce(F.unix_micros("published"), F.lit(-(1 << 62))).alias("at"), F.col("story_id").alias("id"))
     ranked = stories.select("story_id", order.alias("o"))
     same = pairs.filter("same").select("story_id", "founder_id").distinct()
-    earlier = same.join(ranked.withColumnRenamed("o", "so"), "story_id").join(ranked.select(F.col("story_id").alias("founder_id"), F.col("o").alias("fo")), "founder_id")
+    earlier = same.join(ranked.withColumnRenamed("o", "so").hint("merge"), "story_id").join(ranked.select(F.col("story_id").alias("founder_id"), F.col("o").alias("fo")).hint("merge"), "founder_id")
     earlier = stored(earlier.filter(F.col("fo") < F.col("so")).select("story_id", "founder_id", "so", "fo"))
 
     left = earlier
-    fresh = stored(earlier.select("founder_id").distinct().join(earlier.select(F.col("story_id").alias("founder_id")), "founder_id", "left_anti").select(F.col("founder_id").alias("story_id"), F.lit(True).alias("founds")))
+    fresh = stored(earlier.select("founder_id").distinct().join(earlier.select(F.col("story_id").alias("founder_id")).hint("merge"), "founder_id", "left_anti").select(F.col("founder_id").alias("story_id"), F.lit(True).alias("founds")))
     settled = [fresh]
     while (n := left.count()) > at_once:
-        told = left.join(fresh.select(F.col("story_id").alias("founder_id"), "founds"), "founder_id", "left")
+        told = left.join(fresh.select(F.col("story_id").alias("founder_id"), "founds").hint("merge"), "founder_id", "left")
         seen = stored(told.groupBy("story_id").agg(F.coalesce(F.bool_or("founds"), F.lit(False)).alias("joins"), F.count_if(F.col("founds").isNull()).alias("open")))
         fresh = seen.filter("joins OR open = 0").select("story_id", (~F.col("joins")).alias("founds"))
         settled.append(fresh)
         waiting = seen.filter("NOT joins AND open > 0").select("story_id")
-        left = stored(told.filter("founds IS NULL").join(waiting, "story_id", "left_semi").drop("founds"))
+        left = stored(told.filter("founds IS NULL").join(waiting.hint("merge"), "story_id", "left_semi").drop("founds"))
     if n:
-        told = left.join(fresh.select(F.col("story_id").alias("founder_id"), "founds"), "founder_id", "left").select("story_id", "founder_id", F.col("so.at").alias("at"), "founds")
+        told = left.join(fresh.select(F.col("story_id").alias("founder_id"), "founds").hint("merge"), "founder_id", "left").select("story_id", "founder_id", F.col("so.at").alias("at"), "founds")
         settled.append(stored(told.repartition(1).sortWithinPartitions("at", "story_id").mapInPandas(_in_order, "story_id string, founds boolean")))
     joined = reduce(DataFrame.unionByName, settled).filter("NOT founds").select("story_id")
-    founders = earlier.join(joined.select(F.col("story_id").alias("founder_id")), "founder_id", "left_anti")
-    chosen = founders.join(joined, "story_id", "left_semi").groupBy("story_id").agg(F.min_by("founder_id", "fo").alias("joined"))
+    founders = earlier.join(joined.select(F.col("story_id").alias("founder_id")).hint("merge"), "founder_id", "left_anti")
+    chosen = founders.join(joined.hint("merge"), "story_id", "left_semi").groupBy("story_id").agg(F.min_by("founder_id", "fo").alias("joined"))
     named = stories.select(F.col("story_id").alias("joined"), hashing.cluster_id("outlet", "primary_alias").alias("joined_cluster"))
-    all_rows = stories.join(chosen, "story_id", "left").join(named, "joined", "left")
+    all_rows = stories.join(chosen.hint("merge"), "story_id", "left").join(named.hint("merge"), "joined", "left")
     own = hashing.cluster_id("outlet", "primary_alias")
     return all_rows.select(
         "story_id",
@@ -240,6 +254,5 @@ def unresolved(extractions: DataFrame, resolutions: DataFrame, hashes: dict[str,
 
 def pair_bound(stories: DataFrame) -> int:
     """How many pairs a judge could be asked about at most: each earlier candidate counts as a founder."""
-    at = stories.select("story_id", F.coalesce(F.unix_micros("published"), F.lit(0)).alias("at"))
-    p = candidate_pairs(stories, stories).join(at, "story_id").join(at.select(F.col("story_id").alias("founder_id"), F.col("at").alias("f_at")), "founder_id")
-    return p.filter("f_at < at OR (f_at = at AND founder_id < story_id)").count()
+    at, founded = F.unix_micros("s_published"), F.unix_micros("f_published")
+    return _met(stories, stories).filter((founded < at) | ((founded == at) & (F.col("founder_id") < F.col("story_id")))).count()
