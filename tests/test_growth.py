@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from meridian.operators import cluster
+from meridian.operators import cluster, gazetteer
 from meridian.plans import catalog
 
 from .conftest import SF
@@ -32,3 +32,19 @@ def test_a_pair_with_several_reasons_comes_once(spark):
     want = {("a", "b"), ("a", "c"), ("b", "c"), ("a", "d"), ("b", "d"), ("c", "d"), ("a", "e"), ("b", "e")}
     assert sorted(pairs) == sorted(want | {(y, x) for x, y in want})
     assert cluster.pair_bound(stories) == len(want)
+
+
+def test_questions_are_ranked_by_a_few_places_each(spark):
+    """Of the places that go by a name, two of each precision get to where a question is judged."""
+    assert "WindowGroupLimit" in planned(catalog.QUERIES["alg01_resolve"](spark, SF))
+
+
+def test_a_region_of_that_name_is_found_behind_others(spark):
+    """An empty town, of whose namesakes among regions the first two contain it and the third doesn't."""
+    place = lambda k, cls, code, admin1, people, lat: (k, "Alba", None, lat, 10.0, cls, code, "C1", admin1, None, people)
+    schema = "geonames_id long, name string, ascii_name string, latitude double, longitude double, feature_class string, feature_code string, country string, admin1 string, admin2 string, population long"
+    places = spark.createDataFrame([place(1, "P", "PPL", "A", 0, 50.0), *(place(k, "A", "ADM1", "A", 900 - k, 50.0) for k in (2, 3)), place(4, "A", "ADM1", "B", 5, 60.0)], schema)
+    names = gazetteer.build_names(places, spark.createDataFrame([], "folded string, geonames_id long, source string"))
+    queries = spark.createDataFrame([(k, "Alba", None, "c1", "city") for k in range(3)] + [(9, None, None, None, None)], "query_id long, name string, within string, country string, kind string")
+    got = {r.query_id: (r.outcome, r.place and r.place.geonames_id) for r in gazetteer.resolve(queries, names, places).collect()}
+    assert got == {0: ("region_of_that_name", 4), 1: ("region_of_that_name", 4), 2: ("region_of_that_name", 4), 9: ("no_name", None)}
