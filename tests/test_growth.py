@@ -48,3 +48,9 @@ def test_a_region_of_that_name_is_found_behind_others(spark):
     queries = spark.createDataFrame([(k, "Alba", None, "c1", "city") for k in range(3)] + [(9, None, None, None, None)], "query_id long, name string, within string, country string, kind string")
     got = {r.query_id: (r.outcome, r.place and r.place.geonames_id) for r in gazetteer.resolve(queries, names, places).collect()}
     assert got == {0: ("region_of_that_name", 4), 1: ("region_of_that_name", 4), 2: ("region_of_that_name", 4), 9: ("no_name", None)}
+
+
+def test_rows_are_made_in_fixed_partitions(spark):
+    """Joins that make far more than they read are dealt by number, whatever the bytes of their input."""
+    for name in ("jn11_gazetteer_candidates",):
+        assert "REPARTITION_BY_NUM" in planned(catalog.QUERIES[name](spark, SF)), name
