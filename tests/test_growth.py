@@ -52,5 +52,5 @@ def test_a_region_of_that_name_is_found_behind_others(spark):
 
 def test_rows_are_made_in_fixed_partitions(spark):
     """Joins that make far more than they read are dealt by number, whatever the bytes of their input."""
-    for name in ("jn11_gazetteer_candidates",):
+    for name in ("jn11_gazetteer_candidates", "jn17_contained"):
         assert "REPARTITION_BY_NUM" in planned(catalog.QUERIES[name](spark, SF)), name
