@@ -63,3 +63,9 @@ def test_feeds_are_files_of_many_users(spark):
     for atom, name in ((True, "src03_atom"), (False, "src01_rss")):
         assert len(spark.read.text(inputs._xml(spark, SF, atom)).inputFiles()) <= users / 4
         assert catalog.QUERIES[name](spark, SF).count() == events.count()
+
+
+def test_near_founders_meet_in_small_cells(spark):
+    """Pairs of a country are made by many tasks: rows are dealt by number and hours, not by windows of two days."""
+    plan = planned(catalog.QUERIES["flt08_near_founders"](spark, SF))
+    assert "REPARTITION_BY_NUM" in plan and "21600" in plan
