@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Callable
 from urllib.parse import unquote
 
 import pandas as pd
@@ -35,33 +36,49 @@ def normalise(c) -> Column:
     return F.trim(F.regexp_replace(col(c), r"\s+", " "))
 
 
-def unescape():
-    """HTML character references as characters; only rows with an ampersand pay for Python."""
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), in which value is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(html.unescape, na_action="ignore")
 
-    return run
+#: What may be a character reference, as Python's html.unescape looks for it, behind its ampersand.
+REFERENCE = r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-def clean_text(c) -> Column:
-    """Text of a scrap of HTML: no tags, references decoded, no zero-width characters, single spaces for any white space (&nbsp; too)."""
-    bare = F.regexp_replace(col(c), "<[^>]+>", "")
-    decoded = F.translate(F.when(bare.contains("&"), unescape()(bare)).otherwise(bare), INVISIBLE, "")
-    return F.trim(F.regexp_replace(decoded, r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
+def _decoded(texts: Column) -> Column:
+    """An array of strings with HTML character references as characters. Python only sees the different references of a row."""
 
+    @F.pandas_udf("array<string>")
+    def meant(s: pd.Series) -> pd.Series:
+        return s.map(lambda xs: None if xs is None else [html.unescape("&" + x) for x in xs])
 
-def clean_texts(c) -> Column:
-    """clean_text of each string of an array; Python only sees arrays with an ampersand."""
+    behind = lambda x: F.filter(F.split(x, "&"), lambda p, i: i > 0)
+    reference = lambda p: F.regexp_substr(p, F.lit(REFERENCE))
+    some = F.filter(F.flatten(F.transform(F.filter(texts, lambda x: x.contains("&")), lambda x: F.transform(behind(x), reference))), lambda r: r.isNotNull())
+    known = F.array_distinct(some)
+    # both are left out of rows without a reference, whose arrays are empty
+    told = F.when(F.size(known) > 0, F.struct(known.alias("r"), meant(known).alias("c")))
 
-    @F.pandas_udf("array<string>")
-    def unescaped(s: pd.Series) -> pd.Series:
-        return s.map(lambda xs: None if xs is None else [None if x is None else html.unescape(x) for x in xs])
+    def put(p: Column, told: Column) -> Column:
+        whole = F.concat(F.lit("&"), p)
+        return let(reference(p), lambda r: F.when(r.isNull(), whole).otherwise(F.concat(F.get(told["c"], F.array_position(told["r"], r).cast("int") - 1), F.substring(p, F.length(r) + 1, F.length(p)))))
+
+    def one(x: Column, told: Column) -> Column:
+        parts = lambda t: F.concat(F.get(t, F.lit(0)), F.array_join(F.transform(F.slice(t, F.lit(2), F.size(t)), lambda p: put(p, told)), ""))
+        return F.when(x.contains("&"), let(F.split(x, "&"), parts)).otherwise(x)
 
+    return let(told, lambda t: F.when(t.isNull(), texts).otherwise(F.transform(texts, lambda x: one(x, t))))
+
+
+def clean_texts(c) -> Column:
+    """clean_text of each string of an array."""
     bare = F.transform(col(c), lambda x: F.regexp_replace(x, "<[^>]+>", ""))
-    decoded = F.when(F.exists(bare, lambda x: F.coalesce(x.contains("&"), F.lit(False))), unescaped(bare)).otherwise(bare)
-    return F.transform(decoded, lambda x: F.trim(F.regexp_replace(F.translate(x, INVISIBLE, ""), r"[\s\x1c-\x1f\x85\p{Z}]+", " ")))
+    return F.transform(_decoded(bare), lambda x: F.trim(F.regexp_replace(F.translate(x, INVISIBLE, ""), r"[\s\x1c-\x1f\x85\p{Z}]+", " ")))
+
+
+def clean_text(c) -> Column:
+    """Text of a scrap of HTML: no tags, references decoded, no zero-width characters, single spaces for any white space (&nbsp; too)."""
+    return F.get(clean_texts(F.array(col(c))), F.lit(0))
 
 
 def paragraphs(c) -> Column:

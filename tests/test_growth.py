@@ -69,3 +69,20 @@ def test_near_founders_meet_in_small_cells(spark):
     """Pairs of a country are made by many tasks: rows are dealt by number and hours, not by windows of two days."""
     plan = planned(catalog.QUERIES["flt08_near_founders"](spark, SF))
     assert "REPARTITION_BY_NUM" in plan and "21600" in plan
+
+
+def test_python_sees_references_not_texts(spark):
+    """Texts with references of all kinds as html.unescape has them, of which Python gets each different one once."""
+    import html
+    import random
+
+    from pyspark.sql import functions as F
+
+    from meridian.functions import text as T
+
+    rng = random.Random(5)
+    parts = ["&amp;", "&amp", "&ampx;", "&notit;", "&#65;", "&#x41", "&#xZ", "&#0;", "&#128;", "&", "&&", "& ", "&lt;b&gt;", "&CounterClockwiseContourIntegral;", "&" + "a" * 40, "\U0001f600", "x", " y", "&é;", "&#1114112;", "&eacuteé", "$1\\"]
+    rows = [("".join(rng.choices(parts, k=rng.randrange(0, 12))),) for _ in range(300)] + [(None,), ("",), ("&",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select("t", F.get(T._decoded(F.array("t")), F.lit(0)).alias("x")).collect()
+    assert all(r.x == (html.unescape(r.t) if r.t is not None else None) for r in got)
