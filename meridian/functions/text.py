@@ -213,17 +213,30 @@ def found_verbatim(text, quote) -> Column:
 
 def trim_evidence(quote, place, most: int = MAX_EVIDENCE) -> Column:
     """At most `most` characters of a quote around the place's name, cut between words, never through the name."""
-    text, name = normalise(quote), F.lower(F.trim(F.coalesce(col(place), F.lit(""))))
-    at = F.when(name != "", F.instr(F.lower(text), name)).otherwise(0)
-    room = F.length(text) - most
-    start = F.when(at > 0, F.least(F.greatest(at - 1 + F.floor(F.length(name) / 2) - most // 2, F.lit(0)), room)).otherwise(0).cast("int")
-    window = F.substring(text, start + 1, F.lit(most))
-    has = lambda x: F.when(name == "", F.lit(True)).otherwise(F.instr(F.lower(x), name) > 0)
-    head = F.regexp_extract(window, r"^[^ ]* (.*)$", 1)
-    opened = F.when((start > 0) & window.contains(" ") & (name != "") & has(head), head).otherwise(window)
-    tail = F.regexp_extract(opened, r"^(.*) [^ ]*$", 1)
-    closed = F.when((start < room) & opened.contains(" ") & has(tail), tail).otherwise(opened)
-    return F.when(F.length(text) <= most, F.nullif(text, F.lit(""))).otherwise(F.trim(closed))
+    has = lambda x, name: F.when(name == "", F.lit(True)).otherwise(F.instr(F.lower(x), name) > 0)
+
+    def around(text: Column, name: Column, start: Column) -> Column:
+        room = F.length(text) - most
+
+        def opened(window: Column) -> Column:
+            head = F.regexp_extract(window, r"^[^ ]* (.*)$", 1)
+            return let(head, lambda head: F.when((start > 0) & window.contains(" ") & (name != "") & has(head, name), head).otherwise(window))
+
+        def closed(window: Column) -> Column:
+            tail = F.regexp_extract(window, r"^(.*) [^ ]*$", 1)
+            return let(tail, lambda tail: F.when((start < room) & window.contains(" ") & has(tail, name), tail).otherwise(window))
+
+        return F.trim(let(let(F.substring(text, start + 1, F.lit(most)), opened), closed))
+
+    def begun(text: Column, name: Column, at: Column) -> Column:
+        return F.when(at > 0, F.least(F.greatest(at - 1 + F.floor(F.length(name) / 2) - most // 2, F.lit(0)), F.length(text) - most)).otherwise(0).cast("int")
+
+    def cut(text: Column, name: Column) -> Column:
+        found = F.when(name != "", F.instr(F.lower(text), name)).otherwise(0)
+        return let(let(found, lambda at: begun(text, name, at)), lambda start: around(text, name, start))
+
+    name = F.lower(F.trim(F.coalesce(col(place), F.lit(""))))
+    return let(normalise(quote), lambda text: F.when(F.length(text) <= most, F.nullif(text, F.lit(""))).otherwise(let(name, lambda name: cut(text, name))))
 
 
 def wikipedia_title(c) -> Column:

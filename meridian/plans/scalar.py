@@ -131,9 +131,8 @@ SELECT doc_id, place, evidence, CAST(length(evidence) AS INT) AS n FROM h
 """)
 def str17_trim_evidence(spark, sf):
     d = table(spark, sf, "documents")
-    word = F.get(F.split(T.normalise("text"), " "), F.lit(100))
-    cut = T.trim_evidence("text", word)
-    return d.select("doc_id", word.alias("place"), cut.alias("evidence"), F.length(cut).alias("n"))
+    told = T.let(T.normalise("text"), lambda t: T.let(F.get(F.split(t, " ", 102), F.lit(100)), lambda word: F.struct(word.alias("place"), T.trim_evidence(t, word).alias("evidence"))))
+    return d.select("doc_id", told.alias("told")).select("doc_id", "told.place", "told.evidence", F.length("told.evidence").alias("n"))
 
 
 @query("""

@@ -86,3 +86,7 @@ def test_python_sees_references_not_texts(spark):
     df = spark.createDataFrame(rows, "t string")
     got = df.select("t", F.get(T._decoded(F.array("t")), F.lit(0)).alias("x")).collect()
     assert all(r.x == (html.unescape(r.t) if r.t is not None else None) for r in got)
+
+
+def test_a_text_is_normalised_once_for_its_evidence(spark):
+    assert planned(catalog.QUERIES["str17_trim_evidence"](spark, SF)).count(r"\s+") <= 2
