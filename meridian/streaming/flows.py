@@ -5,6 +5,8 @@ Every flow can run to the end of what is there (availableNow) from a schedule, a
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -54,6 +56,62 @@ def silent(events: DataFrame, key: str, at: str, now, hours: int) -> DataFrame:
     return last.withColumn("silent", F.unix_timestamp(now) - F.unix_timestamp("last") > hours * 3600)
 
 
+def _kind(fields: tuple):
+    """What equal fields have in common as a key; lists can't be one."""
+    try:
+        hash(fields)
+    except TypeError:
+        return pickle.dumps(fields)
+    return fields
+
+
+class _Known:
+    """Founders that stories, which come in order of their time, are compared to.
+
+    Founders with equal fields are one kind, in order of (time, id), and stories with equal fields know the kinds that they are the same
+    as. So `same` is asked about two kinds, not about each story and founder, and only of kinds that are near in time.
+    """
+
+    def __init__(self, same: Callable[[tuple, tuple], bool], keep: float, founders: list[tuple]):
+        self.same, self.keep = same, keep
+        self.kinds: dict = {}  # kind: its fields, and (time, id) of its founders
+        self.news: list = []  # kinds as they came up, again if they had been out of reach
+        self.asked: dict = {}  # kind of a story: how many of the news it knows, and those that are the same
+        for f in founders:
+            self.add(f)
+
+    def add(self, founder: tuple) -> None:
+        story, at, *fields = founder
+        kind = _kind(tuple(fields))
+        _, found = self.kinds.setdefault(kind, (tuple(fields), []))
+        if not found or at - found[-1][0] > self.keep:
+            self.news.append(kind)
+        insort(found, (at, story))
+
+    def first(self, at: float, mine: tuple) -> tuple[float, str] | None:
+        """(time, id) of the first founder near in time that mine is the same as."""
+        kind = _kind(mine)
+        known, alike = self.asked.get(kind, (0, {}))
+        for k in self.news[known:]:
+            fields, found = self.kinds[k]
+            if k not in alike and at - found[-1][0] <= self.keep and self.same(mine, fields):
+                alike[k] = found
+        self.asked[kind] = len(self.news), alike
+        best, gone = None, []
+        for k, found in alike.items():
+            if at - found[-1][0] > self.keep:
+                gone.append(k)
+                continue
+            i = max(bisect_left(found, (at - self.keep,)) - 1, 0)
+            while at - found[i][0] > self.keep:
+                i += 1
+            if found[i][0] - at <= self.keep and (best is None or found[i] < best):
+                best = found[i]
+        for k in gone:
+            del alike[k]
+        return best
+
+
 def leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], key: str, fields: list[str], keep_hours: int = 48) -> DataFrame:
     """(key, story_id, founder_id) of a stream of stories: each joins the first founder of its key that it is the same as, or founds.
 
@@ -67,6 +125,7 @@ def leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], key: str,
     def step(group: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         newest, kept = state.get if state.exists else (float("-inf"), [])
         founders = [tuple(x) for x in kept]
+        known = _Known(same, keep_hours * 3600, founders)
         df = pd.concat(list(batches)).sort_values(["published", "story_id"])
         out = []
         for row in df.itertuples(index=False):
@@ -76,11 +135,11 @@ def leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], key: str,
             at = row.published.timestamp()
             newest = max(newest, at)
             mine = tuple(getattr(row, f) for f in fields)
-            near = (f for f in founders if abs(at - f[1]) <= keep_hours * 3600 and same(mine, f[2:]))
-            first = min(near, key=lambda f: (f[1], f[0]), default=None)
+            first = known.first(at, mine)
             if first is None:
                 founders.append((row.story_id, at, *mine))
-            out.append((group[0], row.story_id, first[0] if first else row.story_id))
+                known.add(founders[-1])
+            out.append((group[0], row.story_id, first[1] if first else row.story_id))
         founders = sorted((f for f in founders if f[1] >= newest - 2 * keep_hours * 3600), key=lambda f: (f[1], f[0]))
         state.update((newest, [list(f) for f in founders]))
         yield pd.DataFrame(out, columns=[key, "story_id", "founder_id"])
@@ -156,6 +215,8 @@ def indexed_leaders(stories: DataFrame, same: Callable[[tuple, tuple], bool], ke
 
 #: The store of state that maps and timers need; Spark reads the setting when a query starts.
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: Each partition of state has files to write in each batch, rows or not; what is kept is short, so a few for each core do.
+WIDTH = "spark.sql.shuffle.partitions"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -165,12 +226,14 @@ def run_once(flow: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint
     keyed_state is for flows with indexed_leaders. What each batch reports of its state comes back: rows kept, and rows dropped as too late.
     """
     conf = flow.sparkSession.conf
-    before = conf.get(STATE_STORE)
+    before, width = conf.get(STATE_STORE), conf.get(WIDTH)
     try:
+        conf.set(WIDTH, str(min(int(width), 4 * flow.sparkSession.sparkContext.defaultParallelism)))  # a checkpoint keeps the number that it began with
         if keyed_state:
             conf.set(STATE_STORE, ROCKS)
         query = flow.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
         query.awaitTermination()
     finally:
         conf.set(STATE_STORE, before)
+        conf.set(WIDTH, width)
     return [{"rows": p.numInputRows, "kept": sum(s.numRowsTotal for s in p.stateOperators), "late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators)} for p in query.recentProgress]

@@ -90,3 +90,20 @@ def test_python_sees_references_not_texts(spark):
 
 def test_a_text_is_normalised_once_for_its_evidence(spark):
     assert planned(catalog.QUERIES["str17_trim_evidence"](spark, SF)).count(r"\s+") <= 2
+
+
+def test_same_is_asked_once_of_two_kinds():
+    """Stories and founders with the same fields, of which there may be many, are compared once."""
+    from meridian.streaming import flows
+
+    asked, hour = [], 3600.0
+    known = flows._Known(lambda a, b: asked.append((a, b)) or a == b, 48 * hour, [])
+    want = []
+    for i in range(400):
+        at, mine = i * hour, ([f"w{i % 3}"],)
+        first = known.first(at, mine)
+        assert first == min((f for f in want if f[2] == mine and at - f[0] <= 48 * hour), default=(None,))[:2] if first else not any(f[2] == mine and at - f[0] <= 48 * hour for f in want)
+        if first is None:
+            want.append((at, f"s{i}", mine))
+            known.add((f"s{i}", at, *mine))
+    assert len(want) > 20 and len(asked) <= 9 * len(want)
