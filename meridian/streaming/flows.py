@@ -165,20 +165,28 @@ class _Founders(StatefulProcessor):
         return [tuple(x) if not isinstance(x, str) else x for x in state.getValue((key,))[0]] if state.containsKey((key,)) else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        out = []
+        # each value's founders are read and written once a trigger, not for each row
+        out, held, known, changed, hours = [], {}, {}, set(), {}
         for row in pd.concat(list(rows)).sort_values(["published", "story_id"]).itertuples(index=False):
             at, mine, values = row.published.timestamp(), tuple(getattr(row, f) for f in self.fields), sorted({v for v in row.values if v is not None})
-            held = {v: self._at(self.by_value, v) for v in values}
-            near = [f for found in held.values() for f in found if abs(at - f[1]) <= self.keep and self.same(mine, f[2:])]
-            first = min(near, key=lambda f: (f[1], f[0]), default=None)
+            for v in values:
+                if v not in held:
+                    held[v] = self._at(self.by_value, v)
+                    known[v] = _Known(self.same, self.keep, held[v])
+            first = min((f for v in values if (f := known[v].first(at, mine))), default=None)
             if first is None:
                 for v in values:
-                    self.by_value.updateValue((v,), ([*held[v], (row.story_id, at, *mine)],))
-                hour = int(at + 2 * self.keep) // 3600 + 1
+                    held[v].append((row.story_id, at, *mine))
+                    known[v].add(held[v][-1])
+                changed.update(values)
                 if values:
-                    self.by_hour.updateValue((hour,), (sorted({*self._at(self.by_hour, hour), *values}),))
-                    self.handle.registerTimer(hour * 3_600_000)
-            out.append((key[0], row.story_id, first[0] if first else row.story_id))
+                    hours.setdefault(int(at + 2 * self.keep) // 3600 + 1, set()).update(values)
+            out.append((key[0], row.story_id, first[1] if first else row.story_id))
+        for v in changed:
+            self.by_value.updateValue((v,), (held[v],))
+        for hour, values in hours.items():
+            self.by_hour.updateValue((hour,), (sorted({*self._at(self.by_hour, hour), *values}),))
+            self.handle.registerTimer(hour * 3_600_000)
         yield pd.DataFrame(out, columns=["key", "story_id", "founder_id"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
