@@ -65,12 +65,50 @@ def test_feeds_are_files_of_many_users(spark):
         assert catalog.QUERIES[name](spark, SF).count() == events.count()
 
 
+def test_streams_of_files_with_the_same_days(spark, tmp_path):
+    """A table in files that each go through all days: no row is too late, and what is appended is not dealt anew to find its last."""
+    import duckdb
+
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    for k in range(3):
+        events.filter(f"event_id % 3 = {k}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
+    for name in ("stm04_interval_stream", "stm07_leaders_stream", "stm07_indexed_stream"):
+        df = catalog.QUERIES[name](spark, str(tmp_path))
+        want = con.execute(catalog.SQL[name])
+        names = [c[0] for c in want.description]
+        assert sorted(map(str, df.select(*names).toPandas().astype(str).values.tolist())) == sorted(map(str, want.fetch_df().astype(str).values.tolist())), name
+        assert "Exchange" not in planned(df), name
+
+
+def test_same_is_asked_once_of_two_kinds():
+    """Stories and founders with the same fields, of which there may be many, are compared once."""
+    from meridian.streaming import flows
+
+    asked, hour = [], 3600.0
+    known = flows._Known(lambda a, b: asked.append((a, b)) or a == b, 48 * hour, [])
+    want = []
+    for i in range(400):
+        at, mine = i * hour, ([f"w{i % 3}"],)
+        first = known.first(at, mine)
+        assert first == min((f for f in want if f[2] == mine and at - f[0] <= 48 * hour), default=(None,))[:2] if first else not any(f[2] == mine and at - f[0] <= 48 * hour for f in want)
+        if first is None:
+            want.append((at, f"s{i}", mine))
+            known.add((f"s{i}", at, *mine))
+    assert len(want) > 20 and len(asked) <= 9 * len(want)
+
+
 def test_near_founders_meet_in_small_cells(spark):
     """Pairs of a country are made by many tasks: rows are dealt by number and hours, not by windows of two days."""
     plan = planned(catalog.QUERIES["flt08_near_founders"](spark, SF))
     assert "REPARTITION_BY_NUM" in plan and "21600" in plan
 
 
+def test_a_text_is_normalised_once_for_its_evidence(spark):
+    assert planned(catalog.QUERIES["str17_trim_evidence"](spark, SF)).count(r"\s+") <= 2
+
+
 def test_python_sees_references_not_texts(spark):
     """Texts with references of all kinds as html.unescape has them, of which Python gets each different one once."""
     import html
@@ -86,24 +124,3 @@ def test_python_sees_references_not_texts(spark):
     df = spark.createDataFrame(rows, "t string")
     got = df.select("t", F.get(T._decoded(F.array("t")), F.lit(0)).alias("x")).collect()
     assert all(r.x == (html.unescape(r.t) if r.t is not None else None) for r in got)
-
-
-def test_a_text_is_normalised_once_for_its_evidence(spark):
-    assert planned(catalog.QUERIES["str17_trim_evidence"](spark, SF)).count(r"\s+") <= 2
-
-
-def test_same_is_asked_once_of_two_kinds():
-    """Stories and founders with the same fields, of which there may be many, are compared once."""
-    from meridian.streaming import flows
-
-    asked, hour = [], 3600.0
-    known = flows._Known(lambda a, b: asked.append((a, b)) or a == b, 48 * hour, [])
-    want = []
-    for i in range(400):
-        at, mine = i * hour, ([f"w{i % 3}"],)
-        first = known.first(at, mine)
-        assert first == min((f for f in want if f[2] == mine and at - f[0] <= 48 * hour), default=(None,))[:2] if first else not any(f[2] == mine and at - f[0] <= 48 * hour for f in want)
-        if first is None:
-            want.append((at, f"s{i}", mine))
-            known.add((f"s{i}", at, *mine))
-    assert len(want) > 20 and len(asked) <= 9 * len(want)
