@@ -56,8 +56,7 @@ def _decoded(texts: Column) -> Column:
     reference = lambda p: F.regexp_substr(p, F.lit(REFERENCE))
     some = F.filter(F.flatten(F.transform(F.filter(texts, lambda x: x.contains("&")), lambda x: F.transform(behind(x), reference))), lambda r: r.isNotNull())
     known = F.array_distinct(some)
-    # both are left out of rows without a reference, whose arrays are empty
-    told = F.when(F.size(known) > 0, F.struct(known.alias("r"), meant(known).alias("c")))
+    told = F.struct(texts.alias("t"), known.alias("r"), meant(known).alias("c"))  # no Python inside of a lambda
 
     def put(p: Column, told: Column) -> Column:
         whole = F.concat(F.lit("&"), p)
@@ -67,7 +66,7 @@ def _decoded(texts: Column) -> Column:
         parts = lambda t: F.concat(F.get(t, F.lit(0)), F.array_join(F.transform(F.slice(t, F.lit(2), F.size(t)), lambda p: put(p, told)), ""))
         return F.when(x.contains("&"), let(F.split(x, "&"), parts)).otherwise(x)
 
-    return let(told, lambda t: F.when(t.isNull(), texts).otherwise(F.transform(texts, lambda x: one(x, t))))
+    return let(told, lambda t: F.when(F.coalesce(F.size(t["r"]), F.lit(0)) <= 0, t["t"]).otherwise(F.transform(t["t"], lambda x: one(x, t))))
 
 
 def clean_texts(c) -> Column:
