@@ -6,7 +6,7 @@ orders and lineitems for events and their reports, customers and suppliers for p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions import geo
@@ -274,27 +274,45 @@ def jn16_similarity_classes(spark, sf):
     return d.join(first, ["lang", "t"], "left").select("doc_id", F.coalesce("first", "doc_id").alias("class_id"))
 
 
-def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: float) -> DataFrame:
-    """Pairs (a, b), a < b, with the same `within` whose token sets overlap by `least` or more.
+#: Longs of 64 bits that stand for a set of tokens in may_overlap().
+BITMAPS = 8
 
-    Prefix filtering: in an order from rare to frequent, sets that overlap so much share a token among the first
-    n - ceil(least * n) + 1 of each, so only those are joined on, and frequent tokens hardly ever. What meets are ids, sizes and
-    places: at its first shared token a pair has at most the rest of the shorter set still to share, and pairs for which that
-    is too little go before their tokens are fetched and compared.
-    """
+
+def overlapping(rows: DataFrame, key: str, within: str, tokens: str, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, with the same `within` whose token sets overlap by `least` or more."""
     each = rows.select(key, within, F.explode(F.transform(tokens, lambda w: F.xxhash64(w))).alias("w"))  # numbers are joined and intersected faster
-    freq = each.groupBy(within, "w").agg(F.count(F.lit(1)).alias("df"))
+    freq = each.groupBy(within, "w").agg(F.count(key).alias("df"))  # counts keys, so that both uses of each are one plan
     ranked = each.join(freq, [within, "w"]).groupBy(key, within).agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("t"))
+    sets = ranked.select(F.col(key).alias("a"), F.col("t").alias("ta"))
+    found = may_overlap(ranked, key, within, least).join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("ta").alias("tb")), "b")
+    return found.withColumn("overlap", T.jaccard("ta", "tb")).filter(F.col("overlap") >= least).select("a", "b", F.round("overlap", 6).alias("overlap"))
+
+
+def may_overlap(ranked: DataFrame, key: str, within: str, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of ranked(key, within, t) that may overlap by `least`: all that do, and few others.
+
+    Prefix filtering: t being hashes in an order from rare to frequent, sets that overlap so much share a token among the first
+    n - ceil(least * n) + 1 of each, so only those are joined on, and frequent tokens hardly ever. What meets are ids, sizes,
+    places and bitmaps, not tokens: at its first shared token a pair has at most the rest of the shorter set still to share, and
+    each bit that only one of two sets has is a token that only this one has. Pairs for which that leaves too little go
+    where they meet; else the tokens of far more pairs than there are in the result would have to be moved.
+    """
     first = F.size("t") - T.at_least("t", least) + 1
-    prefix = ranked.select(F.col(key).alias("a"), within, F.size("t").alias("na"), F.posexplode(F.slice("t", F.lit(1), first)).alias("i", "w"))
-    other = prefix.select(F.col("a").alias("b"), within, F.col("na").alias("nb"), F.col("i").alias("j"), "w")
+
+    def bitmap(k: int) -> Column:
+        own = F.filter("t", lambda x: F.pmod(x, F.lit(64 * BITMAPS)).between(64 * k, 64 * k + 63))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))))
+
+    held = ranked.select(F.col(key).alias("a"), within, "t", first.alias("first"), F.size("t").alias("na"), *(bitmap(k).alias(f"ma{k}") for k in range(BITMAPS)))
+    kept = ["a", within, "na", *(f"ma{k}" for k in range(BITMAPS))]
+    prefix = held.select(*kept, F.posexplode(F.slice("t", F.lit(1), F.col("first"))).alias("i", "w"))
+    other = prefix.select(F.col("a").alias("b"), within, F.col("na").alias("nb"), *(F.col(f"ma{k}").alias(f"mb{k}") for k in range(BITMAPS)), F.col("i").alias("j"), "w")
     shared = F.ceil(F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-9)
     enough = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) >= shared
     sizes = F.least("na", "nb") >= F.ceil(F.greatest("na", "nb") * least - 1e-9)
-    pairs = prefix.join(other, [within, "w"]).filter((F.col("a") < F.col("b")) & sizes & enough).select("a", "b").distinct()
-    sets = ranked.select(F.col(key).alias("a"), F.col("t").alias("ta"))
-    found = pairs.join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("ta").alias("tb")), "b")
-    return found.withColumn("overlap", T.jaccard("ta", "tb")).filter(F.col("overlap") >= least).select("a", "b", F.round("overlap", 6).alias("overlap"))
+    only = lambda x, y: sum((F.bit_count(F.col(f"{x}{k}").bitwiseAND(F.bitwise_not(f"{y}{k}"))) for k in range(BITMAPS)), F.lit(0))
+    alike = F.least(F.col("na") - only("ma", "mb"), F.col("nb") - only("mb", "ma")) >= shared
+    return prefix.join(other, [within, "w"]).filter((F.col("a") < F.col("b")) & sizes & enough & alike).select("a", "b").distinct()
 
 
 @query("""

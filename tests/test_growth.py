@@ -2,8 +2,10 @@
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from meridian.operators import cluster, gazetteer
-from meridian.plans import catalog, inputs
+from meridian.plans import catalog, inputs, relational
 
 from .conftest import SF
 
@@ -124,3 +126,17 @@ def test_python_sees_references_not_texts(spark):
     df = spark.createDataFrame(rows, "t string")
     got = df.select("t", F.get(T._decoded(F.array("t")), F.lit(0)).alias("x")).collect()
     assert all(r.x == (html.unescape(r.t) if r.t is not None else None) for r in got)
+
+
+def test_pairs_that_meet_go_by_their_bitmaps(spark):
+    """Headlines that all share a rare word and little else: of 780 pairs few get to where tokens are compared, and none that counts is lost."""
+    texts = [" ".join(["shared", *(f"w{i * 31 + k}" for k in range(10))]) for i in range(38)] + ["shared alpha beta gamma", "shared alpha beta delta"]
+    rows = spark.createDataFrame([(i, "en", x.split()) for i, x in enumerate(texts)], "doc_id long, lang string, t array<string>")
+    got = [(r.a, r.b, r.overlap) for r in relational.overlapping(rows, "doc_id", "lang", "t", 0.34).collect()]
+    assert got == [(38, 39, 0.6)]
+    hashed = rows.select("doc_id", "lang", F.transform("t", lambda w: F.xxhash64(w)).alias("t"))  # "shared" comes first in each
+    met = {(r.a, r.b) for r in relational.may_overlap(hashed, "doc_id", "lang", 0.05).collect()}
+    every = {(r.a, r.b) for r in relational.overlapping(rows, "doc_id", "lang", "t", 0.05).collect()}
+    assert every <= met
+    few = {(r.a, r.b) for r in relational.may_overlap(hashed, "doc_id", "lang", 0.34).collect()}
+    assert (38, 39) in few and len(few) < 40
