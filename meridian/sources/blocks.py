@@ -56,15 +56,15 @@ def style_of(paragraph: Column) -> Column:
     said = lambda b: F.coalesce(_text(b, "$.model.text").rlike(r"\S"), F.lit(False))
     leans = lambda b: F.coalesce(F.array_contains(F.try_variant_get(b, "$.model.attributes", "array<string>"), "italic"), F.lit(False))
     is_link = lambda b: _is(b, "urlLink")
-    own = _inner(paragraph)
-    most = F.when(F.exists(own, is_link), jsons.keys_in(paragraph, "blocks")).otherwise(F.lit(0))
-    shown = F.filter(own, said)
-    letters = F.filter(jsons.opened(own, lambda b: ~is_link(b), _inner, most), lambda b: said(b) & _is(b, "fragment"))
-    return (
-        F.when((F.size(shown) > 0) & F.forall(shown, is_link), F.lit("link"))
-        .when((F.size(letters) > 0) & F.forall(letters, leans), F.lit("italic"))
-        .otherwise(F.lit("plain"))
-    )
+
+    def of(own: Column) -> Column:
+        most = F.when(F.exists(own, is_link), jsons.keys_in(paragraph, "blocks")).otherwise(F.lit(0))
+        letters = F.filter(jsons.opened(own, lambda b: ~is_link(b), _inner, most), lambda b: said(b) & _is(b, "fragment"))
+        links = T.let(F.filter(own, said), lambda shown: (F.size(shown) > 0) & F.forall(shown, is_link))
+        italic = T.let(letters, lambda all_of: (F.size(all_of) > 0) & F.forall(all_of, leans))
+        return F.when(links, F.lit("link")).when(italic, F.lit("italic")).otherwise(F.lit("plain"))
+
+    return T.let(_inner(paragraph), of)
 
 
 def entries(contents: Column) -> Column:
@@ -97,12 +97,17 @@ def body(found: Column) -> Column:
     It ends with the last plain paragraph that is no aside, or if all are, the last plain one. Of what follows, paragraphs that
     are no asides belong to it too, up to a block of links: notes and corrections do, promotions don't.
     """
-    last = lambda wanted: F.array_max(F.transform(found, lambda e, i: F.when(wanted(e), i + 1)))
-    end = F.coalesce(last(lambda e: (e["style"] == "plain") & ~e["aside"]), last(lambda e: e["style"] == "plain"), F.lit(0))
-    stop = F.coalesce(F.array_min(F.transform(found, lambda e, i: F.when((i >= end) & (e["style"] == "stop"), i))), F.size(found))
-    inside = lambda e, i: (i < end) & e["style"].isin("plain", "italic", "head")
-    after = lambda e, i: (i >= end) & (i < stop) & e["style"].isin("plain", "italic") & ~e["aside"]
-    return F.nullif(F.array_join(F.transform(F.filter(found, lambda e, i: inside(e, i) | after(e, i)), lambda e: e["text"]), "\n\n"), F.lit(""))
+    def of(found: Column) -> Column:
+        last = lambda wanted: F.array_max(F.transform(found, lambda e, i: F.when(wanted(e), i + 1)))
+        stop = lambda end: F.coalesce(F.array_min(F.transform(found, lambda e, i: F.when((i >= end) & (e["style"] == "stop"), i))), F.size(found))
+        ends = F.coalesce(last(lambda e: (e["style"] == "plain") & ~e["aside"]), last(lambda e: e["style"] == "plain"), F.lit(0))
+        inside = lambda e, i, end: (i < end) & e["style"].isin("plain", "italic", "head")
+        after = lambda e, i, end, stop: (i >= end) & (i < stop) & e["style"].isin("plain", "italic") & ~e["aside"]
+        kept = lambda end, stop: F.filter(found, lambda e, i: inside(e, i, end) | after(e, i, end, stop))
+        return T.let(ends, lambda end: T.let(stop(end), lambda stop: F.array_join(F.transform(kept(end, stop), lambda e: e["text"]), "\n\n")))
+
+    # what each entry is held against is worked out once a page: within a lambda it would be for each entry
+    return F.nullif(T.let(found, of), F.lit(""))
 
 
 def scripts(html: Column, kind: str) -> Column:
@@ -129,8 +134,8 @@ def block_pages(pages: DataFrame, html: str) -> DataFrame:
     contents = _list(F.col("_page"), "$.contents")
     read = read.withColumn("_said", F.when(F.col("_page").isNotNull(), entries(contents)))
     clean = T.clean_texts(F.transform("_said", lambda e: e["text"]))
-    read = read.withColumn("_clean", clean)
-    read = read.withColumn("_said", F.transform("_said", lambda e, i: F.struct(e["style"].alias("style"), F.coalesce(F.get("_clean", i), F.lit("")).alias("text"), e["aside"].alias("aside"))))
+    # side by side, not looked up in a lambda: there the cleaning would be put in and all of a page be cleaned for each entry
+    read = read.withColumn("_said", F.zip_with("_said", clean, lambda e, x: F.struct(e["style"].alias("style"), F.coalesce(x, F.lit("")).alias("text"), e["aside"].alias("aside"))))
     read = read.withColumn("text", body(F.filter("_said", lambda e: (e["text"] != "") | (e["style"] == "stop"))))
 
     props, own = F.col("_props"), F.col("_page")
@@ -141,7 +146,7 @@ def block_pages(pages: DataFrame, html: str) -> DataFrame:
     roles = ("name", "role", "location")
     said = lambda kind: F.transform(named, lambda c: first_paragraph(last(c, kind)))
     read = read.withColumns({f"_{k}": T.clean_texts(said(k)) for k in roles})
-    people = F.transform("_name", lambda x, i: F.struct(F.nullif(x, F.lit("")).alias("name"), *(F.nullif(F.get(f"_{k}", i), F.lit("")).alias(k) for k in roles[1:])))
+    people = F.transform(F.arrays_zip(*(f"_{k}" for k in roles)), lambda x: F.struct(*(F.nullif(x[f"_{k}"], F.lit("")).alias(k) for k in roles)))
     none = F.lit(None).cast("string")
     linked = F.transform(linked_authors(page), lambda x: F.struct(x.alias("name"), none.alias("role"), none.alias("location")))
     written = F.filter(people, lambda p: p["name"].isNotNull())
@@ -178,7 +183,7 @@ def block_pages(pages: DataFrame, html: str) -> DataFrame:
         "video_duration_seconds": number(version, "$.duration"),
     }
     out = read.withColumns({k: F.when(own.isNotNull(), v) for k, v in fields.items()})
-    return out.drop("_props", "_page", "_said", "_clean", *(f"_{k}" for k in roles))
+    return out.drop("_props", "_page", "_said", *(f"_{k}" for k in roles))
 
 
 # ---- a wire's content object -----------------------------------------------------------------------------------
