@@ -36,6 +36,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder, for what is read often: columns and sizes are known, as those of a checkpoint aren't.
+
+    The table goes when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/meridian/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place, files, _ = _place(spark, path)
+    files.deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _place(spark: SparkSession, path: str):
     """The path and its file system, whichever it is, and Hadoop's settings."""
     conf = spark._jsparkSession.sessionState().newHadoopConf()

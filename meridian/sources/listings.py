@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.operators.identity import known_rows
-from meridian.operators.tables import stored
+from meridian.operators.tables import stored, written
 
 
 def read_listings(sections: DataFrame, list_page: Callable[[DataFrame], DataFrame], known: DataFrame, seen_in: DataFrame, most_pages: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -31,7 +31,7 @@ def read_listings(sections: DataFrame, list_page: Callable[[DataFrame], DataFram
         rows = rows.withColumn("_once", once).filter("_once = 1").drop("_once")
         if keys is not None:
             rows = rows.join(keys, ["outlet", "section", "_key"], "left_anti")
-        rows = stored(rows.withColumn("row_id", F.monotonically_increasing_id()))
+        rows = written(rows.withColumn("row_id", F.monotonically_increasing_id()))  # of known size: few rows don't make known move
         had = known_rows(rows.select("row_id", "outlet", "aliases", "section", "page"), known, seen_in).select("row_id", F.lit(True).alias("_had"))
         ends = stored(rows.select("row_id", "outlet", "section").join(had, "row_id", "left").groupBy("outlet", "section").agg(F.bool_and(F.coalesce("_had", F.lit(False))).alias("ends")))
         read.append(rows.drop("row_id", "_key"))

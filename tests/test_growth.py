@@ -140,3 +140,11 @@ def test_pairs_that_meet_go_by_their_bitmaps(spark):
     assert every <= met
     few = {(r.a, r.b) for r in relational.may_overlap(hashed, "doc_id", "lang", 0.34).collect()}
     assert (38, 39) in few and len(few) < 40
+
+
+def test_what_rounds_of_listings_read_is_written_once(spark, monkeypatch):
+    """Each round reads what is stored already; it must not be worked out anew each time."""
+    given, plain = [], inputs.listings.read_listings
+    monkeypatch.setattr(inputs.listings, "read_listings", lambda sections, list_page, known, seen_in: given.extend((known, seen_in)) or plain(sections, list_page, known, seen_in))
+    assert catalog.QUERIES["src27_paged_listings"](spark, SF).count() > 0
+    assert len(given) == 2 and not any("Aggregate" in planned(df) for df in given)
