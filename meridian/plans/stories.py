@@ -204,11 +204,11 @@ def flt15_items(spark, sf):
     more = stories.withColumns({"thumbnail": F.lit(None).cast("string"), "categories": F.create_map(F.lit("t"), F.col("status"))})
     rows = more.join(texts.select("story_id", "text"), "story_id", "left").join(read.filter("config_hash = 'e1'").drop("config_hash", "text_hash"), "story_id", "left")
     out = X.items(X.with_sections(rows, sections), at("2024-01-28 06:00:00"), at("2024-01-29 00:00:00"))
-    says = lambda p: F.get_json_object("item", p)
-    joined = lambda p: F.array_join(F.from_json(says(p), "array<string>"), "|")
-    return out.select(
-        "story_id", says("$.title").alias("title"), says("$.published").alias("published"), says("$.event.isPhysical").alias("physical"), says("$.event.category").alias("category"), says("$.event.eventDate").alias("event_date"),
-        says("$.event.placeName").alias("place_name"), says("$.event.placeKind").alias("place_kind"), joined("$.event.otherPlaces").alias("other_places"), says("$.text").alias("text"), joined("$.sections").alias("sections"),
+    fields = "title string, published string, text string, sections array<string>, event struct<isPhysical:string,category:string,eventDate:string,placeName:string,placeKind:string,otherPlaces:array<string>>"
+    read = out.select("story_id", F.from_json("item", fields).alias("x"))  # once for all fields
+    return read.select(
+        "story_id", "x.title", "x.published", F.col("x.event.isPhysical").alias("physical"), "x.event.category", F.col("x.event.eventDate").alias("event_date"), F.col("x.event.placeName").alias("place_name"),
+        F.col("x.event.placeKind").alias("place_kind"), F.array_join("x.event.otherPlaces", "|").alias("other_places"), "x.text", F.array_join("x.sections", "|").alias("sections"),
     )
 
 

@@ -148,3 +148,8 @@ def test_what_rounds_of_listings_read_is_written_once(spark, monkeypatch):
     monkeypatch.setattr(inputs.listings, "read_listings", lambda sections, list_page, known, seen_in: given.extend((known, seen_in)) or plain(sections, list_page, known, seen_in))
     assert catalog.QUERIES["src27_paged_listings"](spark, SF).count() > 0
     assert len(given) == 2 and not any("Aggregate" in planned(df) for df in given)
+
+
+def test_items_are_read_back_once(spark):
+    """Not once for each of their eleven fields."""
+    assert "get_json_object" not in planned(catalog.QUERIES["flt15_items"](spark, SF))
