@@ -18,6 +18,17 @@ def test_no_stories_are_broadcast(spark):
     assert "BroadcastHashJoin" not in planned(catalog.QUERIES["alg03_candidate_pairs"](spark, SF))
 
 
+def test_no_placement_broadcasts(spark, monkeypatch):
+    """Every plan of a placement as it was run, also what its rounds store: no joined table is broadcast, however small it looks."""
+    run, store = [], cluster.stored
+    monkeypatch.setattr(cluster, "stored", lambda df: run.append(df) or store(df))
+    for name in ("alg03_online_cluster", "alg03_cluster_rounds"):
+        placed = catalog.QUERIES[name](spark, SF)
+        placed.collect()
+        run.append(placed)
+    assert len(run) > 6 and not [plan for plan in map(planned, run) if "Broadcast" in plan]
+
+
 def test_a_pair_with_several_reasons_comes_once(spark):
     row = lambda k, hour, lat, entities, headline: (k, "o", k, headline, datetime(2024, 1, 1, hour), "C1", entities, lat, 10.0 if lat is not None else None, [])
     stories = spark.createDataFrame(
