@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions import geo, hashing, times
 from meridian.functions import text as T
-from meridian.operators.tables import stored, written
+from meridian.operators.tables import written as stored
 
 WINDOW_HOURS = 48
 RADIUS_KM = 50.0
@@ -142,10 +142,12 @@ def place(stories: DataFrame, pairs: DataFrame | Callable[[DataFrame], DataFrame
 
     Rounds settle what is next to those settled in the round before: pairs with one that joined are dropped, those with a
     founder decide. Only open pairs and the newly settled are stored, both of which shrink, and no country or event
-    meets in one task; the last pairs, at_once at most, are settled by one task in order, which gives the same.
+    meets in one task; the last pairs, at_once at most, are settled by one task in order, which gives the same. They are stored
+    as tables, whose size Spark knows: a checkpoint has the size that was guessed for its plan, which the joins of each round would
+    square, until the driver plans with numbers of millions of digits.
     """
     order = [F.coalesce(F.unix_micros("published"), F.lit(-(1 << 62))), F.col("story_id")]
-    numbered = written(stories.orderBy(*order).withColumn("n", F.monotonically_increasing_id()))
+    numbered = stored(stories.orderBy(*order).withColumn("n", F.monotonically_increasing_id()))
     if callable(pairs):
         same = pairs(numbered.withColumn("story_id", F.col("n")).drop("n")).filter("same").select(F.col("story_id").alias("n"), F.col("founder_id").alias("f"))
     else:

@@ -50,6 +50,18 @@ def test_some_reasons_give_their_part_of_all_pairs(spark):
     assert rows(("place", "entity")) == {r for r in every if r[2] is not None and r[2] <= 50 or r[3] is not None}
 
 
+def test_guessed_sizes_do_not_grow_with_rounds(spark, monkeypatch):
+    """A chain of stories takes a round for each link or two; what the driver thinks a round reads must not be the square of the round before."""
+    names = [f"s{i:02}" for i in range(16)]
+    stories = spark.createDataFrame([(n, "o", n, datetime(2024, 1, 1, i)) for i, n in enumerate(names)], "story_id string, outlet string, primary_alias string, published timestamp")
+    pairs = spark.createDataFrame([(b, a, True) for a, b in zip(names, names[1:])], "story_id string, founder_id string, same boolean")
+    sizes, store = [], cluster.stored
+    monkeypatch.setattr(cluster, "stored", lambda df: sizes.append(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) or store(df))
+    placed = {r.story_id: r.compared_to for r in cluster.place(stories, pairs, 0).collect()}
+    assert placed == {n: names[i - 1] if i % 2 else None for i, n in enumerate(names)}
+    assert len(sizes) > 10 and max(map(len, sizes[3:])) < 40
+
+
 def test_a_pair_with_several_reasons_comes_once(spark):
     row = lambda k, hour, lat, entities, headline: (k, "o", k, headline, datetime(2024, 1, 1, hour), "C1", entities, lat, 10.0 if lat is not None else None, [])
     stories = spark.createDataFrame(
