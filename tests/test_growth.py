@@ -111,6 +111,15 @@ def test_feeds_are_files_of_many_users(spark):
         assert catalog.QUERIES[name](spark, SF).count() == events.count()
 
 
+def test_containers_are_put_into_the_squares_that_they_reach(spark):
+    """Not into all around them; and what meets by a code or a country is ids, of which none are broadcast."""
+    spots = spark.range(-70, 70).select((F.col("id") + 0.3).alias("lat"), (F.col("id") * 2.5 + 0.3).alias("lon"))
+    sizes = spots.select(*(F.max(F.size(gazetteer.geo.cells_around("lat", "lon", km, 2.0))) for km in (30, 150))).first()
+    assert sizes[0] <= 4 and sizes[1] <= 18
+    plan = planned(catalog.QUERIES["jn17_contained"](spark, SF))
+    assert "Broadcast" not in plan and "struct(" not in plan
+
+
 def test_documents_are_read_once_and_in_bounded_files(spark, monkeypatch):
     """Rows for the store: documents that are read whole hold a bounded number of items, and the registry doesn't have them read again."""
     paths, write = [], inputs._xml
