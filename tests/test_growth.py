@@ -120,6 +120,15 @@ def test_containers_are_put_into_the_squares_that_they_reach(spark):
     assert "Broadcast" not in plan and "struct(" not in plan
 
 
+def test_questions_are_moved_once(spark):
+    """To where they meet their places, and told apart there; one that is asked twice by the same query still comes once."""
+    assert "hashpartitioning(query_id" not in planned(catalog.QUERIES["jn11_gazetteer_candidates"](spark, SF))
+    places = spark.createDataFrame([(1, "Alba", "alba", 0.0, 0.0, "P", "PPL", "C1", None, None, 5), (2, "Alba", "Albe", 0.0, 0.0, "P", "PPL", "", None, None, 5)], "geonames_id long, name string, ascii_name string, latitude double, longitude double, feature_class string, feature_code string, country string, admin1 string, admin2 string, population long")
+    names = gazetteer.build_names(places, spark.createDataFrame([("alba", 1, "alternate")], "folded string, geonames_id long, source string"))
+    queries = spark.createDataFrame([(1, "Alba", "c1"), (1, " ALBA", "C1 "), (2, "alba", "c1"), (3, "alba", ""), (4, "", "c1")], "query_id long, name string, country string")
+    assert sorted((r.query_id, r.place.geonames_id) for r in gazetteer.candidates(queries, names, places).collect()) == [(1, 1), (2, 1)]
+
+
 def test_documents_are_read_once_and_in_bounded_files(spark, monkeypatch):
     """Rows for the store: documents that are read whole hold a bounded number of items, and the registry doesn't have them read again."""
     paths, write = [], inputs._xml
