@@ -65,6 +65,12 @@ def rare_tokens(stories: DataFrame, every: DataFrame) -> DataFrame:
     return sets.select("story_id", F.transform(F.slice("t", F.lit(1), first), lambda x: x["w"]).alias("rare"))
 
 
+def _bits(tokens: str) -> Column:
+    """A set of tokens as 64 bits, one that each token's hash picks."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, w: acc.bitwiseOR(bit(w)))
+
+
 def _met(stories: DataFrame, founders: DataFrame, reasons: tuple[str, ...] = REASONS, earlier: bool = False) -> DataFrame:
     """candidate_pairs() with s_published and f_published.
 
@@ -77,10 +83,10 @@ def _met(stories: DataFrame, founders: DataFrame, reasons: tuple[str, ...] = REA
     left = facts(stories).filter(ok)
     right = facts(founders).filter(ok)
     every = left.unionByName(right, allowMissingColumns=True)
-    cols = ["published", "latitude", "longitude", "keys", "tokens", *(["rare"] if "words" in reasons else [])]
+    cols = ["published", "latitude", "longitude", "keys", "tokens", *(["rare", "n_tokens", "bits"] if "words" in reasons else [])]
 
     def side(df: DataFrame, name: str, prefix: str) -> DataFrame:
-        rows = df.join(rare_tokens(df, every).hint("merge"), "story_id", "left") if "words" in reasons else df
+        rows = df.join(rare_tokens(df, every).hint("merge"), "story_id", "left").withColumns({"n_tokens": F.size("tokens"), "bits": _bits("tokens")}) if "words" in reasons else df
         return rows.select(F.col("story_id").alias(name), "country", *(F.col(c).alias(f"{prefix}_{c}") for c in cols))
 
     left, right = side(left, "story_id", "s"), side(right, "founder_id", "f")
@@ -104,10 +110,14 @@ def _met(stories: DataFrame, founders: DataFrame, reasons: tuple[str, ...] = REA
 
     alone = F.least(F.size("s_keys"), F.size("f_keys")) <= 1  # then what they met by is all that they share
     first = F.get(F.array_intersect("s_rare", "f_rare"), F.lit(0))
+    # each bit that only one of two headlines has is a word that only this one has: most pairs that share one word go by that
+    only = lambda x, y: F.bit_count(F.col(f"{x}_bits").bitwiseAND(F.bitwise_not(f"{y}_bits")))
+    most = F.least(F.col("s_n_tokens") - only("s", "f"), F.col("f_n_tokens") - only("f", "s"))
+    may = most >= (F.col("s_n_tokens") + F.col("f_n_tokens")) * (OVERLAP / (1 + OVERLAP)) - 1e-9
     branches = {
         "place": lambda: branch(lambda side, around: _cells(f"{side}_latitude", f"{side}_longitude", around), near, shared),
         "entity": lambda: branch(lambda side, _: F.explode(f"{side}_keys"), (alone | (F.col("v") == shared)) & ~near, F.col("v")),
-        "words": lambda: branch(lambda side, _: F.explode(f"{side}_rare"), (F.col("v") == first) & (overlap >= OVERLAP) & ~near & shared.isNull(), none),
+        "words": lambda: branch(lambda side, _: F.explode(f"{side}_rare"), may & (overlap >= OVERLAP) & (F.col("v") == first) & ~near & ~F.arrays_overlap("s_keys", "f_keys"), none),
     }
     return reduce(DataFrame.unionByName, [branches[x]() for x in REASONS if x in reasons])
 

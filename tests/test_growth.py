@@ -129,6 +129,22 @@ def test_questions_are_moved_once(spark):
     assert sorted((r.query_id, r.place.geonames_id) for r in gazetteer.candidates(queries, names, places).collect()) == [(1, 1), (2, 1)]
 
 
+def test_headlines_are_told_apart_by_bits_where_they_meet(spark):
+    """Most pairs that share a word go by a number; of headlines of all lengths none that overlaps enough is lost, nor comes twice or from a later founder."""
+    import random
+
+    plan = planned(catalog.QUERIES["alg03_candidate_pairs"](spark, SF))
+    assert "bit_count" in plan and "xxhash64(country" in plan
+    rng = random.Random(9)
+    words = [f"word{k}" for k in range(40)]
+    texts = [rng.sample(words, rng.choice([1, 2, 3, 5, 9, 20, 40])) for _ in range(90)]
+    rows = [(str(i), "o", str(i), " ".join(t), datetime(2024, 1, 1, i % 24), "C1", [], None, None, []) for i, t in enumerate(texts)]
+    stories = spark.createDataFrame(rows, "story_id string, outlet string, primary_alias string, headline string, published timestamp, country string, entities array<string>, latitude double, longitude double, format_flags array<string>")
+    want = {(str(i), str(j)) for i, a in enumerate(texts) for j, b in enumerate(texts) if i != j and len(set(a) & set(b)) / len(set(a) | set(b)) >= 0.34}
+    got = [(r.story_id, r.founder_id) for r in cluster.candidate_pairs(stories, stories).collect()]
+    assert sorted(got) == sorted(want) and 2 * cluster.pair_bound(stories) == len(want) > 200
+
+
 def test_documents_are_read_once_and_in_bounded_files(spark, monkeypatch):
     """Rows for the store: documents that are read whole hold a bounded number of items, and the registry doesn't have them read again."""
     paths, write = [], inputs._xml
