@@ -145,6 +145,23 @@ def test_headlines_are_told_apart_by_bits_where_they_meet(spark):
     assert sorted(got) == sorted(want) and 2 * cluster.pair_bound(stories) == len(want) > 200
 
 
+def test_streams_meet_in_cells_of_time(spark, tmp_path):
+    """A row is compared to those of its cell of four days: of a country's founders in a year, to few."""
+    from meridian.streaming import flows
+
+    src, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 7919)
+    spark.range(600).select("id", (F.col("id") % 2 == 0).alias("founds"), F.when(F.col("id") % 3 != 0, F.lit("GB")).alias("country"), at.alias("at")).coalesce(1).write.parquet(src)
+    events = flows.read_stream(spark, src, "id long, founds boolean, country string, at timestamp")
+    a = events.filter("NOT founds").selectExpr("id AS story_id", "country", "at AS published")
+    b = events.filter("founds").selectExpr("id AS cluster_id", "country AS founder_country", "at AS founder_published")
+    met = flows.near_founders(a, b)
+    assert "345600" in met._jdf.queryExecution().analyzed().toString()
+    flows.run_once(met, lambda df, n: df.write.mode("append").parquet(out), state, "append")
+    got = sorted((r.story_id, r.cluster_id) for r in spark.read.parquet(out).collect())
+    assert got == sorted((s, f) for s in range(1, 600, 2) for f in range(0, 600, 2) if abs(s - f) * 7919 <= 48 * 3600 and (s % 3 == 0) == (f % 3 == 0))
+
+
 def test_documents_are_read_once_and_in_bounded_files(spark, monkeypatch):
     """Rows for the store: documents that are read whole hold a bounded number of items, and the registry doesn't have them read again."""
     paths, write = [], inputs._xml
